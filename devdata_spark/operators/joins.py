@@ -79,6 +79,10 @@ def attach(
     if how != "left":
         lookup = lookup.select(*keys).distinct()
     facts = measured or profile(lookup, keys)
+    # a join on names puts the key first: keep the order of `df`, then what is new
+    order = list(df.columns)
+    if how == "left":
+        order += [c for c in lookup.columns if c not in keys]
     if how == "left" and validate and facts.duplicate_keys:
         raise DataValidationError(
             f"The lookup table repeats {facts.duplicate_keys} key(s) of {keys}; "
@@ -86,8 +90,10 @@ def attach(
         )
     nulls = facts.null_keys > 0
     if facts.fits_broadcast:
-        return _join(df, F.broadcast(lookup), keys, how, nulls)
-    return _attach_large(df, lookup, keys, how, nulls)
+        joined = _join(df, F.broadcast(lookup), keys, how, nulls)
+    else:
+        joined = _attach_large(df, lookup, keys, how, nulls)
+    return joined.select(*[F.col(f"`{c}`") for c in order])
 
 
 def _attach_large(

@@ -10,7 +10,7 @@ patterns in one expression, so no pairs of names and countries are built.
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from devdata_spark import fields
@@ -38,8 +38,12 @@ def resolve_names(
     names = df.select(column).where(F.col(column).isNotNull()).distinct()
     keyed = names.withColumn("_key", F.lower(text.strip(F.col(column))))
     exact = joins.attach(keyed, _exact_keys(countries, to), ["_key"], validate=False)
-    by_pattern = _pattern_match(F.col(column), _patterns(countries, to))
-    return exact.select(column, F.coalesce(F.col(to), by_pattern).alias(to))
+    patterns = _patterns(countries, to)
+    # tried only where there is no exact match, and worked out once per name
+    tried = F.when(F.col(to).isNull(), _codes_by_pattern(F.col(column), patterns))
+    found = exact.withColumn("_found", tried)
+    only = F.when(F.size("_found") == 1, F.element_at("_found", 1))
+    return found.select(column, F.coalesce(F.col(to), only).alias(to))
 
 
 def add_code(
@@ -93,9 +97,6 @@ def _patterns(countries: DataFrame, to: str) -> list[tuple[str, str]]:
     return [(r[0], r[1]) for r in rows]
 
 
-def _pattern_match(name, patterns: list[tuple[str, str]]):
-    if not patterns:
-        return F.lit(None).cast("string")
+def _codes_by_pattern(name: Column, patterns: list[tuple[str, str]]) -> Column:
     hits = [F.when(name.rlike(f"(?i){regex}"), F.lit(code)) for code, regex in patterns]
-    found = F.array_distinct(F.array_compact(F.array(*hits)))
-    return F.when(F.size(found) == 1, F.element_at(found, 1))
+    return F.array_distinct(F.array_compact(F.array(*hits).cast("array<string>")))

@@ -137,9 +137,15 @@ def data(
     if counterparts:
         schema += f", counterpart_area {_PAIR if labelled_records else 'STRING'}"
     df = shape_records(files.read_json(spark, f"{root}/data/db={db}", schema))
-    df = select(df, indicator_code, entity_code, start_year, end_year, skip_blanks=skip_blanks)
+    df = select(
+        df, indicator_code, entity_code, start_year, end_year,
+        skip_blanks=skip_blanks or mrnev is not None,
+    )
     if skip_aggs:
         df = filters.skip_aggregates(df)
+    # asked of the filtered scan, before anything that shuffles
+    if df.isEmpty():
+        raise DataExtractionError("No data found for the request.")
     series = [fields.INDICATOR_CODE]
     if mrv is not None:
         df = latest.most_recent_periods(df, mrv, series=series)
@@ -154,9 +160,7 @@ def data(
         df = df.drop(
             fields.ENTITY_NAME, "is_aggregate", fields.INDICATOR_NAME, fields.COUNTERPART_NAME
         )
-    if df.isEmpty():
-        raise DataExtractionError("No data found for the request.")
-    return quality.validate(df, REQUIRED)
+    return quality.check_columns(df, REQUIRED)
 
 
 def databases(spark: SparkSession, root: str) -> DataFrame:

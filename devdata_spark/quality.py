@@ -45,9 +45,7 @@ def validate(
         empty = df.isEmpty()
     if empty:
         raise DataValidationError("The table is not valid: DataFrame is empty.")
-    missing = [c for c in [*required, *not_null] if c not in df.columns]
-    if missing:
-        raise DataValidationError(f"The table is not valid: Missing columns: {missing}")
+    check_columns(df, [*required, *not_null])
     if schema:
         check_types(df, schema)
     if nulls:
@@ -55,6 +53,14 @@ def validate(
     return df
 
 
+def check_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
+    """Raise where a required column is absent; the message lists all of them."""
+    missing = [c for c in required if c not in df.columns]
+    if missing:
+        raise DataValidationError(f"The table is not valid: Missing columns: {missing}")
+    return df
+
+
 def check_types(df: DataFrame, schema: str) -> DataFrame:
     """Raise where a column does not have its declared type."""
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}

@@ -5,6 +5,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_local_folders: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's `spark.checkpoint.dir`; a temporary folder only in local mode."""
@@ -13,9 +15,10 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="devdata-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="devdata-")
+    return _local_folders[application]
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

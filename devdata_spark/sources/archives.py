@@ -3,7 +3,8 @@
 One task opens an archive and hands on its members still compressed; the members
 are then spread over the cluster, and each is inflated and parsed as a stream of
 column batches. An archive must stay under 2 GB, Spark's limit for one binary
-cell; a member may be of any size once inflated.
+cell; a member may be of any size once inflated, but its compressed stream can
+only be read from the start, by one task. Land very large members extracted.
 """
 
 from collections.abc import Iterator, Sequence
@@ -31,14 +32,13 @@ def packed_members(content: DataFrame) -> DataFrame:
 
     # Nested, so that executors get the code with the job and need no package.
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import io
         import struct
         import zipfile
 
         for batch in batches:
-            for row in batch.to_pylist():
-                raw = row["content"]
-                for info in zipfile.ZipFile(io.BytesIO(raw)).infolist():
+            for archive, content in zip(batch.column("archive"), batch.column("content")):
+                raw = memoryview(content.as_buffer())  # the archive is not copied
+                for info in zipfile.ZipFile(pa.BufferReader(content.as_buffer())).infolist():
                     if info.is_dir():
                         continue
                     if info.flag_bits & 1 or info.compress_type not in (0, 8):
@@ -47,14 +47,13 @@ def packed_members(content: DataFrame) -> DataFrame:
                     at = info.header_offset
                     name_size, extra_size = struct.unpack("<HH", raw[at + 26 : at + 30])
                     start = at + 30 + name_size + extra_size
+                    payload = bytes(raw[start : start + info.compress_size])
                     yield pa.RecordBatch.from_pydict(
                         {
-                            "archive": [row["archive"]],
+                            "archive": [archive.as_py()],
                             "member": [info.filename],
                             "deflated": [info.compress_type == 8],
-                            "payload": pa.array(
-                                [raw[start : start + info.compress_size]], pa.binary()
-                            ),
+                            "payload": pa.array([payload], pa.binary()),
                         }
                     )
 

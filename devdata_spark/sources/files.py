@@ -116,7 +116,14 @@ def write_table(
     partition_by: Sequence[str] = (),
     **options,
 ) -> None:
-    """Write a table; an existing one is only replaced with `overwrite`."""
+    """Write a table; an existing one is only replaced with `overwrite`.
+
+    Before a partitioned write rows are gathered by partition, so that a task
+    does not leave a small file in every folder; adaptive execution splits a
+    partition that is too large for one task.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.format(format).mode("overwrite" if overwrite else "errorifexists")
     try:
         writer.options(**options).partitionBy(*partition_by).save(path)

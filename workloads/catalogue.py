@@ -809,8 +809,8 @@ def inflation_of_countries(spark, sf):
 def food_files(spark, sf):
     root = scratch.new_folder(spark, "food")
     replies = shapes.series_replies(spark, sf)
-    replies.write.partitionBy("iso3_code").text(f"{root}/national")
-    shapes.registry_replies(spark, sf).write.text(f"{root}/registry")
+    files.write_table(replies, f"{root}/national", format="text", partition_by=["iso3_code"])
+    files.write_table(shapes.registry_replies(spark, sf), f"{root}/registry", format="text")
     return food.security(spark, root, shapes.country_table(spark, sf), multi_line=False)
 
 
