@@ -80,8 +80,8 @@ def inflation(
         filters.check_choice(name, INFLATION_INDICATORS, "indicator")
     codes = None if countries is None else resolve.requested_codes(countries, country_table)
     raw = files.read_csv(
-        spark, f"{root}/inflation",
-        f"{schemas.INFLATION_RAW}, {INDICATOR_ID} INT, {fields.ISO3_CODE} STRING",
+        spark, f"{root}/inflation", schemas.INFLATION_RAW,
+        partitions=f"{INDICATOR_ID} INT, {fields.ISO3_CODE} STRING",
     )
     raw = filters.select_values(raw, INDICATOR_ID, [INFLATION_INDICATORS[n] for n in names])
     raw = filters.select_values(raw, fields.ISO3_CODE, codes)

@@ -20,6 +20,7 @@ def read_csv(
     path: str | Sequence[str],
     schema: str | None = None,
     *,
+    partitions: str | None = None,
     pattern: str | None = None,
     header: bool = True,
     encoding: str = "UTF-8",
@@ -29,9 +30,10 @@ def read_csv(
 ) -> DataFrame:
     """CSV files, every cell as text, missing markers as NULL unless turned off.
 
-    `schema` is the DDL of the expected text columns (plus partition columns). A
-    file whose header differs from it fails the job; without it the first header
-    gives the names. `pattern` is a glob on file names.
+    `schema` is the DDL of the expected text columns, `partitions` that of the
+    columns that folder names give. A file whose header differs from the schema
+    fails the job; without it the first header gives the names. `pattern` is a
+    glob on file names.
     """
     require_files(spark, path, pattern)
     reader = _options(spark.read, pattern).options(
@@ -39,7 +41,7 @@ def read_csv(
         quote='"', escape='"', enforceSchema=not header,
     )
     if schema:
-        reader = reader.schema(schema)
+        reader = reader.schema(f"{schema}, {partitions}" if partitions else schema)
     df = _load(reader.format("csv"), path)
     if row_order:
         df = with_row_order(df)

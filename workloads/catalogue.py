@@ -636,8 +636,8 @@ def csv_roundtrip(spark, sf):
         "o_orderkey", "o_orderstatus", "o_totalprice", F.year("o_orderdate").alias("year")
     )
     files.write_table(orders, path, format="csv", partition_by=["year"], header=True)
-    cells = "o_orderkey STRING, o_orderstatus STRING, o_totalprice STRING, year INT"
-    landed = files.read_csv(spark, path, cells)
+    cells = "o_orderkey STRING, o_orderstatus STRING, o_totalprice STRING"
+    landed = files.read_csv(spark, path, cells, partitions="year INT")
     return types.cast(landed, {"o_orderkey": "bigint", "o_totalprice": "double"})
 
 
