@@ -3,8 +3,14 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The day-grain formats tried, in this order, on free-form dates.
-FREE_FORM_PATTERNS = ["yyyy-MM-dd", "dd/MM/yyyy", "d-MMM-yy", "MMMM d, yyyy"]
+# The day-grain formats that free-form dates may have. Each is tried
+# only on texts of its form: a parse that fails costs far more than a match.
+FREE_FORM_PATTERNS = {
+    "yyyy-MM-dd": r"^\d{4}-\d{2}-\d{2}$",
+    "dd/MM/yyyy": r"^\d{2}/\d{2}/\d{4}$",
+    "d-MMM-yy": r"^\d{1,2}-[A-Za-z]{3}-\d{2}$",
+    "MMMM d, yyyy": r"^[A-Za-z]+ \d{1,2}, \d{4}$",
+}
 
 # Two-digit years 69 to 99 mean 1969 to 1999, as strptime reads them.
 _LAST_YEAR_OF_TWO_DIGITS = 2068
@@ -16,8 +22,8 @@ FIRST_YEAR, LAST_YEAR = 1800, 2099
 def parse_free_form(c: Column) -> Column:
     """The date of a free-form text, NULL where no known format fits."""
     parsed = []
-    for pattern in FREE_FORM_PATTERNS:
-        date = F.try_to_date(c, pattern)
+    for pattern, form in FREE_FORM_PATTERNS.items():
+        date = F.when(c.rlike(form), F.try_to_date(c, pattern))
         if pattern.endswith("-yy"):
             last_century = F.year(date) > _LAST_YEAR_OF_TWO_DIGITS
             date = F.when(last_century, F.add_months(date, -1200)).otherwise(date)

@@ -14,6 +14,9 @@ MISSING_MARKERS = [
 
 PRODUCT_CODE_DIGITS = 6
 
+_WHOLE_NUMBER = r"^\s*[+-]?\d{1,19}\s*$"
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
 
 def strip(c: Column) -> Column:
     """Remove surrounding white space of any kind (`trim` only removes blanks)."""
@@ -64,9 +67,22 @@ def after_last_underscore(c: Column) -> Column:
     return F.when(F.contains(c, F.lit("_")), F.substring_index(c, "_", -1))
 
 
+def to_double(c: Column) -> Column:
+    """A text as a double, NULL where it is not a number.
+
+    The form is checked first: a cast that fails costs far more than a match.
+    """
+    return F.when(c.rlike(_NUMBER), c.try_cast("double"))
+
+
+def to_integer(c: Column, type_: str = "int") -> Column:
+    """A text as an integer, NULL where it is not a whole number of that type."""
+    return F.when(c.rlike(_WHOLE_NUMBER), c.try_cast(type_))
+
+
 def number(c: Column) -> Column:
     """Read a number written for people: `$1,234.50` -> 1234.5, NULL if none."""
-    return F.regexp_replace(c, r"[^0-9.\-]", "").try_cast("double")
+    return to_double(F.regexp_replace(c, r"[^0-9.\-]", ""))
 
 
 def format_number(

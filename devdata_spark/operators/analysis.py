@@ -5,6 +5,7 @@ group results are aggregated (combined before the shuffle) and joined back.
 """
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,8 +14,8 @@ from devdata_spark import fields, scratch
 from devdata_spark.operators import combine, joins, latest
 
 # Most distinct values of one group that are ranked in one task.
-MEDIAN_MAX_VALUES = 100_000
-_MEDIAN_CUTS = [i / 100 for i in range(1, 100)]
+MEDIAN_MAX_VALUES = 1_000_000
+_MEDIAN_CUTS = [i / 32 for i in range(1, 32)]
 
 
 def filter_latest_by(df: DataFrame, by: Sequence[str], date: str) -> DataFrame:
@@ -107,9 +108,9 @@ def group_median(
     """The exact median of each group, for groups of any size.
 
     Equal values are counted first. While some group still has more distinct
-    values than one task should rank, a hundred cut points per group are chosen,
-    the rows between them counted exactly, and only the stretch that holds the
-    middle is kept.
+    values than one task should rank, 31 cut points per group are chosen, the rows
+    between them counted exactly, and only the stretch that holds the middle is
+    kept.
     """
     by = list(by)
     counted = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
@@ -152,7 +153,8 @@ def append_median(
 
 def _narrow(counted: DataFrame, middle: DataFrame, by: list[str], value: str):
     cuts = counted.groupBy(*by).agg(F.percentile_approx(value, _MEDIAN_CUTS).alias("_cuts"))
-    passed = F.size(F.filter("_cuts", lambda cut: cut <= F.col(value)))
+    beyond = [(F.get("_cuts", F.lit(i)) <= F.col(value)) for i in range(len(_MEDIAN_CUTS))]
+    passed = reduce(Column.__add__, [b.cast("int") for b in beyond])
     stretches = (
         joins.attach(counted, cuts, by, validate=False)
         .groupBy(*by, passed.alias("_stretch"))
@@ -160,7 +162,7 @@ def _narrow(counted: DataFrame, middle: DataFrame, by: list[str], value: str):
             F.sum("_n").alias("_n"), F.min(value).alias("_from"), F.max(value).alias("_until")
         )
     )
-    # at most a hundred stretches per group
+    # a window over 32 stretches per group at most
     placed = joins.attach(stretches, middle, by, validate=False).withColumn(
         "_to", F.col("_below") + F.sum("_n").over(_running(by, "_stretch"))
     )

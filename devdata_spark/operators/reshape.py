@@ -30,9 +30,9 @@ def to_long(
         # one type already: cast the one value column, not every wide column
         value_columns = [F.col(f"`{c}`") for c in values]
         long = df.unpivot(id_columns, value_columns, variable, value)
-        return long.withColumn(value, F.col(value).try_cast("double"))
+        return long.withColumn(value, text.to_double(F.col(value)))
     doubles = [
-        (F.col(f"`{c}`").try_cast("double") if is_text[c] else F.col(f"`{c}`").cast("double"))
+        (text.to_double(F.col(f"`{c}`")) if is_text[c] else F.col(f"`{c}`").cast("double"))
         .alias(c)
         for c in values
     ]
@@ -52,14 +52,19 @@ def split_code_year(
     return df.withColumns(
         {
             column: text.before_last_underscore(F.col(column)),
-            year: text.after_last_underscore(F.col(column)).try_cast("int"),
+            year: text.to_integer(text.after_last_underscore(F.col(column))),
         }
     )
 
 
 def array_to_rows(df: DataFrame, column: str, keep: Sequence[str] = ()) -> DataFrame:
-    """One row per struct of an array column, its fields as columns after `keep`."""
-    return df.select(*keep, F.inline(F.col(column)))
+    """One row per struct of an array column, its fields as columns after `keep`.
+
+    Dropping empty arrays after the expansion, not before, lets Spark work out the
+    array (often parsed JSON) once per row instead of once more for a filter.
+    """
+    points = df.select(*keep, F.posexplode_outer(F.col(column)).alias("_at", "_point"))
+    return points.where(F.col("_at").isNotNull()).select(*keep, "_point.*")
 
 
 def map_to_rows(df: DataFrame, column: str, key: str, keep: Sequence[str] = ()) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from devdata_spark.functions import text
+
 
 def infer_types(df: DataFrame) -> DataFrame:
     """The narrowest type that holds every value, one row per column.
@@ -45,8 +47,8 @@ def _column_checks(field: T.StructField) -> Column:
         inferred = (
             F.when(F.count(c) == 0, current)
             .when(_all(c, c.rlike("^(?i)(true|false)$")), F.lit("boolean"))
-            .when(_all(c, c.try_cast("bigint").isNotNull()), F.lit("bigint"))
-            .when(_all(c, c.try_cast("double").isNotNull()), F.lit("double"))
+            .when(_all(c, text.to_integer(c, "bigint").isNotNull()), F.lit("bigint"))
+            .when(_all(c, text.to_double(c).isNotNull()), F.lit("double"))
             .otherwise(current)
         )
     elif isinstance(field.dataType, T.FractionalType):

@@ -166,25 +166,21 @@ def shape_inflation(raw: DataFrame, country_table: DataFrame) -> DataFrame:
 
 def shape_national(raw: DataFrame, country_table: DataFrame) -> DataFrame:
     """The points of each country's series."""
-    points = _present("fcsGraph", "the country's series")
-    rows = reshape.array_to_rows(
-        raw.withColumn("fcsGraph", points), "fcsGraph", [fields.ISO3_CODE]
-    )
+    series = raw.withColumn("fcsGraph", _present("fcsGraph", "the country's series"))
+    rows = reshape.array_to_rows(series, "fcsGraph", [fields.ISO3_CODE])
     return _series(rows, country_table, schemas.FOOD_NATIONAL)
 
 
 def shape_subnational(raw: DataFrame, country_table: DataFrame) -> DataFrame:
     """The points of each region's series."""
-    features = _present("features", "the list of regions")
-    regions = raw.select(fields.ISO3_CODE, F.explode(features).alias("_feature")).select(
+    features = raw.withColumn("features", _present("features", "the list of regions"))
+    regions = reshape.array_to_rows(features, "features", [fields.ISO3_CODE]).select(
         fields.ISO3_CODE,
-        F.col("_feature.properties.Name").alias(fields.REGION_NAME),
-        F.col("_feature.properties.fcsGraph").alias("fcsGraph"),
-    )
-    points = _present("fcsGraph", "the region's series")
-    rows = reshape.array_to_rows(
-        regions.withColumn("fcsGraph", points), "fcsGraph", [fields.ISO3_CODE, fields.REGION_NAME]
+        F.col("properties.Name").alias(fields.REGION_NAME),
+        F.col("properties.fcsGraph").alias("fcsGraph"),
     )
+    series = regions.withColumn("fcsGraph", _present("fcsGraph", "the region's series"))
+    rows = reshape.array_to_rows(series, "fcsGraph", [fields.ISO3_CODE, fields.REGION_NAME])
     return _series(rows, country_table, schemas.FOOD_SUBNATIONAL)
 
 
@@ -198,16 +194,15 @@ def _series(rows: DataFrame, country_table: DataFrame, schema: str) -> DataFrame
 
 def _present(name: str, what: str) -> Column:
     """The column, or an error in the job where a reply lacks it."""
-    problem = F.raise_error(F.lit(f"The reply lacks {what} ({name})"))
-    return F.when(F.col(name).isNotNull(), F.col(name)).otherwise(problem)
+    return F.coalesce(F.col(name), F.raise_error(F.lit(f"The reply lacks {what} ({name})")))
 
 
 def _registry(raw: DataFrame) -> DataFrame:
-    feature = raw.select(F.explode("body.features").alias("_feature"))
-    return feature.select(
-        F.col("_feature.properties.iso3").alias(fields.ISO3_CODE),
-        F.col("_feature.properties.adm0_id").alias(fields.ENTITY_CODE),
-        F.col("_feature.properties.dataType").alias(fields.DATA_TYPE),
+    features = raw.select(F.col("body.features").alias("features"))
+    return reshape.array_to_rows(features, "features").select(
+        F.col("properties.iso3").alias(fields.ISO3_CODE),
+        F.col("properties.adm0_id").alias(fields.ENTITY_CODE),
+        F.col("properties.dataType").alias(fields.DATA_TYPE),
     )
 
 

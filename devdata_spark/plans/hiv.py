@@ -55,8 +55,8 @@ def shape(raw: DataFrame) -> DataFrame:
     df = columns.rename(raw, COLUMNS)
     return df.withColumns(
         {
-            fields.YEAR: F.col(fields.YEAR).try_cast("int"),
+            fields.YEAR: text.to_integer(F.col(fields.YEAR).cast("string")),
             fields.VALUE: F.col(fields.VALUE).cast("string"),
-            "value_numeric": F.col(fields.VALUE).cast("string").try_cast("double"),
+            "value_numeric": text.to_double(F.col(fields.VALUE).cast("string")),
         }
     )

@@ -125,7 +125,7 @@ def shape_flows(raw: DataFrame) -> DataFrame:
 
     def cell(name: str) -> Column:
         c = F.col(name)
-        return text.missing_to_null(text.strip(c)) if as_text[name] == "string" else c
+        return text.missing_to_null(F.trim(c)) if as_text[name] == "string" else c
 
     types = {"t": "int", "i": "bigint", "j": "bigint", "v": "double", "q": "double"}
     typed = {c: cell(c).cast(t) for c, t in types.items()}
@@ -147,6 +147,11 @@ def shape_countries(raw: DataFrame) -> DataFrame:
     return columns.rename(coded, COUNTRY_COLUMNS)
 
 
+def with_product_number(df: DataFrame, into: str = "product_code_num") -> DataFrame:
+    """Add the product code as a number, NULL for a code with letters."""
+    return df.withColumn(into, text.to_integer(F.col(fields.PRODUCT_CODE), "bigint"))
+
+
 def with_product_labels(df: DataFrame, products: DataFrame) -> DataFrame:
     """Add product descriptions; each product code may occur once in `products`."""
     return joins.attach(df, products, [fields.PRODUCT_CODE])

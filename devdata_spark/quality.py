@@ -19,6 +19,8 @@ from devdata_spark.operators import joins
 
 logger = logging.getLogger(__name__)
 
+MAX_LOGGED_NAMES = 100
+
 
 def validate(
     df: DataFrame,
@@ -131,8 +133,14 @@ def entities_without_code(
     return df.where(F.col(code).isNull()).select(name).distinct()
 
 
-def warn_entities_without_code(df: DataFrame) -> None:
-    """Log the sorted names of entities that have no code, all of them."""
-    names = sorted(r[0] for r in entities_without_code(df).collect() if r[0] is not None)
+def warn_entities_without_code(df: DataFrame, name: str = fields.ENTITY_NAME) -> None:
+    """Log the sorted names of entities that have no code.
+
+    A log line holds so many names; `entities_without_code` gives all of them.
+    """
+    gaps = entities_without_code(df, name=name).where(F.col(name).isNotNull())
+    names = [r[0] for r in gaps.orderBy(name).take(MAX_LOGGED_NAMES + 1)]
+    if len(names) > MAX_LOGGED_NAMES:
+        names[-1] = "and more"
     if names:
         logger.warning("No legacy code for %s; entity_code is null there.", ", ".join(names))

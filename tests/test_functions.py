@@ -92,3 +92,11 @@ def test_number_formats(spark):
 
 def test_date_written_out(spark):
     assert values(spark, dates.written_out, [datetime.date(2022, 5, 11)], "DATE") == ["11 May 2022"]
+
+
+def test_numbers_in_text(spark):
+    cells = ["1", " 2.5 ", "-3e2", ".5", "1d", "..", "12345678901234567890", "", None]
+    assert values(spark, text.to_double, cells) == [1.0, 2.5, -300.0, 0.5, None, None, 1.2345678901234567e19, None, None]
+    assert values(spark, text.to_integer, ["7", " -8", "9.0", "3000000000", "x", None]) == [7, -8, None, None, None, None]
+    big = values(spark, lambda c: text.to_integer(c, "bigint"), ["3000000000", "9999999999999999999"])
+    assert big == [3000000000, None]

@@ -88,6 +88,8 @@ def archive_members(spark, sf):
     cells = schemas.names(schemas.TRADE_RAW)
     flows = shapes.raw_flows(spark, sf)
     content = _zip_batches(flows.select(*[F.col(c).cast("string") for c in cells]))
+    # which rows share a batch is not fixed, so the archives are written once
+    content = scratch.materialise(content, "archives")
     packed = files.names_between(archives.packed_members(content), "BACI_HS22", ".csv", "member")
     return trade.shape_flows(archives.csv_rows(packed, cells).select(*cells))
 
@@ -144,6 +146,11 @@ def name_prefix_files(spark, sf):
     ).distinct()
 
 
+@query(f"select *, cast(product_code as bigint) as product_code_num from ({sql.FLOWS}) where value > 0")
+def trade_product_numbers(spark, sf):
+    return trade.with_product_number(trade_flows(spark, sf).where("value > 0"))
+
+
 @query("select c_custkey as country_code, c_name as country_name, c_mktsegment as iso3_code from customer")
 def dim_drop_rename(spark, sf):
     return trade.shape_countries(
@@ -1006,8 +1013,8 @@ def _zip_batches(df: DataFrame) -> DataFrame:
     """Each batch of rows as a zip archive with one CSV member and a note."""
 
     def pack(batches):
+        import hashlib
         import io
-        import uuid
         import zipfile
 
         import pyarrow as pa
@@ -1019,8 +1026,9 @@ def _zip_batches(df: DataFrame) -> DataFrame:
             with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
                 z.writestr("BACI_HS22_Y2020.csv", member.getvalue())
                 z.writestr("Readme.txt", "Title: flows")
+            name = hashlib.md5(member.getvalue()).hexdigest()
             yield pa.RecordBatch.from_pydict(
-                {"archive": [uuid.uuid4().hex], "content": [archive.getvalue()]}
+                {"archive": [name], "content": [archive.getvalue()]}
             )
 
     return df.mapInArrow(pack, "archive STRING, content BINARY")
