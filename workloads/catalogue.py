@@ -146,9 +146,9 @@ def name_prefix_files(spark, sf):
     ).distinct()
 
 
-@query(f"select *, cast(product_code as bigint) as product_code_num from ({sql.FLOWS}) where value > 0")
+@query(f"select *, cast(product_code as bigint) as product_code_num from ({sql.FLOWS})")
 def trade_product_numbers(spark, sf):
-    return trade.with_product_number(trade_flows(spark, sf).where("value > 0"))
+    return trade.with_product_number(trade_flows(spark, sf))
 
 
 @query("select c_custkey as country_code, c_name as country_name, c_mktsegment as iso3_code from customer")
