@@ -96,10 +96,16 @@ def marker_to_null(df: DataFrame, marker: str) -> DataFrame:
     return df.na.replace(marker, None, subset=text) if text else df
 
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NULL wherever a floating-point cell is not a number."""
+    floating = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
+    return clean(df, **{n: lambda c: F.when(~F.isnan(c), c) for n in floating})
+
+
 def clean(df: DataFrame, **cleaners) -> DataFrame:
     """Apply a column function to each named column that is present."""
     present = {c: fn(_exact(c)) for c, fn in cleaners.items() if c in df.columns}
-    return df.withColumns(present)
+    return df.withColumns(present) if present else df
 
 
 def _exact(name: str) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from devdata_spark.functions import text
+from devdata_spark.operators import columns
 
 
 def infer_types(df: DataFrame) -> DataFrame:
@@ -16,6 +17,7 @@ def infer_types(df: DataFrame) -> DataFrame:
     boolean, bigint and double; a fractional type becomes bigint when every value
     is whole. One aggregation over the table, combined before the shuffle.
     """
+    df = columns.nan_to_null(df)
     checks = [_column_checks(f).alias(f"_{i}") for i, f in enumerate(df.schema.fields)]
     found = df.agg(*checks)
     return found.select(F.inline(F.array(*[F.col(c) for c in found.columns])))
@@ -25,7 +27,7 @@ def convert_types(df: DataFrame, casts: Mapping[str, str] | None = None) -> Data
     """Cast every column to its inferred type, then apply the explicit `casts`."""
     _check_known(df, casts)
     inferred = {r.column_name: r.inferred_type for r in infer_types(df).collect()}
-    return cast(df, inferred | dict(casts or {}))
+    return cast(columns.nan_to_null(df), inferred | dict(casts or {}))
 
 
 def cast(df: DataFrame, casts: Mapping[str, str]) -> DataFrame:

@@ -35,7 +35,8 @@ def data(
     spark: SparkSession, path: str, metadata_path: str, *, encoding: str = ENCODING
 ) -> DataFrame:
     """One row per country, index and year."""
-    raw = files.read_csv(spark, path, encoding=encoding)
+    # the many value columns are cleaned once they are one column
+    raw = files.read_csv(spark, path, encoding=encoding, markers=list(DATA_COLUMNS))
     df = shape(raw, _described(spark, metadata_path), files.ROW)
     return quality.validate(df, REQUIRED, schema=schemas.HDI_DATA)
 

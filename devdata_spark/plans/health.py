@@ -102,4 +102,7 @@ def shape_metadata(raw: DataFrame) -> DataFrame:
 
 
 def _sheet(spark: SparkSession, root: str, sheet: str) -> DataFrame:
-    return files.read_csv(spark, f"{root}/{sheet}", multi_line=sheet != "data")
+    # the many value columns of the data sheet are cleaned once they are one column
+    wide = sheet == "data"
+    markers = [*ID_COLUMNS, *DROPPED_COLUMNS] if wide else True
+    return files.read_csv(spark, f"{root}/{sheet}", multi_line=not wide, markers=markers)

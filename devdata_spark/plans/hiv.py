@@ -39,14 +39,13 @@ def data(spark: SparkSession, root: str, dataset: str = "Estimates") -> DataFram
     filters.check_choice(dataset, DATASETS, "dataset")
     folder = f"{root}/dataset={dataset}"
     if files.list_files(spark, folder, "*.zip").isEmpty():
-        raw = files.read_csv(spark, folder, schemas.HIV_RAW)
+        raw = files.read_csv(spark, folder)
     else:
         content = archives.require_one_member(archives.archives(spark, folder))
         cells = list(COLUMNS)
         rows = archives.csv_rows(archives.packed_members(content), cells)
-        raw = rows.select(
-            *[text.missing_to_null(F.col(f"`{c}`")).alias(c) for c in cells]
-        )
+        raw = columns.clean(rows.select(*cells), **{c: text.missing_to_null for c in cells})
+    quality.check_columns(columns.rename(raw, COLUMNS), REQUIRED)
     return quality.validate(shape(raw), REQUIRED, schema=schemas.HIV_DATA)
 
 

@@ -61,10 +61,8 @@ def select_version(vintages: DataFrame, version: str | tuple[str, int] = "latest
 def shape(raw: DataFrame) -> DataFrame:
     """Harmonised names, other names in lower case, rows without a value dropped."""
     df = columns.lower_names(columns.rename(raw, COLUMNS))
-    typed = columns.clean(
-        df, value=lambda c: c.cast("double"), year=lambda c: c.cast("int")
-    )
-    return filters.skip_blanks(typed)
+    typed = columns.clean(df, value=lambda c: c.cast("double"), year=lambda c: c.cast("int"))
+    return filters.skip_blanks(columns.nan_to_null(typed))
 
 
 def with_legacy_codes(df: DataFrame) -> DataFrame:

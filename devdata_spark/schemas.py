@@ -41,11 +41,6 @@ HEALTH_DATA = (
 )
 
 # HIV
-HIV_RAW = (
-    "Indicator STRING, Unit STRING, Subgroup STRING, Area STRING, `Area ID` STRING, "
-    "`Time Period` STRING, Source STRING, `Data value` STRING, Formatted STRING, "
-    "Footnote STRING"
-)
 HIV_DATA = (
     "indicator_name STRING, unit STRING, subgroup STRING, entity_name STRING, "
     "entity_code STRING, year INT, source STRING, value STRING, "

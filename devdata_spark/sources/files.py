@@ -5,11 +5,11 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from devdata_spark import schemas
 from devdata_spark.errors import DataExtractionError
 from devdata_spark.functions import text
+from devdata_spark.operators import columns
 
 # Added by `row_order=True`: the file of a row, and its place in that file.
 FILE, ROW = "_file", "_row"
@@ -26,9 +26,11 @@ def read_csv(
     encoding: str = "UTF-8",
     multi_line: bool = False,
     row_order: bool = False,
-    markers: bool = True,
+    markers: bool | Sequence[str] = True,
 ) -> DataFrame:
-    """CSV files, every cell as text, missing markers as NULL unless turned off.
+    """CSV files, every cell as text.
+
+    Missing markers become NULL in all columns, in the given ones, or in none.
 
     `schema` is the DDL of the expected text columns, `partitions` that of the
     columns that folder names give. A file whose header differs from the schema
@@ -45,10 +47,11 @@ def read_csv(
     df = _load(reader.format("csv"), path)
     if row_order:
         df = with_row_order(df)
-    if schema is None or not markers:
-        return df
-    cells = [n for n in schemas.names(schema) if _is_text(df, n)]
-    return df.withColumns({n: text.missing_to_null(F.col(f"`{n}`")) for n in cells})
+    cells = markers
+    if isinstance(markers, bool):
+        added = schemas.names(partitions) if partitions else []
+        cells = [n for n in df.columns if markers and n not in [*added, FILE, ROW]]
+    return columns.clean(df, **{n: text.missing_to_null for n in cells})
 
 
 def read_json(
@@ -146,7 +149,3 @@ def _load(reader, path: str | Sequence[str]) -> DataFrame:
         return reader.load(path if isinstance(path, str) else list(path))
     except AnalysisException as e:
         raise DataExtractionError(f"Cannot read {path}: {e}") from e
-
-
-def _is_text(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, T.StringType)

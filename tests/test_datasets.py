@@ -452,6 +452,19 @@ def test_hiv_dataset(spark, tmp_path, rows, zipped):
     ]
 
 
+def test_hiv_columns_are_found_by_name(spark, tmp_path, rows):
+    folder = tmp_path / "dataset=GAM"
+    folder.mkdir()
+    (folder / "gam.csv").write_text(
+        "Area ID,Area,More,Indicator,Time Period,Data value\nAAA,A,x,ind,2020,7\n"
+    )
+    df = hiv.data(spark, str(tmp_path), "GAM")
+    assert rows(df, "entity_code", "indicator_name", "year", "value_numeric") == [("AAA", "ind", 2020, 7.0)]
+    (folder / "gam.csv").write_text("Area ID,Area,Time Period,Data value\nAAA,A,2020,7\n")
+    with pytest.raises(DataValidationError, match="indicator_name"):
+        hiv.data(spark, str(tmp_path), "GAM")
+
+
 def test_hiv_arguments_and_archives(spark, tmp_path):
     with pytest.raises(ValueError, match="Invalid dataset: Other"):
         hiv.data(spark, str(tmp_path), "Other")

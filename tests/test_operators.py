@@ -409,3 +409,9 @@ def test_median_as_column_and_as_rows(spark, rows):
     appended = analysis.append_median(df, ["g"], labels={"what": "median"})
     assert rows(appended.where("what = 'median'"), "g", "value") == [("a", 2.5), ("b", 7.0)]
     assert appended.count() == 5
+
+
+def test_not_a_number_is_null(spark, rows):
+    df = spark.createDataFrame([(float("nan"), "nan"), (1.0, "x")], "d DOUBLE, s STRING")
+    assert rows(columns.nan_to_null(df)) == [(1.0, "x"), (None, "nan")]
+    assert dict(types.convert_types(df).dtypes)["d"] == "bigint"

@@ -688,7 +688,7 @@ def debt_files(spark, sf):
 
 @query(f"""
 select 'C' || entity_code as entity_code, 'Customér ' || entity_code as entity_name, 'R' as region_code,
-  case when entity_code < 500 then 'High' else 'Low' end as hdi_group, indicator_code, value,
+  'High' as hdi_group, indicator_code, value,
   year, 'Price of orders' as indicator_name
 from ({sql.PRICES})
 """)
@@ -699,7 +699,7 @@ def hdi_files(spark, sf):
         F.concat(F.lit("C"), key).alias("iso3"),
         F.concat(F.lit("Customér "), key).alias("country"),
         F.lit("R").alias("region"),
-        F.when(key < 500, "High").otherwise("Low").alias("hdicode"),
+        F.lit("High").alias("hdicode"),
         *[c for c in wide.columns if c != "o_custkey"],
     )
     sheet = spark.createDataFrame(
@@ -781,27 +781,15 @@ def hiv_files(spark, sf):
     return hiv.data(spark, root, "GAM")
 
 
-@query(f"""
-select cast(o_orderdate as date) as date, o_totalprice as value, 'Order ' || o_orderkey as source,
-  case when o_orderpriority in ('1-URGENT', '2-HIGH') then 'Headline inflation (YoY)'
-    when o_orderpriority = '3-MEDIUM' then 'Headline inflation (MoM)'
-    else 'Food inflation' end as indicator_name,
-  {sql.NATION_CODE.format("o_custkey % 25")} as iso3_code,
-  'NATION_' || (o_custkey % 25) as country_name, 'percent' as unit
-from orders
-""")
+@query(sql.INFLATION)
 def multi_series_constants(spark, sf):
     root = scratch.new_folder(spark, "inflation")
     _write_inflation(spark, sf, root)
     return food.inflation(spark, root, shapes.country_table(spark, sf))
 
 
-@query(f"""
-select cast(o_orderdate as date) as date, o_totalprice as value, 'Order ' || o_orderkey as source,
-  'Food inflation' as indicator_name, {sql.NATION_CODE.format("o_custkey % 25")} as iso3_code,
-  'NATION_' || (o_custkey % 25) as country_name, 'percent' as unit
-from orders where o_orderpriority in ('4-NOT SPECIFIED', '5-LOW') and o_custkey % 25 in (3, 7)
-""")
+@query(f"select * from ({sql.INFLATION}) where indicator_name = 'Food inflation'"
+       " and country_name in ('NATION_3', 'NATION_7')")
 def inflation_of_countries(spark, sf):
     root = scratch.new_folder(spark, "inflation")
     _write_inflation(spark, sf, root)

@@ -20,15 +20,16 @@ def country_code(nation: Column) -> Column:
     return F.concat(F.lit("N"), F.lpad(nation.cast("string"), 2, "0"))
 
 
+def orders_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with the nation of their customer."""
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    orders = table(spark, sf_dir, "orders")
+    return orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+
+
 def raw_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trade flows: the supplier's nation exports to the customer's nation."""
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    buyers = (
-        table(spark, sf_dir, "orders")
-        .select("o_orderkey", "o_custkey")
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .select("o_orderkey", "c_nationkey")
-    )
+    buyers = orders_by_country(spark, sf_dir).select("o_orderkey", "c_nationkey")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     return (
         table(spark, sf_dir, "lineitem")
@@ -127,11 +128,11 @@ def price_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def outlook_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as outlook records, two releases a year."""
-    code = F.col("o_custkey") % 200
-    return table(spark, sf_dir, "orders").select(
+    code = F.col("c_nationkey")
+    return orders_by_country(spark, sf_dir).select(
         F.lit("USD").alias("UNIT_CODE"),
         F.col("o_orderpriority").alias("CONCEPT_CODE"),
-        F.concat(F.lit("G"), code).alias("REF_AREA_CODE"),
+        country_code(code).alias("REF_AREA_CODE"),
         F.nullif(code, F.lit(0)).alias("REF_AREA_IMF_CODE"),
         F.col("o_orderkey").alias("NOTES"),
         F.year("o_orderdate").alias("TIME_PERIOD"),
@@ -147,8 +148,8 @@ def outlook_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def series_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order as a country's reply: a series of two points."""
-    return table(spark, sf_dir, "orders").select(
-        country_code(F.col("o_custkey") % 25).alias("iso3_code"),
+    return orders_by_country(spark, sf_dir).select(
+        country_code(F.col("c_nationkey")).alias("iso3_code"),
         F.to_json(F.struct(_points(F.lit(0)).alias("fcsGraph"))).alias("reply"),
     )
 
@@ -164,8 +165,8 @@ def region_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     features = F.array(region("o_orderpriority", 0), region("o_orderstatus", 10))
-    return table(spark, sf_dir, "orders").select(
-        country_code(F.col("o_custkey") % 25).alias("iso3_code"),
+    return orders_by_country(spark, sf_dir).select(
+        country_code(F.col("c_nationkey")).alias("iso3_code"),
         F.to_json(F.struct(features.alias("features"))).alias("reply"),
     )
 
@@ -189,7 +190,7 @@ def registry_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def inflation_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as inflation rows, for each indicator id and country."""
     priority = F.col("o_orderpriority")
-    return table(spark, sf_dir, "orders").select(
+    return orders_by_country(spark, sf_dir).select(
         F.col("o_orderkey").cast("string").alias("IndicatorName"),
         F.lit("ignored").alias("CountryName"),
         F.date_format("o_orderdate", "dd/MM/yyyy").alias("Date"),
@@ -199,13 +200,13 @@ def inflation_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(priority == "3-MEDIUM", 117)
         .otherwise(71)
         .alias("indicator_id"),
-        country_code(F.col("o_custkey") % 25).alias("iso3_code"),
+        country_code(F.col("c_nationkey")).alias("iso3_code"),
     )
 
 
 def _points(shift: Column) -> Column:
     def point(days: int) -> Column:
-        value = F.col("o_orderkey") % 100 + shift + days
+        value = F.floor("o_totalprice") + shift + days
         day = F.date_add(F.col("o_orderdate").cast("date"), days)
         return F.struct(
             F.date_format(day, "yyyy-MM-dd").alias("x"),

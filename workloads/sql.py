@@ -32,37 +32,44 @@ from (
 ) join customer on o_custkey = c_custkey
 """
 
-OUTLOOK = """
+OUTLOOK = f"""
 select 'USD' as unit_code, o_orderpriority as indicator_code,
-  'G' || (o_custkey % 200) as entity_code, nullif(o_custkey % 200, 0) as imf_code,
+  {NATION_CODE.format("c_nationkey")} as entity_code, nullif(c_nationkey, 0) as imf_code,
   o_orderkey as notes, cast(year(o_orderdate) as int) as year, o_totalprice as value,
-  'Area ' || (o_custkey % 200) as entity_name, lower(o_orderpriority) as indicator_name,
+  'Area ' || c_nationkey as entity_name, lower(o_orderpriority) as indicator_name,
   'US dollars' as unit, 2023 as last_actual_date
-from orders where o_orderstatus <> 'P'
+from orders join customer on o_custkey = c_custkey where o_orderstatus <> 'P'
 """
 
 # Two points per order: the order date and the day after.
 SERIES = f"""
-select cast(o_orderdate as date) + d as date, cast(o_orderkey % 100 + d as double) as value,
-  cast(o_orderkey % 100 + d + 5 as double) as value_upper,
-  cast(o_orderkey % 100 + d - 5 as double) as value_lower,
-  {NATION_CODE.format("o_custkey % 25")} as iso3_code,
-  'NATION_' || (o_custkey % 25) as country_name,
+select cast(o_orderdate as date) + d as date, floor(o_totalprice) + d as value,
+  floor(o_totalprice) + d + 5 as value_upper, floor(o_totalprice) + d - 5 as value_lower,
+  {NATION_CODE.format("c_nationkey")} as iso3_code, 'NATION_' || c_nationkey as country_name,
   'people with insufficient food consumption' as indicator_name,
   'World Food Programme' as source
-from (select *, unnest([0, 1]) as d from orders)
+from (select *, unnest([0, 1]) as d from orders) join customer on o_custkey = c_custkey
 """
 
 REGION_SERIES = f"""
-select cast(o_orderdate as date) + d as date, cast(o_orderkey % 100 + d + s as double) as value,
-  cast(o_orderkey % 100 + d + s + 5 as double) as value_upper,
-  cast(o_orderkey % 100 + d + s - 5 as double) as value_lower,
+select cast(o_orderdate as date) + d as date, floor(o_totalprice) + d + s as value,
+  floor(o_totalprice) + d + s + 5 as value_upper, floor(o_totalprice) + d + s - 5 as value_lower,
   case when s = 0 then o_orderpriority else o_orderstatus end as region_name,
-  {NATION_CODE.format("o_custkey % 25")} as iso3_code,
-  'NATION_' || (o_custkey % 25) as country_name,
+  {NATION_CODE.format("c_nationkey")} as iso3_code, 'NATION_' || c_nationkey as country_name,
   'people with insufficient food consumption' as indicator_name,
   'World Food Programme' as source
 from (select *, unnest([0, 1]) as d from (select *, unnest([0, 10]) as s from orders))
+  join customer on o_custkey = c_custkey
+"""
+
+INFLATION = f"""
+select cast(o_orderdate as date) as date, o_totalprice as value, 'Order ' || o_orderkey as source,
+  case when o_orderpriority in ('1-URGENT', '2-HIGH') then 'Headline inflation (YoY)'
+    when o_orderpriority = '3-MEDIUM' then 'Headline inflation (MoM)'
+    else 'Food inflation' end as indicator_name,
+  {NATION_CODE.format("c_nationkey")} as iso3_code,
+  'NATION_' || c_nationkey as country_name, 'percent' as unit
+from orders join customer on o_custkey = c_custkey
 """
 
 PRICES = """
