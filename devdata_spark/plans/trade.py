@@ -8,6 +8,8 @@ Landed files, extracted or as the publisher's zip archive:
     <root>/hs_version=HS22/Readme.txt
 """
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,46 +54,37 @@ def flows(
     country_labels: bool = False,
 ) -> DataFrame:
     """Trade flows of one version, with labels on request."""
-    version = check_version(spark, root, hs_version)
-    raw = _csv(spark, root, version, FLOW_FILES + version, schemas.TRADE_RAW)
+    landed = _landed(spark, root, hs_version)
+    raw = _csv(landed, FLOW_FILES + landed.version, schemas.TRADE_RAW)
     df = quality.validate(shape_flows(raw), list(FLOW_COLUMNS.values()), schema=schemas.TRADE_FLOWS)
     if product_labels:
-        df = with_product_labels(df, products(spark, root, version))
+        df = with_product_labels(df, _products(landed))
     if country_labels:
-        df = with_country_labels(df, countries(spark, root, version))
+        df = with_country_labels(df, _countries(landed))
     return df
 
 
 def products(spark: SparkSession, root: str, hs_version: str = DEFAULT_VERSION) -> DataFrame:
     """Product codes and descriptions of one version."""
-    version = check_version(spark, root, hs_version)
-    raw = _csv(spark, root, version, PRODUCT_FILES, "code STRING, description STRING", one=True)
-    return quality.validate(shape_products(raw), schemas.names(schemas.TRADE_PRODUCTS))
+    return _products(_landed(spark, root, hs_version))
 
 
 def countries(spark: SparkSession, root: str, hs_version: str = DEFAULT_VERSION) -> DataFrame:
     """Country codes, names and ISO3 codes of one version."""
-    version = check_version(spark, root, hs_version)
-    raw = _csv(
-        spark, root, version, COUNTRY_FILES,
-        "country_code STRING, country_name STRING, country_iso2 STRING, country_iso3 STRING",
-        one=True,
-    )
-    return quality.validate(shape_countries(raw), schemas.names(schemas.TRADE_COUNTRIES))
+    return _countries(_landed(spark, root, hs_version))
 
 
 def metadata(spark: SparkSession, root: str, hs_version: str = DEFAULT_VERSION) -> DataFrame:
     """The facts of the readme, as `key` and `value`."""
-    version = check_version(spark, root, hs_version)
-    folder = _folder(root, version)
-    if _is_archive(spark, folder):
-        members = archives.members_named(archives.archives(spark, folder), README)
-        raw = archives.member_text(members)
+    landed = _landed(spark, root, hs_version)
+    if landed.archives is not None:
+        members = archives.packed_members(landed.archives, README)
+        raw = archives.member_text(members).select("text")
     else:
-        files.require_files(spark, folder, README)
-        raw = spark.read.option("pathGlobFilter", README).text(folder, wholetext=True)
-        raw = raw.select(F.lit(README).alias("member"), F.col("value").alias("text"))
-    facts = documents.key_values(raw, "text", ["member"]).drop("member")
+        files.require_files(spark, landed.folder, README)
+        whole = spark.read.option("pathGlobFilter", README).text(landed.folder, wholetext=True)
+        raw = whole.withColumnRenamed("value", "text")
+    facts = documents.key_values(raw, "text", [])
     if facts.isEmpty():
         raise DataExtractionError("No metadata found")
     return facts
@@ -175,30 +168,50 @@ def with_country_labels(df: DataFrame, countries: DataFrame) -> DataFrame:
 # --- landed files ------------------------------------------------------------
 
 
-def _folder(root: str, version: str) -> str:
-    return f"{root}/hs_version={version}"
+@dataclass(frozen=True)
+class _Landed:
+    """Where one version lies: a folder, and the archives in it if there are any."""
 
+    spark: SparkSession
+    version: str
+    folder: str
+    archives: DataFrame | None
 
-def _is_archive(spark: SparkSession, folder: str) -> bool:
-    return not files.list_files(spark, folder, "*.zip").isEmpty()
 
+def _landed(spark: SparkSession, root: str, hs_version: str) -> _Landed:
+    version = check_version(spark, root, hs_version)
+    folder = f"{root}/hs_version={version}"
+    zipped = not files.list_files(spark, folder, "*.zip").isEmpty()
+    content = archives.archives(spark, folder) if zipped else None
+    return _Landed(spark, version, folder, content)
 
-def _csv(
-    spark: SparkSession, root: str, version: str, prefix: str, schema: str, one: bool = False
-) -> DataFrame:
+
+def _products(landed: _Landed) -> DataFrame:
+    raw = _csv(landed, PRODUCT_FILES, "code STRING, description STRING", one=True)
+    return quality.validate(shape_products(raw), schemas.names(schemas.TRADE_PRODUCTS))
+
+
+def _countries(landed: _Landed) -> DataFrame:
+    cells = "country_code STRING, country_name STRING, country_iso2 STRING, country_iso3 STRING"
+    raw = _csv(landed, COUNTRY_FILES, cells, one=True)
+    return quality.validate(shape_countries(raw), schemas.names(schemas.TRADE_COUNTRIES))
+
+
+def _csv(landed: _Landed, prefix: str, schema: str, one: bool = False) -> DataFrame:
     """The text cells of the CSV files whose name starts with `prefix`.
 
     With `one` only the first such file is read.
     """
-    folder = _folder(root, version)
-    if _is_archive(spark, folder):
-        packed = archives.members_named(archives.archives(spark, folder), prefix, ".csv")
-        if one:
-            packed = packed.where(F.col("member") == packed.agg(F.min("member")).first()[0])
-        cells = schemas.names(schema)
-        return archives.csv_rows(packed, cells).select(*cells)
-    names = files.names_between(files.list_files(spark, folder), prefix, ".csv")
-    first = names.agg(F.min("name")).first()[0]
+    if landed.archives is None:
+        names = files.list_files(landed.spark, landed.folder).select("name")
+    else:
+        names = archives.member_names(landed.archives).select(F.col("member").alias("name"))
+    first = files.names_between(names, prefix, ".csv").agg(F.min("name")).first()[0]
     if first is None:
-        raise DataExtractionError(f"No {prefix}*.csv files found in {folder}")
-    return files.read_csv(spark, folder, schema, pattern=first if one else f"{prefix}*.csv")
+        raise DataExtractionError(f"No {prefix}*.csv files found in {landed.folder}")
+    if landed.archives is None:
+        pattern = first if one else f"{prefix}*.csv"
+        return files.read_csv(landed.spark, landed.folder, schema, pattern=pattern)
+    cells = schemas.names(schema)
+    packed = archives.packed_members(landed.archives, first if one else prefix, ".csv")
+    return archives.csv_rows(packed, cells).select(*cells)

@@ -27,10 +27,33 @@ def archives(spark: SparkSession, path: str | Sequence[str], pattern: str = "*.z
     return loaded.select(F.col("path").alias(ARCHIVE), "content")
 
 
-def packed_members(content: DataFrame) -> DataFrame:
-    """One row per member: `archive`, `member`, `deflated` and its raw `payload`."""
+def member_names(content: DataFrame) -> DataFrame:
+    """One row per member: `archive` and `member`."""
 
     # Nested, so that executors get the code with the job and need no package.
+    def listing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zipfile
+
+        for batch in batches:
+            for archive, raw in zip(batch.column("archive"), batch.column("content")):
+                with zipfile.ZipFile(pa.BufferReader(raw.as_buffer())) as z:
+                    names = [info.filename for info in z.infolist() if not info.is_dir()]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "archive": pa.array([archive.as_py()] * len(names), pa.string()),
+                        "member": pa.array(names, pa.string()),
+                    }
+                )
+
+    return content.mapInArrow(listing, "archive STRING, member STRING")
+
+
+def packed_members(content: DataFrame, prefix: str = "", suffix: str = "") -> DataFrame:
+    """One row per member: `archive`, `member`, `deflated` and its raw `payload`.
+
+    Only members whose name starts and ends as given leave the task.
+    """
+
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import struct
         import zipfile
@@ -39,10 +62,11 @@ def packed_members(content: DataFrame) -> DataFrame:
             for archive, content in zip(batch.column("archive"), batch.column("content")):
                 raw = memoryview(content.as_buffer())  # the archive is not copied
                 for info in zipfile.ZipFile(pa.BufferReader(content.as_buffer())).infolist():
-                    if info.is_dir():
+                    name = info.filename
+                    if info.is_dir() or not (name.startswith(prefix) and name.endswith(suffix)):
                         continue
                     if info.flag_bits & 1 or info.compress_type not in (0, 8):
-                        raise ValueError(f"Unsupported zip member {info.filename}")
+                        raise ValueError(f"Unsupported zip member {name}")
                     # A local header is 30 bytes, then a name and an extra field.
                     at = info.header_offset
                     name_size, extra_size = struct.unpack("<HH", raw[at + 26 : at + 30])
@@ -51,7 +75,7 @@ def packed_members(content: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_pydict(
                         {
                             "archive": [archive.as_py()],
-                            "member": [info.filename],
+                            "member": [name],
                             "deflated": [info.compress_type == 8],
                             "payload": pa.array([payload], pa.binary()),
                         }
@@ -64,8 +88,7 @@ def packed_members(content: DataFrame) -> DataFrame:
 
 def member_counts(content: DataFrame) -> DataFrame:
     """`archive` and `members`, also for an archive without members."""
-    names = packed_members(content).select(ARCHIVE, MEMBER)
-    counts = names.groupBy(ARCHIVE).agg(F.count("*").alias("members"))
+    counts = member_names(content).groupBy(ARCHIVE).agg(F.count("*").alias("members"))
     return (
         content.select(ARCHIVE)
         .join(counts, ARCHIVE, "left")
@@ -164,10 +187,3 @@ def member_text(members: DataFrame, encoding: str = "utf-8") -> DataFrame:
 
     return members.mapInArrow(decode, "archive STRING, member STRING, text STRING")
 
-
-def members_named(content: DataFrame, prefix: str, suffix: str = "") -> DataFrame:
-    """Packed members whose name starts and ends as given; none is an error."""
-    members = files.names_between(packed_members(content), prefix, suffix, MEMBER)
-    if members.select(MEMBER).isEmpty():
-        raise DataExtractionError(f"No {prefix}*{suffix} files found in the archive")
-    return members

@@ -90,7 +90,7 @@ def archive_members(spark, sf):
     content = _zip_batches(flows.select(*[F.col(c).cast("string") for c in cells]))
     # which rows share a batch is not fixed, so the archives are written once
     content = scratch.materialise(content, "archives")
-    packed = files.names_between(archives.packed_members(content), "BACI_HS22", ".csv", "member")
+    packed = archives.packed_members(content, "BACI_HS22", ".csv")
     return trade.shape_flows(archives.csv_rows(packed, cells).select(*cells))
 
 
