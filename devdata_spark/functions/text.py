@@ -53,7 +53,7 @@ def product_code(c: Column) -> Column:
 
     Longer codes and codes with letters are left as they are.
     """
-    short_number = c.rlike(r"^\d+$") & (F.length(c) < PRODUCT_CODE_DIGITS)
+    short_number = (F.length(c) < PRODUCT_CODE_DIGITS) & c.rlike(r"^\d+$")
     return F.when(short_number, F.lpad(c, PRODUCT_CODE_DIGITS, "0")).otherwise(c)
 
 

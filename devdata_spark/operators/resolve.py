@@ -68,7 +68,7 @@ def add_short_name(df: DataFrame, countries: DataFrame, into: str = fields.COUNT
 def requested_codes(names: str | Sequence[str], countries: DataFrame) -> list[str]:
     """The distinct ISO3 codes of a caller's list of names; unknown ones are logged."""
     wanted = [names] if isinstance(names, str) else list(names)
-    table = countries.sparkSession.createDataFrame([(n,) for n in wanted], "name STRING")
+    table = combine.of_values(countries.sparkSession, wanted, "name")
     resolved = resolve_names(table, "name", countries).collect()
     for row in resolved:
         if row.iso3_code is None:

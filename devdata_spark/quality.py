@@ -15,7 +15,7 @@ from devdata_spark.errors import (
     DataFormattingError,
     DataValidationError,
 )
-from devdata_spark.operators import joins
+from devdata_spark.operators import combine, joins
 
 logger = logging.getLogger(__name__)
 
@@ -106,9 +106,7 @@ def missing_codes(available: DataFrame, column: str, requested: Sequence[str]) -
     found = available.where(F.col(column).isin(wanted)).select(
         F.col(column).cast("string").alias("missing_code")
     )
-    rows = available.sparkSession.createDataFrame(
-        [(str(c),) for c in wanted], "missing_code STRING"
-    )
+    rows = combine.of_values(available.sparkSession, [str(c) for c in wanted], "missing_code")
     return rows.join(found.distinct(), "missing_code", "left_anti")
 
 

@@ -7,13 +7,18 @@ from pyspark.sql import functions as F
 
 from devdata_spark.functions import text
 
-# The readme block that describes columns, and the patterns of a
-# link with its target in double, single or no quotes.
+# The readme block that describes columns, and how a link is
+# written, its target in double, single or no quotes.
 SKIPPED_BLOCK = "List of Variables:"
-ANCHOR = r"(?is)<a\s[^>]*>.*?</a\s*>"
-TARGET = r"(?is)^<a\s(?:[^>]*?\s)?href\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))"
+LINK_START = r"(?i)<a(?=\s)"
+LINK_TAG = r"(?s)^([^>]*)>"
+LINK_BODY = r"(?is)^[^>]*>(.*?)(?:</a\s*>|\z)"
+TARGET = r"(?is)\shref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))"
 COMMENTS_AND_SCRIPTS = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+ENTITIES = [
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\u00a0"),
+    ("&amp;", "&"),
+]
 
 
 def key_values(df: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
@@ -25,7 +30,7 @@ def key_values(df: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
     repeats a key the last block wins.
     """
     unix = F.regexp_replace(F.col(column), "\r\n?", "\n")
-    blocks = df.select(*by, F.posexplode(F.split(unix, "\n\n")).alias("_at", "_raw")).select(
+    blocks = df.select(*by, F.posexplode_outer(F.split(unix, "\n\n")).alias("_at", "_raw")).select(
         *by, "_at", text.strip(F.col("_raw")).alias("_block")
     )
     block = F.col("_block")
@@ -57,17 +62,16 @@ def links(
     if section is not None:
         inside = rf"(?is)<section\b[^>]*\bid\s*=\s*[\"']{section}[\"'][^>]*>(.*?)</section\s*>"
         page = F.regexp_extract(page, inside, 1)
-    anchors = df.select(
-        *by, F.posexplode(F.regexp_extract_all(page, F.lit(ANCHOR), F.lit(0))).alias("_at", "_a")
+    # each piece runs from the inside of one link's tag to the next link; the
+    # first piece is what comes before any link
+    pieces = df.select(*by, F.posexplode_outer(F.split(page, LINK_START)).alias("_at", "_piece"))
+    tag = F.regexp_extract("_piece", LINK_TAG, 1)
+    targets = [F.nullif(F.regexp_extract(tag, TARGET, i), F.lit("")) for i in (1, 2, 3)]
+    body = F.regexp_replace(F.regexp_extract("_piece", LINK_BODY, 1), "(?s)<[^>]*>", "")
+    links_ = pieces.where("_at > 0").select(
+        *by, "_at", _plain(body).alias("link_text"), _plain(F.coalesce(*targets)).alias("href")
     )
-    anchor = F.col("_a")
-    targets = [F.nullif(F.regexp_extract(anchor, TARGET, i), F.lit("")) for i in (1, 2, 3)]
-    found = anchors.select(
-        *by,
-        "_at",
-        _plain(F.regexp_replace(anchor, "(?s)<[^>]*>", "")).alias("link_text"),
-        _plain(F.coalesce(*targets)).alias("href"),
-    ).where(F.col("href").isNotNull() & F.col("link_text").startswith(prefix))
+    found = links_.where(F.col("href").isNotNull() & F.col("link_text").startswith(prefix))
     return found.groupBy(*by, "link_text").agg(F.max_by("href", "_at").alias("href"))
 
 

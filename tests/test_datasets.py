@@ -134,10 +134,10 @@ def test_download_links_of_the_section(spark, rows):
     page = """<html><a href="/no">HS00</a><section class="x" id="download-links"><ul>
       <li><a class="b" href="https://x.org/HS92.zip">HS92</a></li><!-- <a href="/c">HS07</a> -->
       <li><A href='old.zip'>HS22</A> <a href="new.zip?a=1&amp;b=2"><b>HS22</b></a></li>
-      <li><a href="other.zip">Other</a><a name="x">HS99</a></li></ul></section><a href="/no">HS01</a></html>"""
+      <li><a href="other.zip">Other</a><a name="x"><a class=c href=h17.zip >HS17</a></li></ul></section><a href="/no">HS01</a></html>"""
     pages = spark.createDataFrame([(1, page), (2, "<p>nothing</p>")], "id INT, html STRING")
     assert rows(trade.download_links(pages, "html", ["id"])) == [
-        (1, "HS22", "new.zip?a=1&b=2"), (1, "HS92", "https://x.org/HS92.zip"),
+        (1, "HS17", "h17.zip"), (1, "HS22", "new.zip?a=1&b=2"), (1, "HS92", "https://x.org/HS92.zip"),
     ]
 
 
