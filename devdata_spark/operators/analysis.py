@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from devdata_spark import fields, scratch
 from devdata_spark.operators import combine, joins, latest
@@ -97,7 +98,9 @@ def share_of_column(df: DataFrame, value: str, of: str, into: str = "share") ->
     return df.withColumn(into, _ratio(F.col(value), F.col(of)))
 
 
-def add_dimension(df: DataFrame, table: DataFrame, on: Sequence[str], columns: Sequence[str]):
+def add_dimension(
+    df: DataFrame, table: DataFrame, on: Sequence[str], columns: Sequence[str]
+) -> DataFrame:
     """Add columns of a lookup table, such as population or income level."""
     return joins.attach(df, table.select(*on, *columns), on)
 
@@ -151,7 +154,10 @@ def append_median(
     return combine.stack([df, labelled])
 
 
-def _narrow(counted: DataFrame, middle: DataFrame, by: list[str], value: str):
+def _narrow(
+    counted: DataFrame, middle: DataFrame, by: list[str], value: str
+) -> tuple[DataFrame, DataFrame]:
+    """The values of the stretches that hold each group's middle, and its new ranks."""
     cuts = counted.groupBy(*by).agg(F.percentile_approx(value, _MEDIAN_CUTS).alias("_cuts"))
     beyond = [(F.get("_cuts", F.lit(i)) <= F.col(value)) for i in range(len(_MEDIAN_CUTS))]
     passed = reduce(Column.__add__, [b.cast("int") for b in beyond])
@@ -184,7 +190,7 @@ def _most_values(counted: DataFrame, by: list[str]) -> int:
     return counted.groupBy(*by).agg(F.count("*").alias("_v")).agg(F.max("_v")).first()[0] or 0
 
 
-def _running(by: list[str], order: str):
+def _running(by: list[str], order: str) -> WindowSpec:
     return Window.partitionBy(*by).orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )

@@ -98,7 +98,8 @@ def marker_to_null(df: DataFrame, marker: str) -> DataFrame:
 
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NULL wherever a floating-point cell is not a number."""
-    floating = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
+    kinds = (T.FloatType, T.DoubleType)
+    floating = [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)]
     return clean(df, **{n: lambda c: F.when(~F.isnan(c), c) for n in floating})
 
 

@@ -1,6 +1,7 @@
 """Row filters. Arguments are checked first, so a wrong one fails without a job."""
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from typing import TypeVar
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -9,6 +10,8 @@ from devdata_spark import fields
 from devdata_spark.functions import dates
 from devdata_spark.operators import joins
 
+T = TypeVar("T")
+
 
 def as_list(values: object | Sequence[object] | None) -> list | None:
     """One value or several as a sorted list without duplicates; None stays None."""
@@ -18,7 +21,7 @@ def as_list(values: object | Sequence[object] | None) -> list | None:
     return sorted(set(many))
 
 
-def check_choice(value, choices: Sequence, what: str):
+def check_choice(value: T, choices: Iterable[T], what: str) -> T:
     """Return `value` if it is one of `choices`, else raise a ValueError naming them."""
     if value not in choices:
         raise ValueError(f"Invalid {what}: {value}. Choose from {list(choices)}")

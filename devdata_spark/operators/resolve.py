@@ -59,7 +59,9 @@ def add_code(
     return joins.attach(df, resolved, [column]).withColumnRenamed(to, into or to)
 
 
-def add_short_name(df: DataFrame, countries: DataFrame, into: str = fields.COUNTRY_NAME):
+def add_short_name(
+    df: DataFrame, countries: DataFrame, into: str = fields.COUNTRY_NAME
+) -> DataFrame:
     """Add the short name of the country in `iso3_code`."""
     names = countries.select(fields.ISO3_CODE, F.col(NAME_SHORT).alias(into))
     return joins.attach(df, names, [fields.ISO3_CODE])

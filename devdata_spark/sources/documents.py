@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from devdata_spark.functions import text
@@ -30,6 +30,7 @@ def key_values(df: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
     repeats a key the last block wins.
     """
     unix = F.regexp_replace(F.col(column), "\r\n?", "\n")
+    # the outer form: the plain one would split every text once more for a filter
     blocks = df.select(*by, F.posexplode_outer(F.split(unix, "\n\n")).alias("_at", "_raw")).select(
         *by, "_at", text.strip(F.col("_raw")).alias("_block")
     )
@@ -75,7 +76,7 @@ def links(
     return found.groupBy(*by, "link_text").agg(F.max_by("href", "_at").alias("href"))
 
 
-def _plain(c):
+def _plain(c: Column) -> Column:
     for entity, character in ENTITIES:
         c = F.replace(c, F.lit(entity), F.lit(character))
     return c

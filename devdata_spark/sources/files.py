@@ -3,7 +3,7 @@
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from devdata_spark import schemas
@@ -98,9 +98,9 @@ def list_files(
     return listing.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "length")
 
 
-def names_between(files: DataFrame, prefix: str, suffix: str = "", column: str = "name"):
-    """Files whose name starts with `prefix` and ends with `suffix`."""
-    name = F.col(column)
+def names_between(files: DataFrame, prefix: str, suffix: str = "") -> DataFrame:
+    """Files whose `name` starts with `prefix` and ends with `suffix`."""
+    name = F.col("name")
     return files.where(name.startswith(prefix) & name.endswith(suffix))
 
 
@@ -109,7 +109,8 @@ def require_files(
 ) -> None:
     """Raise unless the path exists and has a file that fits the pattern."""
     if list_files(spark, path, pattern).isEmpty():
-        raise DataExtractionError(f"No files found at {path}" + (f" ({pattern})" if pattern else ""))
+        which = f" ({pattern})" if pattern else ""
+        raise DataExtractionError(f"No files found at {path}{which}")
 
 
 def write_table(
@@ -140,11 +141,11 @@ def write_table(
         raise
 
 
-def _options(reader, pattern: str | None):
+def _options(reader: DataFrameReader, pattern: str | None) -> DataFrameReader:
     return reader.option("pathGlobFilter", pattern) if pattern else reader
 
 
-def _load(reader, path: str | Sequence[str]) -> DataFrame:
+def _load(reader: DataFrameReader, path: str | Sequence[str]) -> DataFrame:
     try:
         return reader.load(path if isinstance(path, str) else list(path))
     except AnalysisException as e:
