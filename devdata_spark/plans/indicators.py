@@ -6,7 +6,7 @@ Landed replies as JSON lines, one folder per database:
     <root>/data/db=2/  <root>/entities/db=2/  <root>/series/db=2/  <root>/metadata/db=2/
 """
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -169,28 +169,34 @@ def databases(spark: SparkSession, root: str) -> DataFrame:
 
 
 def entities(
-    spark: SparkSession, root: str, db: int = DEFAULT_DATABASE, *, skip_aggs: bool = False
+    spark: SparkSession,
+    root: str,
+    db: int | None = DEFAULT_DATABASE,
+    *,
+    skip_aggs: bool = False,
 ) -> DataFrame:
-    """The entities of a database, with region, lending type and income level."""
-    df = shape_entities(files.read_json(spark, f"{root}/entities/db={db}", RAW_ENTITIES))
+    """The entities of a database, with region, lending type and income level.
+
+    `None` stands for all databases, here and for indicators and descriptions.
+    """
+    df = _described(spark, root, "entities", RAW_ENTITIES, shape_entities, db)
     return filters.skip_aggregates(df) if skip_aggs else df
 
 
-def catalogue(spark: SparkSession, root: str, db: int = DEFAULT_DATABASE) -> DataFrame:
+def catalogue(spark: SparkSession, root: str, db: int | None = DEFAULT_DATABASE) -> DataFrame:
     """The indicators of a database: codes and names."""
-    raw = files.read_json(spark, f"{root}/series/db={db}", RAW_SERIES)
-    return columns.rename(raw, SERIES_COLUMNS)
+    return _described(spark, root, "series", RAW_SERIES, shape_catalogue, db)
 
 
 def metadata(
     spark: SparkSession,
     root: str,
     indicator_code: str | Sequence[str],
-    db: int = DEFAULT_DATABASE,
+    db: int | None = DEFAULT_DATABASE,
 ) -> DataFrame:
     """The description of each given indicator; one without any is an error."""
     codes = filters.as_list(indicator_code)
-    described = shape_metadata(files.read_json(spark, f"{root}/metadata/db={db}", RAW_METADATA))
+    described = _described(spark, root, "metadata", RAW_METADATA, shape_metadata, db)
     quality.require_codes(described, fields.INDICATOR_CODE, codes)
     return filters.select_values(described, fields.INDICATOR_CODE, codes)
 
@@ -262,6 +268,11 @@ def shape_entities(raw: DataFrame) -> DataFrame:
     return columns.marker_to_null(flat, "")
 
 
+def shape_catalogue(raw: DataFrame) -> DataFrame:
+    """Indicator codes and names."""
+    return columns.require_renamed(raw, SERIES_COLUMNS)
+
+
 def shape_databases(raw: DataFrame) -> DataFrame:
     """Integer ids and dates."""
     df = columns.rename(raw, {"lastupdated": "last_updated"})
@@ -282,3 +293,17 @@ def shape_metadata(raw: DataFrame) -> DataFrame:
 def in_indicator_group(df: DataFrame, codes: Sequence[str]) -> DataFrame:
     """Rows of a named group of indicators, such as `DEBT_STOCK_CODES`."""
     return filters.select_values(df, fields.INDICATOR_CODE, codes)
+
+
+def _described(
+    spark: SparkSession,
+    root: str,
+    table: str,
+    schema: str,
+    shape: Callable[[DataFrame], DataFrame],
+    db: int | None,
+) -> DataFrame:
+    """A describing table of one database, or the distinct rows of all of them."""
+    if db is not None:
+        return shape(files.read_json(spark, f"{root}/{table}/db={db}", schema))
+    return shape(files.read_json(spark, f"{root}/{table}", schema).drop("db")).distinct()

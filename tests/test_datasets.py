@@ -709,6 +709,17 @@ def test_indicator_tables(spark, indicator_root, rows):
     assert rows(indicators.catalogue(spark, indicator_root)) == [("NY.GDP", "GDP"), ("SP.POP", "Population")]
 
 
+def test_tables_of_all_databases(spark, tmp_path, indicator_root, rows):
+    put(tmp_path / "series" / "db=6" / "s.json", lines([
+        {"id": "SP.POP", "value": "Population"}, {"id": "DT.X", "value": "Debt"},
+    ]))
+    assert rows(indicators.catalogue(spark, indicator_root, None)) == [
+        ("DT.X", "Debt"), ("NY.GDP", "GDP"), ("SP.POP", "Population"),
+    ]
+    assert indicators.entities(spark, indicator_root, None).count() == 2
+    assert indicators.metadata(spark, indicator_root, "DT.OTHER", None).count() == 1
+
+
 def test_indicator_metadata(spark, indicator_root):
     stock = indicators.debt_stock_indicators(spark, indicator_root)
     assert stock.columns == ["indicator_code", *indicators.METADATA_COLUMNS.values()]
