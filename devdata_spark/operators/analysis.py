@@ -16,7 +16,7 @@ from devdata_spark.operators import combine, joins, latest
 
 # Most distinct values of one group that are ranked in one task.
 MEDIAN_MAX_VALUES = 1_000_000
-_MEDIAN_CUTS = [i / 32 for i in range(1, 32)]
+_MEDIAN_CUTS = [i / 8 for i in range(1, 8)]
 
 
 def filter_latest_by(df: DataFrame, by: Sequence[str], date: str) -> DataFrame:
@@ -111,9 +111,9 @@ def group_median(
     """The exact median of each group, for groups of any size.
 
     Equal values are counted first. While some group still has more distinct
-    values than one task should rank, 31 cut points per group are chosen, the rows
-    between them counted exactly, and only the stretch that holds the middle is
-    kept.
+    values than one task should rank, seven cut points per group are chosen, the
+    rows between them counted exactly, and only the stretch that holds the middle
+    is kept: an eighth of the values, round by round.
     """
     by = list(by)
     counted = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
@@ -123,9 +123,10 @@ def group_median(
         (F.floor(total / 2) + 1).alias("_high"),
         F.lit(0).cast("bigint").alias("_below"),
     )
-    while _most_values(counted, by) > MEDIAN_MAX_VALUES:
+    if _most_values(counted, by) > MEDIAN_MAX_VALUES:
         counted = scratch.materialise(counted, "median-values")
         middle = scratch.materialise(middle, "median-ranks")
+    while _most_values(counted, by) > MEDIAN_MAX_VALUES:
         counted, middle = _narrow(counted, middle, by, value)
     ranked = joins.attach(counted, middle, by, validate=False).withColumn(
         "_to", F.col("_below") + F.sum("_n").over(_running(by, value))
@@ -168,7 +169,7 @@ def _narrow(
             F.sum("_n").alias("_n"), F.min(value).alias("_from"), F.max(value).alias("_until")
         )
     )
-    # a window over 32 stretches per group at most
+    # a window over eight stretches per group at most
     placed = joins.attach(stretches, middle, by, validate=False).withColumn(
         "_to", F.col("_below") + F.sum("_n").over(_running(by, "_stretch"))
     )
@@ -181,9 +182,13 @@ def _narrow(
         F.min("_from").alias("_from"),
         F.max("_until").alias("_until"),
     )
+    bounds = scratch.materialise(bounds, "median-ranks")
     inside = joins.attach(counted, bounds.select(*by, "_from", "_until"), by, validate=False)
     counted = inside.where(F.col(value).between(F.col("_from"), F.col("_until")))
-    return counted.drop("_from", "_until"), bounds.drop("_from", "_until")
+    return (
+        scratch.materialise(counted.drop("_from", "_until"), "median-values"),
+        bounds.drop("_from", "_until"),
+    )
 
 
 def _most_values(counted: DataFrame, by: list[str]) -> int:

@@ -120,9 +120,9 @@ def overfull_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
     the key columns are read. None when there are no such keys.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    even_share = max(df.count() // partitions, 1)
     counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n")).first()[0] or 0
-    full = counts.where(F.col("_n") > max(total // partitions, 1)).drop("_n")
+    full = counts.where(F.col("_n") > even_share).drop("_n")
     rows = full.collect()
     return df.sparkSession.createDataFrame(rows, full.schema) if rows else None
 
