@@ -80,3 +80,19 @@ def match_spans(text: Column, pattern: Column | str, measure=F.length) -> Column
         lambda piece, match: F.struct(piece.alias("piece"), match.alias("found")),
     )
     return F.aggregate(pairs, zero, step)["spans"]
+
+
+# Up to so many rows of a few numbers (16 MB) are sent to every task.
+SENT_ROWS = 500_000
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join a table with one that is likely small: counted first, then sent or shuffled.
+
+    `small` is checkpointed, so it is made once, and, beyond `SENT_ROWS`, both sides are
+    shuffled for the join alone, which lets Spark split skewed partitions.
+    """
+    small = checkpointed(small)
+    if small.count() <= SENT_ROWS:
+        small = F.broadcast(small)
+    return big.join(small, on, how)

@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devdata_spark.llm import bpe, chat, licenses, pii
+from devdata_spark.llm import (
+    bpe,
+    chat,
+    contamination,
+    licenses,
+    line_dedup,
+    ngram_join,
+    pii,
+    suffix_dedup,
+    topk,
+    toxicity,
+)
 from devdata_spark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +29,28 @@ def query(run: Callable[[SparkSession, str], DataFrame]):
     return run
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain's probabilities for every document, and whether it is rejected."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity.fit(documents, table(spark, sf_dir, "labels"))
+    return toxicity.score(documents, chain).select(
+        "document.doc_id",
+        F.col("p.low_quality").alias("p_low_quality"),
+        F.col("p.toxic").alias("p_toxic"),
+        (F.col("p.toxic") >= 0.5).alias("toxic"),
+    )
+
+
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without repeated and nearly repeated lines."""
+    found = line_dedup.dedup(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
 @query
 def op3_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data and disclosing terms of every document."""
@@ -134,3 +167,116 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         labels("detections").alias("labels"),
         F.coalesce(F.array_max("detections.weight"), F.lit(0.0)).alias("score"),
     )
+
+
+@query
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best other vectors for every fiftieth one."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+SQL["op6_exact_topk"] = """
+with usable as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select q.vec_id as query_id, c.vec_id as vec_id,
+    cast(list_dot_product(q.v, c.v) as bigint) as score
+  from usable q join usable c on q.vec_id <> c.vec_id
+  where q.vec_id % 50 = 0),
+ranked as (
+  select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank
+  from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+"""
+
+
+@query
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share nine tenths of their three-word shingles."""
+    return ngram_join.classes(table(spark, sf_dir, "documents"))
+
+
+SQL["op9_ngram_jaccard"] = r"""
+with recursive texts as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w
+  from documents),
+sets as (
+  select doc_id, case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+    else list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+    end as s
+  from texts),
+sized as (select doc_id, cast(len(s) as bigint) as n, s from sets),
+entries as (select doc_id, n, unnest(s) as shingle from sized),
+common as (
+  select a.doc_id as a, b.doc_id as b, a.n as n_a, b.n as n_b, count(*) as c
+  from entries a join entries b using (shingle) where a.doc_id <> b.doc_id group by all),
+links as (select a, b from common where 100 * c >= 90 * (n_a + n_b - c)),
+reach(a, b) as (
+  select a, b from links union select r.a, l.b from reach r join links l on r.b = l.a),
+least as (select a as doc_id, min(b) as b from reach group by a)
+select doc_id, n as n_shingles, least(doc_id, coalesce(b, doc_id)) as component_id
+from sized left join least using (doc_id)
+"""
+
+
+@query
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-byte strings of smaller documents."""
+    found = suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+SQL["op7_suffix_dedup"] = """
+with texts as (
+  select doc_id, hex(encode(coalesce(text, ''))) as h,
+    cast(octet_length(encode(coalesce(text, ''))) as bigint) as n
+  from documents),
+strings as (
+  select doc_id, pos, substr(h, cast(2 * pos + 1 as bigint), 100) as s
+  from (select doc_id, h, unnest(range(n - 49)) as pos from texts where n >= 50)),
+least as (
+  select s, min(doc_id) as first from strings group by s having min(doc_id) < max(doc_id)),
+covered as (
+  select distinct doc_id, pos from strings join least using (s) where doc_id > first),
+runs as (  -- strings fewer than 51 apart cover one stretch
+  select doc_id, pos, sum(case when pos <= before + 50 then 0 else 1 end)
+    over (partition by doc_id order by pos) as run
+  from (select *, lag(pos, 1, -1000) over (partition by doc_id order by pos) as before from covered)),
+spans as (
+  select doc_id, min(pos) as a, max(pos) + 50 as b from runs group by doc_id, run),
+gaps as (
+  select doc_id, a, b, lag(b, 1, 0) over (partition by doc_id order by a) as before from spans),
+ends as (select doc_id, 0 as a, 0 as b, max(b) as before, count(*) as k, sum(b - a) as gone
+  from spans group by doc_id),
+pieces as (
+  select t.doc_id, g.a, substr(t.h, cast(2 * g.before + 1 as bigint), cast(2 * (g.a - g.before) as bigint)) as p
+  from gaps g join texts t using (doc_id)
+  union all
+  select t.doc_id, 1000000000, substr(t.h, cast(2 * e.before + 1 as bigint)) from ends e join texts t using (doc_id)),
+kept as (select doc_id, string_agg(p, '' order by a) as h from pieces group by doc_id)
+select t.doc_id, t.n as n_bytes, cast(coalesce(e.gone, 0) as bigint) as n_removed,
+  cast(coalesce(e.k, 0) as bigint) as n_spans, sha256(unhex(coalesce(k.h, t.h))) as kept_sha256
+from texts t left join ends e using (doc_id) left join kept k using (doc_id)
+"""
+
+
+@query
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that occur in every document, up to a few edits."""
+    find = contamination.finder(table(spark, sf_dir, "benchmark"))
+    found = table(spark, sf_dir, "documents").select("doc_id", find(F.col("text")).alias("found"))
+    items = F.array_sort(F.array_distinct("found.item_id"))
+    return found.select(
+        "doc_id",
+        (F.size("found") > 0).alias("contaminated"),
+        F.size(items).cast("long").alias("n_items"),
+        F.size("found").cast("long").alias("n_matches"),
+        F.array_join(F.transform(items, lambda i: i.cast("string")), ",").alias("items"),
+    )
