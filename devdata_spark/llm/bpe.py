@@ -9,6 +9,7 @@ after an edit, changes only until it agrees with the old one again.
 from __future__ import annotations
 
 import base64
+import re
 from array import array
 from functools import lru_cache
 from pathlib import Path
@@ -21,7 +22,8 @@ from pyspark.sql import functions as F
 from devdata_spark.llm.common import ship
 
 # Entries of each memo before it starts anew, so that a worker's memory is bounded.
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 500_000
+MEMO_PREFIXES = 500_000
 # Longer pieces are seldom met again and are not remembered.
 MEMO_PIECE_BYTES = 48
 # A piece that ends this many characters before an edit cannot change: the splitting
@@ -29,6 +31,13 @@ MEMO_PIECE_BYTES = 48
 LOOKAHEAD = 4
 
 
+# Letters, numbers and all other characters up to U+024F, where the standard library's
+# faster patterns can name the classes; fixed values of the Unicode standard.
+LETTERS = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+NUMBERS = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+BEYOND_LATIN = re.compile("[^\\x00-\u024f]")
+
+
 class Encoder:
     """Ranks of a byte-level vocabulary, and the pattern that splits a text into pieces."""
 
@@ -42,6 +51,14 @@ class Encoder:
             .replace(r"\S", r"\P{White_Space}")
             .replace(r"\s", r"\p{White_Space}")
         )
+        classes = {r"\P{White_Space}": r"[^\t-\r \x85\xa0]", r"[^\p{White_Space}": r"[^\t-\r \x85\xa0",
+                   r"\p{White_Space}": r"[\t-\r \x85\xa0]"}
+        latin = self.split.pattern.replace(r"\p{L}\p{N}]", f"{LETTERS}{NUMBERS}]")
+        for name, same in (classes | {r"\p{L}": f"[{LETTERS}]", r"\p{N}": f"[{NUMBERS}]"}).items():
+            latin = latin.replace(name, same)
+        self.split_latin = None if r"\p" in latin or r"\P" in latin else re.compile(latin)
+        self._tokens = [self.bytes_of.get(i) for i in range(max(self.bytes_of, default=-1) + 1)]
+        self._last: dict[bytes, int] = {}
         self._fits: dict[tuple[int, int], bool] = {}
         self._halves: dict[int, tuple[int, int] | None] = {}
         self.packed = _Pieces(self)
@@ -117,11 +134,15 @@ class Encoder:
 
     def last_token(self, content: bytes, table: list[int], end: int) -> int:
         """The one valid last token of the prefix of `end` bytes, from shorter prefixes."""
+        rank_of, fits, halves = self.ranks.get, self._fits.get, self._halves.get
         for start in range(max(0, end - self.longest), end):
-            token = self.ranks.get(content[start:end])
-            if token is None or self.halves(token) is None:
+            token = rank_of(content[start:end])
+            if token is None or (halves(token) or self.halves(token)) is None:
                 continue
-            if start == 0 or self.fits(table[start], token):
+            if start == 0:
+                return token
+            known = fits((table[start], token))
+            if known or known is None and self.fits(table[start], token):
                 return token
         raise ValueError("the vocabulary lacks a byte")
 
@@ -167,18 +188,53 @@ class Encoder:
         return found[::-1]
 
     def piece(self, content: bytes) -> list[int]:
-        """The tokens of one piece; a piece that is a token is that token."""
+        """The tokens of one piece; a piece that is a token is that token.
+
+        Last tokens of prefixes are shared among pieces, and found only where a candidate
+        for a longer prefix asks for them.
+        """
         if content in self.ranks:
             return [self.ranks[content]]
-        return self.tokens(content, self.table(content))
+        if len(content) > MEMO_PIECE_BYTES:
+            return self.tokens(content, self.table(content))
+        if len(self._last) >= MEMO_PREFIXES:
+            self._last.clear()
+        found = []
+        while content:
+            token = self._last.get(content) or self._last_token(content)
+            found.append(token)
+            content = content[: -len(self._tokens[token])]
+        return found[::-1]
+
+    def _last_token(self, prefix: bytes) -> int:
+        """The last token of a prefix; those of the shorter prefixes it needs are kept."""
+        rank_of, last, halves = self.ranks.get, self._last, self._halves.get
+        for start in range(max(0, len(prefix) - self.longest), len(prefix)):
+            token = rank_of(prefix[start:])
+            if token is None or (halves(token) or self.halves(token)) is None:
+                continue
+            if start:
+                before = last.get(prefix[:start]) or self._last_token(prefix[:start])
+                known = self._fits.get((before, token))
+                if not (known or known is None and self.fits(before, token)):
+                    continue
+            last[prefix] = token
+            return token
+        raise ValueError("the vocabulary lacks a byte")
 
     def encode(self, text: str) -> bytes:
         """Tokens of a text as little-endian unsigned 32-bit integers."""
-        return b"".join(map(self.packed.__getitem__, self.split.findall(text)))
+        return b"".join(map(self.packed.__getitem__, self.pieces(text)))
+
+    def pieces(self, text: str) -> list[str]:
+        """The text's pieces, by the standard library where that comes to the same."""
+        if self.split_latin is not None and not BEYOND_LATIN.search(text):
+            return self.split_latin.findall(text)
+        return self.split.findall(text)
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes that the tokens stand for."""
-        return b"".join(map(self.bytes_of.__getitem__, memoryview(ids).cast("I")))
+        return b"".join(map(self._tokens.__getitem__, memoryview(ids).cast("I")))
 
 
 class _Pieces(dict):
@@ -206,7 +262,7 @@ class EditableText:
 
     def __init__(self, encoder: Encoder, text: str = ""):
         self.encoder, self.text = encoder, text
-        self.pieces = encoder.split.findall(text)
+        self.pieces = encoder.pieces(text)
 
     def ids(self) -> bytes:
         return b"".join(map(self.encoder.packed.__getitem__, self.pieces))
