@@ -7,15 +7,15 @@ from pyspark.sql import functions as F
 # <|turn|>ROLE<|says|>TEXT(<|and|>TEXT)*<|done|>, where texts joined by <|and|> are
 # adjacent turns of one role.
 TURN, SAYS, AND, DONE = "<|turn|>", "<|says|>", "<|and|>", "<|done|>"
-# Strings that a text may not hold as they are: the start of a control string of this
-# template, the usual ones of other templates, and the escape sign itself.
-CONTROL = r"(\\|<\||</?s>|\[/?INST\])"
+# The first character of what a text may not hold as it is: the start of this template's
+# control strings, the usual ones of other templates, and the escape sign itself.
+CONTROL = r"\\|<(?=\||/?s>)|\[(?=/?INST\])"
 LOSS_ROLE = "assistant"
 
 
 def escape(text: Column) -> Column:
-    """A backslash before every control string and every backslash."""
-    return F.regexp_replace(text, CONTROL, r"\\$1")
+    """A backslash inside every control string and after every backslash."""
+    return F.regexp_replace(text, CONTROL, r"$0\\")
 
 
 def unescape(text: Column) -> Column:
