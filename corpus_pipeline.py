@@ -3,9 +3,68 @@
 import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+from devdata_spark.llm import bpe, contamination, line_dedup, ngram_join, toxicity
+from devdata_spark.llm.common import join_small
+
+TOXIC = 0.5
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier chain does not call toxic.
+
+    The chain learns from those of them that the labels table names.
+    """
+    chain = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, chain).filter(F.col("p.toxic") < TOXIC).select("document.*")
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, each without lines that an earlier place of the corpus has."""
+    found = line_dedup.dedup(docs, keep=[c for c in docs.columns if c != "text"])
+    return found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(
+        *docs.columns
+    )
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one of the smallest doc_id."""
+    classes = ngram_join.classes(docs)
+    dropped = classes.filter("component_id <> doc_id").select("doc_id").distinct()
+    return join_small(docs, dropped, "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    find = contamination.finder(spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = docs.select(F.struct("*").alias("document"), find(F.col("text")).alias("found"))
+    return found.filter(F.size("found") == 0).select("document.*")
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, tokens, n_tokens and whether decoding gives the text back."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    tokens, decode = bpe.codec(spark, path, public_tokenizers.PATTERN)
+    text = F.coalesce("text", F.lit(""))
+    encoded = docs.select("doc_id", "text", tokens(text).alias("ids"))
+    return encoded.select(
+        "doc_id",
+        F.col("ids").alias("tokens"),
+        bpe.n_tokens(F.col("ids")).alias("n_tokens"),
+        (decode("ids") == text.cast("binary")).alias("round_trip"),
+    )
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_lines),
+    ("ngram_jaccard", drop_copies),
+    ("decontamination", drop_contaminated),
+    ("byte_bpe", encode),
+]
 
 # Trained models and fuzzy matches cannot be stated in SQL; tests/llm has brute force.
 ORACLE_SQL = None
