@@ -117,9 +117,11 @@ def fit(
 
 def _model(name: str, fitted: DataFrame, earlier: int) -> Model:
     """The weights, which the words of a bounded sample bound."""
-    rows = fitted.filter("id IS NULL").toPandas()
-    extra = rows[rows["place"].notna()].set_index("place")["weight"]
-    known = rows[rows["place"].isna()].sort_values("feature")
+    # apart, since a column with NULL would come as floating point and lose digits
+    known = fitted.filter("feature IS NOT NULL").select("feature", "weight").toPandas()
+    known = known.sort_values("feature")
+    extra = fitted.filter("place IS NOT NULL").select("place", "weight").toPandas()
+    extra = dict(zip(extra["place"].tolist(), extra["weight"].tolist()))
     return Model(
         name,
         known["feature"].to_numpy(dtype=np.int64),
@@ -145,7 +147,9 @@ def _fitter(
             places = [-1, *range(earlier)]
             found = pd.concat(
                 [
-                    pd.DataFrame({"feature": model.features, "weight": model.weights}),
+                    pd.DataFrame(
+                        {"feature": pd.array(model.features, "Int64"), "weight": model.weights}
+                    ),
                     pd.DataFrame(
                         {"weight": [model.intercept, *model.earlier][: len(places)],
                          "place": places[: 1 + len(model.earlier)]}
