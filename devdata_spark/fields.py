@@ -53,13 +53,3 @@ PRODUCT_DESCRIPTION = "product_description"
 
 # units of measurement
 PERCENT = "percent"
-
-
-def base_index() -> list[str]:
-    """Columns that identify an observation of one entity."""
-    return [YEAR, ENTITY_CODE, ENTITY_NAME]
-
-
-def debt_index() -> list[str]:
-    """Columns that identify an observation between an entity and a counterpart."""
-    return [*base_index(), COUNTERPART_CODE]

@@ -1,15 +1,26 @@
 """Date expressions."""
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The day-grain formats that free-form dates may have. Each is tried
 # only on texts of its form: a parse that fails costs far more than a match.
+# The first pattern that gives a date counts, so 05/04/2024 is the fifth of April.
 FREE_FORM_PATTERNS = {
     "yyyy-MM-dd": r"^\d{4}-\d{2}-\d{2}$",
-    "dd/MM/yyyy": r"^\d{2}/\d{2}/\d{4}$",
+    "yyyy-MM-dd'T'HH:mm:ss": r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$",
+    "yyyy-MM-dd HH:mm:ss": r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$",
+    "yyyy/M/d": r"^\d{4}/\d{1,2}/\d{1,2}$",
+    "d/M/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$",
+    "M/d/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$",
     "d-MMM-yy": r"^\d{1,2}-[A-Za-z]{3}-\d{2}$",
-    "MMMM d, yyyy": r"^[A-Za-z]+ \d{1,2}, \d{4}$",
+    "d-MMM-yyyy": r"^\d{1,2}-[A-Za-z]{3}-\d{4}$",
+    "d MMM yyyy": r"^\d{1,2} [A-Za-z]{3} \d{4}$",
+    "d MMMM yyyy": r"^\d{1,2} [A-Za-z]{3,} \d{4}$",
+    "MMM d, yyyy": r"^[A-Za-z]{3} \d{1,2}, \d{4}$",
+    "MMMM d, yyyy": r"^[A-Za-z]{3,} \d{1,2}, \d{4}$",
+    "MMM yyyy": r"^[A-Za-z]{3} \d{4}$",
+    "MMMM yyyy": r"^[A-Za-z]{3,} \d{4}$",
 }
 
 # Two-digit years 69 to 99 mean 1969 to 1999, as strptime reads them.
@@ -31,6 +42,17 @@ def parse_free_form(c: Column) -> Column:
     return F.coalesce(*parsed)
 
 
+def parse_report(df: DataFrame, column: str) -> DataFrame:
+    """One row: how many cells are a date, how many are empty, and how many neither."""
+    parsed = parse_free_form(F.col(column))
+    empty = F.col(column).isNull()
+    return df.agg(
+        F.count_if(parsed.isNotNull()).alias("n_dates"),
+        F.count_if(empty).alias("n_empty"),
+        F.count_if(~empty & parsed.isNull()).alias("n_unparsed"),
+    )
+
+
 def parse_strict(c: Column, pattern: str) -> Column:
     """The date of a text in one known format; any other text stops the job."""
     parsed = F.try_to_date(c, pattern)

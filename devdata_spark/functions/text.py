@@ -80,6 +80,18 @@ def to_integer(c: Column, type_: str = "int") -> Column:
     return F.when(c.rlike(_WHOLE_NUMBER), c.try_cast(type_))
 
 
+def strict(c: Column, type_: str) -> Column:
+    """A cell in another type; a cell that cannot be read so stops the job.
+
+    Unlike a plain cast it does so whether ANSI mode is on or off.
+    """
+    typed = c.try_cast(type_)
+    problem = F.concat(F.lit(f"Not a {type_}: "), c.cast("string"))
+    return F.when(c.isNotNull() & typed.isNull(), F.raise_error(problem).cast(type_)).otherwise(
+        typed
+    )
+
+
 def number(c: Column) -> Column:
     """Read a number written for people: `$1,234.50` -> 1234.5, NULL if none."""
     return to_double(F.regexp_replace(c, r"[^0-9.\-]", ""))

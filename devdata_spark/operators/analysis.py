@@ -5,18 +5,17 @@ group results are aggregated (combined before the shuffle) and joined back.
 """
 
 from collections.abc import Sequence
-from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from devdata_spark import fields, scratch
+from devdata_spark import fields
 from devdata_spark.operators import combine, joins, latest
 
-# Most distinct values of one group that are ranked in one task.
-MEDIAN_MAX_VALUES = 1_000_000
-_MEDIAN_CUTS = [i / 8 for i in range(1, 8)]
+# Where the distinct values of a group are cut before its middle is ranked.
+_MEDIAN_CUTS = [i / 100 for i in range(1, 100)]
 
 
 def filter_latest_by(df: DataFrame, by: Sequence[str], date: str) -> DataFrame:
@@ -87,7 +86,7 @@ def share_of_group(
     summed = F.col(value).cast(exact) if exact else F.col(value)
     totals = df.groupBy(*by).agg(F.sum(summed).cast("double").alias("_total"))
     return (
-        joins.attach(df, totals, by, validate=False)
+        joins.attach(df, totals, by, derived=True)
         .withColumn(into, _ratio(F.col(value), F.col("_total")))
         .drop("_total")
     )
@@ -110,26 +109,41 @@ def group_median(
 ) -> DataFrame:
     """The exact median of each group, for groups of any size.
 
-    Equal values are counted first. While some group still has more distinct
-    values than one task should rank, seven cut points per group are chosen, the
-    rows between them counted exactly, and only the stretch that holds the middle
-    is kept: an eighth of the values, round by round.
+    Equal values are counted once and kept. Cut points split the distinct values of a
+    group into stretches, the rows of each stretch are counted exactly, and only the
+    stretches that hold the middle are ranked: a hundredth of a group's values or so.
     """
     by = list(by)
-    counted = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
+    counted = (
+        df.where(F.col(value).isNotNull())
+        .groupBy(*by, value)
+        .agg(F.count("*").alias("_n"))
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
     total = F.sum("_n")
-    middle = counted.groupBy(*by).agg(
+    facts = counted.groupBy(*by).agg(
         F.floor((total + 1) / 2).alias("_low"),
         (F.floor(total / 2) + 1).alias("_high"),
-        F.lit(0).cast("bigint").alias("_below"),
+        F.percentile_approx(value, _MEDIAN_CUTS).alias("_cuts"),
+    )
+    # a cut point belongs to the stretch that it starts
+    passed = F.size(F.filter("_cuts", lambda cut: cut <= F.col(value)))
+    stretched = joins.attach(counted, facts, by, derived=True).withColumn("_stretch", passed)
+    stretches = stretched.groupBy(*by, "_stretch").agg(
+        F.sum("_n").alias("_n"), F.first("_low").alias("_low"), F.first("_high").alias("_high")
     )
-    if _most_values(counted, by) > MEDIAN_MAX_VALUES:
-        counted = scratch.materialise(counted, "median-values")
-        middle = scratch.materialise(middle, "median-ranks")
-    while _most_values(counted, by) > MEDIAN_MAX_VALUES:
-        counted, middle = _narrow(counted, middle, by, value)
-    ranked = joins.attach(counted, middle, by, validate=False).withColumn(
-        "_to", F.col("_below") + F.sum("_n").over(_running(by, value))
+    # a window over a hundred stretches of a group at most
+    before = F.sum("_n").over(_running(by, "_stretch")) - F.col("_n")
+    holding = (
+        stretches.withColumn("_below", before)
+        .where((F.col("_below") < F.col("_high")) & (F.col("_low") <= F.col("_below") + F.col("_n")))
+        .select(*by, "_stretch", "_below")
+    )
+    ranked = joins.attach(
+        stretched.drop("_cuts"), holding, [*by, "_stretch"], derived=True
+    ).where("_below IS NOT NULL")
+    ranked = ranked.withColumn(
+        "_to", F.col("_below") + F.sum("_n").over(_running([*by, "_stretch"], value))
     )
     start = F.col("_to") - F.col("_n")
     holds = {
@@ -143,7 +157,7 @@ def add_median(
     df: DataFrame, by: Sequence[str], *, value: str = fields.VALUE, into: str = "median"
 ) -> DataFrame:
     """Add the median of its group to every row."""
-    return joins.attach(df, group_median(df, by, value=value, into=into), by, validate=False)
+    return joins.attach(df, group_median(df, by, value=value, into=into), by, derived=True)
 
 
 def append_median(
@@ -155,46 +169,6 @@ def append_median(
     return combine.stack([df, labelled])
 
 
-def _narrow(
-    counted: DataFrame, middle: DataFrame, by: list[str], value: str
-) -> tuple[DataFrame, DataFrame]:
-    """The values of the stretches that hold each group's middle, and its new ranks."""
-    cuts = counted.groupBy(*by).agg(F.percentile_approx(value, _MEDIAN_CUTS).alias("_cuts"))
-    beyond = [(F.get("_cuts", F.lit(i)) <= F.col(value)) for i in range(len(_MEDIAN_CUTS))]
-    passed = reduce(Column.__add__, [b.cast("int") for b in beyond])
-    stretches = (
-        joins.attach(counted, cuts, by, validate=False)
-        .groupBy(*by, passed.alias("_stretch"))
-        .agg(
-            F.sum("_n").alias("_n"), F.min(value).alias("_from"), F.max(value).alias("_until")
-        )
-    )
-    # a window over eight stretches per group at most
-    placed = joins.attach(stretches, middle, by, validate=False).withColumn(
-        "_to", F.col("_below") + F.sum("_n").over(_running(by, "_stretch"))
-    )
-    start = F.col("_to") - F.col("_n")
-    kept = placed.where((start < F.col("_high")) & (F.col("_low") <= F.col("_to")))
-    bounds = kept.groupBy(*by).agg(
-        F.first("_low").alias("_low"),
-        F.first("_high").alias("_high"),
-        F.min(start).alias("_below"),
-        F.min("_from").alias("_from"),
-        F.max("_until").alias("_until"),
-    )
-    bounds = scratch.materialise(bounds, "median-ranks")
-    inside = joins.attach(counted, bounds.select(*by, "_from", "_until"), by, validate=False)
-    counted = inside.where(F.col(value).between(F.col("_from"), F.col("_until")))
-    return (
-        scratch.materialise(counted.drop("_from", "_until"), "median-values"),
-        bounds.drop("_from", "_until"),
-    )
-
-
-def _most_values(counted: DataFrame, by: list[str]) -> int:
-    return counted.groupBy(*by).agg(F.count("*").alias("_v")).agg(F.max("_v")).first()[0] or 0
-
-
 def _running(by: list[str], order: str) -> WindowSpec:
     return Window.partitionBy(*by).orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow

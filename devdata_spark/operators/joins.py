@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,14 +69,19 @@ def attach(
     how: str = "left",
     validate: bool = True,
     measured: Profile | None = None,
+    derived: bool = False,
 ) -> DataFrame:
     """Join `df` to a lookup table on equally named columns.
 
     `how` is `left`, `left_semi` or `left_anti`. A left join must be many-to-one
     unless `validate` is off, in which case a repeated key repeats the row.
-    Pass `measured` to reuse a profile of the same lookup table and key.
+    Pass `measured` to reuse a profile of the same lookup table and key. `derived`
+    says that the lookup is an aggregate of a large table by the key, so unique: it is
+    kept once worked out, and measured and joined from there.
     """
     keys = list(on)
+    if derived:
+        lookup, validate = lookup.persist(StorageLevel.MEMORY_AND_DISK), False
     if how != "left":
         lookup = lookup.select(*keys).distinct()
     facts = measured or profile(lookup, keys)
@@ -136,7 +142,7 @@ def map_codes(
     never repeated. A code that is not found gets NULL.
     """
     last = names.groupBy(key).agg(F.max_by(name, order).alias(name))
-    return attach(df, last, [key], validate=False)
+    return attach(df, last, [key], derived=True)
 
 
 def _join(df: DataFrame, other: DataFrame, keys: list[str], how: str, nulls: bool) -> DataFrame:

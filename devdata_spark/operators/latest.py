@@ -27,7 +27,7 @@ def most_recent_periods(
     ranked = top_rows(periods, n, by=series, order=[F.desc_nulls_last(period)])
     first = ranked.groupBy(*series).agg(F.min(period).alias("_first"))
     return (
-        joins.attach(df, first, list(series), validate=False)
+        joins.attach(df, first, list(series), derived=True)
         .where(F.col(period) >= F.col("_first"))
         .drop("_first")
     )
@@ -53,23 +53,14 @@ def top_rows(df: DataFrame, n: int, *, by: Sequence[str], order: Sequence[Column
     """The first `n` rows of each group by `order`, exactly.
 
     For counts up to `spark.sql.optimizer.windowGroupLimitThreshold` Spark keeps
-    just `n` rows per group in each task before the shuffle. Above it the same is
-    done here: copies of a row beyond `n` are dropped, and groups are cut by a
-    hash of the row into parts that are ranked on their own first.
+    just `n` rows per group in each task before the shuffle. Above it the rows that
+    each input partition holds of a group are ranked on their own first, so that no
+    task ranks a whole group. Only `by` and `order` are compared.
     """
     limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
     if n > limit:
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        columns = [F.col(f"`{c}`") for c in df.columns]
-        copies = F.sequence(F.lit(1), F.least(F.count("*"), F.lit(n)).cast("int"))
-        spread = F.pmod(F.xxhash64(*columns, "_copy"), F.lit(parts))
-        cut = (
-            df.groupBy(*columns)
-            .agg(copies.alias("_copies"))
-            .select(*columns, F.explode("_copies").alias("_copy"))
-            .withColumn("_part", spread)
-        )
-        df = _ranked(cut, n, [*by, "_part"], order).drop("_part", "_copy")
+        cut = df.withColumn("_part", F.spark_partition_id())
+        df = _ranked(cut, n, [*by, "_part"], order).drop("_part")
     return _ranked(df, n, by, order)
 
 

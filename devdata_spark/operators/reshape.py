@@ -2,13 +2,16 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from devdata_spark import fields
 from devdata_spark.functions import text
 
+# Cells of wide tables that stand for a number nobody has.
+MISSING_NUMBERS = ["..", "...", "-"]
+
 
 def to_long(
     df: DataFrame,
@@ -20,8 +23,9 @@ def to_long(
 ) -> DataFrame:
     """One row per id and value column, with a double value. NULLs are kept.
 
-    `values` defaults to every column that is not an id. A text cell that is not
-    a number becomes NULL. No shuffle: rows are expanded where they are.
+    `values` defaults to every column that is not an id. Missing-value markers become
+    NULL; any other text cell that is not a number stops the job. No shuffle: rows
+    are expanded where they are.
     """
     values = [c for c in df.columns if c not in ids] if values is None else list(values)
     is_text = {f.name: isinstance(f.dataType, T.StringType) for f in df.schema.fields}
@@ -30,9 +34,9 @@ def to_long(
         # one type already: cast the one value column, not every wide column
         value_columns = [F.col(f"`{c}`") for c in values]
         long = df.unpivot(id_columns, value_columns, variable, value)
-        return long.withColumn(value, text.to_double(F.col(value)))
+        return long.withColumn(value, _to_number(F.col(value)))
     doubles = [
-        (text.to_double(F.col(f"`{c}`")) if is_text[c] else F.col(f"`{c}`").cast("double"))
+        (_to_number(F.col(f"`{c}`")) if is_text[c] else F.col(f"`{c}`").cast("double"))
         .alias(c)
         for c in values
     ]
@@ -41,6 +45,12 @@ def to_long(
     )
 
 
+def _to_number(cell: Column) -> Column:
+    trimmed = F.trim(cell)
+    known = F.when(~trimmed.isin(MISSING_NUMBERS), text.missing_to_null(trimmed))
+    return text.strict(known, "double")
+
+
 def split_code_year(
     df: DataFrame, column: str = fields.INDICATOR_CODE, year: str = fields.YEAR
 ) -> DataFrame:

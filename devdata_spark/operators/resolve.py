@@ -21,8 +21,8 @@ logger = logging.getLogger(__name__)
 
 NAME_SHORT = "name_short"
 
-# The patterns become one expression; a table beyond this is not a country table.
-MAX_PATTERNS = 2_000
+# The patterns of a table become expressions of so many each.
+PATTERNS_AT_ONCE = 500
 
 _EXACT_KEYS = [fields.ISO3_CODE, fields.ISO2_CODE, NAME_SHORT]
 
@@ -37,7 +37,7 @@ def resolve_names(
     """
     names = df.select(column).where(F.col(column).isNotNull()).distinct()
     keyed = names.withColumn("_key", F.lower(text.strip(F.col(column))))
-    exact = joins.attach(keyed, _exact_keys(countries, to), ["_key"], validate=False)
+    exact = joins.attach(keyed, _exact_keys(countries, to), ["_key"], derived=True)
     patterns = _patterns(countries, to)
     # tried only where there is no exact match, and worked out once per name
     tried = F.when(F.col(to).isNull(), _codes_by_pattern(F.col(column), patterns))
@@ -56,7 +56,7 @@ def add_code(
 ) -> DataFrame:
     """Add the resolved code of the name in `column`; rows are never dropped."""
     resolved = resolve_names(df, column, countries, to)
-    return joins.attach(df, resolved, [column]).withColumnRenamed(to, into or to)
+    return joins.attach(df, resolved, [column], derived=True).withColumnRenamed(to, into or to)
 
 
 def add_short_name(
@@ -93,12 +93,14 @@ def _exact_keys(countries: DataFrame, to: str) -> DataFrame:
 
 def _patterns(countries: DataFrame, to: str) -> list[tuple[str, str]]:
     table = countries.where(F.col("regex").isNotNull()).select(to, "regex")
-    rows = table.limit(MAX_PATTERNS + 1).collect()
-    if len(rows) > MAX_PATTERNS:
-        raise ValueError(f"A country table has at most {MAX_PATTERNS} patterns")
-    return [(r[0], r[1]) for r in rows]
+    return [(r[0], r[1]) for r in table.collect()]
 
 
 def _codes_by_pattern(name: Column, patterns: list[tuple[str, str]]) -> Column:
     hits = [F.when(name.rlike(f"(?i){regex}"), F.lit(code)) for code, regex in patterns]
-    return F.array_distinct(F.array_compact(F.array(*hits).cast("array<string>")))
+    parts = [
+        F.array_compact(F.array(*hits[i : i + PATTERNS_AT_ONCE]).cast("array<string>"))
+        for i in range(0, len(hits), PATTERNS_AT_ONCE)
+    ]
+    none = F.array().cast("array<string>")
+    return F.array_distinct(F.concat(none, *parts))

@@ -33,7 +33,7 @@ def convert_types(df: DataFrame, casts: Mapping[str, str] | None = None) -> Data
 def cast(df: DataFrame, casts: Mapping[str, str]) -> DataFrame:
     """Explicit casts. A column that does not exist is a KeyError."""
     _check_known(df, casts)
-    return df.withColumns({c: F.col(f"`{c}`").cast(t) for c, t in casts.items()})
+    return df.withColumns({c: text.strict(F.col(f"`{c}`"), t) for c, t in casts.items()})
 
 
 def safe_cast(df: DataFrame, casts: Mapping[str, str]) -> DataFrame:

@@ -150,12 +150,12 @@ def shape_inflation(raw: DataFrame, country_table: DataFrame) -> DataFrame:
     # a file of another layout stops here, not with wrong columns
     columns.require(raw, [*INFLATION_DROPPED, *INFLATION_COLUMNS])
     df = columns.rename(raw.drop(*INFLATION_DROPPED), INFLATION_COLUMNS)
-    ids = F.col(INDICATOR_ID).cast("int")
+    ids = text.strict(F.col(INDICATOR_ID), "int")
     name = F.coalesce(*[F.when(ids == i, F.lit(n)) for n, i in INFLATION_INDICATORS.items()])
     typed = df.withColumns(
         {
             fields.DATE: dates.parse_strict(F.col(fields.DATE), INFLATION_DATES),
-            fields.VALUE: text.missing_to_null(F.col(fields.VALUE).cast("string")).cast("double"),
+            fields.VALUE: text.strict(text.missing_to_null(F.col(fields.VALUE).cast("string")), "double"),
             fields.INDICATOR_NAME: name,
         }
     )

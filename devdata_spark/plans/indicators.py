@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from devdata_spark import fields, quality, schemas
 from devdata_spark.errors import DataExtractionError
+from devdata_spark.functions import text
 from devdata_spark.operators import columns, filters, joins, latest
 from devdata_spark.sources import files
 
@@ -230,7 +231,7 @@ def shape_records(raw: DataFrame) -> DataFrame:
     """Flat records with harmonised names and an integer year."""
     flat = columns.flatten(raw).drop(DROPPED_COLUMN)
     df = columns.rename_first(flat, DATA_COLUMNS)
-    return columns.clean(df, year=lambda c: c.cast("int"))
+    return columns.clean(df, year=lambda c: text.strict(c, "int"))
 
 
 def select(
@@ -283,11 +284,18 @@ def shape_databases(raw: DataFrame) -> DataFrame:
 
 
 def shape_metadata(raw: DataFrame) -> DataFrame:
-    """The indicator code and the known description fields as columns."""
+    """The indicator code, the known description fields as columns, and the others.
+
+    `other_fields` holds, as JSON with sorted keys, what the publisher says beyond the
+    known fields; NULL where there is nothing else.
+    """
     described = [
         F.col("metadata").getItem(key).alias(name) for key, name in METADATA_COLUMNS.items()
     ]
-    return raw.select(F.col("id").alias(fields.INDICATOR_CODE), *described)
+    rest = F.map_filter("metadata", lambda key, _: ~key.isin(list(METADATA_COLUMNS)))
+    ordered = F.map_from_entries(F.array_sort(F.map_entries(rest)))
+    other = F.when(F.size(rest) > 0, F.to_json(ordered)).alias("other_fields")
+    return raw.select(F.col("id").alias(fields.INDICATOR_CODE), *described, other)
 
 
 def in_indicator_group(df: DataFrame, codes: Sequence[str]) -> DataFrame:

@@ -98,8 +98,16 @@ def versions(spark: SparkSession, root: str) -> DataFrame:
 
 
 def download_links(pages: DataFrame, column: str, by: list[str]) -> DataFrame:
-    """The versions offered on the publisher's page, and where to fetch each."""
+    """The versions offered on the publisher's pages, and where to fetch each.
+
+    It is an error if no page has the download section, or none has a link in it.
+    """
     found = documents.links(pages, column, by, section=LINK_SECTION, prefix=LINK_PREFIX)
+    if found.isEmpty():
+        with_section = pages.where(documents.has_section(F.col(column), LINK_SECTION))
+        if with_section.isEmpty():
+            raise DataExtractionError(f"No section {LINK_SECTION} found")
+        raise DataExtractionError(f"No {LINK_PREFIX} links found in section {LINK_SECTION}")
     return found.withColumnsRenamed({"link_text": "hs_version", "href": "url"})
 
 
@@ -121,7 +129,7 @@ def shape_flows(raw: DataFrame) -> DataFrame:
         return text.missing_to_null(F.trim(c)) if as_text[name] == "string" else c
 
     types = {"t": "int", "i": "bigint", "j": "bigint", "v": "double", "q": "double"}
-    typed = {c: cell(c).cast(t) for c, t in types.items()}
+    typed = {c: text.strict(cell(c), t) for c, t in types.items()}
     typed["k"] = text.product_code(cell("k").cast("string"))
     return columns.rename(raw.withColumns(typed), FLOW_COLUMNS)
 
@@ -135,7 +143,7 @@ def shape_products(raw: DataFrame) -> DataFrame:
 def shape_countries(raw: DataFrame) -> DataFrame:
     """Country codes without the two-letter code."""
     coded = raw.drop(DROPPED_COUNTRY_COLUMN).withColumn(
-        "country_code", F.col("country_code").cast("bigint")
+        "country_code", text.strict(F.col("country_code"), "bigint")
     )
     return columns.rename(coded, COUNTRY_COLUMNS)
 

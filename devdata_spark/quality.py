@@ -19,8 +19,6 @@ from devdata_spark.operators import combine, joins
 
 logger = logging.getLogger(__name__)
 
-MAX_LOGGED_NAMES = 100
-
 
 def validate(
     df: DataFrame,
@@ -131,14 +129,16 @@ def entities_without_code(
     return df.where(F.col(code).isNull()).select(name).distinct()
 
 
-def warn_entities_without_code(df: DataFrame, name: str = fields.ENTITY_NAME) -> None:
-    """Log the sorted names of entities that have no code.
+def warn_entities_without_code(df: DataFrame, name: str = fields.ENTITY_NAME) -> DataFrame:
+    """Log the names of entities that have no code, all of them in order; return them.
 
-    A log line holds so many names; `entities_without_code` gives all of them.
+    Entities are countries and their groups, a few hundred names however many rows.
     """
     gaps = entities_without_code(df, name=name).where(F.col(name).isNotNull())
-    names = [r[0] for r in gaps.orderBy(name).take(MAX_LOGGED_NAMES + 1)]
-    if len(names) > MAX_LOGGED_NAMES:
-        names[-1] = "and more"
+    names = sorted(r[0] for r in gaps.collect())
     if names:
-        logger.warning("No legacy code for %s; entity_code is null there.", ", ".join(names))
+        logger.warning(
+            "No legacy code for %d entities: %s; entity_code is null there.",
+            len(names), ", ".join(names),
+        )
+    return gaps

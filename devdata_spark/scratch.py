@@ -1,24 +1,16 @@
 """The shared folder for tables that a job writes for itself."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folders: dict[str, str] = {}
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's `spark.checkpoint.dir`; a temporary folder only in local mode."""
+    """The folder that `spark.checkpoint.dir` names, which all executors share."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not configured:
         raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share")
-    application = spark.sparkContext.applicationId
-    if application not in _local_folders:
-        _local_folders[application] = tempfile.mkdtemp(prefix="devdata-")
-    return _local_folders[application]
+    return configured.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -105,14 +105,23 @@ def require_one_member(content: DataFrame) -> DataFrame:
     return content
 
 
-def csv_rows(members: DataFrame, columns: Sequence[str], encoding: str = "utf8") -> DataFrame:
+def csv_rows(
+    members: DataFrame,
+    columns: Sequence[str],
+    encoding: str = "utf8",
+    *,
+    optional: Sequence[str] = (),
+) -> DataFrame:
     """The rows of CSV members: `archive`, `member`, then `columns` as text.
 
-    A column that a member does not have is NULL; its other columns are skipped.
+    A member whose header lacks one of the columns stops the job, as a landed CSV
+    file with a wrong header does; only `optional` ones are NULL where they are
+    absent. Other columns of a member are skipped.
     """
-    wanted = list(columns)
+    wanted, may_lack = list(columns), set(optional)
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import csv as rows_of
         import io
         import zlib
 
@@ -148,9 +157,16 @@ def csv_rows(members: DataFrame, columns: Sequence[str], encoding: str = "utf8")
             for row in batch.to_pylist():
                 packed = row["payload"]
                 raw = Inflated(packed) if row["deflated"] else io.BytesIO(packed)
-                for found in csv.open_csv(
-                    io.BufferedReader(raw, 1 << 20), read, split, convert
-                ):
+                stream = io.BufferedReader(raw, 1 << 20)
+                start = stream.peek().decode(encoding, "ignore").removeprefix("\ufeff")
+                header = next(rows_of.reader(io.StringIO(start, newline="")), [])
+                missing = [c for c in wanted if c not in header and c not in may_lack]
+                if missing:
+                    raise ValueError(
+                        f"{row['member']} in {row['archive']} lacks columns {missing}; "
+                        f"its header is {header}"
+                    )
+                for found in csv.open_csv(stream, read, split, convert):
                     n = found.num_rows
                     yield pa.RecordBatch.from_arrays(
                         [

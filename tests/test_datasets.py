@@ -154,7 +154,7 @@ def test_members_of_archives(spark, tmp_path, rows):
     content = archives.archives(spark, str(tmp_path))
     counts = {a.rsplit("/", 1)[1]: n for a, n in rows(archives.member_counts(content))}
     assert counts == {"empty.zip": 0, "two.zip": 2}
-    read = archives.csv_rows(archives.packed_members(content), ["x", "y"])
+    read = archives.csv_rows(archives.packed_members(content), ["x", "y"], optional=["x"])
     assert rows(read, "member", "x", "y") == [("b.csv", None, "only y"), ("folder/a.csv", "1", "two\nlines")]
     with pytest.raises(DataExtractionError, match="No files found in the zipfile"):
         archives.require_one_member(archives.archives(spark, str(tmp_path), "empty.zip"))
@@ -722,7 +722,7 @@ def test_tables_of_all_databases(spark, tmp_path, indicator_root, rows):
 
 def test_indicator_metadata(spark, indicator_root):
     stock = indicators.debt_stock_indicators(spark, indicator_root)
-    assert stock.columns == ["indicator_code", *indicators.METADATA_COLUMNS.values()]
+    assert stock.columns == ["indicator_code", *indicators.METADATA_COLUMNS.values(), "other_fields"]
     assert stock.count() == 5 and indicators.debt_service_indicators(spark, indicator_root).count() == 10
     one = indicators.metadata(spark, indicator_root, ["DT.OTHER", "DT.OTHER"], 6).collect()
     assert [(r.indicator_name, r.license_Type, r.unit, r.topic) for r in one] == [("Name DT.OTHER", "CC", "usd", None)]
@@ -732,7 +732,55 @@ def test_indicator_metadata(spark, indicator_root):
         indicators.metadata(spark, indicator_root, "NOPE", 6)
 
 
-def test_column_name_presets():
-    assert fields.base_index() == ["year", "entity_code", "entity_name"]
-    assert fields.debt_index() == ["year", "entity_code", "entity_name", "counterpart_code"]
-    assert fields.PERCENT == "percent"
+@pytest.mark.parametrize(
+    ("member", "read"),
+    [
+        ("BACI_HS22_Y2020.csv", lambda spark, root: trade.flows(spark, root)),
+        ("product_codes_HS22.csv", lambda spark, root: trade.products(spark, root)),
+        ("country_codes.csv", lambda spark, root: trade.countries(spark, root)),
+    ],
+)
+def test_a_wrong_header_in_an_archive_stops_the_job(spark, tmp_path, member, read):
+    folder = tmp_path / "hs_version=HS22"
+    folder.mkdir()
+    with zipfile.ZipFile(folder / "all.zip", "w") as z:
+        z.writestr(member, "year,exp,imp\n2020,1,2\n")
+    with pytest.raises(Exception, match="lacks columns"):
+        read(spark, str(tmp_path)).collect()
+
+
+def test_a_wrong_header_in_an_hiv_archive_stops_the_job(spark, tmp_path):
+    folder = tmp_path / "dataset=GAM"
+    folder.mkdir()
+    with zipfile.ZipFile(folder / "gam.zip", "w") as z:
+        z.writestr("gam.csv", "Indicator,Unit\na,b\n")
+    with pytest.raises(Exception, match="lacks columns"):
+        hiv.data(spark, str(tmp_path), "GAM").collect()
+
+
+def test_links_of_nested_sections_and_their_errors(spark, rows):
+    page = (
+        '<section id="download-links"><a href="/1">HS1</a><section><a href="/2">HS2</a></section>'
+        '<a href="/3">HS3</a><section><section></section></section><a href="/4">HS4</a></section><a href="/5">HS5</a>'
+    )
+    pages = spark.createDataFrame([(1, page)], "id INT, html STRING")
+    assert [r[1] for r in rows(trade.download_links(pages, "html", ["id"]), "id", "hs_version")] == [
+        "HS1", "HS2", "HS3", "HS4",
+    ]
+    for wrong, message in (("<a href='/1'>HS1</a>", "No section"), ('<section id="download-links"></section>', "links found")):
+        with pytest.raises(DataExtractionError, match=message):
+            trade.download_links(spark.createDataFrame([(2, wrong)], pages.schema), "html", ["id"])
+    special = spark.createDataFrame([(1, '<section id="a.b"><a href="?x=&eacute;&#38;&#x4e2d;&nope;&amp;lt;">t</a></section>')], pages.schema)
+    found = documents.links(special, "html", ["id"], section="a.b").first()
+    assert found.href == "?x=é&中&nope;&lt;"
+    assert documents.links(special, "html", ["id"], section="axb").count() == 0
+
+
+def test_other_fields_of_an_indicator_are_kept(spark, rows):
+    raw = spark.createDataFrame(
+        [("A", {"IndicatorName": "Name", "Z": "1", "Generalcomments": "text"}), ("B", {"IndicatorName": "x"}), ("C", None)],
+        indicators.RAW_METADATA,
+    )
+    assert rows(indicators.shape_metadata(raw), "indicator_code", "indicator_name", "other_fields") == [
+        ("A", "Name", '{"Generalcomments":"text","Z":"1"}'), ("B", "x", None), ("C", None, None),
+    ]

@@ -100,3 +100,16 @@ def test_numbers_in_text(spark):
     assert values(spark, text.to_integer, ["7", " -8", "9.0", "3000000000", "x", None]) == [7, -8, None, None, None, None]
     big = values(spark, lambda c: text.to_integer(c, "bigint"), ["3000000000", "9999999999999999999"])
     assert big == [3000000000, None]
+
+
+def test_free_form_dates_and_their_count(spark):
+    written = {
+        "2024/01/15": "2024-01-15", "15 Jan 2024": "2024-01-15", "Jan 5, 2024": "2024-01-05",
+        "15-Jan-2024": "2024-01-15", "January 2024": "2024-01-01", "01/15/2024": "2024-01-15",
+        "2024-01-15T00:00:00": "2024-01-15", "5/4/2024": "2024-04-05", "31 March 1999": "1999-03-31",
+        "soon": None, "45/45/2024": None, None: None,
+    }
+    df = spark.createDataFrame([(w,) for w in written], "w STRING")
+    found = {r.w: r.d and str(r.d) for r in df.select("w", dates.parse_free_form(F.col("w")).alias("d")).collect()}
+    assert found == written
+    assert tuple(dates.parse_report(df, "w").first()) == (9, 1, 2)

@@ -45,11 +45,5 @@ def test_shared_folder_comes_from_the_session(spark, monkeypatch):
             def get(key, default):
                 return default
 
-        class sparkContext:
-            master, applicationId = "local[2]", "app"
-
-    local = scratch.shared_folder(Unset)
-    assert local == scratch.shared_folder(Unset)
-    Unset.sparkContext.master = "spark://cluster:7077"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch.shared_folder(Unset)

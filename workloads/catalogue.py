@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devdata_spark import fields, quality, schemas, scratch, snapshots
+from devdata_spark import fields, quality, schemas, snapshots
 from devdata_spark.functions import dates, text
 from devdata_spark.operators import (
     analysis,
@@ -25,7 +25,7 @@ from devdata_spark.operators import (
 )
 from devdata_spark.plans import debt, food, hdi, health, hiv, indicators, outlook, trade
 from devdata_spark.sources import archives, documents, files
-from workloads import shapes, sql
+from workloads import landing, shapes, sql
 from workloads.shapes import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +82,20 @@ def trade_labelled(spark, sf):
     return trade.with_country_labels(trade_product_labels(spark, sf), countries)
 
 
+@query(
+    _COUNTRY_LABELS.format("f.*, product_description", sql.FLOWS)
+    + f" left join ({sql.PRODUCTS}) p on f.product_code = p.product_code"
+)
+def trade_files(spark, sf):
+    """Flows, products and countries as landed files of one version."""
+    root = landing.new_folder(spark, "trade")
+    folder = f"{root}/hs_version=HS22"
+    landing.named_csv(shapes.raw_flows(spark, sf), folder, "BACI_HS22_Y")
+    landing.named_csv(shapes.raw_products(spark, sf).coalesce(1), folder, "product_codes_HS22_")
+    landing.named_csv(shapes.raw_countries(spark, sf).coalesce(1), folder, "country_codes_")
+    return trade.flows(spark, root, "hs22", product_labels=True, country_labels=True)
+
+
 @query(sql.FLOWS)
 def archive_members(spark, sf):
     """Flows packed as zip archives of one CSV member per batch, and read back."""
@@ -89,7 +103,7 @@ def archive_members(spark, sf):
     flows = shapes.raw_flows(spark, sf)
     content = _zip_batches(flows.select(*[F.col(c).cast("string") for c in cells]))
     # which rows share a batch is not fixed, so the archives are written once
-    content = scratch.materialise(content, "archives")
+    content = landing.materialise(content, "archives")
     packed = archives.packed_members(content, "BACI_HS22", ".csv")
     return trade.shape_flows(archives.csv_rows(packed, cells).select(*cells))
 
@@ -117,6 +131,21 @@ def html_links(spark, sf):
     return documents.links(table(spark, sf, "pages"), "html", ["page_id"])
 
 
+@query("select page_id, 'HS92' as hs_version, '/inner?a=1&b=' || page_id as url from pages"
+       " union all select page_id, 'HS' || page_id, '/' || page_id || '?q=ô&é' from pages")
+def download_links(spark, sf):
+    """Each page inside the download section, between an inner section and a link."""
+    page = F.concat(
+        F.lit("<section id='other'><a href='/no'>HS17</a></section><SECTION class=x id=\"download-links\">"),
+        F.lit("<section><a href='/inner?a=1&amp;b="), "page_id", F.lit("'>HS<b>92</b></a></section>"),
+        "html",
+        F.lit("<a href='/"), "page_id", F.lit("?q=&ocirc;&#38;&#xE9;'>H&#83;"), "page_id",
+        F.lit("</a></section><a href='/out'>HS96</a>"),
+    )
+    pages = table(spark, sf, "pages").select("page_id", page.alias("html"))
+    return trade.download_links(pages, "html", ["page_id"])
+
+
 @query("select p_partkey, k as key, v as value from ("
        "select p_partkey, 'Title' as k, p_name || ' second line' as v from part union all "
        "select p_partkey, 'Brand', p_brand from part)")
@@ -244,12 +273,17 @@ def melt_codebook_join(spark, sf):
 
 
 @query("select p_partkey, p_type as indicator_code, nm as indicator_name from part left join ("
-       "select p_type as c, arg_max(p_name, p_partkey) as nm from part"
-       " where p_type in ('ECONOMY', 'LARGE') group by 1) on p_type = c")
+       "select case when p_type in ('ECONOMY', 'LARGE') then p_type else p_type || ' other' end as c,"
+       " arg_max(p_name, p_partkey) as nm from part group by 1) on p_type = c")
 def code_to_name_map(spark, sf):
     part = table(spark, sf, "part").withColumnRenamed("p_type", "indicator_code")
-    names = part.where(F.col("indicator_code").isin("ECONOMY", "LARGE")).select(
-        "indicator_code", F.col("p_name").alias("indicator_name"), "p_partkey"
+    code = F.col("indicator_code")
+    names = part.select(
+        F.when(code.isin("ECONOMY", "LARGE"), code)
+        .otherwise(F.concat(code, F.lit(" other")))
+        .alias("indicator_code"),
+        F.col("p_name").alias("indicator_name"),
+        "p_partkey",
     )
     codes = part.select("p_partkey", "indicator_code")
     return joins.map_codes(codes, names, "indicator_code", "indicator_name", "p_partkey")
@@ -326,6 +360,20 @@ def coerce_dates(spark, sf):
     )
 
 
+@query("select count(*) filter (where o_orderpriority not in ('4-NOT SPECIFIED', '5-LOW')) as n_dates,"
+       " count(*) filter (where o_orderpriority = '5-LOW') as n_empty,"
+       " count(*) filter (where o_orderpriority = '4-NOT SPECIFIED') as n_unparsed from orders")
+def date_parse_report(spark, sf):
+    priority = F.col("o_orderpriority")
+    written = (
+        F.when(priority == "1-URGENT", F.date_format("o_orderdate", "yyyy/MM/dd"))
+        .when(priority == "2-HIGH", F.date_format("o_orderdate", "d MMM yyyy"))
+        .when(priority == "3-MEDIUM", F.date_format("o_orderdate", "MMM d, yyyy"))
+        .when(priority == "4-NOT SPECIFIED", "soon")
+    )
+    return dates.parse_report(table(spark, sf, "orders").select(written.alias("date")), "date")
+
+
 @query("select value, cast(year(ts) as int) as year, cast(user_id as varchar) as entity_code,"
        " event_type as indicator_code, 'A' as freq_code, props as notes, event_id"
        " from events where event_type <> 'error'")
@@ -350,20 +398,17 @@ def legacy_code_override(spark, sf):
 
 @query("select o_orderkey, try_cast(substr(o_orderpriority, 1, 1) as int) as priority,"
        " try_cast(o_orderpriority as int) as bad, o_totalprice as total,"
-       " lower(o_orderpriority) as label from orders"
-       " where o_orderpriority like '1%' or o_orderpriority like '%LOW'")
+       " lower(o_orderpriority) as label,"
+       " o_orderpriority like '1%' or o_orderpriority like '%LOW' as extreme from orders")
 def safe_casts(spark, sf):
     label = F.lower("o_orderpriority")
-    raw = (
-        table(spark, sf, "orders")
-        .where(label.startswith("1") | label.endswith("low"))
-        .select(
-            "o_orderkey",
-            F.substring("o_orderpriority", 1, 1).alias("priority"),
-            F.col("o_orderpriority").alias("bad"),
-            F.col("o_totalprice").cast("string").alias("total"),
-            label.alias("label"),
-        )
+    raw = table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.substring("o_orderpriority", 1, 1).alias("priority"),
+        F.col("o_orderpriority").alias("bad"),
+        F.col("o_totalprice").cast("string").alias("total"),
+        label.alias("label"),
+        (label.startswith("1") | label.endswith("low")).alias("extreme"),
     )
     return types.cast(types.safe_cast(raw, {"priority": "int", "bad": "int"}), {"total": "double"})
 
@@ -502,7 +547,7 @@ def snapshot_within_ttl(spark, sf):
 @query("select o_custkey, count(*) as n from orders group by 1")
 def snapshot_reuse(spark, sf):
     """A result that is written once and read again within its lifetime."""
-    root = scratch.new_folder(spark, "snapshots")
+    root = landing.new_folder(spark, "snapshots")
 
     def build() -> DataFrame:
         return table(spark, sf, "orders").groupBy("o_custkey").agg(F.count("*").alias("n"))
@@ -624,13 +669,13 @@ def distinct_codes(spark, sf):
     return part.select(F.col("p_type").alias("indicator_code"), "p_brand").distinct()
 
 
-@query("select event_id, user_id, value, null::varchar as props from events where event_type = 'click'"
-       " union all select event_id, user_id, null::double, props from events where event_type = 'view'")
+@query("select event_id, user_id, case when event_type = 'click' then value end as value,"
+       " case when event_type <> 'click' then props end as props from events")
 def union_missing_columns(spark, sf):
     events = table(spark, sf, "events")
     clicks = events.where("event_type = 'click'").select("event_id", "user_id", "value")
-    views = events.where("event_type = 'view'").select("props", "user_id", "event_id")
-    return combine.stack([clicks, views])
+    others = events.where("event_type <> 'click'").select("props", "user_id", "event_id")
+    return combine.stack([clicks, others])
 
 
 # --- landed files ------------------------------------------------------------
@@ -638,7 +683,7 @@ def union_missing_columns(spark, sf):
 
 @query("select o_orderkey, o_orderstatus, o_totalprice, cast(year(o_orderdate) as int) as year from orders")
 def csv_roundtrip(spark, sf):
-    path = scratch.new_folder(spark, "orders-csv")
+    path = landing.new_folder(spark, "orders-csv")
     orders = table(spark, sf, "orders").select(
         "o_orderkey", "o_orderstatus", "o_totalprice", F.year("o_orderdate").alias("year")
     )
@@ -725,7 +770,7 @@ from ({sql.PRICES}) left join (values (1995, 'First year', 'usd'), (1996, 'Secon
   (1996, 'Second year again', 'usd')) l(y, name, unit) on year = l.y
 """)
 def health_files(spark, sf):
-    root = scratch.new_folder(spark, "health")
+    root = landing.new_folder(spark, "health")
     wide = shapes.price_columns(spark, sf)
     key = F.col("o_custkey")
     data = wide.select(
@@ -776,14 +821,14 @@ def hiv_files(spark, sf):
         F.col("o_orderpriority").alias("Formatted"),
         F.lit("").alias("Footnote"),
     )
-    root = scratch.new_folder(spark, "hiv")
+    root = landing.new_folder(spark, "hiv")
     files.write_table(rows, f"{root}/dataset=GAM", format="csv", header=True, escape='"')
     return hiv.data(spark, root, "GAM")
 
 
 @query(sql.INFLATION)
 def multi_series_constants(spark, sf):
-    root = scratch.new_folder(spark, "inflation")
+    root = landing.new_folder(spark, "inflation")
     _write_inflation(spark, sf, root)
     return food.inflation(spark, root, shapes.country_table(spark, sf))
 
@@ -791,7 +836,7 @@ def multi_series_constants(spark, sf):
 @query(f"select * from ({sql.INFLATION}) where indicator_name = 'Food inflation'"
        " and country_name in ('NATION_3', 'NATION_7')")
 def inflation_of_countries(spark, sf):
-    root = scratch.new_folder(spark, "inflation")
+    root = landing.new_folder(spark, "inflation")
     _write_inflation(spark, sf, root)
     countries = ["The Republic of Nation 7", "n03", "Atlantis"]
     return food.inflation(
@@ -802,7 +847,7 @@ def inflation_of_countries(spark, sf):
 @query(f"select * from ({sql.SERIES}) where iso3_code in ("
        f"select {sql.NATION_CODE.format('c_nationkey')} from customer where c_mktsegment <> 'FURNITURE')")
 def food_files(spark, sf):
-    root = scratch.new_folder(spark, "food")
+    root = landing.new_folder(spark, "food")
     replies = shapes.series_replies(spark, sf)
     files.write_table(replies, f"{root}/national", format="text", partition_by=["iso3_code"])
     files.write_table(shapes.registry_replies(spark, sf), f"{root}/registry", format="text")
@@ -818,7 +863,7 @@ from ({sql.OBSERVATIONS}) o
 where value is not null and indicator_code in ('1-URGENT', '5-LOW') and year >= 1997
 """)
 def indicator_files(spark, sf):
-    root = scratch.new_folder(spark, "indicators")
+    root = landing.new_folder(spark, "indicators")
     observed = shapes.observations(spark, sf)
     observed.select(
         F.col("year").cast("string").alias("time"),
@@ -846,6 +891,64 @@ def indicator_files(spark, sf):
     )
 
 
+@query("select distinct o_orderpriority as indicator_code, 'Orders ' || o_orderpriority as indicator_name,"
+       " 'Sum' as aggregation_method, '{\"Generalcomments\":\"' || lower(o_orderpriority) || '\"}' as other_fields"
+       " from orders")
+def indicator_metadata(spark, sf):
+    """The description of every indicator; fields that were only written are left out."""
+    root = landing.new_folder(spark, "indicators")
+    priority = F.col("o_orderpriority")
+    described = F.create_map(
+        F.lit("IndicatorName"), F.concat(F.lit("Orders "), priority),
+        F.lit("Aggregationmethod"), F.lit("Sum"),
+        F.lit("Generalcomments"), F.lower(priority),
+    )
+    table(spark, sf, "orders").select(priority).distinct().select(
+        priority.alias("id"), described.alias("metadata")
+    ).write.json(f"{root}/metadata/db=2")
+    codes = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+    found = indicators.metadata(spark, root, codes)
+    return found.select("indicator_code", "indicator_name", "aggregation_method", "other_fields")
+
+
+@query("select n_nationkey as id, n_name as name, cast(n_regionkey as varchar) as code,"
+       " date '2024-01-15' + cast(n_nationkey as int) as last_updated from nation")
+def indicator_databases(spark, sf):
+    root = landing.new_folder(spark, "indicators")
+    day = F.date_add(F.lit("2024-01-15").cast("date"), F.col("n_nationkey").cast("int"))
+    table(spark, sf, "nation").select(
+        F.col("n_nationkey").cast("string").alias("id"),
+        F.col("n_name").alias("name"),
+        F.col("n_regionkey").cast("string").alias("code"),
+        F.date_format(day, "yyyy-MM-dd").alias("lastupdated"),
+    ).write.json(f"{root}/databases")
+    return indicators.databases(spark, root)
+
+
+@query(f"select * from ({sql.REGION_SERIES}) where iso3_code in ("
+       f"select {sql.NATION_CODE.format('c_nationkey')} from customer where c_mktsegment <> 'FURNITURE')")
+def food_subnational_files(spark, sf):
+    root = landing.new_folder(spark, "food")
+    replies = shapes.region_replies(spark, sf)
+    files.write_table(replies, f"{root}/subnational", format="text", partition_by=["iso3_code"])
+    files.write_table(shapes.registry_replies(spark, sf), f"{root}/registry", format="text")
+    return food.security(
+        spark, root, shapes.country_table(spark, sf), level="subnational", multi_line=False
+    )
+
+
+@query("select o_orderkey, o_totalprice from orders")
+def snapshot_keep_release(spark, sf):
+    """A kept table written as snapshot, forgotten, and written anew."""
+    root = landing.new_folder(spark, "snapshots")
+    kept = snapshots.keep(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"))
+    snapshots.write(kept, root)
+    snapshots.clear(spark, root)
+    again = snapshots.reuse(spark, root, lambda: kept)
+    snapshots.release(kept)
+    return again
+
+
 # --- analysis helpers --------------------------------------------------------
 
 
@@ -977,7 +1080,7 @@ def _customers_with_legacy_code(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _write_csv(df: DataFrame, name: str, **options) -> str:
-    path = scratch.new_folder(df.sparkSession, name)
+    path = landing.new_folder(df.sparkSession, name)
     files.write_table(df, path, format="csv", header=True, escape='"', **options)
     return path
 
@@ -990,7 +1093,7 @@ def _write_inflation(spark: SparkSession, sf: str, root: str) -> None:
 
 
 def _outlook_files(spark: SparkSession, sf: str) -> str:
-    path = scratch.new_folder(spark, "outlook")
+    path = landing.new_folder(spark, "outlook")
     files.write_table(
         shapes.outlook_records(spark, sf), path, partition_by=["vintage_year", "vintage_month"]
     )
