@@ -85,9 +85,8 @@ def inflation(
     )
     raw = filters.select_values(raw, INDICATOR_ID, [INFLATION_INDICATORS[n] for n in names])
     raw = filters.select_values(raw, fields.ISO3_CODE, codes)
-    df = quality.check_types(shape_inflation(raw, country_table), schemas.INFLATION_DATA)
-    _warn_without_data(df, codes)
-    return df
+    _warn_without_rows(raw, codes, names)
+    return quality.check_types(shape_inflation(raw, country_table), schemas.INFLATION_DATA)
 
 
 def security(
@@ -123,9 +122,9 @@ def security(
         filters.select_values(raw, fields.ISO3_CODE, codes), _with_data(listed), fields.ISO3_CODE
     )
     shape = shape_national if level == "national" else shape_subnational
-    df = quality.check_types(shape(raw, country_table), schema)
-    _warn_without_data(df, codes)
-    return df
+    landed = files.list_files(spark, f"{root}/{level}/*")
+    _warn_unlisted(_with_data(listed), landed, codes)
+    return quality.check_types(shape(raw, country_table), schema)
 
 
 def missing_countries(df: DataFrame, codes: Sequence[str]) -> DataFrame:
@@ -210,8 +209,30 @@ def _with_data(registry: DataFrame) -> DataFrame:
     return filters.drop_missing(registry, fields.DATA_TYPE)
 
 
-def _warn_without_data(df: DataFrame, codes: list[str] | None) -> None:
-    """Log the requested countries without rows; the caller asked for a short list."""
-    if codes:
-        for row in missing_countries(df, codes).collect():
-            logger.warning("Data not found for country - %s", row.missing_code)
+def _warn_without_rows(raw: DataFrame, codes: list[str] | None, names: Sequence[str]) -> None:
+    """Log the requested countries, and indicators of them, whose files hold no row.
+
+    Only the folder values are asked for, of the requested folders: no cell is parsed.
+    """
+    if not codes:
+        return
+    found = {(r[0], r[1]) for r in raw.select(INDICATOR_ID, fields.ISO3_CODE).distinct().collect()}
+    for code in codes:
+        missing = [name for name in names if (INFLATION_INDICATORS[name], code) not in found]
+        if len(missing) == len(names):
+            logger.warning("Data not found for country - %s", code)
+            continue
+        for name in missing:
+            logger.warning("Data not found for country - %s, indicator - %s", code, name)
+
+
+def _warn_unlisted(listed: DataFrame, found: DataFrame, codes: list[str] | None) -> None:
+    """Log the requested countries that the registry or the folders do not have."""
+    if not codes:
+        return
+    code = F.col(fields.ISO3_CODE)
+    folders = found.select(F.regexp_extract("path", f"/{fields.ISO3_CODE}=([^/]+)/", 1).alias("c"))
+    known = {r[0] for r in listed.where(code.isin(codes)).select(code).distinct().collect()}
+    known &= {r.c for r in folders.where(F.col("c").isin(codes)).distinct().collect()}
+    for missing in sorted(set(codes) - known):
+        logger.warning("Data not found for country - %s", missing)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from devdata_spark import fields, quality
 from devdata_spark.errors import DataExtractionError, DataFormattingError
+from devdata_spark.functions import text
 from devdata_spark.operators import columns, filters, latest
 from devdata_spark.sources import files
 
@@ -35,8 +36,13 @@ def data(
     *,
     legacy_entity_codes: bool = False,
 ) -> DataFrame:
-    """One release: the latest, or a pinned one such as `("April", 2023)`."""
+    """One release: the latest, or a pinned one such as `("April", 2023)`.
+
+    The latest one is found among the folder names, so only its files are opened.
+    """
     vintages = files.read_parquet(spark, root)
+    if version == "latest":
+        version = newest_version(spark, root)
     raw = select_version(vintages, version).drop(VINTAGE_YEAR, VINTAGE_MONTH)
     df = shape(raw)
     if legacy_entity_codes:
@@ -45,6 +51,18 @@ def data(
     return quality.validate(df, REQUIRED)
 
 
+def newest_version(spark: SparkSession, root: str) -> tuple[str, int]:
+    """Month and year of the newest landed release, from the listing alone."""
+    found = files.list_files(spark, f"{root}/{VINTAGE_YEAR}=*/{VINTAGE_MONTH}=*")
+    year = F.regexp_extract("path", f"/{VINTAGE_YEAR}=([0-9]+)/", 1).cast("int")
+    month = F.regexp_extract("path", f"/{VINTAGE_MONTH}=([^/]+)/", 1)
+    # April sorts before October as text too
+    newest = found.agg(F.max(F.struct(year.alias("y"), month.alias("m"))).alias("v")).first().v
+    if newest is None:
+        raise DataExtractionError("No release found")
+    return newest.m, newest.y
+
+
 def select_version(vintages: DataFrame, version: str | tuple[str, int] = "latest") -> DataFrame:
     """Rows of one release; the choice prunes partitions."""
     if version == "latest":
@@ -61,7 +79,7 @@ def select_version(vintages: DataFrame, version: str | tuple[str, int] = "latest
 def shape(raw: DataFrame) -> DataFrame:
     """Harmonised names, other names in lower case, rows without a value dropped."""
     df = columns.lower_names(columns.rename(raw, COLUMNS))
-    typed = columns.clean(df, value=lambda c: c.cast("double"), year=lambda c: c.cast("int"))
+    typed = columns.clean(df, value=lambda c: text.strict(c, "double"), year=lambda c: text.strict(c, "int"))
     return filters.skip_blanks(columns.nan_to_null(typed))
 
 
