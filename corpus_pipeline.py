@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from devdata_spark.llm import bpe, contamination, line_dedup, ngram_join, toxicity
-from devdata_spark.llm.common import join_small
+from devdata_spark.llm.common import join_small, shared_folder
 
 TOXIC = 0.5
 
@@ -77,7 +77,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     names, and read again as the next stage's documents.
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
         path = f"{folder}/{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
