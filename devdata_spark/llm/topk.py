@@ -83,8 +83,7 @@ def top_k(
         covered += classes[c]["n"]
 
     blocks = spark.createDataFrame(
-        [(c, salts[c], float(np.sqrt(classes[c]["norm2"])), c in first) for c in classes],
-        "length_class LONG, salts LONG, longest DOUBLE, first BOOLEAN",
+        [(c, salts[c], c in first) for c in classes], "length_class LONG, salts LONG, first BOOLEAN"
     )
     candidates = (
         rows.select(F.col("id").alias("x_id"), F.col("v").alias("x_v"), "length_class")
@@ -96,13 +95,24 @@ def top_k(
         "id", "v", "norm2", F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int").alias("q_block")
     )
 
-    def meet(asking: DataFrame, which: Column) -> DataFrame:
+    def meet(asking: DataFrame, opening: bool) -> DataFrame:
+        which = F.col("first") == opening
+        own = F.array(
+            *[
+                F.struct(
+                    F.lit(c).cast("long").alias("length_class"),
+                    F.lit(salts[c]).cast("long").alias("salts"),
+                    F.lit(float(np.sqrt(classes[c]["norm2"]))).alias("longest"),
+                )
+                for c in sorted(classes) if (c in first) == opening
+            ]
+        ).cast("array<struct<length_class:bigint,salts:bigint,longest:double>>")
         sent = (
-            asking.join(F.broadcast(blocks.filter(which)))
+            asking.select("*", F.inline(own))
             # a class whose longest vector cannot reach the threshold is not asked
             .filter(F.sqrt("norm2") * F.col("longest") * (1 + 1e-9) + 1e-6 >= F.col("least"))
             .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
-        )
+        )
         key = ["q_block", "length_class", "salt"]
         return (
             sent.select(*key, "id", "v", "least")
@@ -115,7 +125,7 @@ def top_k(
         )
 
     none = F.lit(float("-inf"))
-    begun = checkpointed(meet(asked.withColumn("least", none), F.col("first")))
+    begun = checkpointed(meet(asked.withColumn("least", none), True))
     reached = (
         begun.groupBy("query_id", "score").count()
         .withColumn("above", F.sum("count").over(
@@ -125,7 +135,7 @@ def top_k(
         .agg(F.max("score").cast("double").alias("least"))
     )
     thresholds = asked.join(reached, "id", "left").withColumn("least", F.coalesce("least", none))
-    found = begun.union(meet(thresholds, ~F.col("first")))
+    found = begun.union(meet(thresholds, False))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(order))
