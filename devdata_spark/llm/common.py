@@ -1,6 +1,7 @@
 """What several corpus operators share: native match positions, clean inputs, checkpoints."""
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -34,24 +35,41 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(application)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows kept in the shared checkpoint folder, with their lineage cut.
+_local_folders: dict[str, str] = {}
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that `spark.checkpoint.dir` names.
 
-    The folder is the session's `spark.checkpoint.dir`. Only a local session without
-    that setting gets a temporary folder; a cluster session stops.
+    Only a local session without that setting gets a temporary one; a cluster session
+    stops, since a folder of one machine would not do.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share")
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="shared-")
+    return _local_folders[application]
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows kept in the shared folder, with their lineage cut."""
+    context = df.sparkSession.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local["):
-                raise RuntimeError("Set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="checkpoints-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a Parquet table in the shared folder: smaller than a checkpoint."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def match_spans(text: Column, pattern: Column | str, measure=F.length) -> Column:
     """Places of all leftmost, non-overlapping matches: array<struct<start,end,found>>.
 

@@ -17,9 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from devdata_spark.llm import bwt
-from devdata_spark.llm.common import checkpointed, join_small, ship
+from devdata_spark.llm.common import SENT_ROWS, checkpointed, join_small, ship, written
 from devdata_spark.llm.packed import mix, pack, shared
-from devdata_spark.scratch import materialise
 
 LENGTH = 50
 GRAM = 20
@@ -137,23 +136,54 @@ def _narrow(rest: DataFrame, common: DataFrame, buckets: int) -> DataFrame:
 
 def _wide(rest: DataFrame, common: DataFrame) -> DataFrame:
     """doc_id, first, last: covered strings of anchors that very many documents share."""
-    strings = materialise(
+    strings = written(
         join_small(rest, _keys_of(common), "doc_id").mapInArrow(
             _strings, "string BIGINT, doc_id BIGINT, first INT"
         ),
         "strings",
     )
-    least = (
+    least = checkpointed(
         strings.groupBy("string").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
         .filter("least < most").select("string", "least")
     )
+    if least.count() <= SENT_ROWS:
+        known = least.toPandas().sort_values("string")
+        sent = rest.sparkSession.sparkContext.broadcast(
+            (known["string"].to_numpy(), known["least"].to_numpy())
+        )
+        return strings.mapInArrow(_runs(sent), "doc_id BIGINT, first INT, last INT")
     return (
-        join_small(strings, least, "string")
+        strings.join(least, "string")
         .filter("doc_id > least")
         .select("doc_id", "first", (F.col("first") + LENGTH).alias("last"))
     )
 
 
+def _runs(sent):
+    """Stretches of neighbouring strings that also start in a smaller document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, least = sent.value
+        for batch in batches:
+            string, doc, first = (
+                batch.column(c).to_numpy() for c in ("string", "doc_id", "first")
+            )
+            if not len(known) or not len(string):
+                continue
+            at = np.minimum(np.searchsorted(known, string), len(known) - 1)
+            hit = (known[at] == string) & (least[at] < doc)
+            doc, first = doc[hit], first[hit]
+            if not len(doc):
+                continue
+            fresh = np.r_[True, (doc[1:] != doc[:-1]) | (first[1:] != first[:-1] + 1)]
+            end = first[np.r_[fresh[1:], True]] + LENGTH
+            yield pa.record_batch(
+                {"doc_id": doc[fresh], "first": first[fresh], "last": end.astype(np.int32)}
+            )
+
+    return run
+
+
 def _anchor_entries(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     keys, nodes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
     for doc, content in _contents(batch):
