@@ -9,7 +9,7 @@ IC(e) = log2(N / c(e)). Native expressions only.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from devdata_spark.llm.common import match_spans
+from devdata_spark.llm.common import join_small, match_spans, written
 
 # Kinds in the order of the result, and what each looks like. Loops are
 # possessive and starts are anchored where that changes no match, so that long runs of
@@ -90,7 +90,7 @@ def find(
             match_spans(F.col("text"), words), lambda s: _tag(F.lit("name"), s)
         )
     hits = marked.withColumn("entities", F.concat("base", extra)).filter(F.size("entities") > 0)
-    pairs = _pairs(hits, window)
+    pairs = written(_pairs(hits, window), "pairs")
     flagged = _disclosing(docs, pairs, share, min_contexts)
     terms = (
         pairs.select("doc_id", "entity")
@@ -110,7 +110,7 @@ def find(
         lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
     )
     return (
-        marked.join(terms, "doc_id", "left")
+        join_small(marked, terms, "doc_id", "left")
         .withColumn("terms", F.when(F.size("words") > 0, spans).otherwise(F.array().cast(SPANS)))
         .withColumn("sanitised", _sanitised())
         .select("doc_id", "text", "base", "terms", "sanitised")
@@ -181,17 +181,16 @@ def _disclosing(
         ).alias("term")
     )
     frequency = (
-        words.join(together.select("term").distinct(), "term", "left_semi")
+        join_small(words, together.select("term").distinct(), "term", "left_semi")
         .groupBy("term")
         .agg(F.count("*").alias("with_term"))
     )
-    total = docs.agg(F.count("*").alias("total"))
-    pmi = F.log2(F.col("total") * F.col("both") / (F.col("with_entity") * F.col("with_term")))
-    content = F.log2(F.col("total") / F.col("with_entity"))
+    total = F.lit(docs.count())
+    pmi = F.log2(total * F.col("both") / (F.col("with_entity") * F.col("with_term")))
+    content = F.log2(total / F.col("with_entity"))
     return (
         together.join(holders, "entity")
         .join(frequency, "term")
-        .join(F.broadcast(total))  # one row
         .withColumn("ratio", F.when(content > 0, pmi / content))
         .filter(F.col("ratio") >= share)
         .select("entity", "term", "ratio")
