@@ -173,8 +173,7 @@ def _number(version: str) -> str:
     return whole + {"": "(?: 0)?", "0": "(?: 0)?"}.get(part, f" {part}") + "(?! [0-9])"
 
 
-# Words of a text before letters are lowered, and what lies between words.
-RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]++"
+# What lies between words, before or after letters are lowered.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]++"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -189,7 +188,6 @@ def scan(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     """
     ordered = [(a, b, c, float(d), i) for i, (a, b, c, d) in enumerate(rules())]
     keywords = sorted({rule[1] for rule in ordered})
-    gate = "(?i)(?:" + "|".join(keywords) + ")"
     docs = documents.select(
         F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
@@ -215,9 +213,15 @@ def scan(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     empty = F.array().cast(
         "array<struct<label:string,start:int,end:int,rank:int,weight:double>>"
     )
+    # `lower` changes letters beyond A-Z too: the gate may let a text more pass, no less
+    parts, last = F.col("parts"), F.size("parts") - 1
+    ends = (F.get(parts, F.lit(0)) == "").cast("int")
+    ends += ((last > 0) & (F.get(parts, last) == "")).cast("int")
+    gate = F.arrays_overlap(parts, F.array(*map(F.lit, keywords)))
     return (
-        docs.withColumn("n_words", F.regexp_count("text", F.lit(RAW_WORD)).cast("long"))
-        .withColumn("words", F.when(F.col("text").rlike(gate), words))
+        docs.withColumn("parts", F.split(F.lower("text"), BETWEEN, -1))
+        .withColumn("n_words", (F.size(parts) - ends).cast("long"))
+        .withColumn("words", F.when(gate, words))
         .withColumn("all", F.when(F.col("words").isNotNull(), matched).otherwise(empty))
         .withColumn("base", F.filter("all", lambda d: d["rank"] < len(BASE)))
         .withColumn("detections", F.filter("all", lambda d: ~_suppressed(d)))
