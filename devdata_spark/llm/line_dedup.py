@@ -13,17 +13,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from devdata_spark.llm.common import checkpointed, join_small, ship
-from devdata_spark.llm.linking import linked
+from devdata_spark.llm.linking import SKETCH, SKETCH_SCHEMA, linked, sketch
 from devdata_spark.llm.packed import mix, pack, shared
 
 SHINGLE = 8
-SIMILARITY = 0.8
+PERCENT = 80
 # At a similarity of 0.8 a pair shares one of the bands with a chance of 0.998.
 BANDS, ROWS = 12, 4
 BINS = BANDS * ROWS
 # Odd numbers; each shingle goes into a bin by each of them, so that short lines fill most bins.
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 EMPTY = np.uint32(0xFFFFFFFF)
+# Up to so many places of removed lines (24 MB) are sent to every task.
+SENT_PLACES = 1_500_000
 
 
 def shingle_set(line: str) -> set[str]:
@@ -33,10 +35,10 @@ def shingle_set(line: str) -> set[str]:
     return {line[i : i + SHINGLE] for i in range(len(line) - SHINGLE + 1)}
 
 
-def band_keys(lines: list[str]) -> np.ndarray:
-    """Index keys of lines: an array of lines by bands of 64-bit integers."""
+def _hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all shingles of the lines, and the line of each."""
     # a short line is filled up with a sign of its own, so that it is one shingle
-    padded = [t if len(t) >= SHINGLE else t.ljust(SHINGLE, "￿") for t in lines]
+    padded = [t if len(t) >= SHINGLE else t.ljust(SHINGLE, "\uffff") for t in lines]
     sizes = np.array([len(t) for t in padded], np.int64)
     codes = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), np.uint32)
     hashes = codes.astype(np.uint64)
@@ -47,7 +49,13 @@ def band_keys(lines: list[str]) -> np.ndarray:
     ends = np.cumsum(sizes)
     line = np.repeat(np.arange(len(lines)), sizes)[: len(hashes)]
     inside = np.arange(len(hashes)) + SHINGLE <= ends[line]
-    hashes, line = mix(hashes[inside]), line[inside] * BINS
+    return mix(hashes[inside]), line[inside]
+
+
+def band_keys(lines: list[str]) -> np.ndarray:
+    """Index keys of lines: an array of lines by bands of 64-bit integers."""
+    hashes, line = _hashes(lines)
+    line = line * BINS
     least = np.full(len(lines) * BINS, EMPTY)
     for factor in FACTORS:
         own = hashes * np.uint64(factor)
@@ -102,8 +110,9 @@ def dedup(
         .withColumn("node", F.xxhash64("line"))
     )
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    entries = shared(pack(lines.select("node", "line"), _entries, buckets))
-    roots = linked(entries, lambda pairs: _verified(lines, pairs))
+    entries = checkpointed(shared(pack(lines.select("node", "line"), _entries, buckets)))
+    items = checkpointed(_items(lines, entries))
+    roots = linked(entries, items, PERCENT, lambda pairs: _verified(items, pairs))
     placed = join_small(lines.drop("line"), roots, "node", "left").select(
         "doc_id", "place", "node", F.coalesce("root", "node").alias("root")
     )
@@ -119,6 +128,9 @@ def dedup(
         .groupBy("doc_id")
         .agg(F.collect_set(F.struct("place", "node")).alias("gone"))
     )
+    gone = checkpointed(gone)
+    if (gone.agg(F.sum(F.size("gone") + 2)).first()[0] or 0) <= SENT_PLACES:
+        gone = F.broadcast(gone)
     marked = F.transform(
         F.split("text", "\n", -1),
         lambda line, i: F.struct(i.alias("place"), F.xxhash64(line).alias("node")),
@@ -152,26 +164,42 @@ def _entries(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return keys.ravel(), np.repeat(nodes, BANDS)
 
 
-def _verified(lines: DataFrame, pairs: DataFrame) -> DataFrame:
+def _items(lines: DataFrame, entries: DataFrame) -> DataFrame:
+    """The lines that share a key, with the size and sketch of their shingle sets."""
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column("line").to_pylist()
+            sets = [np.unique(_hashes([t])[0]) for t in texts]
+            sketches = np.array([sketch(s) for s in sets], np.int64).reshape(len(sets), -1)
+            columns = {
+                "node": batch.column("node"),
+                "line": batch.column("line"),
+                "n": pa.array([len(s) for s in sets], pa.int64()),
+            }
+            columns |= {name: sketches[:, i] for i, name in enumerate(SKETCH)}
+            yield pa.record_batch(columns)
+
+    needed = entries.select("node").distinct()
+    texts = (
+        join_small(lines.select("node", "line"), needed, "node")
+        .groupBy("node").agg(F.min("line").alias("line"))
+    )
+    return texts.mapInArrow(run, f"node BIGINT, line STRING, n BIGINT, {SKETCH_SCHEMA}")
+
+
+def _verified(items: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes whose lines are similar enough."""
-    pairs = checkpointed(pairs)
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    texts = checkpointed(
-        join_small(lines.select("node", "line"), needed, "node").groupBy("node").agg(
-            F.first("line").alias("line")
-        )
-    )
 
-    @F.pandas_udf("double")
-    def jaccard(a: pd.Series, b: pd.Series) -> pd.Series:
-        def one(x: str, y: str) -> float:
+    @F.pandas_udf("boolean")
+    def similar(a: pd.Series, b: pd.Series) -> pd.Series:
+        def one(x: str, y: str) -> bool:
             s, t = shingle_set(x), shingle_set(y)
             common = len(s & t)
-            return common / (len(s) + len(t) - common)
+            return 100 * common >= PERCENT * (len(s) + len(t) - common)
 
-        return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="float64")
+        return pd.Series([one(x, y) for x, y in zip(a, b)], dtype=bool)
 
-    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("line").alias("x")), "a").join(
-        texts.select(F.col("node").alias("b"), F.col("line").alias("y")), "b"
-    )
-    return both.filter(jaccard("x", "y") >= SIMILARITY).select("a", "b")
+    texts = items.select("node", "line")
+    both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
+    return both.filter(similar("x", "y")).select("a", "b")
