@@ -1,54 +1,126 @@
 """From nodes that share a key to components of verified links, without all pairs."""
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from devdata_spark.llm.common import checkpointed, join_small
 from devdata_spark.llm.graph import components
 
+# Rounds in which nodes are compared with one node of each key only.
+ROUNDS = 3
+BITS = 1024
+SKETCH = [f"sketch_{i}" for i in range(BITS // 64)]
+SKETCH_SCHEMA = ", ".join(f"{name} BIGINT" for name in SKETCH)
 
-def linked(entries: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+
+def sketch(sets: np.ndarray) -> np.ndarray:
+    """Parities of a set's hashes in `BITS` classes, as 64-bit integers.
+
+    Each element in which two sets differ changes one parity, so sets differ in at least
+    as many elements as sketches do in bits.
+    """
+    parity = np.bincount((sets >> np.uint64(8)).astype(np.int64) & (BITS - 1), minlength=BITS) & 1
+    return np.packbits(parity.astype(np.uint8)).view(np.int64)
+
+
+def may_link(percent: int, x: str, y: str) -> Column:
+    """Whether sizes and sketches allow a Jaccard similarity of `percent`.
+
+    Such sets of r and s elements differ in (r + s) (100 - percent) / (100 + percent)
+    elements at most.
+    """
+    n_x, n_y = F.col(f"{x}.n"), F.col(f"{y}.n")
+    bits = [F.bit_count(F.col(f"{x}.{s}").bitwiseXOR(F.col(f"{y}.{s}"))) for s in SKETCH]
+    apart = reduce(Column.__add__, bits)
+    sizes = 100 * F.least(n_x, n_y) >= percent * F.greatest(n_x, n_y)
+    return sizes & (apart * (100 + percent) <= (n_x + n_y) * (100 - percent))
+
+
+def linked(
+    entries: DataFrame, items: DataFrame, percent: int, verify: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
     """node, root: components of the links among nodes that share a key.
 
-    `entries` has (key, node), each once; `verify` takes distinct pairs (a, b) with a < b
-    and returns those that are links. First each key's nodes are compared with its
-    smallest one, which joins most of a group of copies. Then only nodes of one key that
-    are still apart are compared: those outside the key's largest component with all
-    nodes of the key's other components. So every pair of a key is a link inside one
-    component or has been verified, and pairs inside a component are never made.
+    `entries` has (key, node), each once; `items` has node, n (the size of its set) and
+    its sketch; `verify` takes distinct pairs (a, b) with a < b and returns those that are
+    links. In a few rounds each key's nodes are compared with the one of them that shares
+    most keys, first of all its nodes, then of those outside its largest component; a
+    copied text's nodes mostly meet in these. What is still apart in a key is compared in
+    full, where sizes and sketches allow a link. So each pair of a key is inside one
+    component, ruled out by its sketches or verified.
     """
+    items = checkpointed(items.select("node", "n", *SKETCH))
     entries = checkpointed(entries)
-    least = entries.groupBy("key").agg(F.min("node").alias("first"))
-    starred = join_small(entries, least, "key").filter("node <> first")
-    pairs = starred.select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    links = checkpointed(verify(pairs))
-    roots = checkpointed(components(links))
+    sizes = entries.groupBy("key").agg(F.count("*").alias("sharing"))
+    sharing = join_small(entries, sizes, "key").groupBy("node").agg(F.sum("sharing").alias("rank"))
     placed = checkpointed(
-        join_small(entries, roots, "node", "left").select(
-            "key", "node", F.coalesce("root", "node").alias("root")
-        )
+        join_small(entries, sharing, "node").withColumn("root", F.col("node"))
     )
-    sizes = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
+    spark = entries.sparkSession
+    tested = spark.createDataFrame([], "a LONG, b LONG")
+    links, roots = tested, spark.createDataFrame([], "node LONG, root LONG")
+    for round_ in range(ROUNDS):
+        open_keys = _open(placed)
+        inside = F.lit(True) if round_ == 0 else F.col("root") != F.col("top")
+        pivots = (
+            open_keys.filter(inside)
+            .groupBy("key")
+            .agg(F.max(F.struct("rank", "node", "root")).alias("pivot"))
+            .select("key", F.col("pivot.node").alias("pivot"), F.col("pivot.root").alias("pivot_root"))
+        )
+        pairs = checkpointed(
+            join_small(open_keys, pivots, "key")
+            .filter("root <> pivot_root")
+            .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+            .distinct()
+            .join(tested, ["a", "b"], "left_anti")
+        )
+        if pairs.isEmpty():
+            break
+        found = checkpointed(verify(pairs))
+        tested = tested.union(pairs)
+        if found.isEmpty():
+            continue
+        links = links.union(found)
+        roots = checkpointed(components(links))
+        placed = checkpointed(
+            join_small(placed.drop("root"), roots, "node", "left").withColumn(
+                "root", F.coalesce("root", "node")
+            )
+        )
+    rest = checkpointed(_open(placed).join(items, "node"))
+    rest = rest.select("key", "node", "root", "top", "n", *SKETCH)
+    late = (
+        rest.filter("root <> top").alias("x")
+        .join(
+            rest.alias("y"),
+            (F.col("x.key") == F.col("y.key"))
+            & (F.col("x.root") != F.col("y.root"))
+            & may_link(percent, "x", "y"),
+        )
+        .select(
+            F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
+        )
+        .distinct()
+        .join(tested, ["a", "b"], "left_anti")
+    )
+    late = checkpointed(late)
+    if late.isEmpty():
+        return roots
+    return checkpointed(components(links.union(verify(late))))
+
+
+def _open(placed: DataFrame) -> DataFrame:
+    """The entries of keys that still have several components, and the largest one."""
+    sizes = placed.groupBy("key", "root").agg(F.count("*").alias("size"))
     largest = (
         sizes.groupBy("key")
-        .agg(F.count("*").alias("parts"), F.max(F.struct("n", "root")).alias("top"))
+        .agg(F.count("*").alias("parts"), F.max(F.struct("size", "root")).alias("top"))
         .filter("parts > 1")
         .select("key", F.col("top.root").alias("top"))
     )
-    open_keys = checkpointed(join_small(placed, largest, "key"))
-    apart = open_keys.filter("root <> top").select(
-        "key", F.col("node").alias("x"), F.col("root").alias("x_root")
-    )
-    more = (
-        apart.join(open_keys.select("key", "node", "root"), "key")
-        .filter("x_root <> root")
-        .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
-        .distinct()
-        .join(pairs, ["a", "b"], "left_anti")
-    )
-    late = checkpointed(verify(more))
-    if late.isEmpty():
-        return roots
-    return checkpointed(components(links.union(late)))
+    return checkpointed(join_small(placed, largest, "key"))

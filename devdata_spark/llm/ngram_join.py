@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from devdata_spark.llm.common import checkpointed, join_small, ship
-from devdata_spark.llm.linking import linked
+from devdata_spark.llm.linking import SKETCH, SKETCH_SCHEMA, linked, sketch
 from devdata_spark.llm.packed import mix, pack, shared
 
 N = 3
@@ -128,7 +128,11 @@ def classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     docs = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sized = checkpointed(_sized(docs))
     usable = sized.filter("doc_id IS NOT NULL AND n_shingles > 0")
-    groups = usable.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"))
+    groups = checkpointed(
+        usable.groupBy("node").agg(
+            F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n")
+        )
+    )
     most = usable.agg(F.max("n_shingles")).first()[0] or 1
     edges = _edges(most)
     counted = groups.groupBy(F.floor(F.log("n") * 64).alias("size")).agg(
@@ -136,13 +140,9 @@ def classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     )
     plans = _plans(edges, [(r["sets"], r["shingles"]) for r in counted.collect()])
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    entries = shared(pack(docs, _indexer(edges, plans), buckets))
-    groups = checkpointed(groups)
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        return _verified(docs, groups, pairs)
-
-    roots = linked(entries, verify)
+    entries = checkpointed(shared(pack(docs, _indexer(edges, plans), buckets)))
+    items = checkpointed(_items(docs, groups, entries))
+    roots = linked(entries, items, PERCENT, lambda pairs: _verified(items, pairs))
     rooted = join_small(sized, roots, "node", "left").withColumn(
         "root", F.coalesce("root", "node")
     )
@@ -211,39 +211,38 @@ def _indexer(edges: list[int], plans: list[tuple[int, int]]):
     return entries
 
 
-def _verified(docs: DataFrame, groups: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets are similar enough."""
-    pairs = checkpointed(
-        _sizes_allow(
-            pairs.join(groups.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a").join(
-                groups.select(F.col("node").alias("b"), F.col("n").alias("n_b")), "b"
-            )
-        )
-    )
-    needed = (
-        pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        .join(groups, "node").select("node", "doc_id")
-    )
+def _items(docs: DataFrame, groups: DataFrame, entries: DataFrame) -> DataFrame:
+    """The sets of the nodes that share a key, one document's for each node."""
+    needed = groups.join(entries.select("node").distinct(), "node").select("node", "doc_id")
 
     def run(batches):
         for batch in batches:
-            sets = [shingles(t).view(np.int64) for t in batch.column("text").to_pylist()]
-            yield pa.record_batch(
-                {"node": batch.column("node"), "s": pa.array(sets, pa.list_(pa.int64()))}
-            )
+            sets = [shingles(t) for t in batch.column("text").to_pylist()]
+            sketches = np.array([sketch(s) for s in sets], np.int64).reshape(len(sets), -1)
+            columns = {
+                "node": batch.column("node"),
+                "n": pa.array([len(s) for s in sets], pa.int64()),
+                "s": pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+            }
+            columns |= {name: sketches[:, i] for i, name in enumerate(SKETCH)}
+            yield pa.record_batch(columns)
 
     texts = join_small(docs, needed, "doc_id").select("node", "text")
-    sets = checkpointed(
-        texts.mapInArrow(run, "node BIGINT, s ARRAY<BIGINT>").dropDuplicates(["node"])
-    )
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("s_a")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("s").alias("s_b")), "b"
-    )
-    common = F.size(F.array_intersect("s_a", "s_b"))
-    return both.filter(
-        100 * common >= PERCENT * (F.size("s_a") + F.size("s_b") - common)
-    ).select("a", "b")
+    made = texts.mapInArrow(run, f"node BIGINT, n BIGINT, s ARRAY<BIGINT>, {SKETCH_SCHEMA}")
+    return made.dropDuplicates(["node"])
 
 
-def _sizes_allow(pairs: DataFrame) -> DataFrame:
-    return pairs.filter(100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
+def _verified(items: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets are similar enough."""
+    sizes = items.select("node", "n")
+    fitting = (
+        pairs.join(sizes.toDF("a", "n_a"), "a")
+        .join(sizes.toDF("b", "n_b"), "b")
+        .filter(100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
+    )
+    sets = items.select("node", "s")
+    both = fitting.join(sets.toDF("a", "s_a"), "a").join(sets.toDF("b", "s_b"), "b")
+    common = F.size(F.array_intersect("s_a", "s_b"))
+    return both.filter(100 * common >= PERCENT * (F.col("n_a") + F.col("n_b") - common)).select(
+        "a", "b"
+    )

@@ -109,7 +109,7 @@ def test_similar_lines_share_a_band():
                 other[rng.randrange(size)] = "Z"
             other = "".join(other)
             a, b = line_dedup.shingle_set(line), line_dedup.shingle_set(other)
-            if len(a & b) / len(a | b) >= line_dedup.SIMILARITY:
+            if len(a & b) / len(a | b) >= line_dedup.PERCENT / 100:
                 pairs += 1
                 keys = line_dedup.band_keys([line, "between", other])
                 missed += not (keys[0] == keys[2]).any()

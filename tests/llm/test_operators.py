@@ -7,6 +7,8 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from devdata_spark.llm import (
@@ -89,10 +91,20 @@ def test_linked_verifies_all_pairs_that_matter(spark):
     def verify(pairs):
         return pairs.filter("a > 0 AND b - a = 1 AND b <> 7")
 
-    found = {r.node: r.root for r in linking.linked(entries, verify).collect()}
+    plain = [F.lit(0).cast("long").alias(name) for name in linking.SKETCH]
+    items = entries.select("node", F.lit(1).cast("long").alias("n"), *plain)
+    found = {r.node: r.root for r in linking.linked(entries, items, 90, verify).collect()}
     assert found == {**{n: 1 for n in range(1, 7)}, **{n: 7 for n in range(7, 12)}}
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.sets(st.integers(0, 2**64 - 1), max_size=60), st.sets(st.integers(0, 2**64 - 1), max_size=9))
+def test_sketches_differ_in_no_more_bits_than_sets_in_elements(some, change):
+    a, b = (np.array(sorted(s), np.uint64) for s in (some, some ^ change))
+    bits = np.unpackbits((linking.sketch(a) ^ linking.sketch(b)).view(np.uint8)).sum()
+    assert bits <= len(change) and len(linking.sketch(a)) == len(linking.SKETCH)
+
+
 def test_shared_keys(spark):
     rng = random.Random(8)
     rows = [(rng.randrange(60), rng.randrange(1, 9)) for _ in range(150)]
@@ -152,9 +164,10 @@ def suffix_brute_force(rows):
     return out
 
 
-@pytest.mark.parametrize("split", [suffix_dedup.SPLIT_DOCUMENTS, 3])
+@pytest.mark.parametrize("split", [(2_000, 10), (3, 100_000), (3, 10)])
 def test_suffix_dedup_equals_brute_force(spark, corpus, split, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "SPLIT_DOCUMENTS", split)
+    monkeypatch.setattr(suffix_dedup, "SPLIT_DOCUMENTS", split[0])
+    monkeypatch.setattr(suffix_dedup, "SENT_ROWS", split[1])
     expected = suffix_brute_force(corpus)
     found = suffix_dedup.dedup(table(spark, corpus)).collect()
     assert len(found) == len(corpus)
@@ -179,7 +192,7 @@ def test_line_dedup_equals_all_pairs(spark):
 
     def similar(a, b):
         s, t = line_dedup.shingle_set(a), line_dedup.shingle_set(b)
-        return len(s & t) / len(s | t) >= line_dedup.SIMILARITY
+        return len(s & t) / len(s | t) >= line_dedup.PERCENT / 100
 
     real = sorted({x for i, t in rows if i is not None for x in (t or "").split("\n") if x.strip(" ")})
     links = [(a, b) for a in real for b in real if a < b and similar(a, b)]
