@@ -63,6 +63,22 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+# Rows of a few numbers that one task can well take: some 10 MB.
+NARROW_ROWS = 100_000
+
+
+def gathered(df: DataFrame) -> DataFrame:
+    """Checkpointed rows of a few numbers, in no more partitions than their count needs.
+
+    What later shuffles them then writes a file for each of these, not for each of the
+    many that a large shuffle left.
+    """
+    kept = checkpointed(df)
+    partitions = kept._jdf.rdd().getNumPartitions()
+    needed = 8 + kept.count() // NARROW_ROWS if partitions > 16 else partitions
+    return kept.coalesce(needed) if needed < partitions else kept
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder: smaller than a checkpoint."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
@@ -110,7 +126,7 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner") -> Data
     `small` is checkpointed, so it is made once, and, beyond `SENT_ROWS`, both sides are
     shuffled for the join alone, which lets Spark split skewed partitions.
     """
-    small = checkpointed(small)
+    small = gathered(small)
     if small.count() <= SENT_ROWS:
         small = F.broadcast(small)
     return big.join(small, on, how)

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from devdata_spark.llm.common import checkpointed
+from devdata_spark.llm.common import gathered
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -16,7 +16,7 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     number of rounds in practice. Neighbours are only aggregated, never gathered, so a node
     with very many links is no problem.
     """
-    edges = checkpointed(
+    edges = gathered(
         links.filter("a <> b")
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .distinct()
@@ -25,7 +25,7 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     for _ in range(most_rounds):
         if before[0] == 0:
             break
-        edges = checkpointed(_small_star(_large_star(edges)))
+        edges = gathered(_small_star(_large_star(edges)))
         after = _mark(edges)
         if after == before:
             break

@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from devdata_spark.llm.common import checkpointed, join_small
+from devdata_spark.llm.common import checkpointed, gathered, join_small
 from devdata_spark.llm.graph import components
 
 # Rounds in which nodes are compared with one node of each key only.
@@ -54,10 +54,10 @@ def linked(
     component, ruled out by its sketches or verified.
     """
     items = checkpointed(items.select("node", "n", *SKETCH))
-    entries = checkpointed(entries)
+    entries = gathered(entries)
     sizes = entries.groupBy("key").agg(F.count("*").alias("sharing"))
     sharing = join_small(entries, sizes, "key").groupBy("node").agg(F.sum("sharing").alias("rank"))
-    placed = checkpointed(
+    placed = gathered(
         join_small(entries, sharing, "node").withColumn("root", F.col("node"))
     )
     spark = entries.sparkSession
@@ -72,7 +72,7 @@ def linked(
             .agg(F.max(F.struct("rank", "node", "root")).alias("pivot"))
             .select("key", F.col("pivot.node").alias("pivot"), F.col("pivot.root").alias("pivot_root"))
         )
-        pairs = checkpointed(
+        pairs = gathered(
             join_small(open_keys, pivots, "key")
             .filter("root <> pivot_root")
             .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
@@ -81,13 +81,13 @@ def linked(
         )
         if pairs.isEmpty():
             break
-        found = checkpointed(verify(pairs))
+        found = gathered(verify(pairs))
         tested = tested.union(pairs)
         if found.isEmpty():
             continue
         links = links.union(found)
-        roots = checkpointed(components(links))
-        placed = checkpointed(
+        roots = gathered(components(links))
+        placed = gathered(
             join_small(placed.drop("root"), roots, "node", "left").withColumn(
                 "root", F.coalesce("root", "node")
             )
@@ -108,10 +108,10 @@ def linked(
         .distinct()
         .join(tested, ["a", "b"], "left_anti")
     )
-    late = checkpointed(late)
+    late = gathered(late)
     if late.isEmpty():
         return roots
-    return checkpointed(components(links.union(verify(late))))
+    return gathered(components(links.union(verify(late))))
 
 
 def _open(placed: DataFrame) -> DataFrame:
@@ -123,4 +123,4 @@ def _open(placed: DataFrame) -> DataFrame:
         .filter("parts > 1")
         .select("key", F.col("top.root").alias("top"))
     )
-    return checkpointed(join_small(placed, largest, "key"))
+    return gathered(join_small(placed, largest, "key"))
