@@ -138,48 +138,80 @@ def _wide(rest: DataFrame, common: DataFrame) -> DataFrame:
     """doc_id, first, last: covered strings of anchors that very many documents share."""
     strings = written(
         join_small(rest, _keys_of(common), "doc_id").mapInArrow(
-            _strings, "string BIGINT, doc_id BIGINT, first INT"
+            _strings, "doc_id BIGINT, firsts ARRAY<INT>, strings ARRAY<BIGINT>"
         ),
         "strings",
     )
+    buckets = int(rest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     least = checkpointed(
-        strings.groupBy("string").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-        .filter("least < most").select("string", "least")
-    )
+        pack(strings, _ends, buckets)
+        .groupBy("bucket")
+        .applyInPandas(_least, "string BIGINT, least BIGINT")
+    )
     if least.count() <= SENT_ROWS:
         known = least.toPandas().sort_values("string")
         sent = rest.sparkSession.sparkContext.broadcast(
             (known["string"].to_numpy(), known["least"].to_numpy())
         )
         return strings.mapInArrow(_runs(sent), "doc_id BIGINT, first INT, last INT")
+    each = strings.select("doc_id", F.inline(F.arrays_zip("firsts", "strings")))
     return (
-        strings.join(least, "string")
+        each.join(least, F.col("strings") == F.col("string"))
         .filter("doc_id > least")
-        .select("doc_id", "first", (F.col("first") + LENGTH).alias("last"))
+        .select("doc_id", F.col("firsts").alias("first"), (F.col("firsts") + LENGTH).alias("last"))
     )
 
 
+def _ends(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Of each string in a few documents, the smallest and the largest of them."""
+    keys, nodes = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for doc, strings in zip(batch.column("doc_id").to_pylist(), batch.column("strings")):
+        keys.append(np.unique(strings.values.to_numpy()))
+        nodes.append(np.full(len(keys[-1]), doc, np.int64))
+    key, node = np.concatenate(keys), np.concatenate(nodes)
+    first, last = _first_and_last(key, node)
+    twice = np.concatenate([first, last[~np.isin(last, first)]])
+    return key[twice].view(np.uint64), node[twice]
+
+
+def _first_and_last(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each key's smallest and largest node stand."""
+    order = np.lexsort((nodes, keys))
+    if not len(order):
+        return order, order
+    fresh = np.r_[True, keys[order][1:] != keys[order][:-1]]
+    return order[fresh], order[np.r_[fresh[1:], True]]
+
+
+def _least(group: pd.DataFrame) -> pd.DataFrame:
+    """The smallest document of each string that several documents have."""
+    keys = np.frombuffer(b"".join(group["keys"]), np.int64)
+    nodes = np.frombuffer(b"".join(group["nodes"]), np.int64)
+    first, last = _first_and_last(keys, nodes)
+    several = nodes[first] < nodes[last]
+    return pd.DataFrame({"string": keys[first[several]], "least": nodes[first[several]]})
+
+
 def _runs(sent):
     """Stretches of neighbouring strings that also start in a smaller document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, least = sent.value
         for batch in batches:
-            string, doc, first = (
-                batch.column(c).to_numpy() for c in ("string", "doc_id", "first")
-            )
-            if not len(known) or not len(string):
-                continue
-            at = np.minimum(np.searchsorted(known, string), len(known) - 1)
-            hit = (known[at] == string) & (least[at] < doc)
-            doc, first = doc[hit], first[hit]
-            if not len(doc):
-                continue
-            fresh = np.r_[True, (doc[1:] != doc[:-1]) | (first[1:] != first[:-1] + 1)]
-            end = first[np.r_[fresh[1:], True]] + LENGTH
-            yield pa.record_batch(
-                {"doc_id": doc[fresh], "first": first[fresh], "last": end.astype(np.int32)}
-            )
+            docs, begins, ends = [], [], []
+            columns = (batch.column(c) for c in ("doc_id", "firsts", "strings"))
+            for doc, firsts, strings in zip(*columns) if len(known) else ():
+                string, first = strings.values.to_numpy(), firsts.values.to_numpy()
+                at = np.minimum(np.searchsorted(known, string), len(known) - 1)
+                first = first[(known[at] == string) & (least[at] < doc.as_py())]
+                if len(first):
+                    fresh = np.r_[True, first[1:] != first[:-1] + 1]
+                    begins.append(first[fresh])
+                    ends.append((first[np.r_[fresh[1:], True]] + LENGTH).astype(np.int32))
+                    docs.append(np.full(len(begins[-1]), doc.as_py(), np.int64))
+            if docs:
+                columns = {"doc_id": docs, "first": begins, "last": ends}
+                yield pa.record_batch({k: np.concatenate(v) for k, v in columns.items()})
 
     return run
 
@@ -326,20 +358,24 @@ def _expand(block: list, out: list[tuple[int, int, int]]) -> None:
 
 
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each string of the wanted anchors by its hash, once for a document and place."""
+    """The strings of each document's wanted anchors: their places and hashes."""
     for batch in batches:
         for start in range(0, batch.num_rows, 64):
             strings, docs, firsts = [], [], []
             for doc, content, _, first, last in _hits(batch.slice(start, 64)):
                 if len(first):
-                    hashes = rolling(content, LENGTH)
                     at = np.concatenate([np.arange(a, b + 1) for a, b in zip(first, last)])
-                    strings.append(hashes[at].view(np.int64))
-                    docs.append(np.full(len(at), doc, np.int64))
+                    strings.append(rolling(content, LENGTH)[at].view(np.int64))
                     firsts.append(at.astype(np.int32))
-            if strings:
-                columns = {"string": strings, "doc_id": docs, "first": firsts}
-                yield pa.record_batch({k: np.concatenate(v) for k, v in columns.items()})
+                    docs.append(doc)
+            if docs:
+                yield pa.record_batch(
+                    {
+                        "doc_id": pa.array(docs, pa.int64()),
+                        "firsts": pa.array(firsts, pa.list_(pa.int32())),
+                        "strings": pa.array(strings, pa.list_(pa.int64())),
+                    }
+                )
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
