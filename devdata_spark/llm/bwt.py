@@ -19,9 +19,11 @@ MASK = np.uint64(BLOCK - 1)
 def suffix_ranks(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes in order of their first `depth` symbols at least, and each one's place.
 
-    `symbols` are below 512. The end of the block sorts first.
+    `symbols` are below 512 and no more than `BLOCK`. The end of the block sorts first.
     """
     n = len(symbols)
+    if n > BLOCK:
+        raise ValueError(f"a block of {n} symbols: there are places for {BLOCK}")
     bits = np.uint64(BLOCK_BITS)
     position = np.arange(n, dtype=np.uint64)
     padded = np.zeros(n + 3, np.uint64)

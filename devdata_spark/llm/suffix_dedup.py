@@ -4,8 +4,9 @@ A string of `LENGTH` bytes is assigned to the least hash among its `GRAM`-byte g
 anchor, so equal strings have equal anchors wherever they stand. Only anchors that two
 documents share matter; the strings of such an anchor, one stretch of bytes in each
 document, meet in one block, where suffixes are sorted and common prefixes expanded
-(see `bwt`). Anchors that very many documents share are split into their single strings,
-which are aggregated before any shuffle, so no task gathers such a group.
+(see `bwt`). Anchors that very many documents share, or that cover much of one document,
+are split into their single strings, which are aggregated before any shuffle, so no task
+gathers such a group.
 """
 
 from collections.abc import Iterator
@@ -25,9 +26,13 @@ GRAM = 20
 # An anchor of more documents than this is split into its strings.
 SPLIT_DOCUMENTS = 2_000
 BASE = 0x9E3779B97F4A7C15
+# The last bit of an entry's key: set where an anchor covers much of a document.
+LARGE = np.uint64(1)
 SEPARATOR = 256
 # Stretches that a task gathers before it packs them.
 GATHERED = 100_000
+# Strings that a task gathers before it hands them on.
+GATHERED_STRINGS = 1_000_000
 # Up to so many spans and rows (24 MB) are sent to every task.
 SENT_SPANS = 2_000_000
 STRETCHES = "bucket INT, keys BINARY, docs BINARY, starts BINARY, sizes BINARY, content BINARY"
@@ -52,7 +57,8 @@ def rolling(content: np.ndarray, width: int) -> np.ndarray:
 def anchors(content: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, first, last): runs of string starts first..last that have one anchor gram.
 
-    The anchor of a string is its gram of the least hash, the leftmost of equals.
+    The anchor of a string is its gram of the least hash, the leftmost of equals. Hashes
+    are even: their last bit is `LARGE`.
     """
     strings = len(content) - LENGTH + 1
     if strings <= 0:
@@ -69,7 +75,7 @@ def anchors(content: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     fresh = np.r_[True, least[1:] != least[:-1]]
     first = np.flatnonzero(fresh)
     last = np.r_[first[1:], strings] - 1
-    return least[first], first, last
+    return least[first] & ~LARGE, first, last
 
 
 def dedup(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -97,10 +103,16 @@ def dedup(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     )
     rest = join_small(named, copies, "doc_id", "left_anti")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    common = checkpointed(shared(pack(rest, _anchor_entries, buckets)))
+    # what is left of an anchor in a block: SPLIT_DOCUMENTS documents of so many bytes at most
+    most = bwt.BLOCK // SPLIT_DOCUMENTS
+    entries = checkpointed(shared(pack(rest, _anchor_entries(most), buckets)))
+    large = F.col("key").bitwiseAND(F.lit(int(LARGE))) == int(LARGE)
+    common = entries.filter(~large)
     wide = (
         common.groupBy("key").agg(F.count("*").alias("n"))
         .filter(F.col("n") > SPLIT_DOCUMENTS).select("key")
+        .union(entries.filter(large).select(F.col("key") - int(LARGE)))
+        .distinct()
     )
     wide = checkpointed(wide)
     spans = (
@@ -216,13 +228,32 @@ def _runs(sent):
     return run
 
 
-def _anchor_entries(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    keys, nodes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-    for doc, content in _contents(batch):
-        own = np.unique(anchors(content)[0])
-        keys.append(own)
-        nodes.append(np.full(len(own), doc, np.int64))
-    return np.concatenate(keys), np.concatenate(nodes)
+def _anchor_entries(most: int):
+    """The anchors of each document; those of more than `most` bytes again, as `LARGE`.
+
+    All occurrences count, each with a separator. A large anchor has two nodes, so that
+    `shared` keeps it.
+    """
+
+    def entries(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        keys, nodes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        for doc, content in _contents(batch):
+            found, first, last = anchors(content)
+            own, sizes = np.unique(found), last - first + LENGTH + 1
+            large = own[:0]
+            # few documents are long enough and have an anchor twice
+            if sizes.sum() > most and (len(own) < len(found) or sizes.max() > most):
+                of = np.searchsorted(own, found)
+                large = own[np.bincount(of, sizes, len(own)) > most] | LARGE
+            keys += [own, large, large]
+            nodes += [
+                np.full(len(own), doc, np.int64),
+                np.full(len(large), doc, np.int64),
+                np.full(len(large), ~doc, np.int64),
+            ]
+        return np.concatenate(keys), np.concatenate(nodes)
+
+    return entries
 
 
 def _contents(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
@@ -359,23 +390,30 @@ def _expand(block: list, out: list[tuple[int, int, int]]) -> None:
 
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The strings of each document's wanted anchors: their places and hashes."""
+
+    def batch_of(held: list) -> pa.RecordBatch:
+        docs, firsts, strings = zip(*held)
+        return pa.record_batch(
+            {
+                "doc_id": pa.array(docs, pa.int64()),
+                "firsts": pa.array(firsts, pa.list_(pa.int32())),
+                "strings": pa.array(strings, pa.list_(pa.int64())),
+            }
+        )
+
     for batch in batches:
-        for start in range(0, batch.num_rows, 64):
-            strings, docs, firsts = [], [], []
-            for doc, content, _, first, last in _hits(batch.slice(start, 64)):
-                if len(first):
-                    at = np.concatenate([np.arange(a, b + 1) for a, b in zip(first, last)])
-                    strings.append(rolling(content, LENGTH)[at].view(np.int64))
-                    firsts.append(at.astype(np.int32))
-                    docs.append(doc)
-            if docs:
-                yield pa.record_batch(
-                    {
-                        "doc_id": pa.array(docs, pa.int64()),
-                        "firsts": pa.array(firsts, pa.list_(pa.int32())),
-                        "strings": pa.array(strings, pa.list_(pa.int64())),
-                    }
-                )
+        held, size = [], 0
+        for doc, content, _, first, last in _hits(batch):
+            if not len(first):
+                continue
+            at = np.concatenate([np.arange(a, b + 1) for a, b in zip(first, last)])
+            held.append((doc, at.astype(np.int32), rolling(content, LENGTH)[at].view(np.int64)))
+            size += len(at)
+            if len(held) == 64 or size >= GATHERED_STRINGS:
+                yield batch_of(held)
+                held, size = [], 0
+        if held:
+            yield batch_of(held)
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -35,6 +36,11 @@ def test_groups_of_long_repeats():
     assert len(found) == len({content[i : i + 50] for i in range(len(content) - 49)})
 
 
+def test_a_block_has_a_place_for_each_symbol():
+    with pytest.raises(ValueError):
+        bwt.groups(np.full(bwt.BLOCK + 1, 97, np.uint16), 50)
+
+
 def test_anchors_cover_all_strings_and_depend_on_content_only():
     rng = random.Random(2)
     content = np.frombuffer(bytes(rng.choices(b"abc", k=2000)), np.uint8)

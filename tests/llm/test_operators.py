@@ -181,6 +181,18 @@ def test_suffix_dedup_equals_brute_force(spark, corpus, split, monkeypatch):
     assert suffix_dedup.dedup(table(spark, corpus).filter("false")).collect() == []
 
 
+def test_suffix_dedup_of_long_periodic_texts(spark):
+    # one anchor each, and more bytes of it than a block has places
+    rows = [(2, "ab" * 300_000 + "end of two"), (1, "ab" * 290_000), (3, "x" * 40 + "ab" * 60 + "é")]
+    rows += [(5, "abc" * 200_000), (4, "one " + "bca" * 150_000), (6, "z" * 600_000), (7, "z" * 500_000)]
+    expected = suffix_brute_force(rows)
+    found = suffix_dedup.dedup(table(spark, rows)).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) == expected[r.doc_id]
+    assert sum(e[1] for e in expected.values()) > 1_500_000
+
+
 def test_line_dedup_equals_all_pairs(spark):
     rng = random.Random(23)
     lines = [words(rng, rng.randrange(8, 30)) for _ in range(40)]
