@@ -1,7 +1,8 @@
 """License mentions: ordered signature rules behind a keyword gate. Native only.
 
 A rule is a pattern over a text's words (lower-case, one space between), a label, the
-keyword without which it cannot match, and its place in the order, which is its priority.
+keyword without which it cannot match, alone or in one of the `WRITTEN` forms, and its
+place in the order, which is its priority.
 A detection inside another one of no lower priority is suppressed.
 """
 
@@ -131,6 +132,14 @@ SINGLE = [
     ("copyright", "copyright", "copyright (?:c )?(?:19|20)[0-9][0-9]"),
 ]
 
+# Other words that a match may have in place of its keyword.
+WRITTEN = {"bsd": ["0bsd"], "openrail": ["rail"]} | {
+    word: [word + v for v in ("v", "ver", "version")]
+    + [word + v + digit for v in ("", "v") for digit in "123"]
+    for _, word, _, short, _ in FAMILIES
+    if short
+}
+
 
 def rules() -> list[tuple[str, str, str, float]]:
     """All rules in order of priority: label, keyword, pattern, weight."""
@@ -188,6 +197,7 @@ def scan(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     """
     ordered = [(a, b, c, float(d), i) for i, (a, b, c, d) in enumerate(rules())]
     keywords = sorted({rule[1] for rule in ordered})
+    keyword_of = {form: word for word in keywords for form in (word, *WRITTEN.get(word, []))}
     docs = documents.select(
         F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
@@ -203,10 +213,8 @@ def scan(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
             for x in (F.lit(word), F.array(*[_rule(r) for r in ordered if r[1] == word]))
         ]
     )
-    present = F.filter(
-        F.array(*map(F.lit, keywords)),
-        lambda word: F.contains(F.col("words"), F.concat(F.lit(" "), word, F.lit(" "))),
-    )
+    form_of = F.create_map(*[F.lit(x) for pair in keyword_of.items() for x in pair])
+    present = F.array_distinct(F.transform("forms", lambda form: form_of[form]))
     matched = F.flatten(
         F.transform(F.flatten(F.transform(present, lambda w: by_word[w])), _detections)
     )
@@ -217,11 +225,12 @@ def scan(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     parts, last = F.col("parts"), F.size("parts") - 1
     ends = (F.get(parts, F.lit(0)) == "").cast("int")
     ends += ((last > 0) & (F.get(parts, last) == "")).cast("int")
-    gate = F.arrays_overlap(parts, F.array(*map(F.lit, keywords)))
+    forms = F.array_intersect(parts, F.array(*map(F.lit, keyword_of)))
     return (
         docs.withColumn("parts", F.split(F.lower("text"), BETWEEN, -1))
         .withColumn("n_words", (F.size(parts) - ends).cast("long"))
-        .withColumn("words", F.when(gate, words))
+        .withColumn("forms", forms)
+        .withColumn("words", F.when(F.size("forms") > 0, words))
         .withColumn("all", F.when(F.col("words").isNotNull(), matched).otherwise(empty))
         .withColumn("base", F.filter("all", lambda d: d["rank"] < len(BASE)))
         .withColumn("detections", F.filter("all", lambda d: ~_suppressed(d)))

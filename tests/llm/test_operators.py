@@ -382,6 +382,53 @@ def test_license_scan_equals_plain_rules(spark):
     assert licenses.scan(table(spark, rows).filter("false")).collect() == []
 
 
+def license_forms(pattern, rng):
+    """A string that the pattern matches."""
+    out = []
+    for op, value in pattern:
+        name = str(op)
+        if name == "LITERAL":
+            out.append(chr(value))
+        elif name == "IN":
+            kind, x = rng.choice(value)
+            out.append(chr(x if str(kind) == "LITERAL" else rng.randint(*x)) if str(kind) != "NEGATE" else "")
+        elif name == "NOT_LITERAL":
+            out.append("q")
+        elif name == "SUBPATTERN":
+            out.append(license_forms(value[3], rng))
+        elif name == "BRANCH":
+            out.append(license_forms(rng.choice(value[1]), rng))
+        elif name == "MAX_REPEAT":
+            low, high, inner = value
+            out += [license_forms(inner, rng) for _ in range(rng.randint(low, min(int(high), low + 1)))]
+        else:
+            assert name == "ASSERT_NOT"
+    return "".join(out)
+
+
+def test_license_scan_finds_what_any_rule_matches(spark):
+    rng = random.Random(14)
+    ordered = [re.compile(rf"(?<= )(?:{p})(?= )") for _, _, p, _ in licenses.rules()]
+    made = [
+        license_forms(re._parser.parse(p), rng) for _, _, p, _ in licenses.rules() for _ in range(20)
+    ]
+    texts = ["Licensed under GPLv3", "gpl3", "LGPLv2.1", "lgplv3 or later", "AGPLv3", "GFDL1.3", "0BSD",
+             "Open RAIL", *sorted(set(made))]
+    found = {r.doc_id: r for r in licenses.scan(table(spark, list(enumerate(texts)))).collect()}
+    for i, text in enumerate(texts):
+        joined = " " + " ".join(re.findall("[a-z0-9]+", text.lower())) + " "
+        hits = [
+            (joined[: m.start()].count(" ") - 1, joined[: m.end()].count(" "), rank)
+            for rank, pattern in enumerate(ordered) for m in pattern.finditer(joined)
+        ]
+        kept = [
+            h for h in hits
+            if h[2] < 3 or not any(o[0] <= h[0] and h[1] <= o[1] and o[2] < h[2] for o in hits)
+        ]
+        assert sorted((d.start, d.end, d.rank) for d in found[i].detections) == sorted(kept), text
+        assert i >= 8 or kept
+
+
 def test_rules_of_licenses_that_are_written_out(spark):
     texts = {
         "This work is licensed under the GNU General Public License, version 3.": "gpl-3",
