@@ -11,6 +11,8 @@ from devdata_spark.llm import bpe, contamination, line_dedup, ngram_join, toxici
 from devdata_spark.llm.common import join_small, shared_folder
 
 TOXIC = 0.5
+SHINGLE_WORDS = 5
+SIMILAR_PERCENT = 80
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,8 +33,11 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one of the smallest doc_id."""
-    classes = ngram_join.classes(docs)
+    """One document of each group of near-duplicates, the one of the smallest doc_id.
+
+    Near-duplicates share four fifths of their five-word shingles.
+    """
+    classes = ngram_join.classes(docs, n=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
     dropped = classes.filter("component_id <> doc_id").select("doc_id").distinct()
     return join_small(docs, dropped, "doc_id", "left_anti").select(*docs.columns)
 

@@ -1,7 +1,7 @@
-"""Documents whose word-shingle sets have a Jaccard similarity of at least 0.9, exactly.
+"""Documents whose word-shingle sets have a Jaccard similarity of some percent, exactly.
 
 Sets of similar size fall into size bands. Two linked sets of r and s shingles differ in
-at most (r + s) / 19 of them, so when the shingle universe is split into more segments by
+at most (r + s) (100 - percent) / (100 + percent) of them, so when the shingle universe is split into more segments by
 hash than that, some segment holds the same subset in both. Each subset's hash is indexed;
 where it pays, a segment also indexes its subsets with one shingle left out, counts for
 two and makes the other segments larger. Pairs that meet are verified on the sets.
@@ -19,6 +19,7 @@ from devdata_spark.llm.common import checkpointed, join_small, ship
 from devdata_spark.llm.linking import SKETCH, SKETCH_SCHEMA, linked, sketch
 from devdata_spark.llm.packed import mix, pack, shared
 
+# What op9 asks for; other callers name their own.
 N = 3
 PERCENT = 90
 # Words whose hash a worker remembers before it starts anew.
@@ -65,19 +66,19 @@ def node_of(sets: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(sets.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def _edges(most: int) -> list[int]:
+def _edges(most: int, percent: int = PERCENT) -> list[int]:
     """Lower ends of the size bands up to `most`; partners are in the next band at most."""
     edges = [1]
     while edges[-1] <= most:
-        edges.append(max(edges[-1] + 1, -(-edges[-1] * 100 // PERCENT)))
+        edges.append(max(edges[-1] + 1, -(-edges[-1] * 100 // percent)))
     return [*edges, *(edges[-1] * 2**i for i in (1, 2))]
 
 
-def budget(edges: list[int], band: int) -> int:
+def budget(edges: list[int], band: int, percent: int = PERCENT) -> int:
     """The most shingles in which a linked pair with its smaller set in `band` differs."""
     largest = edges[band + 1] - 1
-    partner = min(largest * 100 // PERCENT, edges[band + 2] - 1)
-    return (largest + partner) * (100 - PERCENT) // (100 + PERCENT)
+    partner = min(largest * 100 // percent, edges[band + 2] - 1)
+    return (largest + partner) * (100 - percent) // (100 + percent)
 
 
 def allocate(size: float, differences: int, sets: int) -> tuple[int, int]:
@@ -115,9 +116,13 @@ def signatures(sets: np.ndarray, scheme: int, segments: int, deleting: int) -> n
     return keys
 
 
-def classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def classes(
+    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = N,
+    percent: int = PERCENT,
+) -> DataFrame:
     """doc_id, n_shingles, component_id for every document.
 
+    Documents are linked whose sets of `n`-word shingles are similar by `percent` or more;
     component_id is the smallest doc_id that links reach, the own one included. NULL or
     empty texts, and texts without words, have no shingles and no links; a NULL doc_id
     keeps NULL as component and links nothing; repeated rows each get a result, and two
@@ -126,7 +131,7 @@ def classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     spark = documents.sparkSession
     ship(spark)
     docs = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sized = checkpointed(_sized(docs))
+    sized = checkpointed(_sized(docs, n))
     usable = sized.filter("doc_id IS NOT NULL AND n_shingles > 0")
     groups = checkpointed(
         usable.groupBy("node").agg(
@@ -134,15 +139,15 @@ def classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         )
     )
     most = usable.agg(F.max("n_shingles")).first()[0] or 1
-    edges = _edges(most)
+    edges = _edges(most, percent)
     counted = groups.groupBy(F.floor(F.log("n") * 64).alias("size")).agg(
         F.count("*").alias("sets"), F.sum("n").alias("shingles")
     )
-    plans = _plans(edges, [(r["sets"], r["shingles"]) for r in counted.collect()])
+    plans = _plans(edges, [(r["sets"], r["shingles"]) for r in counted.collect()], percent)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    entries = checkpointed(shared(pack(docs, _indexer(edges, plans), buckets)))
-    items = checkpointed(_items(docs, groups, entries))
-    roots = linked(entries, items, PERCENT, lambda pairs: _verified(items, pairs))
+    entries = checkpointed(shared(pack(docs, _indexer(edges, plans, n, percent), buckets)))
+    items = checkpointed(_items(docs, groups, entries, n))
+    roots = linked(entries, items, percent, lambda pairs: _verified(items, pairs, percent))
     rooted = join_small(sized, roots, "node", "left").withColumn(
         "root", F.coalesce("root", "node")
     )
@@ -164,10 +169,10 @@ def classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     )
 
 
-def _sized(docs: DataFrame) -> DataFrame:
+def _sized(docs: DataFrame, n: int) -> DataFrame:
     def run(batches):
         for batch in batches:
-            sets = [shingles(t) for t in batch.column("text").to_pylist()]
+            sets = [shingles(t, n) for t in batch.column("text").to_pylist()]
             yield pa.record_batch(
                 {
                     "doc_id": batch.column("doc_id"),
@@ -179,29 +184,31 @@ def _sized(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id BIGINT, n_shingles BIGINT, node BIGINT")
 
 
-def _plans(edges: list[int], counted: list[tuple[int, int]]) -> list[tuple[int, int]]:
+def _plans(
+    edges: list[int], counted: list[tuple[int, int]], percent: int
+) -> list[tuple[int, int]]:
     """(segments, deleting) of each scheme, which holds the sets of two bands."""
     bands = [0] * len(edges)
     for sets, total in counted:
         bands[int(np.searchsorted(edges, total / sets, side="right")) - 1] += sets
     return [
-        allocate((edges[i] + edges[i + 1]) / 2, budget(edges, i), bands[i] + bands[i + 1])
+        allocate((edges[i] + edges[i + 1]) / 2, budget(edges, i, percent), bands[i] + bands[i + 1])
         for i in range(len(edges) - 2)
     ]
 
 
-def _indexer(edges: list[int], plans: list[tuple[int, int]]):
+def _indexer(edges: list[int], plans: list[tuple[int, int]], n: int, percent: int):
     def entries(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         keys, nodes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
         for doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text"))):
-            sets = shingles(text)
+            sets = shingles(text, n)
             if doc_id is None or not len(sets):
                 continue
             band = int(np.searchsorted(edges, len(sets), side="right")) - 1
             own = [
                 signatures(sets, scheme, *plans[scheme])
                 for scheme in (band - 1, band)
-                if scheme >= 0 and budget(edges, scheme) > 0
+                if scheme >= 0 and budget(edges, scheme, percent) > 0
             ]
             if own:
                 keys += own
@@ -211,13 +218,13 @@ def _indexer(edges: list[int], plans: list[tuple[int, int]]):
     return entries
 
 
-def _items(docs: DataFrame, groups: DataFrame, entries: DataFrame) -> DataFrame:
+def _items(docs: DataFrame, groups: DataFrame, entries: DataFrame, n: int) -> DataFrame:
     """The sets of the nodes that share a key, one document's for each node."""
     needed = groups.join(entries.select("node").distinct(), "node").select("node", "doc_id")
 
     def run(batches):
         for batch in batches:
-            sets = [shingles(t) for t in batch.column("text").to_pylist()]
+            sets = [shingles(t, n) for t in batch.column("text").to_pylist()]
             sketches = np.array([sketch(s) for s in sets], np.int64).reshape(len(sets), -1)
             columns = {
                 "node": batch.column("node"),
@@ -232,17 +239,17 @@ def _items(docs: DataFrame, groups: DataFrame, entries: DataFrame) -> DataFrame:
     return made.dropDuplicates(["node"])
 
 
-def _verified(items: DataFrame, pairs: DataFrame) -> DataFrame:
+def _verified(items: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes whose sets are similar enough."""
     sizes = items.select("node", "n")
     fitting = (
         pairs.join(sizes.toDF("a", "n_a"), "a")
         .join(sizes.toDF("b", "n_b"), "b")
-        .filter(100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
+        .filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
     )
     sets = items.select("node", "s")
     both = fitting.join(sets.toDF("a", "s_a"), "a").join(sets.toDF("b", "s_b"), "b")
     common = F.size(F.array_intersect("s_a", "s_b"))
-    return both.filter(100 * common >= PERCENT * (F.col("n_a") + F.col("n_b") - common)).select(
+    return both.filter(100 * common >= percent * (F.col("n_a") + F.col("n_b") - common)).select(
         "a", "b"
     )

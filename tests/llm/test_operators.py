@@ -146,6 +146,26 @@ def test_ngram_join_equals_all_pairs(spark, corpus):
     assert ngram_join.classes(table(spark, corpus).filter("false")).collect() == []
 
 
+@pytest.mark.parametrize("n, percent", [(5, 80), (2, 60)])
+def test_ngram_join_by_other_thresholds(spark, n, percent):
+    rng = random.Random(41)
+    rows = []
+    for group in range(12):
+        base = words(rng, rng.randrange(20, 200), 5000).split()
+        for i in range(6):
+            more = words(rng, rng.randrange(1, len(base) // 3), 5000).split()
+            rows.append((10 * group + i, " ".join(base + more)))
+    sets = {
+        i: {tuple(t.split()[at : at + n]) for at in range(len(t.split()) - n + 1)} for i, t in rows
+    }
+    links = [
+        (a, b) for a in sets for b in sets
+        if a < b and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
+    ]
+    found = ngram_join.classes(table(spark, rows), n=n, percent=percent).collect()
+    assert links and {r.doc_id: r.component_id for r in found} == roots_of(sets, links)
+
+
 def suffix_brute_force(rows):
     size = suffix_dedup.LENGTH
     texts = {i: (t or "").encode() for i, t in rows if i is not None}

@@ -60,6 +60,15 @@ def test_one_of_each_group_of_copies_stays(results):
     assert len(full) == len(set(full))
 
 
+def test_copies_with_words_appended_go(spark):
+    base = [f"w{i}" for i in range(200)]
+    rows = [(1, " ".join(base)), (2, " ".join(base + [f"x{i}" for i in range(30)])),
+            (3, " ".join(base + [f"y{i}" for i in range(70)])), (4, "else")]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    kept = corpus_pipeline.drop_copies(spark, docs, SF_DIR)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 4]
+
+
 def test_no_benchmark_item_is_left(spark, results):
     items = [r.text for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
     after = texts(results[4])
