@@ -61,9 +61,8 @@ def _luhn(digits: Column) -> Column:
 
 
 def find(
-    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 120,
-    share: float = 0.8, remove_share: float = 0.95, min_contexts: int = 3,
-    protected: list[str] | None = None,
+    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", share: float = 0.8,
+    remove_share: float = 0.95, min_texts: int = 3, protected: list[str] | None = None,
 ) -> DataFrame:
     """One row per document: doc_id, text, base, terms, sanitised.
 
@@ -71,10 +70,14 @@ def find(
     `sanitised` is the text with entities replaced by [KIND], terms that disclose at least
     `remove_share` of an entity removed and the other flagged terms replaced by [TERM].
 
-    Co-occurrence counts documents in which a word stands within `window` characters of
-    an entity; only pairs met in `min_contexts` different contexts count, so copies of one
-    text prove nothing. A flagged term is marked everywhere in the documents that hold the
-    entity. `protected` adds plain words as entities of kind "name".
+    All counts are of different texts, so copies of one text prove nothing, and a word
+    counts wherever it stands in a text. A term must be met with the entity in `min_texts`
+    texts, or in all of its texts if they are fewer, but at least two: in one text each
+    rare word would disclose it. An entity of one text is judged by the counts of its group
+    instead (an email's domain, the first three numbers of an ip, a card's first six
+    digits, a phone number but for its last four); so it has no terms if its group is in
+    one text too. A flagged term is marked everywhere in the documents that hold the entity.
+    `protected` adds plain words as entities of kind "name", which have no group.
 
     NULL text counts as empty; rows of NULL doc_id get base spans and no terms; repeated
     rows each get a result; other columns are ignored. An empty table gives an empty one.
@@ -90,10 +93,14 @@ def find(
             match_spans(F.col("text"), words), lambda s: _tag(F.lit("name"), s)
         )
     hits = marked.withColumn("entities", F.concat("base", extra)).filter(F.size("entities") > 0)
-    pairs = written(_pairs(hits, window), "pairs")
-    flagged = _disclosing(docs, pairs, share, min_contexts)
+    held = written(_held(hits), "held")
+    flagged, holders = _disclosing(docs, held, share, min_texts)
+    alone = F.col("with_entity") == 1
     terms = (
-        pairs.select("doc_id", "entity")
+        held.select("doc_id", "entity", "class")
+        .distinct()
+        .join(holders, "entity")
+        .select("doc_id", F.when(alone, F.col("class")).otherwise(F.col("entity")).alias("entity"))
         .distinct()
         .join(flagged, "entity")
         .groupBy("doc_id")
@@ -128,54 +135,75 @@ def _tag(kind: Column, span: Column) -> Column:
     )
 
 
-def _pairs(hits: DataFrame, window: int) -> DataFrame:
-    """doc_id, entity, term, context: each word near an entity, with the context's hash."""
+def _held(hits: DataFrame) -> DataFrame:
+    """doc_id, content, entity, class, words: each entity of a document, with all words.
+
+    `content` is the text's hash, `class` the entity's group, and itself for a name.
+    """
     personal = "|".join(PATTERNS.values())
-    near = hits.filter(F.col("doc_id").isNotNull()).select(
-        "doc_id", "text", F.explode("entities").alias("e")
-    )
+    text = F.lower(F.regexp_replace("text", personal, " "))
+    near = (
+        hits.filter(F.col("doc_id").isNotNull())
+        .select(
+            "doc_id",
+            F.xxhash64("text").alias("content"),
+            F.array_distinct(F.regexp_extract_all(text, F.lit(WORD), F.lit(0))).alias("words"),
+            F.explode("entities").alias("e"),
+        )
+    )
+    kind = F.col("e.kind")
     value = F.when(
-        F.col("e.kind").isin("card", "phone"), F.regexp_replace("e.found", "[^0-9]", "")
+        kind.isin("card", "phone"), F.regexp_replace("e.found", "[^0-9]", "")
     ).otherwise(F.lower("e.found"))
-    first = F.greatest(F.col("e.start") - window, F.lit(0))
-    # words cut by the window's outer ends are left out
-    before = F.regexp_replace(
-        F.substring("text", first + 1, F.col("e.start") - first),
-        F.when(first > 0, F.lit(r"^\p{L}++")).otherwise(F.lit(r"^(?!)")),
-        " ",
-    )
-    after = F.regexp_replace(
-        F.substring("text", F.col("e.end") + 1, F.lit(window)),
-        F.when(F.col("e.end") + window < F.length("text"), F.lit(r"\p{L}+$"))
-        .otherwise(F.lit(r"(?!)$")),
-        " ",
-    )
-    context = F.lower(F.regexp_replace(F.concat_ws(" ", before, after), personal, " "))
-    return near.select(
+    group = (
+        F.when(kind == "email", F.regexp_replace("value", "^[^@]*", ""))
+        .when(kind == "ip", F.regexp_replace("value", "[0-9]+$", ""))
+        .when(kind == "card", F.substring("value", 1, 6))
+        .when(kind == "phone", F.regexp_replace("value", "[0-9]{4}$", ""))
+    )
+    own = F.when(kind == "name", F.regexp_extract_all("value", F.lit(WORD), F.lit(0)))
+    return near.withColumn("value", value).select(
         "doc_id",
-        F.concat_ws(":", "e.kind", value).alias("entity"),
-        context.alias("context"),
-    ).select(
-        "doc_id", "entity", F.xxhash64("context").alias("context"),
-        F.explode(F.array_distinct(F.regexp_extract_all("context", F.lit(WORD), F.lit(0))))
-        .alias("term"),
-    )
+        "content",
+        F.concat_ws(":", kind, "value").alias("entity"),
+        F.when(group.isNull(), F.concat_ws(":", kind, "value"))
+        .otherwise(F.concat_ws(":", F.concat(kind, F.lit("s")), group))
+        .alias("class"),
+        F.array_except("words", F.coalesce(own, F.array().cast("array<string>"))).alias("words"),
+    )
 
 
 def _disclosing(
-    docs: DataFrame, pairs: DataFrame, share: float, min_contexts: int
-) -> DataFrame:
-    """entity, term, ratio: terms that give away at least `share` of an entity."""
+    docs: DataFrame, held: DataFrame, share: float, min_texts: int
+) -> tuple[DataFrame, DataFrame]:
+    """entity, term, ratio: terms that give away `share` of an entity or of a class of them.
+
+    And entity, with_entity: the different texts of each.
+    """
+    keys = F.explode(F.array_distinct(F.array("entity", "class"))).alias("entity")
+    texts = written(
+        held.select(keys, "content", "words").dropDuplicates(["entity", "content"]), "texts"
+    )
+    holders = texts.groupBy("entity").agg(F.count("*").alias("with_entity"))
+    # in one text each rare word would give an entity away
+    needed = F.greatest(F.least(F.lit(min_texts), F.col("with_entity")), F.lit(2))
     together = (
-        pairs.groupBy("entity", "term")
-        .agg(
-            F.countDistinct("doc_id").alias("both"),
-            F.countDistinct("context").alias("contexts"),
-        )
-        .filter(F.col("contexts") >= min_contexts)
+        texts.select("entity", F.explode("words").alias("term"))
+        .groupBy("entity", "term")
+        .agg(F.count("*").alias("both"))
+        .filter("both > 1")
+        .join(holders, "entity")
+        .filter(F.col("both") >= needed)
     )
-    holders = pairs.groupBy("entity").agg(F.countDistinct("doc_id").alias("with_entity"))
-    words = docs.select(
+    together = written(together, "together")
+    # each text once: only texts that are repeated have to meet
+    hashed = docs.select(F.xxhash64("text").alias("content"), "text")
+    sizes = hashed.groupBy("content").agg(F.count("*").alias("n"))
+    total = F.lit(sizes.count())
+    repeated = sizes.filter("n > 1").select("content")
+    once = join_small(hashed, repeated, "content", "left_anti")
+    again = join_small(hashed, repeated, "content", "left_semi").dropDuplicates(["content"])
+    words = once.union(again).select(
         F.explode(
             F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))
         ).alias("term")
@@ -185,16 +213,15 @@ def _disclosing(
         .groupBy("term")
         .agg(F.count("*").alias("with_term"))
     )
-    total = F.lit(docs.count())
     pmi = F.log2(total * F.col("both") / (F.col("with_entity") * F.col("with_term")))
     content = F.log2(total / F.col("with_entity"))
-    return (
-        together.join(holders, "entity")
-        .join(frequency, "term")
+    flagged = (
+        together.join(frequency, "term")
         .withColumn("ratio", F.when(content > 0, pmi / content))
         .filter(F.col("ratio") >= share)
         .select("entity", "term", "ratio")
     )
+    return flagged, holders
 
 
 def _sanitised() -> Column:

@@ -402,6 +402,25 @@ def test_license_scan_equals_plain_rules(spark):
     assert licenses.scan(table(spark, rows).filter("false")).collect() == []
 
 
+def test_terms_that_give_rare_entities_away(spark):
+    rng = random.Random(3)
+    rows = [(i, words(rng, 30, 50).replace("w", "filler") + f" common {i}") for i in range(60)]
+    # two texts; the word stands far from the entity
+    rows += [(100 + i, f"ann@secret.org {'common ' * 40} zanzibarite {i}") for i in range(2)]
+    # one text for each value, but several of its domain or prefix
+    rows += [(110 + i, f"common quuxville {name}@rare.org") for i, name in enumerate(["bo", "cy", "di"])]
+    rows += [(120 + i, f"common graultown 10.20.30.{i}") for i in range(3)]
+    # copies of one text are one text
+    rows += [(130 + i, "copied eve@copy.org common") for i in range(5)]
+    found = {r.doc_id: r for r in pii.find(table(spark, rows)).collect()}
+    terms = {i: {s.found for s in r.terms} for i, r in found.items() if r.terms}
+    assert terms == (
+        {i: {"zanzibarite"} for i in (100, 101)}
+        | {i: {"quuxville"} for i in (110, 111, 112)}
+        | {i: {"graultown"} for i in (120, 121, 122)}
+    )
+
+
 def license_forms(pattern, rng):
     """A string that the pattern matches."""
     out = []
