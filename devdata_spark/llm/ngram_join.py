@@ -225,6 +225,9 @@ def _items(docs: DataFrame, groups: DataFrame, entries: DataFrame, n: int) -> Da
     def run(batches):
         for batch in batches:
             sets = [shingles(t, n) for t in batch.column("text").to_pylist()]
+            # another row of the doc_id may have another text
+            own = [node_of(s) == node for s, node in zip(sets, batch.column("node").to_pylist())]
+            batch, sets = batch.filter(pa.array(own, pa.bool_())), [s for s, o in zip(sets, own) if o]
             sketches = np.array([sketch(s) for s in sets], np.int64).reshape(len(sets), -1)
             columns = {
                 "node": batch.column("node"),

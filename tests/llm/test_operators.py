@@ -146,6 +146,16 @@ def test_ngram_join_equals_all_pairs(spark, corpus):
     assert ngram_join.classes(table(spark, corpus).filter("false")).collect() == []
 
 
+def test_ngram_join_of_rows_of_one_id_with_different_texts(spark):
+    rng = random.Random(43)
+    rows = []
+    for i in range(0, 80, 4):
+        a, b = words(rng, 60, 9000), words(rng, 60, 9000)
+        rows += [(i, a), (i, b), (i + 1, a + " more"), (i + 2, b + " other")]
+    found = ngram_join.classes(table(spark, rows)).collect()
+    assert len(found) == 80 and all(r.component_id == r.doc_id // 4 * 4 for r in found)
+
+
 @pytest.mark.parametrize("n, percent", [(5, 80), (2, 60)])
 def test_ngram_join_by_other_thresholds(spark, n, percent):
     rng = random.Random(41)
