@@ -26,10 +26,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, each without lines that an earlier place of the corpus has."""
-    found = line_dedup.dedup(docs, keep=[c for c in docs.columns if c != "text"])
-    return found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(
-        *docs.columns
-    )
+    others = F.struct(*[c for c in docs.columns if c != "text"])
+    rows = docs.select("doc_id", "text", others.alias("document"))
+    found = line_dedup.dedup(rows, keep=["document"])
+    n_chars = F.length("text").cast(docs.schema["n_chars"].dataType)
+    made = {"text": F.col("text"), "n_chars": n_chars.alias("n_chars")}
+    return found.select(*[made.get(c, F.col("document")[c].alias(c)) for c in docs.columns])
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

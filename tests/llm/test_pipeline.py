@@ -53,6 +53,16 @@ def test_lines_go_and_documents_stay(results):
         assert set(t.split("\n")) <= {*before[i].split("\n"), ""}
 
 
+def test_lines_go_from_documents_with_other_columns(spark):
+    schema = "row INT, doc_id BIGINT, text STRING, n_chars BIGINT, n_lines INT, n_removed INT, document INT"
+    docs = spark.createDataFrame([(7, i, f"one line of all\nown {i}", 9, 5, 6, 8) for i in (1, 2)], schema)
+    found = corpus_pipeline.drop_lines(spark, docs, SF_DIR)
+    assert found.columns == docs.columns
+    assert sorted(tuple(r) for r in found.collect()) == [
+        (7, 1, "one line of all\nown 1", 21, 5, 6, 8), (7, 2, "own 2", 5, 5, 6, 8)
+    ]
+
+
 def test_one_of_each_group_of_copies_stays(results):
     before, after = texts(results[2]), texts(results[3])
     assert after.items() <= before.items()
