@@ -12,11 +12,14 @@ from devdata_spark.llm import (
     contamination,
     licenses,
     line_dedup,
+    negatives,
+    neighbours,
     ngram_join,
     pii,
     suffix_dedup,
     topk,
     toxicity,
+    trie,
 )
 from devdata_spark.llm.common import table
 
@@ -280,3 +283,106 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("found").cast("long").alias("n_matches"),
         F.array_join(F.transform(items, lambda i: i.cast("string")), ",").alias("items"),
     )
+
+
+@query
+def op11_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors found for every fiftieth one."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, for each of its five positives."""
+    turned = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(
+        table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label=turned
+    )
+
+
+SQL["op12_hard_negatives"] = """
+with usable as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select a.vec_id as anchor_id, x.vec_id as vec_id, a.label = x.label as same,
+    cast(list_dot_product(a.v, x.v) as bigint) as score
+  from usable a join usable x on a.vec_id <> x.vec_id where a.vec_id % 100 = 0),
+positives as (
+  select * from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+met as (
+  select p.anchor_id, p.vec_id as positive_id, n.vec_id as negative_id,
+    p.score as positive_score, n.score as negative_score,
+    row_number() over (partition by p.anchor_id, p.vec_id order by n.score desc, n.vec_id) as rank
+  from positives p join scored n on n.anchor_id = p.anchor_id and not n.same
+    and 80 * p.score <= 100 * n.score and 100 * n.score <= 100 * p.score)
+select anchor_id, positive_id, cast(rank as int) as rank, negative_id, positive_score, negative_score
+from met where rank <= 5
+"""
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations."""
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+SQL["op13_prefix_trie"] = """
+with recursive turns as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+    row_number() over (partition by conv_id order by turn nulls first,
+      md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) as place
+  from conversations where conv_id is not null),
+convs as (
+  select conv_id, conv_id - conv_id % 5 as base,
+    xor(list_reduce(list_prepend(cast(4294967295 as bigint), list_transform(
+        range(1, cast(8 * length(cast(conv_id as varchar)) + 1 as bigint)),
+        -- each of eight steps of a character; the first takes it in
+        lambda i: case when i % 8 = 1
+          then ascii(substr(cast(conv_id as varchar), cast((i + 7) // 8 as bigint), 1)) else 0 end)),
+      lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1))), 4294967295) % 9 as h
+  from (select distinct conv_id from turns)),
+rebuilt as (
+  select c.conv_id, 0 as part, t.place, t.role, t.text
+  from convs c join turns t on t.conv_id = c.base and t.place <= c.h
+  union all
+  select c.conv_id, 1, t.place, t.role, t.text
+  from convs c join turns t on t.conv_id = c.conv_id and t.place > c.h),
+said as (
+  select conv_id, row_number() over (partition by conv_id order by part, place) as depth,
+    md5(length(role) || ':' || role || text) as m, octet_length(encode(text)) as n_bytes
+  from rebuilt),
+prefixes as (
+  select conv_id, cast(0 as bigint) as depth, '' as node, cast(null as varchar) as parent,
+    cast(0 as bigint) as n_bytes from convs
+  union all
+  select s.conv_id, s.depth, md5(p.node || s.m), p.node, s.n_bytes
+  from prefixes p join said s on s.conv_id = p.conv_id and s.depth = p.depth + 1),
+ends as (
+  select conv_id, max_by(node, depth) as node from prefixes group by conv_id),
+hashes as (
+  select node, sha256(string_agg(cast(conv_id as varchar), ',' order by conv_id)) as ends_sha256
+  from ends group by node),
+nodes as (
+  select node, min(conv_id) as conv_id, min(depth) as depth, min(parent) as parent,
+    count(*) as n_convs, min(n_bytes) as n_bytes
+  from prefixes group by node),
+children as (select parent as node, count(*) as n_children from nodes group by parent),
+below(top, node) as (
+  select node, node from nodes
+  union all
+  select b.top, n.node from below b join nodes n on n.parent = b.node),
+sums as (
+  select top as node, sum((n.n_convs - 1) * n.n_bytes) as saved_tokens,
+    count(*) filter (where c.n_children is null) as n_leaves
+  from below b join nodes n on n.node = b.node left join children c on c.node = b.node group by top)
+select n.conv_id, cast(n.depth as bigint) as depth, p.conv_id as parent_conv_id, n.n_convs,
+  coalesce(c.n_children, 0) as n_children, s.n_leaves, cast(s.saved_tokens as bigint) as saved_tokens,
+  coalesce(h.ends_sha256, sha256('')) as ends_sha256
+from nodes n join sums s using (node) left join children c using (node)
+left join hashes h using (node) left join nodes p on p.node = n.parent
+"""

@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables a
 
 def test_each_operator_has_one_query():
     numbers = [int(name[2:].split("_")[0]) for name in queries.QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert queries.SQL.keys() <= queries.QUERIES.keys()
 
 
@@ -24,7 +24,10 @@ def test_query_equals_its_sql(spark, name):
     assert oracle.differences(df, oracle.connect(SF_DIR), queries.SQL[name]) == []
 
 
-@pytest.mark.parametrize("name", sorted(queries.QUERIES.keys() - queries.SQL.keys()))
+OF_DOCUMENTS = queries.QUERIES.keys() - queries.SQL.keys() - {"op11_cross_polytope"}
+
+
+@pytest.mark.parametrize("name", sorted(OF_DOCUMENTS))
 def test_query_has_a_row_for_each_document(spark, name):
     documents = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id")
     found = queries.QUERIES[name](spark, SF_DIR).select("doc_id")
