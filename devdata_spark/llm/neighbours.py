@@ -127,10 +127,10 @@ def nearest(
     """
     spark = vectors.sparkSession
     ship(spark)
+    given = vectors.select(vector).schema[0].dataType.simpleString()
+    kind = given if given == "array<float>" else "array<double>"  # as small as they come
     rows = (
-        vectors.select(
-            F.col(id_column).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")
-        )
+        vectors.select(F.col(id_column).cast("long").alias("id"), F.col(vector).cast(kind).alias("v"))
         .filter(F.col("id").isNotNull() & finite(F.col("v")) & F.exists("v", lambda x: x != 0))
         .groupBy("id")
         .agg(F.min("v").alias("v"))
@@ -156,16 +156,18 @@ def nearest(
         return spark.createDataFrame([], schema)
     hashing, probes = _fitted(points, n, width, k, tables, recall, sample_rows, block)
 
-    index = points.select("point", "v").mapInArrow(
-        _hashed(hashing, width, None), "table INT, bucket LONG, point LONG, v ARRAY<DOUBLE>"
-    )
-    index = written(index, "index")
-    sizes = index.groupBy("table", "bucket").agg(F.count("*").alias("n"))
+    # hashing twice costs less than keeping the index
+    hashed = f"table INT, bucket LONG, point LONG, v {kind}"
+    index = points.select("point", "v").mapInArrow(_hashed(hashing, width, None), hashed)
+    sizes = (
+        points.select("v").mapInArrow(_counted(hashing, width), "table INT, bucket LONG, n LONG")
+        .groupBy("table", "bucket").agg(F.sum("n").alias("n"))
+    )
     full = sizes.filter(F.col("n") > block).select(
         "table", "bucket", F.ceil(F.col("n") / block).cast("long").alias("blocks")
     )
     asked = points.filter("query").select("point", "v").mapInArrow(
-        _hashed(hashing, width, probes), "table INT, bucket LONG, point LONG, v ARRAY<DOUBLE>"
+        _hashed(hashing, width, probes), hashed
     )
     key = ["table", "bucket", "block"]
     blocks = F.coalesce("blocks", F.lit(1).cast("long"))
@@ -246,6 +248,24 @@ def _hashed(hashing: CrossPolytope, width: int, probes: int | None):
     return run
 
 
+def _counted(hashing: CrossPolytope, width: int):
+    """How many vectors of each batch fall into each bucket of each table."""
+
+    def run(batches):
+        for batch in batches:
+            x = unit(matrix(batch.column("v"), width, np.float64))
+            for table in range(hashing.tables):
+                buckets, n = np.unique(hashing.buckets(x, table), return_counts=True)
+                columns = {
+                    "table": pa.array(np.full(len(n), table), pa.int32()),
+                    "bucket": pa.array(buckets, pa.int64()),
+                    "n": pa.array(n, pa.int64()),
+                }
+                yield pa.record_batch(columns)
+
+    return run
+
+
 def _scorer(width: int, k: int):
     """The k + 1 nearest vectors of one block for each query of it, the query included."""
 
