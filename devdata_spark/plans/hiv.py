@@ -41,10 +41,10 @@ def data(spark: SparkSession, root: str, dataset: str = "Estimates") -> DataFram
     if files.list_files(spark, folder, "*.zip").isEmpty():
         raw = files.read_csv(spark, folder)
     else:
-        content = archives.require_one_member(archives.archives(spark, folder))
+        archives.require_one_member(spark, folder)
         cells = list(COLUMNS)
         extra = [c for c, name in COLUMNS.items() if name not in REQUIRED]
-        rows = archives.csv_rows(archives.packed_members(content), cells, optional=extra)
+        rows = archives.csv_rows(spark, folder, cells, optional=extra)
         raw = columns.clean(rows.select(*cells), **{c: text.missing_to_null for c in cells})
     quality.check_columns(columns.rename(raw, COLUMNS), REQUIRED)
     return quality.validate(shape(raw), REQUIRED, schema=schemas.HIV_DATA)

@@ -77,9 +77,8 @@ def countries(spark: SparkSession, root: str, hs_version: str = DEFAULT_VERSION)
 def metadata(spark: SparkSession, root: str, hs_version: str = DEFAULT_VERSION) -> DataFrame:
     """The facts of the readme, as `key` and `value`."""
     landed = _landed(spark, root, hs_version)
-    if landed.archives is not None:
-        members = archives.packed_members(landed.archives, README)
-        raw = archives.member_text(members).select("text")
+    if landed.zipped:
+        raw = archives.member_text(spark, landed.folder, prefix=README).select("text")
     else:
         files.require_files(spark, landed.folder, README)
         whole = spark.read.option("pathGlobFilter", README).text(landed.folder, wholetext=True)
@@ -111,12 +110,6 @@ def download_links(pages: DataFrame, column: str, by: list[str]) -> DataFrame:
     return found.withColumnsRenamed({"link_text": "hs_version", "href": "url"})
 
 
-def check_version(spark: SparkSession, root: str, hs_version: str) -> str:
-    """The version without surrounding blanks and in upper case, if it is landed."""
-    available = sorted(r.hs_version for r in versions(spark, root).collect())
-    return filters.check_choice(hs_version.strip().upper(), available, "HS version")
-
-
 # --- tables ------------------------------------------------------------------
 
 
@@ -178,20 +171,32 @@ def with_country_labels(df: DataFrame, countries: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class _Landed:
-    """Where one version lies: a folder, and the archives in it if there are any."""
+    """Where one version lies, and the names of its files or of its archives' members.
+
+    A version has a file for each year and a few for the codes, so the names are listed
+    once, on the driver.
+    """
 
     spark: SparkSession
     version: str
     folder: str
-    archives: DataFrame | None
+    zipped: bool
+    names: list[str]
 
 
 def _landed(spark: SparkSession, root: str, hs_version: str) -> _Landed:
-    version = check_version(spark, root, hs_version)
+    listed = files.list_files(spark, f"{root}/hs_version=*").select("path", "name").collect()
+    names: dict[str, list[str]] = {}
+    for row in listed:
+        names.setdefault(row.path.split("/hs_version=")[-1].split("/")[0], []).append(row.name)
+    wanted = hs_version.strip().upper()
+    version = filters.check_choice(wanted, sorted(names), "HS version")
     folder = f"{root}/hs_version={version}"
-    zipped = not files.list_files(spark, folder, "*.zip").isEmpty()
-    content = archives.archives(spark, folder) if zipped else None
-    return _Landed(spark, version, folder, content)
+    zipped = any(name.endswith(".zip") for name in names[version])
+    if zipped:
+        members = archives.members(spark, folder).where("member IS NOT NULL")
+        names[version] = [row.member for row in members.select("member").collect()]
+    return _Landed(spark, version, folder, zipped, names[version])
 
 
 def _products(landed: _Landed) -> DataFrame:
@@ -210,16 +215,13 @@ def _csv(landed: _Landed, prefix: str, schema: str, one: bool = False) -> DataFr
 
     With `one` only the first such file is read.
     """
-    if landed.archives is None:
-        names = files.list_files(landed.spark, landed.folder).select("name")
-    else:
-        names = archives.member_names(landed.archives).select(F.col("member").alias("name"))
-    first = files.names_between(names, prefix, ".csv").agg(F.min("name")).first()[0]
-    if first is None:
+    found = sorted(n for n in landed.names if n.startswith(prefix) and n.endswith(".csv"))
+    if not found:
         raise DataExtractionError(f"No {prefix}*.csv files found in {landed.folder}")
-    if landed.archives is None:
-        pattern = first if one else f"{prefix}*.csv"
-        return files.read_csv(landed.spark, landed.folder, schema, pattern=pattern)
-    cells = schemas.names(schema)
-    packed = archives.packed_members(landed.archives, first if one else prefix, ".csv")
-    return archives.csv_rows(packed, cells).select(*cells)
+    if landed.zipped:
+        cells = schemas.names(schema)
+        which = found[0] if one else prefix
+        rows = archives.csv_rows(landed.spark, landed.folder, cells, prefix=which, suffix=".csv")
+        return rows.select(*cells)
+    pattern = found[0] if one else f"{prefix}*.csv"
+    return files.read_csv(landed.spark, landed.folder, schema, pattern=pattern)

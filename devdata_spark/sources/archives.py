@@ -1,205 +1,81 @@
-"""Members of zip archives.
+"""Members of zip archives, through the data source of `zipped`.
 
-One task opens an archive and hands on its members still compressed; the members
-are then spread over the cluster, and each is inflated and parsed as a stream of
-column batches. An archive must stay under 2 GB, Spark's limit for one binary
-cell; a member may be of any size once inflated, but its compressed stream can
-only be read from the start, by one task. Land very large members extracted.
+Only the end of an archive is read to know its members, and only the byte ranges of
+members that are asked for. Paths are opened by Arrow: local and shared folders, S3, GCS,
+Azure and HDFS.
 """
 
-from collections.abc import Iterator, Sequence
+import json
+import weakref
+from collections.abc import Sequence
 
-import pyarrow as pa
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from devdata_spark.errors import DataExtractionError
-from devdata_spark.sources import files
+from devdata_spark.sources import files, zipped
 
 ARCHIVE, MEMBER = "archive", "member"
 
+# Executors get the code of the data source with the job and need no package.
+register_pickle_by_value(zipped)
+_known: weakref.WeakSet = weakref.WeakSet()
 
-def archives(spark: SparkSession, path: str | Sequence[str], pattern: str = "*.zip") -> DataFrame:
-    """The archives at a path: `archive` and its bytes as `content`."""
-    files.require_files(spark, path, pattern)
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-    loaded = reader.load(path if isinstance(path, str) else list(path))
-    return loaded.select(F.col("path").alias(ARCHIVE), "content")
 
+def members(spark: SparkSession, path: str | Sequence[str], pattern: str = "*.zip") -> DataFrame:
+    """`archive`, `member`, `packed_size`, `size`; an archive without members has a NULL one."""
+    return _load(spark, path, "list", pattern=pattern)
 
-def member_names(content: DataFrame) -> DataFrame:
-    """One row per member: `archive` and `member`."""
 
-    # Nested, so that executors get the code with the job and need no package.
-    def listing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zipfile
-
-        for batch in batches:
-            for archive, raw in zip(batch.column("archive"), batch.column("content")):
-                with zipfile.ZipFile(pa.BufferReader(raw.as_buffer())) as z:
-                    names = [info.filename for info in z.infolist() if not info.is_dir()]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "archive": pa.array([archive.as_py()] * len(names), pa.string()),
-                        "member": pa.array(names, pa.string()),
-                    }
-                )
-
-    return content.mapInArrow(listing, "archive STRING, member STRING")
-
-
-def packed_members(content: DataFrame, prefix: str = "", suffix: str = "") -> DataFrame:
-    """One row per member: `archive`, `member`, `deflated` and its raw `payload`.
-
-    Only members whose name starts and ends as given leave the task.
-    """
-
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import struct
-        import zipfile
-
-        for batch in batches:
-            for archive, content in zip(batch.column("archive"), batch.column("content")):
-                raw = memoryview(content.as_buffer())  # the archive is not copied
-                for info in zipfile.ZipFile(pa.BufferReader(content.as_buffer())).infolist():
-                    name = info.filename
-                    if info.is_dir() or not (name.startswith(prefix) and name.endswith(suffix)):
-                        continue
-                    if info.flag_bits & 1 or info.compress_type not in (0, 8):
-                        raise ValueError(f"Unsupported zip member {name}")
-                    # A local header is 30 bytes, then a name and an extra field.
-                    at = info.header_offset
-                    name_size, extra_size = struct.unpack("<HH", raw[at + 26 : at + 30])
-                    start = at + 30 + name_size + extra_size
-                    payload = bytes(raw[start : start + info.compress_size])
-                    yield pa.RecordBatch.from_pydict(
-                        {
-                            "archive": [archive.as_py()],
-                            "member": [name],
-                            "deflated": [info.compress_type == 8],
-                            "payload": pa.array([payload], pa.binary()),
-                        }
-                    )
-
-    return content.mapInArrow(
-        unpack, "archive STRING, member STRING, deflated BOOLEAN, payload BINARY"
-    )
-
-
-def member_counts(content: DataFrame) -> DataFrame:
-    """`archive` and `members`, also for an archive without members."""
-    counts = member_names(content).groupBy(ARCHIVE).agg(F.count("*").alias("members"))
-    return (
-        content.select(ARCHIVE)
-        .join(counts, ARCHIVE, "left")
-        .select(ARCHIVE, F.coalesce("members", F.lit(0)).alias("members"))
-    )
-
-
-def require_one_member(content: DataFrame) -> DataFrame:
-    """Raise unless every archive has exactly one member; returns the archives."""
-    wrong = member_counts(content).where("members <> 1").first()
+def require_one_member(
+    spark: SparkSession, path: str | Sequence[str], pattern: str = "*.zip"
+) -> None:
+    """Raise unless every archive has exactly one member."""
+    counts = members(spark, path, pattern).groupBy(ARCHIVE).agg(F.count(MEMBER).alias("members"))
+    wrong = counts.where("members <> 1").first()
     if wrong is not None:
         found = "Multiple files" if wrong.members else "No files"
         raise DataExtractionError(f"{found} found in the zipfile {wrong.archive}")
-    return content
 
 
 def csv_rows(
-    members: DataFrame,
+    spark: SparkSession,
+    path: str | Sequence[str],
     columns: Sequence[str],
-    encoding: str = "utf8",
     *,
+    prefix: str = "",
+    suffix: str = "",
+    encoding: str = "utf8",
     optional: Sequence[str] = (),
 ) -> DataFrame:
     """The rows of CSV members: `archive`, `member`, then `columns` as text.
 
-    A member whose header lacks one of the columns stops the job, as a landed CSV
-    file with a wrong header does; only `optional` ones are NULL where they are
-    absent. Other columns of a member are skipped.
+    Members are those whose name starts and ends as given. One whose header lacks a column
+    stops the job, as a landed CSV file with a wrong header does; only `optional` ones are
+    NULL where they are absent. Other columns of a member are skipped.
     """
-    wanted, may_lack = list(columns), set(optional)
-
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import csv as rows_of
-        import io
-        import zlib
-
-        from pyarrow import csv
-
-        class Inflated(io.RawIOBase):
-            def __init__(self, packed: bytes):
-                self._packed = memoryview(packed)
-                self._inflater = zlib.decompressobj(-zlib.MAX_WBITS)
-
-            def readable(self):
-                return True
-
-            def readinto(self, buffer):
-                tail = self._inflater.unconsumed_tail
-                if not tail:
-                    tail, self._packed = self._packed[: 1 << 20], self._packed[1 << 20 :]
-                data = self._inflater.decompress(tail, len(buffer))
-                if not data and len(self._packed):
-                    return self.readinto(buffer)
-                buffer[: len(data)] = data
-                return len(data)
-
-        read = csv.ReadOptions(encoding=encoding)
-        split = csv.ParseOptions(newlines_in_values=True)
-        convert = csv.ConvertOptions(
-            column_types={c: pa.string() for c in wanted},
-            include_columns=wanted,
-            include_missing_columns=True,
-            strings_can_be_null=False,
-        )
-        for batch in batches:
-            for row in batch.to_pylist():
-                packed = row["payload"]
-                raw = Inflated(packed) if row["deflated"] else io.BytesIO(packed)
-                stream = io.BufferedReader(raw, 1 << 20)
-                start = stream.peek().decode(encoding, "ignore").removeprefix("\ufeff")
-                header = next(rows_of.reader(io.StringIO(start, newline="")), [])
-                missing = [c for c in wanted if c not in header and c not in may_lack]
-                if missing:
-                    raise ValueError(
-                        f"{row['member']} in {row['archive']} lacks columns {missing}; "
-                        f"its header is {header}"
-                    )
-                for found in csv.open_csv(stream, read, split, convert):
-                    n = found.num_rows
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([row["archive"]] * n, pa.string()),
-                            pa.array([row["member"]] * n, pa.string()),
-                            *[found.column(c).cast(pa.string()) for c in wanted],
-                        ],
-                        names=["archive", "member", *wanted],
-                    )
-
-    cells = ", ".join(f"`{c}` STRING" for c in wanted)
-    return members.repartition(ARCHIVE, MEMBER).mapInArrow(
-        parse, f"archive STRING, member STRING, {cells}"
-    )
-
-
-def member_text(members: DataFrame, encoding: str = "utf-8") -> DataFrame:
-    """Whole text members, such as a readme: `archive`, `member`, `text`."""
+    wanted = {"columns": json.dumps(list(columns)), "optional": json.dumps(list(optional))}
+    return _load(spark, path, "csv", prefix=prefix, suffix=suffix, encoding=encoding, **wanted)
 
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zlib
 
-        for batch in batches:
-            for row in batch.to_pylist():
-                packed = row["payload"]
-                raw = zlib.decompress(packed, -zlib.MAX_WBITS) if row["deflated"] else packed
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "archive": [row["archive"]],
-                        "member": [row["member"]],
-                        "text": [raw.decode(encoding)],
-                    }
-                )
+def member_text(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    *,
+    prefix: str = "",
+    suffix: str = "",
+    encoding: str = "utf-8",
+) -> DataFrame:
+    """Whole text members, such as a readme: `archive`, `member`, `text`."""
+    return _load(spark, path, "text", prefix=prefix, suffix=suffix, encoding=encoding)
 
-    return members.mapInArrow(decode, "archive STRING, member STRING, text STRING")
 
+def _load(spark: SparkSession, path: str | Sequence[str], kind: str, **options) -> DataFrame:
+    paths = [path] if isinstance(path, str) else list(path)
+    files.require_files(spark, paths, options.get("pattern", "*.zip"))
+    if spark not in _known:
+        spark.dataSource.register(zipped.ZipMembers)
+        _known.add(spark)
+    reader = spark.read.format("zip_members").options(paths=json.dumps(paths), **options)
+    return reader.option("as", kind).load()

@@ -1,7 +1,9 @@
 """Each dataset from landed files to its tidy table."""
 
 import datetime
+import io
 import json
+import random
 import zipfile
 
 import pytest
@@ -22,7 +24,7 @@ from devdata_spark import (
     schemas,
     trade,
 )
-from devdata_spark.sources import archives, documents, files
+from devdata_spark.sources import archives, documents, files, zipped
 
 
 
@@ -43,8 +45,8 @@ TRADE_FILES = {
     "BACI_HS22_Y2021_V1.csv": "t,i,j,k,v,q\n2021,2,9,101,3.5,\n",
     "BACI_HS12_Y2020_V1.csv": "t,i,j,k,v,q\n1999,1,2,100,1.5,2.5\n",
     "notes.txt": "nothing",
-    "product_codes_HS22_V1.csv": 'code,description\n100,"Widgets, all\nkinds"\n010121,Gadgets\n'.replace("\nkinds", " kinds"),
-    "country_codes_V1.csv": "country_code,country_name,country_iso2,country_iso3\n1,Alpha,AA,AAA\n2,Beta,NA,BBB\n",
+    "product_codes_HS22_V1.csv": 'code,description\n100,"Copper ore, washed or\nkinds"\n010121,Live goats\n'.replace("\nkinds", " kinds"),
+    "country_codes_V1.csv": "country_code,country_name,country_iso2,country_iso3\n1,Northland,NL,NLA\n2,Eastmark,NA,EMK\n",
     "Readme.txt": README,
 }
 FLOWS = [
@@ -78,15 +80,15 @@ def test_trade_flows_and_labels(spark, trade_root, rows):
         "exporter_name", "exporter_iso3_code", "importer_name", "importer_iso3_code",
     ]
     assert rows(labelled, "product_description", "exporter_name", "exporter_iso3_code", "importer_iso3_code") == [
-        ("Gadgets", "Alpha", "AAA", "BBB"),
-        ("Widgets, all kinds", "Alpha", "AAA", "BBB"),
-        (None, "Beta", "BBB", None),
+        ("Live goats", "Northland", "NLA", "EMK"),
+        ("Copper ore, washed or kinds", "Northland", "NLA", "EMK"),
+        (None, "Eastmark", "EMK", None),
     ]
 
 
 def test_trade_dimensions_and_metadata(spark, trade_root, rows):
-    assert rows(trade.products(spark, trade_root)) == [("000100", "Widgets, all kinds"), ("010121", "Gadgets")]
-    assert rows(trade.countries(spark, trade_root)) == [(1, "Alpha", "AAA"), (2, "Beta", "BBB")]
+    assert rows(trade.products(spark, trade_root)) == [("000100", "Copper ore, washed or kinds"), ("010121", "Live goats")]
+    assert rows(trade.countries(spark, trade_root)) == [(1, "Northland", "NLA"), (2, "Eastmark", "EMK")]
     assert rows(trade.metadata(spark, trade_root)) == [
         ("Source", "CEPII More details"), ("Title", "BACI data Notes line 1 Notes line 2"),
     ]
@@ -125,7 +127,7 @@ def test_trade_labels_need_unique_codes(spark):
     twice = spark.createDataFrame([("000100", "a"), ("000100", "b")], schemas.TRADE_PRODUCTS)
     with pytest.raises(DataValidationError):
         trade.with_product_labels(flows, twice)
-    partners = spark.createDataFrame([(1, "A", "AAA"), (1, "B", "BBB")], schemas.TRADE_COUNTRIES)
+    partners = spark.createDataFrame([(1, "A", "NLA"), (1, "B", "EMK")], schemas.TRADE_COUNTRIES)
     with pytest.raises(DataValidationError):
         trade.with_country_labels(flows, partners)
 
@@ -151,22 +153,106 @@ def test_members_of_archives(spark, tmp_path, rows):
         z.writestr("folder/", "")
         z.writestr("folder/a.csv", 'x,y\n1,"two\nlines"\n')
         z.writestr("b.csv", "y,z\nonly y,3\n")
-    content = archives.archives(spark, str(tmp_path))
-    counts = {a.rsplit("/", 1)[1]: n for a, n in rows(archives.member_counts(content))}
-    assert counts == {"empty.zip": 0, "two.zip": 2}
-    read = archives.csv_rows(archives.packed_members(content), ["x", "y"], optional=["x"])
+    listed = archives.members(spark, str(tmp_path)).collect()
+    assert sorted((r.archive.rsplit("/", 1)[1], r.member or "", r.size or 0) for r in listed) == [
+        ("empty.zip", "", 0), ("two.zip", "b.csv", 15), ("two.zip", "folder/a.csv", 18),
+    ]
+    read = archives.csv_rows(spark, str(tmp_path), ["x", "y"], optional=["x"])
     assert rows(read, "member", "x", "y") == [("b.csv", None, "only y"), ("folder/a.csv", "1", "two\nlines")]
+    read = archives.csv_rows(spark, str(tmp_path), ["x", "y"], prefix="folder/")
+    assert rows(read, "x") == [("1",)]
     with pytest.raises(DataExtractionError, match="No files found in the zipfile"):
-        archives.require_one_member(archives.archives(spark, str(tmp_path), "empty.zip"))
+        archives.require_one_member(spark, str(tmp_path), "empty.zip")
     with pytest.raises(DataExtractionError, match="Multiple files found in the zipfile"):
-        archives.require_one_member(archives.archives(spark, str(tmp_path), "two.zip"))
+        archives.require_one_member(spark, str(tmp_path), "two.zip")
+    with pytest.raises(DataExtractionError, match="No files found"):
+        archives.members(spark, str(tmp_path), "other*.zip")
+
+
+class Counted:
+    """A file that remembers which bytes were read."""
+
+    def __init__(self, path):
+        self.file, self.read_ranges = open(path, "rb"), []
+
+    def read(self, n=-1):
+        at = self.file.tell()
+        data = self.file.read(n)
+        self.read_ranges.append((at, at + len(data)))
+        return data
+
+    def seek(self, *args):
+        return self.file.seek(*args)
+
+    def tell(self):
+        return self.file.tell()
+
+    def seekable(self):
+        return True
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *args):
+        self.file.close()
+
+
+@pytest.mark.parametrize("zip64", [False, True])
+def test_listing_reads_no_member(tmp_path, zip64, monkeypatch):
+    if zip64:  # the directory then needs the wider records
+        monkeypatch.setattr(zipfile, "ZIP64_LIMIT", 1000)
+        monkeypatch.setattr(zipfile, "ZIP_FILECOUNT_LIMIT", 3)
+    path = tmp_path / "big.zip"
+    rng = random.Random(3)
+    texts = {f"m{i}.txt": rng.randbytes(200_000).hex() for i in range(5)}
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, text in texts.items():
+            z.writestr(name, text)
+    counted = Counted(path)
+    found = zipped.directory(str(path), "m", ".txt", counted)
+    members_end = max(m.start + m.packed for m in found)
+    # the search for the end of an archive may look at its last 64 KB
+    assert sum(b - a for a, b in counted.read_ranges) < 70_000
+    assert min(a for a, b in counted.read_ranges if b > a) >= members_end - 66_000
+    for m in found:
+        opened = Counted(path)
+        stream = io.BufferedReader(zipped.Stream(m, opened), 1000)
+        assert stream.read().decode() == texts[m.name]
+        assert all(m.start <= a and b <= m.start + m.packed + 100 for a, b in opened.read_ranges)
+
+
+def test_damaged_members_stop_the_job(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "x.zip", "w") as z:
+        z.writestr("a.txt", "some text that is stored")
+    content = (tmp_path / "x.zip").read_bytes()
+    (tmp_path / "x.zip").write_bytes(content.replace(b"that is", b"that\0is"))
+    with pytest.raises(Exception, match="is damaged"):
+        archives.member_text(spark, str(tmp_path)).collect()
+    (tmp_path / "x.zip").write_bytes(content.replace(b"PK\x03\x04", b"PK\x03\x05"))
+    with pytest.raises(Exception, match="No member a.txt where"):
+        archives.member_text(spark, str(tmp_path)).collect()
+
+
+def test_members_are_dealt_out_by_size(spark, tmp_path, monkeypatch):
+    for i in range(3):
+        with zipfile.ZipFile(tmp_path / f"{i}.zip", "w") as z:
+            for j in range(4):
+                z.writestr(f"{i}{j}.txt", f"{i}{j}" * 500)
+    monkeypatch.setattr(zipped, "TASK_BYTES", 2500)
+    reader = zipped.ZipReader({"paths": json.dumps([str(tmp_path)]), "as": "text"})
+    dealt = [[m.name for m in p.members] for p in reader.partitions()]
+    assert [len(p) for p in dealt] == [2] * 6
+    assert sorted(sum(dealt, [])) == sorted(f"{i}{j}.txt" for i in range(3) for j in range(4))
+    listed = reader.options | {"as": "list", "suffix": "1.txt"}
+    found = [m.name for p in zipped.ZipReader(listed).partitions() for m in p.members]
+    assert sorted(found) == ["01.txt", "11.txt", "21.txt"]
 
 
 def test_large_member_is_read_in_batches(spark, tmp_path):
     n = 200_000
     with zipfile.ZipFile(tmp_path / "big.zip", "w", zipfile.ZIP_DEFLATED) as z:
         z.writestr("big.csv", "a,b\n" + "".join(f"{i},row {i}\n" for i in range(n)))
-    read = archives.csv_rows(archives.packed_members(archives.archives(spark, str(tmp_path))), ["a", "b"])
+    read = archives.csv_rows(spark, str(tmp_path), ["a", "b"])
     total = read.agg(F.count("*"), F.sum(F.col("a").cast("bigint")), F.countDistinct("b")).first()
     assert tuple(total) == (n, n * (n - 1) // 2, n)
 
@@ -445,8 +531,8 @@ def test_hiv_dataset(spark, tmp_path, rows, zipped):
     df = hiv.data(spark, str(tmp_path), "Laws and Policies")
     assert df.columns == schemas.names(schemas.HIV_DATA)
     assert rows(df) == [
-        ("ind", "unit", "sub", "A", "AAA", 2020, "src", "1.0", "1", "note", 1.0),
-        ("law", "unit", "sub", "A", "AAA", 2021, None, "Yes", "Yes", None, None),
+        ("ind", "unit", "sub", "A", "NLA", 2020, "src", "1.0", "1", "note", 1.0),
+        ("law", "unit", "sub", "A", "NLA", 2021, None, "Yes", "Yes", None, None),
     ]
 
 
@@ -457,7 +543,7 @@ def test_hiv_columns_are_found_by_name(spark, tmp_path, rows):
         "Area ID,Area,More,Indicator,Time Period,Data value\nAAA,A,x,ind,2020,7\n"
     )
     df = hiv.data(spark, str(tmp_path), "GAM")
-    assert rows(df, "entity_code", "indicator_name", "year", "value_numeric") == [("AAA", "ind", 2020, 7.0)]
+    assert rows(df, "entity_code", "indicator_name", "year", "value_numeric") == [("NLA", "ind", 2020, 7.0)]
     (folder / "gam.csv").write_text("Area ID,Area,Time Period,Data value\nAAA,A,2020,7\n")
     with pytest.raises(DataValidationError, match="indicator_name"):
         hiv.data(spark, str(tmp_path), "GAM")

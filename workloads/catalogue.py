@@ -96,32 +96,56 @@ def trade_files(spark, sf):
     return trade.flows(spark, root, "hs22", product_labels=True, country_labels=True)
 
 
+@query(
+    _COUNTRY_LABELS.format("f.*, product_description", sql.FLOWS)
+    + f" left join ({sql.PRODUCTS}) p on f.product_code = p.product_code"
+)
+def trade_archive_files(spark, sf):
+    """As trade_files, from zip archives."""
+    root = landing.new_folder(spark, "trade")
+    folder = f"{root}/hs_version=HS22"
+    landing.zipped_csv(shapes.raw_flows(spark, sf), folder, "BACI_HS22_Y")
+    landing.zipped_csv(shapes.raw_products(spark, sf).coalesce(1), folder, "product_codes_HS22_")
+    landing.zipped_csv(shapes.raw_countries(spark, sf).coalesce(1), folder, "country_codes_")
+    return trade.flows(spark, root, "hs22", product_labels=True, country_labels=True)
+
+
 @query(sql.FLOWS)
 def archive_members(spark, sf):
-    """Flows packed as zip archives of one CSV member per batch, and read back."""
+    """Flows packed as zip archives of one CSV member, and read back by byte ranges."""
+    folder = landing.new_folder(spark, "archives")
+    landing.zipped_csv(shapes.raw_flows(spark, sf), folder, "BACI_HS22_")
     cells = schemas.names(schemas.TRADE_RAW)
-    flows = shapes.raw_flows(spark, sf)
-    content = _zip_batches(flows.select(*[F.col(c).cast("string") for c in cells]))
-    # which rows share a batch is not fixed, so the archives are written once
-    content = landing.materialise(content, "archives")
-    packed = archives.packed_members(content, "BACI_HS22", ".csv")
-    return trade.shape_flows(archives.csv_rows(packed, cells).select(*cells))
+    read = archives.csv_rows(spark, folder, cells, prefix="BACI_HS22", suffix=".csv")
+    return trade.shape_flows(read.select(*cells))
 
 
 @query("select doc_id, length(text) as n_chars, md5(text) as digest from documents")
 def archive_texts(spark, sf):
-    """Each document as a zip archive with one text member, and read back whole."""
-    documents_ = table(spark, sf, "documents").select(
-        F.col("doc_id").cast("string").alias("archive"), "text"
-    )
-    read = archives.member_text(archives.packed_members(_zip_texts(documents_)))
+    """Documents as text members of zip archives, and read back whole."""
+    folder = landing.new_folder(spark, "archives")
+    name = F.concat("doc_id", F.lit(".txt")).alias("name")
+    landing.zipped_texts(table(spark, sf, "documents").select(name, "text"), folder)
+    read = archives.member_text(spark, folder, suffix=".txt")
     return read.select(
-        F.col("archive").cast("bigint").alias("doc_id"),
+        F.regexp_extract("member", r"^(\d+)", 1).cast("bigint").alias("doc_id"),
         F.length("text").cast("bigint").alias("n_chars"),
         F.md5("text").alias("digest"),
     )
 
 
+@query("select regexp_extract(name, '^[0-9]+') as doc_id, n_bytes from (select doc_id || '.txt' as name,"
+       " cast(octet_length(encode(text)) as bigint) as n_bytes from documents)")
+def archive_listing(spark, sf):
+    """The members of archives and their sizes, from the archives' ends alone."""
+    folder = landing.new_folder(spark, "archives")
+    name = F.concat("doc_id", F.lit(".txt")).alias("name")
+    landing.zipped_texts(table(spark, sf, "documents").select(name, "text"), folder)
+    return archives.members(spark, folder).select(
+        F.regexp_extract("member", r"^(\d+)", 1).alias("doc_id"), F.col("size").alias("n_bytes")
+    )
+
+
 @query("select page_id, u as href, t as link_text from ("
        "select page_id, unnest(regexp_extract_all(html, '<a href=\"([^\"]*)\">([^<]*)</a>', 1)) as u,"
        " unnest(regexp_extract_all(html, '<a href=\"([^\"]*)\">([^<]*)</a>', 2)) as t,"
@@ -131,7 +155,8 @@ def html_links(spark, sf):
     return documents.links(table(spark, sf, "pages"), "html", ["page_id"])
 
 
-@query("select page_id, 'HS92' as hs_version, '/inner?a=1&b=' || page_id as url from pages"
+# of two links with one text, as on page 92, the last one counts
+@query("select page_id, 'HS92' as hs_version, '/inner?a=1&b=' || page_id as url from pages where page_id <> 92"
        " union all select page_id, 'HS' || page_id, '/' || page_id || '?q=ô&é' from pages")
 def download_links(spark, sf):
     """Each page inside the download section, between an inner section and a link."""
@@ -797,7 +822,7 @@ def health_files(spark, sf):
     return health.data(spark, root)
 
 
-@query("""
+_HIV = """
 select 'Orders' as indicator_name, 'Number' as unit, o_orderstatus as subgroup,
   'Area, of ' || o_custkey as entity_name, 'A' || o_custkey as entity_code,
   cast(year(o_orderdate) as int) as year, null::varchar as source,
@@ -805,24 +830,23 @@ select 'Orders' as indicator_name, 'Number' as unit, o_orderstatus as subgroup,
   o_orderpriority as value_formatted, null::varchar as footnote,
   case when o_orderstatus = 'P' then null else cast(o_orderkey as double) end as value_numeric
 from orders
-""")
+"""
+
+
+@query(_HIV)
 def hiv_files(spark, sf):
-    status = F.col("o_orderstatus")
-    rows = table(spark, sf, "orders").select(
-        F.lit("Orders").alias("Indicator"),
-        F.lit("Number").alias("Unit"),
-        status.alias("Subgroup"),
-        F.concat(F.lit("Area, of "), "o_custkey").alias("Area"),
-        F.concat(F.lit("A"), "o_custkey").alias("Area ID"),
-        F.year("o_orderdate").alias("Time Period"),
-        F.lit("NA").alias("Source"),
-        F.when(status == "P", "Yes").otherwise(F.col("o_orderkey").cast("string"))
-        .alias("Data value"),
-        F.col("o_orderpriority").alias("Formatted"),
-        F.lit("").alias("Footnote"),
-    )
     root = landing.new_folder(spark, "hiv")
-    files.write_table(rows, f"{root}/dataset=GAM", format="csv", header=True, escape='"')
+    files.write_table(
+        _hiv_rows(spark, sf), f"{root}/dataset=GAM", format="csv", header=True, escape='"'
+    )
+    return hiv.data(spark, root, "GAM")
+
+
+@query(_HIV)
+def hiv_archive_files(spark, sf):
+    """As hiv_files, from zip archives of one member each."""
+    root = landing.new_folder(spark, "hiv")
+    landing.zipped_csv(_hiv_rows(spark, sf), f"{root}/dataset=GAM", "gam")
     return hiv.data(spark, root, "GAM")
 
 
@@ -1079,6 +1103,23 @@ def _customers_with_legacy_code(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _hiv_rows(spark: SparkSession, sf: str) -> DataFrame:
+    status = F.col("o_orderstatus")
+    return table(spark, sf, "orders").select(
+        F.lit("Orders").alias("Indicator"),
+        F.lit("Number").alias("Unit"),
+        status.alias("Subgroup"),
+        F.concat(F.lit("Area, of "), "o_custkey").alias("Area"),
+        F.concat(F.lit("A"), "o_custkey").alias("Area ID"),
+        F.year("o_orderdate").alias("Time Period"),
+        F.lit("NA").alias("Source"),
+        F.when(status == "P", "Yes").otherwise(F.col("o_orderkey").cast("string"))
+        .alias("Data value"),
+        F.col("o_orderpriority").alias("Formatted"),
+        F.lit("").alias("Footnote"),
+    )
+
+
 def _write_csv(df: DataFrame, name: str, **options) -> str:
     path = landing.new_folder(df.sparkSession, name)
     files.write_table(df, path, format="csv", header=True, escape='"', **options)
@@ -1098,52 +1139,3 @@ def _outlook_files(spark: SparkSession, sf: str) -> str:
         shapes.outlook_records(spark, sf), path, partition_by=["vintage_year", "vintage_month"]
     )
     return path
-
-
-def _zip_batches(df: DataFrame) -> DataFrame:
-    """Each batch of rows as a zip archive with one CSV member and a note."""
-
-    def pack(batches):
-        import hashlib
-        import io
-        import zipfile
-
-        import pyarrow as pa
-        from pyarrow import csv
-
-        for batch in batches:
-            member, archive = io.BytesIO(), io.BytesIO()
-            csv.write_csv(batch, member)
-            with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
-                z.writestr("BACI_HS22_Y2020.csv", member.getvalue())
-                z.writestr("Readme.txt", "Title: flows")
-            name = hashlib.md5(member.getvalue()).hexdigest()
-            yield pa.RecordBatch.from_pydict(
-                {"archive": [name], "content": [archive.getvalue()]}
-            )
-
-    return df.mapInArrow(pack, "archive STRING, content BINARY")
-
-
-def _zip_texts(df: DataFrame) -> DataFrame:
-    """Each text as a zip archive with one text member."""
-
-    def pack(batches):
-        import io
-        import zipfile
-
-        import pyarrow as pa
-
-        for batch in batches:
-            content = []
-            for text_ in batch.column("text").to_pylist():
-                archive = io.BytesIO()
-                with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
-                    z.writestr("Readme.txt", text_)
-                content.append(archive.getvalue())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("archive"), pa.array(content, pa.binary())],
-                names=["archive", "content"],
-            )
-
-    return df.mapInArrow(pack, "archive STRING, content BINARY")

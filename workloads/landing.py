@@ -3,9 +3,10 @@
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from devdata_spark import scratch
-from devdata_spark.sources import files
+from devdata_spark.sources import files, zipped
 
 _local: dict[str, str] = {}
 
@@ -41,3 +42,59 @@ def named_csv(df: DataFrame, folder: str, name: str) -> None:
     for i, status in enumerate(system.listStatus(hadoop.Path(written))):
         if status.getPath().getName().startswith("part-"):
             system.rename(status.getPath(), hadoop.Path(to, f"{name}{i}.csv"))
+
+
+def zipped_csv(df: DataFrame, folder: str, name: str) -> None:
+    """Zip archives in a folder, one for each partition, of one CSV member with a header."""
+    columns, store = df.columns, zipped.file_system
+
+    def pack(batches):
+        import zipfile
+
+        import pyarrow as pa
+        from pyarrow import csv
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
+        files_of, inside = store(folder)
+        files_of.create_dir(inside, recursive=True)
+        schema = pa.schema([(c, pa.string()) for c in columns])
+        # a task that runs again writes the same archive again
+        with (
+            files_of.open_output_stream(f"{inside}/{name}{part}.zip") as out,
+            zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z,
+            z.open(f"{name}{part}.csv", "w", force_zip64=True) as member,
+            csv.CSVWriter(pa.PythonFile(member, mode="w"), schema) as rows,
+        ):
+            for batch in batches:
+                rows.write(batch.cast(schema))
+        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32())})
+
+    texts = df.select(*[F.col(c).cast("string") for c in columns])
+    texts.mapInArrow(pack, "part INT").write.format("noop").mode("overwrite").save()
+
+
+def zipped_texts(df: DataFrame, folder: str) -> None:
+    """Zip archives in a folder, one for each partition, of a member for each (name, text)."""
+    store = zipped.file_system
+
+    def pack(batches):
+        import zipfile
+
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
+        files_of, inside = store(folder)
+        files_of.create_dir(inside, recursive=True)
+        with (
+            files_of.open_output_stream(f"{inside}/texts{part}.zip") as out,
+            zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z,
+        ):
+            for batch in batches:
+                for row in batch.to_pylist():
+                    z.writestr(row["name"], row["text"] or "")
+        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32())})
+
+    written = df.select("name", "text").mapInArrow(pack, "part INT")
+    written.write.format("noop").mode("overwrite").save()
