@@ -1,11 +1,14 @@
 """Date expressions."""
 
+from collections.abc import Iterable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The day-grain formats that free-form dates may have. Each is tried
 # only on texts of its form: a parse that fails costs far more than a match.
-# The first pattern that gives a date counts, so 05/04/2024 is the fifth of April.
+# The first pattern that gives a date counts, so 05/04/2024 alone is the fifth of April.
 FREE_FORM_PATTERNS = {
     "yyyy-MM-dd": r"^\d{4}-\d{2}-\d{2}$",
     "yyyy-MM-dd'T'HH:mm:ss": r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$",
@@ -30,16 +33,52 @@ _LAST_YEAR_OF_TWO_DIGITS = 2068
 FIRST_YEAR, LAST_YEAR = 1800, 2099
 
 
-def parse_free_form(c: Column) -> Column:
-    """The date of a free-form text, NULL where no known format fits."""
-    parsed = []
+# Forms that read one text as different dates: which one is meant shows in a whole column.
+AMBIGUOUS = ["d/M/yyyy", "M/d/yyyy"]
+
+
+def form_bit(pattern: str) -> int:
+    """The bit that stands for a form in a mask of forms."""
+    return 1 << list(FREE_FORM_PATTERNS).index(pattern)
+
+
+AMBIGUOUS_BITS = sum(form_bit(p) for p in AMBIGUOUS)
+
+
+def parse_free_form(c: Column, allowed: Column | None = None) -> Column:
+    """The date of a free-form text, NULL where no known format fits.
+
+    Ambiguous forms that are not in the mask `allowed` are not tried, unless it has none.
+    """
+    dates = _parsed(c)
+    if allowed is not None:
+        some = F.coalesce(allowed, F.lit(0)).bitwiseAND(F.lit(AMBIGUOUS_BITS))
+        for pattern in AMBIGUOUS:
+            tried = (some == 0) | (some.bitwiseAND(F.lit(form_bit(pattern))) != 0)
+            dates[pattern] = F.when(tried, dates[pattern])
+    return F.coalesce(*dates.values())
+
+
+def form_mask(c: Column, patterns: Iterable[str] = FREE_FORM_PATTERNS) -> Column:
+    """The forms, of the given ones, in which a text is a date, as a mask; 0 if none."""
+    parsed = _parsed(c)
+    bits = [
+        F.when(parsed[pattern].isNotNull(), F.lit(form_bit(pattern))).otherwise(F.lit(0))
+        for pattern in patterns
+    ]
+    return reduce(Column.bitwiseOR, bits).cast("bigint")
+
+
+def _parsed(c: Column) -> dict[str, Column]:
+    """The date of a text in each form."""
+    parsed = {}
     for pattern, form in FREE_FORM_PATTERNS.items():
         date = F.when(c.rlike(form), F.try_to_date(c, pattern))
         if pattern.endswith("-yy"):
             last_century = F.year(date) > _LAST_YEAR_OF_TWO_DIGITS
             date = F.when(last_century, F.add_months(date, -1200)).otherwise(date)
-        parsed.append(date)
-    return F.coalesce(*parsed)
+        parsed[pattern] = date
+    return parsed
 
 
 def parse_report(df: DataFrame, column: str) -> DataFrame:

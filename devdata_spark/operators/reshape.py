@@ -46,8 +46,10 @@ def to_long(
 
 
 def _to_number(cell: Column) -> Column:
+    # one set of markers: Spark cannot compile a short list inside a chain of conditions
+    # over an unpivoted column, and would interpret the whole stage
     trimmed = F.trim(cell)
-    known = F.when(~trimmed.isin(MISSING_NUMBERS), text.missing_to_null(trimmed))
+    known = F.when(~trimmed.isin([*MISSING_NUMBERS, *text.MISSING_MARKERS]), trimmed)
     return text.strict(known, "double")
 
 

@@ -7,8 +7,8 @@ their own: the table's first row holds the column titles.
 from pyspark.sql import DataFrame, SparkSession
 
 from devdata_spark import fields, quality, schemas
-from devdata_spark.functions import dates, text
-from devdata_spark.operators import columns, filters
+from devdata_spark.functions import text
+from devdata_spark.operators import columns, date_forms, filters
 from devdata_spark.sources import files
 
 # Positions of the kept columns, and their harmonised names.
@@ -20,6 +20,7 @@ POSITIONS = {
     6: "joint_with_world_bank",
     7: "latest_dsa_discussed",
 }
+DATE_POSITIONS = [2, 7]
 
 
 def assessments(spark: SparkSession, path: str) -> DataFrame:
@@ -40,18 +41,17 @@ def shape(raw: DataFrame, order: str, by: str) -> DataFrame:
     first = raw.columns[0]
     body = filters.drop_first_row(filters.drop_missing(raw, first, blank=True), order, by)
     # a join may put its key first: back to the positions of the raw table
-    named = columns.by_position(body.select(*raw.columns), POSITIONS)
-    return clean(named)
+    rows = body.select(*raw.columns)
+    dated = date_forms.parse(rows, [raw.columns[i] for i in DATE_POSITIONS], [by])
+    return clean(columns.by_position(dated, POSITIONS))
 
 
 def clean(df: DataFrame) -> DataFrame:
-    """Footnote markers, labels, dates and the yes/no column."""
+    """Footnote markers, labels and the yes/no column."""
     return columns.clean(
         df,
         country_name=text.strip_footnote,
-        latest_publication=dates.parse_free_form,
         risk_of_debt_distress=text.label,
         debt_sustainability_assessment=text.label,
         joint_with_world_bank=text.is_yes,
-        latest_dsa_discussed=dates.parse_free_form,
     )

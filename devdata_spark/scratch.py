@@ -1,16 +1,27 @@
 """The shared folder for tables that a job writes for itself."""
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_local: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that `spark.checkpoint.dir` names, which all executors share."""
+    """The folder that `spark.checkpoint.dir` names, which all executors share.
+
+    Only a local session without that setting gets a temporary one.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
+    if configured:
+        return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share")
-    return configured.rstrip("/")
+    application = spark.sparkContext.applicationId
+    if application not in _local:
+        _local[application] = tempfile.mkdtemp(prefix="shared-")
+    return _local[application]
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -3,15 +3,15 @@
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 
-from devdata_spark import schemas
+from devdata_spark import schemas, scratch
 from devdata_spark.errors import DataExtractionError
 from devdata_spark.functions import text
-from devdata_spark.operators import columns
+from devdata_spark.operators import columns, joins
 
-# Added by `row_order=True`: the file of a row, and its place in that file.
+# Added by `row_order=True`: the file of a row, and its number in that file.
 FILE, ROW = "_file", "_row"
 
 
@@ -78,16 +78,32 @@ def read_parquet(
 
 
 def with_row_order(df: DataFrame) -> DataFrame:
-    """Add the file of each row and its place in it, straight after a file read.
+    """Add the file of each row and its number in that file, from 0, after a file read.
 
-    The place is the file block's start, then a number that rises inside the
-    block. It does not depend on which task reads the block.
+    A scan numbers the rows of each split; the table is written with that number once, so
+    both the counts and the rows come from one reading. Rows are then counted per split,
+    and the sum of the splits before it (a table of one row for each split) is added. The
+    numbers do not depend on how a scan is cut into splits or dealt out.
     """
-    place = F.struct(
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("number"),
+    scanned = df.select(
+        "*",
+        F.col("_metadata.file_path").alias(FILE),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_number"),
+    )
+    kept = scratch.materialise(scanned, "rows")
+    splits = kept.groupBy(FILE, "_block").agg(
+        F.min("_number").alias("_first"), F.count("*").alias("_rows")
+    )
+    before = Window.partitionBy(FILE).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.select(
+        FILE, "_block",
+        (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_offset"),
+    )
+    numbered = joins.attach(kept, offsets, [FILE, "_block"], validate=False)
+    return numbered.withColumn(ROW, F.col("_number") + F.col("_offset")).drop(
+        "_block", "_number", "_offset"
     )
-    return df.select("*", F.col("_metadata.file_path").alias(FILE), place.alias(ROW))
 
 
 def list_files(

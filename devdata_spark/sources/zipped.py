@@ -65,6 +65,37 @@ def file_system(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}:{rest}")
 
 
+class File(io.RawIOBase):
+    """A file of any store for reading, as Python's own files behave."""
+
+    def __init__(self, path: str):
+        store, inside = file_system(path)
+        self.file = store.open_input_file(inside)
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def tell(self) -> int:
+        return self.file.tell()
+
+    def seek(self, offset: int, whence: int = io.SEEK_SET) -> int:
+        at = offset + (0, self.file.tell(), self.file.size())[whence]
+        if at < 0:
+            raise OSError(f"No place {at} in a file")
+        self.file.seek(at)
+        return at
+
+    def readinto(self, buffer) -> int:
+        return self.file.readinto(buffer)
+
+    def close(self) -> None:
+        self.file.close()
+        super().close()
+
+
 def archives_at(path: str, pattern: str) -> list[str]:
     """An archive, or those of a folder whose name fits the pattern."""
     store, inside = file_system(path)
@@ -78,14 +109,12 @@ def archives_at(path: str, pattern: str) -> list[str]:
     return [f"{path.rstrip('/')}/{n}" for n in sorted(names) if fnmatch.fnmatch(n, pattern)]
 
 
-def directory(archive: str, prefix: str, suffix: str, opened=None) -> list[Member]:
+def directory(archive: str, prefix: str, suffix: str, opened: File | None = None) -> list[Member]:
     """The members of an archive whose name starts and ends as given, from its end alone.
 
     An archive without any member at all gives one of no name.
     """
-    if opened is None:
-        store, inside = file_system(archive)
-        opened = store.open_input_file(inside)
+    opened = File(archive) if opened is None else opened
     with opened, zipfile.ZipFile(opened) as z:
         infos = [i for i in z.infolist() if not i.is_dir()]
     if not infos:
@@ -106,7 +135,7 @@ def directory(archive: str, prefix: str, suffix: str, opened=None) -> list[Membe
 class Stream(io.RawIOBase):
     """The bytes of a member, inflated piece by piece; a wrong sum is an error at the end."""
 
-    def __init__(self, member: Member, opened):
+    def __init__(self, member: Member, opened: File):
         self.member, self.file = member, opened
         self.file.seek(member.start)
         header = self.file.read(LOCAL_HEADER)
@@ -143,10 +172,9 @@ class Stream(io.RawIOBase):
         buffer[: len(data)] = data
         return len(data)
 
-
-def opened(member: Member) -> Stream:
-    store, inside = file_system(member.archive)
-    return Stream(member, store.open_input_file(inside))
+    def close(self) -> None:
+        self.file.close()
+        super().close()
 
 
 def csv_batches(
@@ -161,7 +189,7 @@ def csv_batches(
         include_missing_columns=True,
         strings_can_be_null=False,
     )
-    stream = io.BufferedReader(opened(member), PIECE)
+    stream = io.BufferedReader(Stream(member, File(member.archive)), PIECE)
     start = stream.peek().decode(encoding, "ignore").removeprefix("\ufeff")
     header = next(rows_of.reader(io.StringIO(start, newline="")), [])
     missing = [c for c in columns if c not in header and c not in may_lack]
@@ -223,9 +251,9 @@ class ZipReader(DataSourceReader):
             members = [m for found in listed for m in found]
         if self.options["as"] != "list":
             members = [m for m in members if m.name is not None]
-        dealt, size = [], TASK_BYTES
+        dealt, size = [], 0
         for member in members:
-            if size + member.packed > TASK_BYTES or len(dealt[-1]) >= ROWS:
+            if not dealt or size + member.packed > TASK_BYTES or len(dealt[-1]) >= ROWS:
                 dealt.append([])
                 size = 0
             dealt[-1].append(member)
@@ -241,7 +269,8 @@ class ZipReader(DataSourceReader):
             yield batch(members, sizes, ["packed_size", "size"])
         elif kind == "text":
             for m in members:
-                text = io.BufferedReader(opened(m), PIECE).read().decode(encoding)
+                with io.BufferedReader(Stream(m, File(m.archive)), PIECE) as stream:
+                    text = stream.read().decode(encoding)
                 yield batch([m], [pa.array([text], pa.string())], ["text"])
         else:
             columns = json.loads(self.options["columns"])

@@ -11,6 +11,7 @@ from devdata_spark.operators import (
     analysis,
     columns,
     combine,
+    date_forms,
     filters,
     joins,
     latest,
@@ -435,3 +436,57 @@ def test_many_top_rows_do_not_compare_the_payload(spark, rows):
     top = latest.top_rows(df.repartition(5), 1200, by=["k"], order=[F.desc("id")])
     assert rows(top, "k", "id") == rows(df.where("id >= 600"), "k", "id")
     assert top.where("m['a'] <> id").isEmpty()
+
+
+def test_dates_are_read_as_their_column_is_written(spark):
+    cells = {
+        "day": ["05/04/2024", "31/10/2024", "soon", None],
+        "month": ["05/04/2024", "10/31/2024", "2024-01-02"],
+        "both": ["05/04/2024", "31/10/2024", "10/31/2024"],
+        "either": ["05/04/2024", "06/07/2024", "May 2024"],
+        "none": ["n/a", None],
+    }
+    df = spark.createDataFrame([(f, c) for f, cs in cells.items() for c in cs], "f STRING, d STRING")
+    parsed = date_forms.parse(df, ["d"], ["f"])
+    assert parsed.columns == df.columns
+    found = {}
+    for r in parsed.collect():
+        found.setdefault(r.f, []).append(r.d and r.d.isoformat())
+    assert {f: sorted(d, key=str) for f, d in found.items()} == {
+        "day": ["2024-04-05", "2024-10-31", None, None],
+        "month": ["2024-01-02", "2024-05-04", "2024-10-31"],
+        "both": ["2024-04-05", "2024-10-31", "2024-10-31"],
+        "either": ["2024-04-05", "2024-05-01", "2024-07-06"],
+        "none": [None, None],
+    }
+    forms = {r.f: (r.form, r.ambiguous_form, r.mixed, r.n_dates, r.n_unparsed, r.n_empty)
+             for r in date_forms.forms(df, "d", ["f"]).collect()}
+    assert forms == {
+        "day": ("d/M/yyyy", "d/M/yyyy", False, 2, 1, 1),
+        "month": (None, "M/d/yyyy", False, 3, 0, 0),
+        "both": (None, None, True, 3, 0, 0),
+        "either": (None, "d/M/yyyy", False, 3, 0, 0),
+        "none": (None, None, False, 0, 1, 1),
+    }
+    # a column without files is one column
+    months = df.where("f = 'month'").drop("f")
+    assert sorted(str(r.d) for r in date_forms.parse(months, ["d"]).collect()) == [
+        "2024-01-02", "2024-05-04", "2024-10-31"
+    ]
+    assert date_forms.parse(df.limit(0), ["d"]).collect() == []
+
+
+def test_wide_to_long_is_compiled(spark, tmp_path):
+    spark.createDataFrame([("a", "1", ".."), ("b", " 3 ", "NA")], "id STRING, x STRING, y STRING").write.parquet(
+        str(tmp_path / "wide")
+    )
+    wide = spark.read.parquet(str(tmp_path / "wide"))
+    settings = {"spark.sql.codegen.fallback": "false", "spark.sql.codegen.factoryMode": "CODEGEN_ONLY"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        found = reshape.to_long(wide, ["id"]).collect()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert sorted((r.id, r.indicator_code, r.value) for r in found if r.value) == [("a", "x", 1.0), ("b", "x", 3.0)]

@@ -38,7 +38,10 @@ def test_shared_folder_comes_from_the_session(spark, monkeypatch):
     assert scratch.new_folder(spark, "x") != scratch.new_folder(spark, "x")
 
     class Unset:
-        """A session without the setting."""
+        """A cluster session without the setting."""
+
+        class sparkContext:
+            master = "yarn"
 
         class conf:
             @staticmethod

@@ -16,6 +16,7 @@ from devdata_spark.operators import (
     analysis,
     columns,
     combine,
+    date_forms,
     filters,
     joins,
     latest,
@@ -366,7 +367,7 @@ def clean_labels(spark, sf):
         .alias("joint_with_world_bank"),
         F.date_format(day, "dd/MM/yyyy").alias("latest_publication"),
     )
-    return debt.clean(raw)
+    return debt.clean(date_forms.parse(raw, ["latest_publication"]))
 
 
 @query("select o_orderkey, case when o_orderpriority = '5-LOW' then null"
@@ -380,9 +381,37 @@ def coerce_dates(spark, sf):
         .when(priority == "5-LOW", "not yet")
         .otherwise(F.date_format("o_orderdate", "MMMM d, yyyy"))
     )
-    return table(spark, sf, "orders").select(
-        "o_orderkey", dates.parse_free_form(written).alias("date")
-    )
+    orders = table(spark, sf, "orders").select("o_orderkey", written.alias("date"))
+    return date_forms.parse(orders, ["date"])
+
+
+# files 1 and 2 have the day or the month first, 3 contradicts itself, 4 has two forms, 5 none
+_DATES_BY_FILE = """
+select o_orderkey, left(o_orderpriority, 1) as file, cast(o_orderdate as date) as day,
+  case left(o_orderpriority, 1)
+    when '3' then case when o_orderkey % 2 = 0 or day(o_orderdate) > 12
+      then cast(o_orderdate as date)
+      else make_date(year(o_orderdate), day(o_orderdate), month(o_orderdate)) end
+    when '5' then null else cast(o_orderdate as date) end as date
+from orders"""
+
+
+@query(f"select o_orderkey, file, date from ({_DATES_BY_FILE})")
+def dates_by_file(spark, sf):
+    """Dates as each file writes them."""
+    return date_forms.parse(_dates_by_file(spark, sf), ["date"], ["file"])
+
+
+@query(f"""
+select file, case file when '1' then 'd/M/yyyy' when '2' then 'M/d/yyyy' end as form,
+  case when file in ('1', '4') then 'd/M/yyyy' when file = '2' then 'M/d/yyyy' end as ambiguous_form,
+  file = '3' as mixed, count(date) as n_dates,
+  count(*) filter (where file = '5' and o_orderkey % 2 = 0) as n_unparsed,
+  count(*) filter (where file = '5' and o_orderkey % 2 = 1) as n_empty
+from ({_DATES_BY_FILE}) group by file""")
+def date_form_per_file(spark, sf):
+    """How the files write their dates, and which contradict themselves."""
+    return date_forms.forms(_dates_by_file(spark, sf), "date", ["file"]).drop("allowed")
 
 
 @query("select count(*) filter (where o_orderpriority not in ('4-NOT SPECIFIED', '5-LOW')) as n_dates,"
@@ -1103,6 +1132,20 @@ def _customers_with_legacy_code(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _dates_by_file(spark: SparkSession, sf: str) -> DataFrame:
+    file, even = F.left("o_orderpriority", F.lit(1)), F.col("o_orderkey") % 2 == 0
+    day_first = F.date_format("o_orderdate", "dd/MM/yyyy")
+    month_first = F.date_format("o_orderdate", "MM/dd/yyyy")
+    written = (
+        F.when(file == "1", day_first)
+        .when(file == "2", month_first)
+        .when(file == "3", F.when(even, day_first).otherwise(month_first))
+        .when(file == "4", F.when(even, day_first).otherwise(F.date_format("o_orderdate", "d MMM yyyy")))
+        .when(even, "not yet")
+    )
+    return table(spark, sf, "orders").select("o_orderkey", file.alias("file"), written.alias("date"))
+
+
 def _hiv_rows(spark: SparkSession, sf: str) -> DataFrame:
     status = F.col("o_orderstatus")
     return table(spark, sf, "orders").select(

@@ -1,33 +1,12 @@
 """Where the queries land the files that they then read."""
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from devdata_spark import scratch
+from devdata_spark.scratch import materialise, new_folder
 from devdata_spark.sources import files, zipped
 
-_local: dict[str, str] = {}
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder, or in a temporary one of a local session without it."""
-    if spark.conf.get("spark.checkpoint.dir", None):
-        return scratch.new_folder(spark, name)
-    if not spark.sparkContext.master.startswith("local["):
-        return scratch.new_folder(spark, name)  # which says what to set
-    application = spark.sparkContext.applicationId
-    if application not in _local:
-        _local[application] = tempfile.mkdtemp(prefix="landed-")
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=_local[application]) + "/files"
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """A table written once and read back."""
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["materialise", "named_csv", "new_folder", "zipped_csv", "zipped_texts"]
 
 
 def named_csv(df: DataFrame, folder: str, name: str) -> None:
