@@ -2,27 +2,37 @@
 
 The country table is an input: `iso3_code`, `iso2_code`, `name_short` and
 `regex`, a pattern that recognises the country in a longer name. A name is first
-looked up as a code or short name, by an ordinary equality join. Only names that
-this leaves over are tried against the patterns, each distinct name once and all
-patterns in one expression, so no pairs of names and countries are built.
+looked up as a code or short name, by an ordinary equality join. Names that this
+leaves over meet patterns through an inverted index: every match of a pattern contains
+one of a few literals, each literal is known by its rarest three letters, and a name
+meets the patterns that are known by three of its own letters. Only these pairs are
+matched. Patterns without such a literal are tried on every name left over.
 """
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from devdata_spark import fields
-from devdata_spark.functions import text
+from devdata_spark import fields, scratch
+from devdata_spark.errors import DataValidationError
+from devdata_spark.functions import literals, text
 from devdata_spark.operators import combine, joins
 
 logger = logging.getLogger(__name__)
 
 NAME_SHORT = "name_short"
 
-# The patterns of a table become expressions of so many each.
+# Patterns without a literal become expressions of so many each; more of them than
+# `MOST_UNINDEXED` are an error, as each is tried on every name.
 PATTERNS_AT_ONCE = 500
+MOST_UNINDEXED = 5_000
+
+# Executors get the code with the job and need no package.
+register_pickle_by_value(literals)
 
 _EXACT_KEYS = [fields.ISO3_CODE, fields.ISO2_CODE, NAME_SHORT]
 
@@ -38,12 +48,82 @@ def resolve_names(
     names = df.select(column).where(F.col(column).isNotNull()).distinct()
     keyed = names.withColumn("_key", F.lower(text.strip(F.col(column))))
     exact = joins.attach(keyed, _exact_keys(countries, to), ["_key"], derived=True)
-    patterns = _patterns(countries, to)
-    # tried only where there is no exact match, and worked out once per name
-    tried = F.when(F.col(to).isNull(), _codes_by_pattern(F.col(column), patterns))
-    found = exact.withColumn("_found", tried)
-    only = F.when(F.size("_found") == 1, F.element_at("_found", 1))
-    return found.select(column, F.coalesce(F.col(to), only).alias(to))
+    exact = scratch.materialise(exact.drop("_key"), "names")
+    left_over = exact.where(F.col(to).isNull()).select(F.col(column).alias("_name"))
+    found = codes_by_pattern(left_over, countries.select(F.col(to).alias("_code"), "regex"))
+    found = found.select(F.col("_name").alias(column), "_code")
+    joined = joins.attach(exact, found, [column], derived=True)
+    return joined.select(column, F.coalesce(F.col(to), F.col("_code")).alias(to))
+
+
+def codes_by_pattern(names: DataFrame, patterns: DataFrame) -> DataFrame:
+    """`_name`, `_code`: names that the patterns of exactly one code recognise.
+
+    `names` has distinct names as `_name`, `patterns` has `_code` and `regex`.
+    """
+    known = scratch.materialise(index(patterns), "patterns")
+    pairs = candidates(names, known.where("gram IS NOT NULL"))
+    hits = pairs.where(F.rlike("_name", F.concat(F.lit("(?i)"), F.col("regex"))))
+    hits = hits.select("_name", "_code")
+    others = known.where("gram IS NULL").select("_code", "regex").distinct()
+    tried = others.limit(MOST_UNINDEXED + 1).collect()
+    if len(tried) > MOST_UNINDEXED:
+        raise DataValidationError(
+            f"More than {MOST_UNINDEXED} patterns have no text of {literals.SHORTEST} letters "
+            "that each of their matches contains"
+        )
+    if tried:
+        codes = _codes_by_pattern(F.col("_name"), [(r[0], r[1]) for r in tried])
+        hits = hits.unionByName(names.select("_name", F.explode(codes).alias("_code")))
+    one = hits.groupBy("_name").agg(F.min("_code").alias("_code"), F.max("_code").alias("_other"))
+    return one.where("_code = _other").drop("_other")
+
+
+def index(patterns: DataFrame) -> DataFrame:
+    """`_code`, `regex`, `gram`: three letters of which a match contains at least one row's.
+
+    A pattern has a row for each of its alternatives: of the literal that the alternative
+    must contain, the three letters that occur in the fewest patterns. One without such a
+    literal has a single row of NULL `gram`.
+    """
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [literals.required(p) for p in batch.column("regex").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_code"), batch.column("regex"), pa.array(found, pa.list_(pa.string()))],
+                names=["_code", "regex", "literals"],
+            )
+
+    stated = patterns.where("regex IS NOT NULL").select(F.col("_code").cast("string"), "regex").distinct()
+    read_ = stated.mapInArrow(read, "_code STRING, regex STRING, literals ARRAY<STRING>")
+    grams = read_.select(
+        "_code", "regex", F.explode_outer("literals").alias("literal")
+    ).withColumn("gram", F.explode_outer(_grams(F.col("literal"))))
+    sharing = grams.where("gram IS NOT NULL").groupBy("gram").agg(F.count("*").alias("_n"))
+    counted = joins.attach(grams, sharing, ["gram"], derived=True)
+    return counted.groupBy("_code", "regex", "literal").agg(
+        F.min_by("gram", F.struct("_n", "gram")).alias("gram")
+    ).select("_code", "regex", "gram")
+
+
+def candidates(names: DataFrame, known: DataFrame) -> DataFrame:
+    """`_name`, `_code`, `regex`: the names that hold the letters a pattern is known by."""
+    letters = names.select("_name", F.explode(_grams(_lower(F.col("_name")))).alias("gram"))
+    return letters.join(known, "gram").select("_name", "_code", "regex").distinct()
+
+
+def _lower(c: Column) -> Column:
+    """ASCII letters in lower case, as patterns that ignore case see them."""
+    return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def _grams(c: Column) -> Column:
+    """The distinct stretches of three letters of a text."""
+    size = literals.SHORTEST
+    starts = F.sequence(F.lit(1), F.length(c) - size + 1)
+    grams = F.transform(starts, lambda at: F.substr(c, at, F.lit(size)))
+    return F.when(F.length(c) >= size, F.array_distinct(grams))
 
 
 def add_code(
@@ -91,11 +171,6 @@ def _exact_keys(countries: DataFrame, to: str) -> DataFrame:
     return stacked.groupBy("_key").agg(F.min_by(to, F.struct("_order", to)).alias(to))
 
 
-def _patterns(countries: DataFrame, to: str) -> list[tuple[str, str]]:
-    table = countries.where(F.col("regex").isNotNull()).select(to, "regex")
-    return [(r[0], r[1]) for r in table.collect()]
-
-
 def _codes_by_pattern(name: Column, patterns: list[tuple[str, str]]) -> Column:
     hits = [F.when(name.rlike(f"(?i){regex}"), F.lit(code)) for code, regex in patterns]
     parts = [

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +9,7 @@ from devdata_spark.errors import (
     DataFormattingError,
     DataValidationError,
 )
+from devdata_spark.functions import literals
 from devdata_spark.operators import (
     analysis,
     columns,
@@ -490,3 +493,52 @@ def test_wide_to_long_is_compiled(spark, tmp_path):
         for key in settings:
             spark.conf.unset(key)
     assert sorted((r.id, r.indicator_code, r.value) for r in found if r.value) == [("a", "x", 1.0), ("b", "x", 3.0)]
+
+
+@pytest.mark.parametrize(
+    ("pattern", "expected"),
+    [
+        (r"united\s?states|\bu\.?s\.?a\b", None),
+        (r"united.?kingdom|britain", ["britain", "kingdom"]),
+        (r"^(?=.*\bd\.?\s?r\.?).*congo", ["congo"]),
+        (r"\bKENYA\b", ["kenya"]),
+        (r"(south|north)ern land", ["ern land"]),
+        (r"a(bc)+d", None),
+        (r"x(abc){2,}", ["abc"]),
+        (r"x(abc)?", None),
+        (r"c[oô]te", None),
+        (r"\bguinea\b(?!.*bissau)", ["guinea"]),
+        (r"(?i)kenya", None),
+        (r"[a-z&&[^b]]land", None),
+        (r"\p{L}and", None),
+        (r"(", None),
+        ("", None),
+    ],
+)
+def test_literals_of_patterns(pattern, expected):
+    assert literals.required(pattern) == expected
+
+
+def test_many_patterns_meet_few_names(spark):
+    def word(i):
+        return "".join("bdfgklmnprst"[i // 12**k % 12] + "aeiou"[i // 7**k % 5] for k in range(4))
+
+    words = [word(i * 37) for i in range(5000)]
+    patterns = [(f"C{i}", rf"\b{w}(ia|land)?\b|old\W{w}") for i, w in enumerate(words)]
+    patterns += [("ANY", r"x.?y"), ("C7", r"second\s+of"), ("C7b", "second of"), (None, "nothing"), ("N", None)]
+    names = [f"The Republic of {w.upper()}ia" for w in words[::25]]
+    names += ["second  of", "second of", "xzy", "nobody", "", "ab"]
+    names_df = spark.createDataFrame([(n,) for n in names], "_name STRING")
+    patterns_df = spark.createDataFrame(patterns, "_code STRING, regex STRING")
+    tried = [(c, re.compile(p, re.I)) for c, p in patterns if c and p]
+    expected = {}
+    for n in names:
+        codes = {c for c, p in tried if p.search(n)}
+        if len(codes) == 1:
+            expected[n] = codes.pop()
+    found = {r._name: r._code for r in resolve.codes_by_pattern(names_df, patterns_df).collect()}
+    assert found == expected and len(found) > 150
+    known = resolve.index(patterns_df)
+    assert known.where("gram IS NULL").select("_code").collect() == [("ANY",)]
+    pairs = resolve.candidates(names_df, known.where("gram IS NOT NULL")).count()
+    assert pairs < 0.02 * len(names) * len(patterns)

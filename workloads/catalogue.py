@@ -342,6 +342,24 @@ def entity_resolver(spark, sf):
     return resolved.drop("written")
 
 
+@query("select o_orderkey, 'C' || o_custkey as iso3_code from orders")
+def resolve_many_patterns(spark, sf):
+    """The customer named in a text, each customer with a pattern of its own."""
+    number = F.lpad(F.col("c_custkey").cast("string"), 9, "0")
+    patterns = table(spark, sf, "customer").select(
+        F.concat(F.lit("C"), "c_custkey").alias("iso3_code"),
+        F.lit(None).cast("string").alias("iso2_code"),
+        F.lit(None).cast("string").alias("name_short"),
+        F.concat(F.lit(r"\b(customer|client)\W*"), number, F.lit(r"(?!\d)")).alias("regex"),
+    )
+    written = F.concat(
+        F.when(F.col("o_orderkey") % 2 == 0, "To CUSTOMER #").otherwise("for client "),
+        F.lpad(F.col("o_custkey").cast("string"), 9, "0"), F.lit(", with thanks"),
+    )
+    orders = table(spark, sf, "orders").select("o_orderkey", written.alias("written"))
+    return resolve.add_code(orders, "written", patterns).drop("written")
+
+
 # --- cleaning ----------------------------------------------------------------
 
 
