@@ -21,9 +21,11 @@ from pyspark.sql import functions as F
 
 from devdata_spark.llm.common import ship
 
-# Entries of each memo before it starts anew, so that a worker's memory is bounded.
-MEMO_ENTRIES = 500_000
-MEMO_PREFIXES = 500_000
+# Entries of each memo before it starts anew: some 30, 15 and 15 MB in a worker, which
+# keeps them until it ends.
+MEMO_PIECES = 120_000
+MEMO_SEAMS = 100_000
+MEMO_PREFIXES = 100_000
 # Longer pieces are seldom met again and are not remembered.
 MEMO_PIECE_BYTES = 48
 # A piece that ends this many characters before an edit cannot change: the splitting
@@ -113,7 +115,7 @@ class Encoder:
         key = (left, right)
         known = self._fits.get(key)
         if known is None:
-            if len(self._fits) >= MEMO_ENTRIES:
+            if len(self._fits) >= MEMO_SEAMS:
                 self._fits.clear()
             known = self._fits[key] = self._seam_holds(left, right)
         return known
@@ -247,7 +249,7 @@ class _Pieces(dict):
         content = piece.encode("utf-8", "replace")
         packed = array("I", self.encoder.piece(content)).tobytes()
         if len(content) <= MEMO_PIECE_BYTES:
-            if len(self) >= MEMO_ENTRIES:
+            if len(self) >= MEMO_PIECES:
                 self.clear()
             self[piece] = packed
         return packed

@@ -86,6 +86,30 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """As `written`; `release` deletes the table when another has taken its place."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    table_ = df.sparkSession.read.schema(df.schema).parquet(path)
+    table_.kept_at = path
+    return table_
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete kept tables that nothing reads any more."""
+    for table_ in tables:
+        spark = table_.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table_.kept_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def join_kept(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+    """As `join_small`, with a table that is kept already."""
+    if small.count() <= SENT_ROWS:
+        small = F.broadcast(small)
+    return big.join(small, on, how)
+
+
 def match_spans(text: Column, pattern: Column | str, measure=F.length) -> Column:
     """Places of all leftmost, non-overlapping matches: array<struct<start,end,found>>.
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from devdata_spark.llm.common import checkpointed, join_small, ship
+from devdata_spark.llm.common import join_kept, kept, release, ship
 from devdata_spark.llm.linking import SKETCH, SKETCH_SCHEMA, linked, sketch
 from devdata_spark.llm.packed import mix, pack, shared
 
@@ -24,6 +24,8 @@ BINS = BANDS * ROWS
 # Odd numbers; each shingle goes into a bin by each of them, so that short lines fill most bins.
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 EMPTY = np.uint32(0xFFFFFFFF)
+# Characters that make no line: Unicode's white space.
+WHITE_SPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 # Up to so many places of removed lines (24 MB) are sent to every task.
 SENT_PLACES = 1_500_000
 
@@ -106,43 +108,46 @@ def dedup(
     lines = (
         docs.filter("doc_id IS NOT NULL")
         .select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("place", "line"))
-        .filter(F.trim("line") != "")
+        .filter(F.btrim("line", F.lit(WHITE_SPACE)) != "")
         .withColumn("node", F.xxhash64("line"))
     )
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    entries = checkpointed(shared(pack(lines.select("node", "line"), _entries, buckets)))
-    items = checkpointed(_items(lines, entries))
+    entries = kept(shared(pack(lines.select("node", "line"), _entries, buckets)), "entries")
+    items = kept(_items(lines, entries), "items")
     roots = linked(entries, items, PERCENT, lambda pairs: _verified(items, pairs))
-    placed = join_small(lines.drop("line"), roots, "node", "left").select(
+    release(entries, items)
+    placed = join_kept(lines.drop("line"), roots, "node", "left").select(
         "doc_id", "place", "node", F.coalesce("root", "node").alias("root")
     )
-    first = (
+    first = kept(
         placed.groupBy("root")
         .agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count("*").alias("n"))
         .filter("n > 1")
-        .select("root", "first")
+        .select("root", "first"),
+        "first",
     )
     gone = (
-        join_small(placed, first, "root")
+        join_kept(placed, first, "root")
         .filter(F.struct("doc_id", "place") != F.col("first"))
         .groupBy("doc_id")
         .agg(F.collect_set(F.struct("place", "node")).alias("gone"))
     )
-    gone = checkpointed(gone)
+    gone = kept(gone, "gone")
+    release(first)
     if (gone.agg(F.sum(F.size("gone") + 2)).first()[0] or 0) <= SENT_PLACES:
         gone = F.broadcast(gone)
     marked = F.transform(
         F.split("text", "\n", -1),
         lambda line, i: F.struct(i.alias("place"), F.xxhash64(line).alias("node")),
     )
-    kept = F.transform(
+    staying = F.transform(
         F.array_except("marked", "gone"), lambda m: F.get("lines", m["place"])
     )
     return (
         docs.join(gone, "doc_id", "left")
         .withColumn("lines", F.split("text", "\n", -1))
         .withColumn("marked", marked)
-        .withColumn("kept", F.when(F.col("gone").isNull(), F.col("lines")).otherwise(kept))
+        .withColumn("kept", F.when(F.col("gone").isNull(), F.col("lines")).otherwise(staying))
         .select(
             "doc_id",
             F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_lines"),
@@ -180,25 +185,40 @@ def _items(lines: DataFrame, entries: DataFrame) -> DataFrame:
             columns |= {name: sketches[:, i] for i, name in enumerate(SKETCH)}
             yield pa.record_batch(columns)
 
-    needed = entries.select("node").distinct()
+    needed = kept(entries.select("node").distinct(), "needed")
     texts = (
-        join_small(lines.select("node", "line"), needed, "node")
+        join_kept(lines.select("node", "line"), needed, "node")
         .groupBy("node").agg(F.min("line").alias("line"))
     )
     return texts.mapInArrow(run, f"node BIGINT, line STRING, n BIGINT, {SKETCH_SCHEMA}")
 
 
+def similar_lines(a: list[str], b: list[str]) -> np.ndarray:
+    """Whether the shingle sets of each two lines reach the similarity.
+
+    Shingles are compared by 64-bit hashes: in a pair of lines of 1,000 characters a wrong
+    match has a chance of 10^-13.
+    """
+    if not a:
+        return np.empty(0, bool)
+    first, second = _hashes(a), _hashes(b)
+    hashes, pair = (np.concatenate(x) for x in zip(first, second))
+    side = np.repeat([1, 2], [len(first[0]), len(second[0])])
+    order = np.lexsort((hashes, pair))
+    hashes, pair, side = hashes[order], pair[order], side[order]
+    starts = np.flatnonzero(np.r_[True, (hashes[1:] != hashes[:-1]) | (pair[1:] != pair[:-1])])
+    both = np.bitwise_or.reduceat(side, starts) == 3
+    union = np.bincount(pair[starts], minlength=len(a))
+    common = np.bincount(pair[starts][both], minlength=len(a))
+    return 100 * common >= PERCENT * union
+
+
 def _verified(items: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes whose lines are similar enough."""
 
     @F.pandas_udf("boolean")
     def similar(a: pd.Series, b: pd.Series) -> pd.Series:
-        def one(x: str, y: str) -> bool:
-            s, t = shingle_set(x), shingle_set(y)
-            common = len(s & t)
-            return 100 * common >= PERCENT * (len(s) + len(t) - common)
-
-        return pd.Series([one(x, y) for x, y in zip(a, b)], dtype=bool)
+        return pd.Series(similar_lines(a.tolist(), b.tolist()), dtype=bool)
 
     texts = items.select("node", "line")
     both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")

@@ -1,17 +1,19 @@
 """From nodes that share a key to components of verified links, without all pairs."""
 
+import math
 from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from devdata_spark.llm.common import checkpointed, gathered, join_small
+from devdata_spark.llm.common import SENT_ROWS, join_kept, kept, release
 from devdata_spark.llm.graph import components
 
 # Rounds in which nodes are compared with one node of each key only.
-ROUNDS = 3
+ROUNDS = 2
 BITS = 1024
 SKETCH = [f"sketch_{i}" for i in range(BITS // 64)]
 SKETCH_SCHEMA = ", ".join(f"{name} BIGINT" for name in SKETCH)
@@ -41,86 +43,167 @@ def may_link(percent: int, x: str, y: str) -> Column:
 
 
 def linked(
-    entries: DataFrame, items: DataFrame, percent: int, verify: Callable[[DataFrame], DataFrame]
-) -> DataFrame:
-    """node, root: components of the links among nodes that share a key.
-
-    `entries` has (key, node), each once; `items` has node, n (the size of its set) and
-    its sketch; `verify` takes distinct pairs (a, b) with a < b and returns those that are
-    links. In a few rounds each key's nodes are compared with the one of them that shares
-    most keys, first of all its nodes, then of those outside its largest component; a
-    copied text's nodes mostly meet in these. What is still apart in a key is compared in
-    full, where sizes and sketches allow a link. So each pair of a key is inside one
-    component, ruled out by its sketches or verified.
+    entries: DataFrame, items: DataFrame, percent: int, verify: Callable[[DataFrame], DataFrame],
+    large: int = 256,
+) -> DataFrame:
+    """node, root: components of the links among nodes that share a key, as a kept table.
+
+    `entries` has (key, node), each once, and keys of two nodes or more; `items` has node, n
+    (the size of its set) and its sketch; both are read several times, so they should be
+    kept. `verify` takes distinct pairs (a, b) with a < b and returns those that are links.
+
+    In a few rounds each key's nodes are compared with the one of them that shares most
+    keys, first of all its nodes, then of those outside its largest component; a copied
+    text's nodes mostly meet in these. What is still apart in a key is compared in full,
+    where sizes and sketches allow a link: pairs are made of keys of up to `large` nodes;
+    nodes of a larger key are dealt out by size, and blocks of them are compared in tasks
+    of their own. So each pair of a key is inside one component, ruled out by its sketches
+    or verified.
     """
-    items = checkpointed(items.select("node", "n", *SKETCH))
-    entries = gathered(entries)
-    sizes = entries.groupBy("key").agg(F.count("*").alias("sharing"))
-    sharing = join_small(entries, sizes, "key").groupBy("node").agg(F.sum("sharing").alias("rank"))
-    placed = gathered(
-        join_small(entries, sharing, "node").withColumn("root", F.col("node"))
-    )
     spark = entries.sparkSession
-    tested = spark.createDataFrame([], "a LONG, b LONG")
-    links, roots = tested, spark.createDataFrame([], "node LONG, root LONG")
+    items = items.select("node", "n", *SKETCH)
+    ranks = kept(entries.groupBy("node").agg(F.count("*").alias("rank")), "ranks")
+    placed = join_kept(entries, ranks, "node").withColumn("root", F.col("node"))
+    tested, links, roots = None, None, None
     for round_ in range(ROUNDS):
-        open_keys = _open(placed)
+        open_keys = placed if round_ == 0 else kept(_open(placed), "open")
         inside = F.lit(True) if round_ == 0 else F.col("root") != F.col("top")
-        pivots = (
+        pivots = kept(
             open_keys.filter(inside)
             .groupBy("key")
             .agg(F.max(F.struct("rank", "node", "root")).alias("pivot"))
-            .select("key", F.col("pivot.node").alias("pivot"), F.col("pivot.root").alias("pivot_root"))
-        )
-        pairs = gathered(
-            join_small(open_keys, pivots, "key")
-            .filter("root <> pivot_root")
-            .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
-            .distinct()
-            .join(tested, ["a", "b"], "left_anti")
+            .select("key", F.col("pivot.node").alias("pivot"), F.col("pivot.root").alias("pivot_root")),
+            "pivots",
         )
+        pairs = _without(
+            join_kept(open_keys, pivots, "key").filter("root <> pivot_root").select(
+                F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
+            ).distinct(),
+            tested,
+        )
+        pairs = kept(pairs, "pairs")
+        release(pivots)
         if pairs.isEmpty():
             break
-        found = gathered(verify(pairs))
-        tested = tested.union(pairs)
-        if found.isEmpty():
-            continue
-        links = links.union(found)
-        roots = gathered(components(links))
-        placed = gathered(
-            join_small(placed.drop("root"), roots, "node", "left").withColumn(
-                "root", F.coalesce("root", "node")
-            )
-        )
-    rest = checkpointed(_open(placed).join(items, "node"))
-    rest = rest.select("key", "node", "root", "top", "n", *SKETCH)
-    late = (
-        rest.filter("root <> top").alias("x")
-        .join(
-            rest.alias("y"),
-            (F.col("x.key") == F.col("y.key"))
-            & (F.col("x.root") != F.col("y.root"))
-            & may_link(percent, "x", "y"),
-        )
-        .select(
-            F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
-        )
-        .distinct()
-        .join(tested, ["a", "b"], "left_anti")
-    )
-    late = gathered(late)
+        found = kept(verify(pairs), "links")
+        tested = pairs if tested is None else tested.union(pairs)
+        links = found if links is None else links.union(found)
+        if roots is not None:
+            release(roots)
+        roots = components(links)
+        placed = join_kept(entries, ranks, "node").join(_sent(roots), "node", "left")
+        placed = placed.withColumn("root", F.coalesce("root", "node"))
+    if roots is None:
+        return kept(spark.createDataFrame([], "node LONG, root LONG"), "components")
+    rest = kept(_open(placed).select("key", "node", "root", "top"), "open")
+    if rest.isEmpty():
+        return roots
+    sizes = rest.groupBy("key").agg(F.count("*").alias("size"))
+    crowded = kept(sizes.filter(F.col("size") > large).select("key"), "crowded")
+    few = join_kept(rest, crowded, "key", "left_anti")
+    many = join_kept(rest, crowded, "key", "left_semi")
+    met = _pairs(few, items, percent)
+    if not crowded.isEmpty():
+        met = met.union(_block_pairs(many, items, percent))
+    late = kept(_without(met.distinct(), tested), "pairs")
     if late.isEmpty():
         return roots
-    return gathered(components(links.union(verify(late))))
+    return components(links.union(kept(verify(late), "links")))
+
+
+def _sent(table_: DataFrame) -> DataFrame:
+    return F.broadcast(table_) if table_.count() <= SENT_ROWS else table_
+
+
+def _without(pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
+    return pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
 
 
 def _open(placed: DataFrame) -> DataFrame:
     """The entries of keys that still have several components, and the largest one."""
     sizes = placed.groupBy("key", "root").agg(F.count("*").alias("size"))
-    largest = (
+    largest = kept(
         sizes.groupBy("key")
         .agg(F.count("*").alias("parts"), F.max(F.struct("size", "root")).alias("top"))
         .filter("parts > 1")
-        .select("key", F.col("top.root").alias("top"))
+        .select("key", F.col("top.root").alias("top")),
+        "largest",
     )
-    return gathered(join_small(placed, largest, "key"))
+    return join_kept(placed, largest, "key")
+
+
+def _pairs(rest: DataFrame, items: DataFrame, percent: int) -> DataFrame:
+    """a, b: nodes of one key in two components whose sizes and sketches allow a link."""
+    met = (
+        rest.filter("root <> top").alias("x")
+        .join(rest.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.root") != F.col("y.root")))
+        .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+        .distinct()
+    )
+    x, y = items.withColumnRenamed("node", "a").alias("x"), items.withColumnRenamed("node", "b").alias("y")
+    return met.join(x, "a").join(y, "b").filter(may_link(percent, "x", "y")).select("a", "b")
+
+
+def _block_pairs(rest: DataFrame, items: DataFrame, percent: int, block: int = 512) -> DataFrame:
+    """As `_pairs`, for keys of many nodes.
+
+    Sets that link are in the same size band of a key or in neighbouring ones. A band is
+    split into blocks, and each two blocks that may hold links are one group.
+    """
+    band = F.floor(F.log("n") / math.log(100 / percent) + 1e-9).cast("long")
+    rows = rest.join(items, "node").withColumn("band", band)
+    counts = kept(
+        rows.groupBy("key", "band").agg(F.ceil(F.count("*") / block).cast("long").alias("blocks")),
+        "bands",
+    )
+    of_band = [counts.select("key", (F.col("band") + d).alias("band"), F.col("blocks").alias(name))
+               for d, name in ((0, "blocks"), (-1, "above"), (1, "below"))]
+    for side, how in zip(of_band, ("inner", "left", "left")):
+        rows = rows.join(_sent(side), ["key", "band"], how)
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("node"), F.col("blocks")))
+
+    def partners(low: Column, high: Column, shift: int) -> Column:
+        """The blocks low .. high - 1 of a neighbouring band."""
+        salts = F.when(high > low, F.sequence(low, high - 1)).otherwise(F.array().cast("array<bigint>"))
+        return F.transform(
+            salts, lambda s: F.struct((F.col("band") + shift).alias("o_band"), s.alias("o_salt"))
+        )
+
+    zero = F.lit(0).cast("long")
+    above, below = F.coalesce("above", zero), F.coalesce("below", zero)
+    up = F.concat(partners(F.col("salt"), F.col("blocks"), 0), partners(zero, above, 1))
+    down = F.concat(partners(zero, F.col("salt") + 1, 0), partners(zero, below, -1))
+    own = ["node", "root", "top", "n", *SKETCH]
+    x = rows.select("key", F.col("band").alias("b1"), F.col("salt").alias("s1"), *own, F.inline(up))
+    x = x.withColumnsRenamed({"o_band": "b2", "o_salt": "s2"})
+    y = rows.select("key", F.col("band").alias("b2"), F.col("salt").alias("s2"), *own, F.inline(down))
+    y = y.withColumnsRenamed({"o_band": "b1", "o_salt": "s1"})
+    key = ["key", "b1", "s1", "b2", "s2"]
+    y = y.select(*[F.col(c).alias(f"y_{c}") for c in [*key, *own]])
+    pairs = x.groupBy(*key).cogroup(y.groupBy(*[f"y_{c}" for c in key]))
+    return pairs.applyInArrow(_block_scorer(percent), "a LONG, b LONG")
+
+
+def _block_scorer(percent: int):
+    def run(x: pa.Table, y: pa.Table) -> pa.Table:
+        found = [np.empty((2, 0), np.int64)]
+        if len(x) and len(y):
+            a, b = ({c: t[p + c].to_numpy() for c in ("node", "root", "top", "n")}
+                    for t, p in ((x, ""), (y, "y_")))
+            n = a["n"][:, None] + b["n"][None, :]
+            least = np.minimum(a["n"][:, None], b["n"][None, :])
+            alive = 100 * least >= percent * (n - least)
+            alive &= a["root"][:, None] != b["root"][None, :]
+            open_ = (a["root"] != a["top"])[:, None] | (b["root"] != b["top"])[None, :]
+            i, j = np.nonzero(alive & open_)
+            apart = np.zeros(len(i), np.int64)
+            for name in SKETCH:
+                bits = x[name].to_numpy()[i] ^ y[f"y_{name}"].to_numpy()[j]
+                apart += np.bitwise_count(bits.view(np.uint64))
+            fits = apart * (100 + percent) <= n[i, j] * (100 - percent)
+            i, j = a["node"][i[fits]], b["node"][j[fits]]
+            found.append(np.stack([np.minimum(i, j), np.maximum(i, j)]))
+        a, b = np.unique(np.concatenate(found, axis=1), axis=1)
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return run

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from devdata_spark.llm.common import checkpointed, join_small, ship
+from devdata_spark.llm.common import join_kept, join_small, kept, release, ship
 from devdata_spark.llm.linking import SKETCH, SKETCH_SCHEMA, linked, sketch
 from devdata_spark.llm.packed import mix, pack, shared
 
@@ -23,7 +23,7 @@ from devdata_spark.llm.packed import mix, pack, shared
 N = 3
 PERCENT = 90
 # Words whose hash a worker remembers before it starts anew.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 150_000
 # What verifying a pair that met by chance costs, in index entries.
 PAIR_COST = 50
 
@@ -131,12 +131,13 @@ def classes(
     spark = documents.sparkSession
     ship(spark)
     docs = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sized = checkpointed(_sized(docs, n))
+    sized = kept(_sized(docs, n), "sized")
     usable = sized.filter("doc_id IS NOT NULL AND n_shingles > 0")
-    groups = checkpointed(
+    groups = kept(
         usable.groupBy("node").agg(
             F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n")
-        )
+        ),
+        "nodes",
     )
     most = usable.agg(F.max("n_shingles")).first()[0] or 1
     edges = _edges(most, percent)
@@ -145,22 +146,21 @@ def classes(
     )
     plans = _plans(edges, [(r["sets"], r["shingles"]) for r in counted.collect()], percent)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    entries = checkpointed(shared(pack(docs, _indexer(edges, plans, n, percent), buckets)))
-    items = checkpointed(_items(docs, groups, entries, n))
+    entries = kept(shared(pack(docs, _indexer(edges, plans, n, percent), buckets)), "entries")
+    items = kept(_items(docs, groups, entries, n), "items")
     roots = linked(entries, items, percent, lambda pairs: _verified(items, pairs, percent))
-    rooted = join_small(sized, roots, "node", "left").withColumn(
-        "root", F.coalesce("root", "node")
-    )
-    rooted = checkpointed(rooted)
+    release(groups, entries, items)
+    rooted = join_kept(sized, roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # only components of several documents need a look-up
-    least = (
+    least = kept(
         rooted.filter("doc_id IS NOT NULL AND root IS NOT NULL")
         .groupBy("root")
         .agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n"))
         .filter("n > 1")
-        .select("root", "component_id")
+        .select("root", "component_id"),
+        "least",
     )
-    return join_small(rooted, least, "root", "left").select(
+    return join_kept(rooted, least, "root", "left").select(
         "doc_id",
         "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias(

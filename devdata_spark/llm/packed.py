@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 
 PACKED = "bucket INT, keys BINARY, nodes BINARY"
 # Entries that a task gathers before it packs them, to bound its memory.
-GATHERED = 1_000_000
+GATHERED = 500_000
 # Rows that are looked at together: few enough for their arrays to stay in the cache.
 ROWS = 256
 

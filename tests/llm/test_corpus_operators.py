@@ -547,3 +547,49 @@ def test_digest_is_of_the_whole_text(spark):
     text = "z" * 100_000 + "é"
     row = table(spark, [(1, text)]).select(F.sha2("text", 256).alias("h")).first()
     assert row.h == hashlib.sha256(text.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("at_once", [0, 10_000])
+def test_components_of_any_number_of_links(spark, at_once):
+    rng = random.Random(5)
+    links = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(i, i + 1) for i in range(900, 950)]
+    found = components(spark.createDataFrame(links, "a LONG, b LONG"), at_once=at_once).collect()
+    assert {r.node: r.root for r in found} == roots_of({n for l in links if l[0] != l[1] for n in l}, links)
+
+
+def test_a_key_of_many_nodes_is_compared_in_blocks(spark):
+    rng = np.random.default_rng(6)
+    sets = {n: rng.integers(0, 2**64, 40 + n % 90, np.uint64) for n in range(600)}
+    for n in range(0, 200, 2):  # the next one has most of its elements
+        sets[n + 1] = np.r_[sets[n][: max(4, len(sets[n]) - 3)], rng.integers(0, 2**64, 2, np.uint64)]
+    items = [(n, len(s), *linking.sketch(s).tolist()) for n, s in sets.items()]
+    items = spark.createDataFrame(items, f"node LONG, n LONG, {linking.SKETCH_SCHEMA}")
+    rest = spark.createDataFrame([(1, n, n, -1) for n in sets], "key LONG, node LONG, root LONG, top LONG")
+    found = {(r.a, r.b) for r in linking._block_pairs(rest, items, 80, block=16).collect()}
+    assert found == {(r.a, r.b) for r in linking._pairs(rest, items, 80).collect()}
+    assert all((n, n + 1) in found for n in range(0, 200, 2) if len(sets[n]) > 30)
+
+    def verify(pairs):
+        return pairs.filter("a % 2 = 0 AND b = a + 1 AND b < 200")
+
+    entries = rest.select("key", "node")
+    roots = {r.node: r.root for r in linking.linked(entries, items, 80, verify, large=10).collect()}
+    assert roots == {n: n - n % 2 for n in range(200)}
+
+
+def test_similar_lines_equal_shingle_sets():
+    rng = random.Random(12)
+    lines = ["", "a", "abcdefgh", "abcdefghi", "é" * 30] + ["".join(rng.choices("ab ", k=rng.randrange(60))) for _ in range(60)]
+    pairs = [(a, b) for a in lines for b in lines]
+    expected = []
+    for a, b in pairs:
+        s, t = line_dedup.shingle_set(a), line_dedup.shingle_set(b)
+        expected.append(100 * len(s & t) >= line_dedup.PERCENT * len(s | t))
+    assert line_dedup.similar_lines(*map(list, zip(*pairs))).tolist() == expected
+    assert line_dedup.similar_lines([], []).tolist() == []
+
+
+def test_lines_of_any_white_space_stay(spark):
+    rows = [(i, f"own line {i}\n\t\n   \n\r\nshared by all of them") for i in range(3)]
+    found = {r.doc_id: r.text for r in line_dedup.dedup(table(spark, rows)).collect()}
+    assert found == {0: rows[0][1], **{i: f"own line {i}\n\t\n   \n\r\n".removesuffix("\n") for i in (1, 2)}}
