@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from devdata_spark.llm.common import join_kept, kept, release, ship
-from devdata_spark.llm.linking import SKETCH, SKETCH_SCHEMA, linked, sketch
+from devdata_spark.llm.linking import SKETCH, SKETCH_SCHEMA, linked, may_link, sketch
 from devdata_spark.llm.packed import mix, pack, shared
 
 SHINGLE = 8
@@ -24,6 +24,8 @@ BINS = BANDS * ROWS
 # Odd numbers; each shingle goes into a bin by each of them, so that short lines fill most bins.
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 EMPTY = np.uint32(0xFFFFFFFF)
+# Pairs that a task compares at a time, to bound its memory.
+PAIRS = 128
 # Characters that make no line: Unicode's white space.
 WHITE_SPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 # Up to so many places of removed lines (24 MB) are sent to every task.
@@ -175,7 +177,10 @@ def _items(lines: DataFrame, entries: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             texts = batch.column("line").to_pylist()
-            sets = [np.unique(_hashes([t])[0]) for t in texts]
+            sets = []
+            for at in range(0, len(texts), PAIRS):
+                some = texts[at : at + PAIRS]
+                sets += map(_sets(some).__getitem__, some)
             sketches = np.array([sketch(s) for s in sets], np.int64).reshape(len(sets), -1)
             columns = {
                 "node": batch.column("node"),
@@ -193,24 +198,34 @@ def _items(lines: DataFrame, entries: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, f"node BIGINT, line STRING, n BIGINT, {SKETCH_SCHEMA}")
 
 
-def similar_lines(a: list[str], b: list[str]) -> np.ndarray:
+def similar_lines(a: list[str], b: list[str]) -> list[bool]:
     """Whether the shingle sets of each two lines reach the similarity.
 
     Shingles are compared by 64-bit hashes: in a pair of lines of 1,000 characters a wrong
     match has a chance of 10^-13.
     """
-    if not a:
-        return np.empty(0, bool)
-    first, second = _hashes(a), _hashes(b)
-    hashes, pair = (np.concatenate(x) for x in zip(first, second))
-    side = np.repeat([1, 2], [len(first[0]), len(second[0])])
-    order = np.lexsort((hashes, pair))
-    hashes, pair, side = hashes[order], pair[order], side[order]
-    starts = np.flatnonzero(np.r_[True, (hashes[1:] != hashes[:-1]) | (pair[1:] != pair[:-1])])
-    both = np.bitwise_or.reduceat(side, starts) == 3
-    union = np.bincount(pair[starts], minlength=len(a))
-    common = np.bincount(pair[starts][both], minlength=len(a))
-    return 100 * common >= PERCENT * union
+    found = []
+    for at in range(0, len(a), PAIRS):
+        x, y = a[at : at + PAIRS], b[at : at + PAIRS]
+        sets = _sets(list({*x, *y}))
+        for s, t in zip(map(sets.__getitem__, x), map(sets.__getitem__, y)):
+            together = np.sort(np.concatenate([s, t]))
+            common = np.count_nonzero(together[1:] == together[:-1])
+            found.append(100 * common >= PERCENT * (len(together) - common))
+    return found
+
+
+def _sets(lines: list[str]) -> dict[str, np.ndarray]:
+    """The distinct hashes of each line's shingles."""
+    hashes, line = _hashes(lines)
+    ends = np.searchsorted(line, np.arange(len(lines)), "right")
+    found, at = {}, 0
+    for text, end in zip(lines, ends.tolist()):
+        own = np.sort(hashes[at:end])
+        fresh = np.ones(len(own), bool)
+        np.not_equal(own[1:], own[:-1], out=fresh[1:])
+        found[text], at = own[fresh], end
+    return found
 
 
 def _verified(items: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -220,6 +235,8 @@ def _verified(items: DataFrame, pairs: DataFrame) -> DataFrame:
     def similar(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series(similar_lines(a.tolist(), b.tolist()), dtype=bool)
 
-    texts = items.select("node", "line")
-    both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
-    return both.filter(similar("x", "y")).select("a", "b")
+    own = items.select("node", "line", "n", *SKETCH)
+    x, y = own.withColumnRenamed("node", "a"), own.withColumnRenamed("node", "b")
+    both = pairs.join(x.alias("x"), "a").join(y.alias("y"), "b").filter(may_link(PERCENT, "x", "y"))
+    texts = both.select("a", "b", F.col("x.line").alias("x"), F.col("y.line").alias("y"))
+    return texts.filter(similar("x", "y")).select("a", "b")

@@ -585,8 +585,8 @@ def test_similar_lines_equal_shingle_sets():
     for a, b in pairs:
         s, t = line_dedup.shingle_set(a), line_dedup.shingle_set(b)
         expected.append(100 * len(s & t) >= line_dedup.PERCENT * len(s | t))
-    assert line_dedup.similar_lines(*map(list, zip(*pairs))).tolist() == expected
-    assert line_dedup.similar_lines([], []).tolist() == []
+    assert line_dedup.similar_lines(*map(list, zip(*pairs))) == expected
+    assert line_dedup.similar_lines([], []) == []
 
 
 def test_lines_of_any_white_space_stay(spark):
