@@ -114,7 +114,8 @@ def dedup(
         .withColumn("node", F.xxhash64("line"))
     )
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    entries = kept(shared(pack(lines.select("node", "line"), _entries, buckets)), "entries")
+    packed = pack(lines.select("node", "line"), _entries, buckets, short=True)
+    entries = kept(shared(packed, short=True), "entries")
     items = kept(_items(lines, entries), "items")
     roots = linked(entries, items, PERCENT, lambda pairs: _verified(items, pairs))
     release(entries, items)

@@ -146,7 +146,8 @@ def classes(
     )
     plans = _plans(edges, [(r["sets"], r["shingles"]) for r in counted.collect()], percent)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    entries = kept(shared(pack(docs, _indexer(edges, plans, n, percent), buckets)), "entries")
+    packed = pack(docs, _indexer(edges, plans, n, percent), buckets, short=True)
+    entries = kept(shared(packed, short=True), "entries")
     items = kept(_items(docs, groups, entries, n), "items")
     roots = linked(entries, items, percent, lambda pairs: _verified(items, pairs, percent))
     release(groups, entries, items)

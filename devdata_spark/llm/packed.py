@@ -29,11 +29,14 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def pack(
-    df: DataFrame, entries: Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]], buckets: int
-) -> DataFrame:
+    df: DataFrame, entries: Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]], buckets: int,
+    short: bool = False,
+) -> DataFrame:
     """Rows of `PACKED`: the entries of each batch, without repeats, by bucket of the key.
 
-    `entries` makes (keys as uint64, nodes as int64) of a batch of rows.
+    `entries` makes (keys as uint64, nodes as int64) of a batch of rows. With `short` a key
+    is its bucket and 32 more bits, which is enough where what meets by chance is compared
+    later: as buckets grow with the entries, about one entry in a thousand meets another so.
     """
 
     def packed(keys: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
@@ -41,8 +44,11 @@ def pack(
         keys, nodes = keys[order], nodes[order]
         fresh = np.r_[True, (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])][: len(keys)]
         keys, nodes = keys[fresh], nodes[fresh]
-        bucket = (mix(keys) % np.uint64(buckets)).astype(np.int32)
+        spread = mix(keys)
+        bucket = (spread % np.uint64(buckets)).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
+        if short:
+            keys = (spread >> np.uint64(32)).astype(np.uint32)
         keys, nodes, bucket = keys[order], nodes[order], bucket[order]
         found, starts = np.unique(bucket, return_index=True)
         ends = np.append(starts[1:], len(bucket))
@@ -73,11 +79,16 @@ def pack(
     return df.mapInArrow(run, PACKED)
 
 
-def shared(packed: DataFrame) -> DataFrame:
-    """key, node: every entry whose key has at least two nodes, once each."""
+def shared(packed: DataFrame, short: bool = False) -> DataFrame:
+    """key, node: every entry whose key has at least two nodes, once each.
+
+    With `short`, which is then that of `pack`, keys are not those that went in.
+    """
 
     def unpack(group: pd.DataFrame) -> pd.DataFrame:
-        keys = np.frombuffer(b"".join(group["keys"]), np.uint64)
+        keys = np.frombuffer(b"".join(group["keys"]), np.uint32 if short else np.uint64)
+        if short:
+            keys = keys | np.uint64(group["bucket"].iloc[0]) << np.uint64(32)
         nodes = np.frombuffer(b"".join(group["nodes"]), np.int64)
         # most keys occur once: sorting them alone is cheaper than sorting entries
         ordered = np.sort(keys)

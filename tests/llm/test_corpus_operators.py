@@ -120,6 +120,10 @@ def test_shared_keys(spark):
         by_key[k].add(n)
     assert found == sorted((k, n) for k, ns in by_key.items() if len(ns) > 1 for n in ns)
     assert packed.shared(packed.pack(df.filter("false"), entries, 5)).collect() == []
+    groups = defaultdict(set)
+    for r in packed.shared(packed.pack(df, entries, 5, short=True), short=True).collect():
+        groups[r.key].add(r.node)
+    assert sorted(map(sorted, groups.values())) == sorted(sorted(ns) for ns in by_key.values() if len(ns) > 1)
 
 
 def test_ngram_join_equals_all_pairs(spark, corpus):
