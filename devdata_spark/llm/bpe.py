@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from devdata_spark.llm.common import ship
+from devdata_spark.llm.common import claim, memo, ship
 
 # Entries of each memo before it starts anew: some 30, 15 and 15 MB in a worker, which
 # keeps them until it ends.
@@ -299,6 +299,15 @@ def _encoder(content: bytes, pattern: str) -> Encoder:
     return Encoder.parse(content, pattern)
 
 
+def _forget() -> bool:
+    known = _encoder.cache_info().currsize > 0
+    _encoder.cache_clear()
+    return known
+
+
+memo("bpe", _forget)
+
+
 def codec(spark: SparkSession, path: str, pattern: str):
     """Two column functions, encode and decode, for the vocabulary file at `path`.
 
@@ -314,10 +323,12 @@ def codec(spark: SparkSession, path: str, pattern: str):
     sent = spark.sparkContext.broadcast(content)
 
     def encode(texts: pd.Series) -> pd.Series:
+        claim("bpe")
         one = _encoder(sent.value, pattern).encode
         return pd.Series([None if t is None else one(t) for t in texts], dtype=object)
 
     def decode(ids: pd.Series) -> pd.Series:
+        claim("bpe")
         one = _encoder(sent.value, pattern).decode
         return pd.Series([None if t is None else one(t) for t in ids], dtype=object)
 

@@ -1,10 +1,15 @@
 """What several corpus operators share: native match positions, clean inputs, checkpoints."""
 
+import ctypes
+import gc
+import sys
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -110,6 +115,31 @@ def join_kept(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataF
     return big.join(small, on, how)
 
 
+_memos: dict[str, Callable[[], bool]] = {}
+
+
+def memo(owner: str, forget: Callable[[], bool]) -> None:
+    """Name what a module remembers in a Python worker from task to task.
+
+    `forget` empties it and tells whether there was something.
+    """
+    _memos[owner] = forget
+
+
+def claim(owner: str) -> None:
+    """Called in tasks: what functions of other owners remember in this worker goes."""
+    if any([forget() for other, forget in _memos.items() if other != owner]):
+        gc.collect()
+        trim()
+
+
+def trim() -> None:
+    """Give memory that a worker has freed back to the machine."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def match_spans(text: Column, pattern: Column | str, measure=F.length) -> Column:
     """Places of all leftmost, non-overlapping matches: array<struct<start,end,found>>.
 

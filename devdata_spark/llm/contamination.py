@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from devdata_spark.llm.common import ship
+from devdata_spark.llm.common import claim, ship
 
 Q = 12
 PROBE = 80  # characters of a probe; shorter items are one probe
@@ -221,6 +221,7 @@ def _searcher(spark, items: list[tuple[int, str]]):
     index = spark.sparkContext.broadcast(Index(items))
 
     def search(texts: pd.Series) -> pd.Series:
+        claim("contamination")
         return pd.Series(
             [
                 [dict(zip(("item_id", "probe", "start", "edits"), m)) for m in matches]

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from devdata_spark.llm.common import join_kept, kept, release, ship
+from devdata_spark.llm.common import claim, join_kept, kept, release, ship, trim
 from devdata_spark.llm.linking import SKETCH, SKETCH_SCHEMA, linked, may_link, sketch
 from devdata_spark.llm.packed import mix, pack, shared
 
@@ -164,6 +164,7 @@ def dedup(
 
 
 def _entries(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    claim("line_dedup")
     nodes = batch.column("node").to_numpy()
     nodes, first = np.unique(nodes, return_index=True)
     if not len(nodes):
@@ -190,6 +191,7 @@ def _items(lines: DataFrame, entries: DataFrame) -> DataFrame:
             }
             columns |= {name: sketches[:, i] for i, name in enumerate(SKETCH)}
             yield pa.record_batch(columns)
+        trim()
 
     needed = kept(entries.select("node").distinct(), "needed")
     texts = (

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from devdata_spark.llm.common import join_kept, join_small, kept, release, ship
+from devdata_spark.llm.common import claim, join_kept, join_small, kept, memo, release, ship, trim
 from devdata_spark.llm.linking import SKETCH, SKETCH_SCHEMA, linked, sketch
 from devdata_spark.llm.packed import mix, pack, shared
 
@@ -42,6 +42,17 @@ class _Words(dict):
 _words = _Words()
 
 
+def _forget() -> bool:
+    known = len(_words) > 0
+    _words.clear()
+    return known
+
+
+memo("ngram_join", _forget)
+# Texts whose sets a task holds at a time.
+ROWS = 256
+
+
 def shingles(text: str | None, n: int = N) -> np.ndarray:
     """Sorted 64-bit hashes of a text's distinct n-word shingles; fewer words are one.
 
@@ -170,9 +181,17 @@ def classes(
     )
 
 
+def _slices(batches):
+    claim("ngram_join")
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+    trim()
+
+
 def _sized(docs: DataFrame, n: int) -> DataFrame:
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             sets = [shingles(t, n) for t in batch.column("text").to_pylist()]
             yield pa.record_batch(
                 {
@@ -200,6 +219,7 @@ def _plans(
 
 def _indexer(edges: list[int], plans: list[tuple[int, int]], n: int, percent: int):
     def entries(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        claim("ngram_join")
         keys, nodes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
         for doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text"))):
             sets = shingles(text, n)
@@ -224,7 +244,7 @@ def _items(docs: DataFrame, groups: DataFrame, entries: DataFrame, n: int) -> Da
     needed = groups.join(entries.select("node").distinct(), "node").select("node", "doc_id")
 
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             sets = [shingles(t, n) for t in batch.column("text").to_pylist()]
             # another row of the doc_id may have another text
             own = [node_of(s) == node for s, node in zip(sets, batch.column("node").to_pylist())]

@@ -12,9 +12,11 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from devdata_spark.llm.common import trim
+
 PACKED = "bucket INT, keys BINARY, nodes BINARY"
 # Entries that a task gathers before it packs them, to bound its memory.
-GATHERED = 500_000
+GATHERED = 250_000
 # Rows that are looked at together: few enough for their arrays to stay in the cache.
 ROWS = 256
 
@@ -75,6 +77,7 @@ def pack(
                     held, size = [], 0
         if size:
             yield packed(*map(np.concatenate, zip(*held)))
+        trim()
 
     return df.mapInArrow(run, PACKED)
 

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from devdata_spark.llm.common import checkpointed, ship
+from devdata_spark.llm.common import checkpointed, claim, ship
 
 # Categories in the order of the chain, each a condition on the labels table.
 CATEGORIES = {"low_quality": "quality = 0", "toxic": "toxic = 1"}
@@ -238,6 +238,7 @@ def probabilities(spark, chain: list[Model]) -> Callable[[Column], Column]:
     sent = spark.sparkContext.broadcast(chain)  # as large as the words of the sample
 
     def score(rows: pd.Series) -> pd.DataFrame:
+        claim("toxicity")
         starts = np.concatenate([[0], np.cumsum([len(f) for f in rows])]).astype(np.int64)
         values = np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int64)
         found: dict[str, np.ndarray] = {}
