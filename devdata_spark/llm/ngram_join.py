@@ -24,6 +24,8 @@ N = 3
 PERCENT = 90
 # Words whose hash a worker remembers before it starts anew.
 MEMO_WORDS = 150_000
+# Entries are dealt into buckets of so many bytes, which a task unpacks one at a time.
+ENTRY_BYTES, BUCKET_BYTES = 12, 8 << 20
 # What verifying a pair that met by chance costs, in index entries.
 PAIR_COST = 50
 
@@ -155,8 +157,12 @@ def classes(
     counted = groups.groupBy(F.floor(F.log("n") * 64).alias("size")).agg(
         F.count("*").alias("sets"), F.sum("n").alias("shingles")
     )
-    plans = _plans(edges, [(r["sets"], r["shingles"]) for r in counted.collect()], percent)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counted = [(r["sets"], r["shingles"]) for r in counted.collect()]
+    plans = _plans(edges, counted, percent)
+    buckets = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        int(_expected(edges, plans, counted) * ENTRY_BYTES) // BUCKET_BYTES,
+    )
     packed = pack(docs, _indexer(edges, plans, n, percent), buckets, short=True)
     entries = kept(shared(packed, short=True), "entries")
     items = kept(_items(docs, groups, entries, n), "items")
@@ -217,6 +223,21 @@ def _plans(
     ]
 
 
+def _expected(
+    edges: list[int], plans: list[tuple[int, int]], counted: list[tuple[int, int]]
+) -> float:
+    """How many index entries the counted sets have."""
+    entries = 0.0
+    for sets, total in counted:
+        size = total / sets
+        band = int(np.searchsorted(edges, size, side="right")) - 1
+        for scheme in (band - 1, band):
+            if 0 <= scheme < len(plans):
+                segments, deleting = plans[scheme]
+                entries += sets * (segments + deleting * size / segments)
+    return entries
+
+
 def _indexer(edges: list[int], plans: list[tuple[int, int]], n: int, percent: int):
     def entries(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         claim("ngram_join")
