@@ -108,6 +108,15 @@ def release(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of tables that nothing refers to any more.
+
+    Spark does so when the driver collects its garbage, which may be long after.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def join_kept(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
     """As `join_small`, with a table that is kept already."""
     if small.count() <= SENT_ROWS:

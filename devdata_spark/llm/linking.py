@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from devdata_spark.llm.common import SENT_ROWS, join_kept, kept, release
+from devdata_spark.llm.common import SENT_ROWS, free_shuffles, join_kept, kept, release
 from devdata_spark.llm.graph import components
 
 # Rounds in which nodes are compared with one node of each key only.
@@ -86,6 +86,7 @@ def linked(
         if pairs.isEmpty():
             break
         found = kept(verify(pairs), "links")
+        free_shuffles(spark)
         tested = pairs if tested is None else tested.union(pairs)
         links = found if links is None else links.union(found)
         if roots is not None:

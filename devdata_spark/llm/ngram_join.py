@@ -15,8 +15,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from devdata_spark.llm.common import claim, join_kept, join_small, kept, memo, release, ship, trim
-from devdata_spark.llm.linking import SKETCH, SKETCH_SCHEMA, linked, sketch
+from devdata_spark.llm.common import (
+    claim,
+    free_shuffles,
+    join_kept,
+    join_small,
+    kept,
+    memo,
+    release,
+    ship,
+    trim,
+)
+from devdata_spark.llm.linking import SKETCH, SKETCH_SCHEMA, linked, may_link, sketch
 from devdata_spark.llm.packed import mix, pack, shared
 
 # What op9 asks for; other callers name their own.
@@ -165,7 +175,10 @@ def classes(
     )
     packed = pack(docs, _indexer(edges, plans, n, percent), buckets, short=True)
     entries = kept(shared(packed, short=True), "entries")
+    del packed
+    free_shuffles(spark)
     items = kept(_items(docs, groups, entries, n), "items")
+    free_shuffles(spark)
     roots = linked(entries, items, percent, lambda pairs: _verified(items, pairs, percent))
     release(groups, entries, items)
     rooted = join_kept(sized, roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -286,12 +299,12 @@ def _items(docs: DataFrame, groups: DataFrame, entries: DataFrame, n: int) -> Da
 
 def _verified(items: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes whose sets are similar enough."""
-    sizes = items.select("node", "n")
+    own = items.select("node", "n", *SKETCH)
+    x, y = own.withColumnRenamed("node", "a").alias("x"), own.withColumnRenamed("node", "b").alias("y")
     fitting = (
-        pairs.join(sizes.toDF("a", "n_a"), "a")
-        .join(sizes.toDF("b", "n_b"), "b")
-        .filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    )
+        pairs.join(x, "a").join(y, "b").filter(may_link(percent, "x", "y"))
+        .select("a", "b", F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b"))
+    )
     sets = items.select("node", "s")
     both = fitting.join(sets.toDF("a", "s_a"), "a").join(sets.toDF("b", "s_b"), "b")
     common = F.size(F.array_intersect("s_a", "s_b"))
