@@ -21,11 +21,11 @@ from pyspark.sql import functions as F
 
 from devdata_spark.llm.common import claim, memo, ship
 
-# Entries of each memo before it starts anew: some 30, 15 and 15 MB in a worker, which
-# keeps them until it ends.
-MEMO_PIECES = 120_000
-MEMO_SEAMS = 100_000
-MEMO_PREFIXES = 100_000
+# Entries of each memo before it starts anew: some 50, 20 and 30 MB in a worker, which
+# keeps them until another operator's function starts there.
+MEMO_PIECES = 200_000
+MEMO_SEAMS = 150_000
+MEMO_PREFIXES = 150_000
 # Longer pieces are seldom met again and are not remembered.
 MEMO_PIECE_BYTES = 48
 # A piece that ends this many characters before an edit cannot change: the splitting
@@ -61,7 +61,7 @@ class Encoder:
         self.split_latin = None if r"\p" in latin or r"\P" in latin else re.compile(latin)
         self._tokens = [self.bytes_of.get(i) for i in range(max(self.bytes_of, default=-1) + 1)]
         self._last: dict[bytes, int] = {}
-        self._fits: dict[tuple[int, int], bool] = {}
+        self._fits: dict[int, bool] = {}  # by left token << 32 | right token
         self._halves: dict[int, tuple[int, int] | None] = {}
         self.packed = _Pieces(self)
 
@@ -112,7 +112,7 @@ class Encoder:
         have a common merge that comes before the next merge of either side. Of equal
         ranks the left merge comes first.
         """
-        key = (left, right)
+        key = left << 32 | right
         known = self._fits.get(key)
         if known is None:
             if len(self._fits) >= MEMO_SEAMS:
@@ -143,7 +143,7 @@ class Encoder:
                 continue
             if start == 0:
                 return token
-            known = fits((table[start], token))
+            known = fits(table[start] << 32 | token)
             if known or known is None and self.fits(table[start], token):
                 return token
         raise ValueError("the vocabulary lacks a byte")
@@ -217,7 +217,7 @@ class Encoder:
                 continue
             if start:
                 before = last.get(prefix[:start]) or self._last_token(prefix[:start])
-                known = self._fits.get((before, token))
+                known = self._fits.get(before << 32 | token)
                 if not (known or known is None and self.fits(before, token)):
                     continue
             last[prefix] = token

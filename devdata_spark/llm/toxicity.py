@@ -135,6 +135,7 @@ def _fitter(
     folds: int, least_texts: int, evidence: float, penalty: float, earlier: int
 ) -> Callable:
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        claim("toxicity")
         group = group.sort_values("id")
         left_out = (group["fold"] == key[0]).to_numpy()
         learnt, rest = group[~left_out], group[left_out]
