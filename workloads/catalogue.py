@@ -25,7 +25,7 @@ from devdata_spark.operators import (
     types,
 )
 from devdata_spark.plans import debt, food, hdi, health, hiv, indicators, outlook, trade
-from devdata_spark.sources import archives, documents, files
+from devdata_spark.sources import archives, documents, files, gated
 from workloads import landing, shapes, sql
 from workloads.shapes import table
 
@@ -628,6 +628,18 @@ def snapshot_reuse(spark, sf):
     return snapshots.reuse(spark, root, build)
 
 
+@query(sql.FLOWS)
+def gated_write(spark, sf):
+    """Flows written with their quality counted on the way, and read back."""
+    path = landing.new_folder(spark, "gated") + "/flows"
+    rules = {"positive value": F.col("value") > 0}
+    flows = trade_flows(spark, sf)
+    gated.write_checked(
+        flows, path, schema=schemas.TRADE_FLOWS, not_null=[fields.YEAR, fields.PRODUCT_CODE], rules=rules
+    )
+    return files.read_parquet(spark, path)
+
+
 # --- nested records ----------------------------------------------------------
 
 
