@@ -9,7 +9,10 @@ after an edit, changes only until it agrees with the old one again.
 from __future__ import annotations
 
 import base64
+import gc
 import re
+import threading
+import time
 from array import array
 from functools import lru_cache
 from pathlib import Path
@@ -19,13 +22,15 @@ import regex
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from devdata_spark.llm.common import claim, memo, ship
+from devdata_spark.llm.common import claim, memo, ship, trim
 
-# Entries of each memo before it starts anew: some 50, 20 and 30 MB in a worker, which
-# keeps them until another operator's function starts there.
-MEMO_PIECES = 200_000
-MEMO_SEAMS = 150_000
-MEMO_PREFIXES = 150_000
+# Entries of each memo before it starts anew: some 110, 65 and 90 MB in a worker, which
+# keeps them from task to task, until another operator's function starts there or nothing
+# has been encoded for some seconds.
+MEMO_PIECES = 500_000
+MEMO_SEAMS = 500_000
+MEMO_PREFIXES = 500_000
+IDLE_SECONDS = 1.0
 # Longer pieces are seldom met again and are not remembered.
 MEMO_PIECE_BYTES = 48
 # A piece that ends this many characters before an edit cannot change: the splitting
@@ -308,6 +313,33 @@ def _forget() -> bool:
 memo("bpe", _forget)
 
 
+class _Use:
+    """Encoding or decoding in progress; a worker that has none for a while forgets."""
+
+    def __init__(self):
+        self.running, self.ended, self.watch = 0, 0.0, None
+
+    def __enter__(self):
+        self.running += 1
+        if self.watch is None:
+            self.watch = threading.Thread(target=self._forget_when_idle, daemon=True)
+            self.watch.start()
+
+    def __exit__(self, *error):
+        self.ended = time.monotonic()
+        self.running -= 1
+
+    def _forget_when_idle(self) -> None:
+        while True:
+            time.sleep(IDLE_SECONDS)
+            if not self.running and time.monotonic() - self.ended > IDLE_SECONDS and _forget():
+                gc.collect()
+                trim()
+
+
+_use = _Use()
+
+
 def codec(spark: SparkSession, path: str, pattern: str):
     """Two column functions, encode and decode, for the vocabulary file at `path`.
 
@@ -324,13 +356,15 @@ def codec(spark: SparkSession, path: str, pattern: str):
 
     def encode(texts: pd.Series) -> pd.Series:
         claim("bpe")
-        one = _encoder(sent.value, pattern).encode
-        return pd.Series([None if t is None else one(t) for t in texts], dtype=object)
+        with _use:
+            one = _encoder(sent.value, pattern).encode
+            return pd.Series([None if t is None else one(t) for t in texts], dtype=object)
 
     def decode(ids: pd.Series) -> pd.Series:
         claim("bpe")
-        one = _encoder(sent.value, pattern).decode
-        return pd.Series([None if t is None else one(t) for t in ids], dtype=object)
+        with _use:
+            one = _encoder(sent.value, pattern).decode
+            return pd.Series([None if t is None else one(t) for t in ids], dtype=object)
 
     return F.pandas_udf(encode, "binary"), F.pandas_udf(decode, "binary")
 

@@ -99,3 +99,17 @@ def test_columns(spark, encoder):
             assert bytes(row.tokens) == encoder.encode(row.text)
             assert bytes(row.back).decode() == row.text and row.n == len(row.tokens) / 4
     assert out.filter("false").collect() == []
+
+
+def test_an_idle_worker_forgets(monkeypatch):
+    import time
+
+    forgotten = []
+    monkeypatch.setattr(bpe, "IDLE_SECONDS", 0.05)
+    monkeypatch.setattr(bpe, "_forget", lambda: forgotten.append(1) or False)
+    use = bpe._Use()
+    with use, use:
+        time.sleep(0.3)
+        assert not forgotten  # not while there is work
+    time.sleep(0.3)
+    assert forgotten
