@@ -340,6 +340,14 @@ class _Use:
 _use = _Use()
 
 
+def _each(content: bytes, pattern: str, what: str, values: pd.Series) -> pd.Series:
+    """Values encoded or decoded, by what this worker remembers."""
+    claim("bpe")
+    with _use:
+        one = getattr(_encoder(content, pattern), what)
+        return pd.Series([None if v is None else one(v) for v in values], dtype=object)
+
+
 def codec(spark: SparkSession, path: str, pattern: str):
     """Two column functions, encode and decode, for the vocabulary file at `path`.
 
@@ -355,16 +363,10 @@ def codec(spark: SparkSession, path: str, pattern: str):
     sent = spark.sparkContext.broadcast(content)
 
     def encode(texts: pd.Series) -> pd.Series:
-        claim("bpe")
-        with _use:
-            one = _encoder(sent.value, pattern).encode
-            return pd.Series([None if t is None else one(t) for t in texts], dtype=object)
+        return _each(sent.value, pattern, "encode", texts)
 
     def decode(ids: pd.Series) -> pd.Series:
-        claim("bpe")
-        with _use:
-            one = _encoder(sent.value, pattern).decode
-            return pd.Series([None if t is None else one(t) for t in ids], dtype=object)
+        return _each(sent.value, pattern, "decode", ids)
 
     return F.pandas_udf(encode, "binary"), F.pandas_udf(decode, "binary")
 
