@@ -76,18 +76,26 @@ def flatten(df: DataFrame, separator: str = "_") -> DataFrame:
     The new name is the path joined by `separator`: `region.id` -> `region_id`.
     Arrays and maps are left as they are. Only the schema is read, no data.
     """
+    return df.select(*leaves(df.schema, separator=separator))
 
-    def leaves(path: list[str], data_type: T.DataType) -> list[Column]:
+
+def leaves(schema: T.StructType, *under: str, separator: str = "_") -> list[Column]:
+    """The fields of a struct at any depth, named by their paths from that struct.
+
+    `under` is the path of the struct itself; without it the struct is the row.
+    """
+
+    def of(path: list[str], data_type: T.DataType) -> list[Column]:
         if isinstance(data_type, T.StructType):
             return [
                 leaf
                 for field in data_type.fields
-                for leaf in leaves([*path, field.name], field.dataType)
+                for leaf in of([*path, field.name], field.dataType)
             ]
-        column = F.col(".".join(f"`{part}`" for part in path))
+        column = F.col(".".join(_quoted(part) for part in [*under, *path]))
         return [column.alias(separator.join(path))]
 
-    return df.select(*leaves([], df.schema))
+    return of([], schema)
 
 
 def marker_to_null(df: DataFrame, marker: str) -> DataFrame:
@@ -110,4 +118,8 @@ def clean(df: DataFrame, **cleaners) -> DataFrame:
 
 
 def _exact(name: str) -> Column:
-    return F.col(f"`{name}`")
+    return F.col(_quoted(name))
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"

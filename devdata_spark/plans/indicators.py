@@ -9,13 +9,13 @@ Landed replies as JSON lines, one folder per database:
 from collections.abc import Callable, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from devdata_spark import fields, quality, schemas
-from devdata_spark.errors import DataExtractionError
+from devdata_spark.errors import DataExtractionError, DataFormattingError
 from devdata_spark.functions import text
-from devdata_spark.operators import columns, filters, joins, latest
+from devdata_spark.operators import columns, filters, joins, latest, records
 from devdata_spark.sources import files
 
 # Database ids, publisher columns and their harmonised names.
@@ -67,6 +67,8 @@ DATA_COLUMNS = {
     fields.VALUE: ["value"],
 }
 DROPPED_COLUMN = "time_id"
+# harmonised columns that are not text
+DATA_TYPES = {"is_aggregate": "boolean", fields.VALUE: "double"}
 SERIES_COLUMNS = {"id": fields.INDICATOR_CODE, "value": fields.INDICATOR_NAME}
 DEBT_STOCK_CODES = [
     "DT.DOD.BLAT.CD",
@@ -122,6 +124,7 @@ def data(
     include_labels: bool = False,
     labelled_records: bool = False,
     counterparts: bool = False,
+    undeclared: bool = False,
     mrv: int | None = None,
     mrnev: int | None = None,
 ) -> DataFrame:
@@ -130,14 +133,22 @@ def data(
     `labelled_records` says that records were landed with names beside codes;
     where they were not, `include_labels` joins the names from the entity and
     series tables. `counterparts` says that records also have a counterpart area.
+    `undeclared` finds both in the records themselves, at the price of one more pass
+    over them, and keeps every field that has no declared name.
     `mrv` keeps the most recent periods of each indicator, `mrnev` the most recent
     values of each entity.
     """
     check_database(spark, root, db)
-    schema = RAW_LABELLED_RECORDS if labelled_records else RAW_RECORDS
-    if counterparts:
-        schema += f", counterpart_area {_PAIR if labelled_records else 'STRING'}"
-    df = shape_records(files.read_json(spark, f"{root}/data/db={db}", schema))
+    path = f"{root}/data/db={db}"
+    if undeclared:
+        df = shape_found_records(files.read_lines(spark, path), "value")
+        labelled_records = fields.ENTITY_NAME in df.columns
+        counterparts = fields.COUNTERPART_CODE in df.columns
+    else:
+        schema = RAW_LABELLED_RECORDS if labelled_records else RAW_RECORDS
+        if counterparts:
+            schema += f", counterpart_area {_PAIR if labelled_records else 'STRING'}"
+        df = shape_records(files.read_json(spark, path, schema))
     df = select(
         df, indicator_code, entity_code, start_year, end_year,
         skip_blanks=skip_blanks or mrnev is not None,
@@ -234,6 +245,33 @@ def shape_records(raw: DataFrame) -> DataFrame:
     return columns.clean(df, year=lambda c: text.strict(c, "int"))
 
 
+def shape_found_records(texts: DataFrame, column: str) -> DataFrame:
+    """JSON texts as flat records: harmonised columns, and all others as found.
+
+    Harmonised columns have their declared types whatever they were written as; a cell
+    that does not fit, or an object where a code belongs, stops the job. Other fields
+    have the narrowest type that holds all their values.
+    """
+    found = records.widen(records.parse(texts, column))
+    known = {raw for raws in DATA_COLUMNS.values() for raw in raws}
+    harmonised = [c for c in found.columns if c not in known and c.lower() in DATA_COLUMNS]
+    if harmonised:
+        raise DataFormattingError(f"Records use harmonised names: {harmonised}")
+    typed = columns.clean(found, **{
+        raw: lambda c, to=DATA_TYPES.get(name): text.strict(c, to) if to else _code(c)
+        for name, raws in DATA_COLUMNS.items()
+        for raw in raws
+    })
+    shaped = shape_records(typed)
+    return quality.check_columns(shaped, REQUIRED)
+
+
+def _code(c: Column) -> Column:
+    written = c.cast("string")
+    broken = F.raise_error(F.concat(F.lit("Not a code: "), written)).cast("string")
+    return F.when(written.startswith("{") | written.startswith("["), broken).otherwise(written)
+
+
 def select(
     df: DataFrame,
     indicator_code: str | Sequence[str] | None = None,

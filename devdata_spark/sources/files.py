@@ -69,6 +69,14 @@ def read_json(
     return _load(reader.option("mode", "FAILFAST").format("json"), path)
 
 
+def read_lines(
+    spark: SparkSession, path: str | Sequence[str], *, pattern: str | None = None
+) -> DataFrame:
+    """The lines of text files as a column `value`."""
+    require_files(spark, path, pattern)
+    return _load(_options(spark.read, pattern).format("text"), path)
+
+
 def read_parquet(
     spark: SparkSession, path: str | Sequence[str], *, pattern: str | None = None
 ) -> DataFrame:

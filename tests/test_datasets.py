@@ -774,6 +774,44 @@ def test_labelled_records(spark, tmp_path, indicator_root, rows):
     assert sorted(plain.columns) == ["entity_code", "indicator_code", "value", "year"]
 
 
+def test_undeclared_fields_of_records(spark, tmp_path, indicator_root, rows):
+    put(tmp_path / "data" / "db=6" / "r.json", lines([
+        {"time": {"id": "YR2020", "value": 2020}, "economy": {"id": "USA", "value": "United States"},
+         "series": "SP.POP", "value": 123, "decimal": 0, "obs": {"status": "E", "by": None}},
+        {"time": {"id": "YR2021", "value": "2021"}, "economy": {"id": "USA", "value": "United States"},
+         "series": "SP.POP", "value": "1.5", "decimal": 0.5, "footnote": ["a", 1]},
+    ]))
+    df = indicators.data(spark, indicator_root, "SP.POP", db=6, include_labels=True, undeclared=True)
+    assert rows(df, "year", "entity_code", "entity_name", "value", "obs_status", "obs_by", "footnote") == [
+        (2020, "USA", "United States", 123.0, "E", None, None),
+        (2021, "USA", "United States", 1.5, None, None, ["a", "1"]),
+    ]
+    assert dict(df.dtypes)["decimal"] == "decimal(21,1)"
+    unnamed = indicators.data(spark, indicator_root, "SP.POP", db=6, undeclared=True)
+    assert "entity_name" not in unnamed.columns and "obs_status" in unnamed.columns
+
+
+@pytest.mark.parametrize(
+    "records", ['{"economy": {"id": "USA"}, "time": 2020, "series": "S", "value": 1}\n'
+                '{"economy": "KEN", "time": 2020, "series": "S", "value": 1}',
+                '{"economy": "KEN", "time": 2020, "series": "S", "value": "many"}'],
+)
+def test_cells_that_are_no_codes_or_numbers_stop_the_job(spark, records):
+    texts = spark.createDataFrame([(r,) for r in records.split("\n")], "reply STRING")
+    with pytest.raises(Exception, match="Not a code|Not a double"):
+        indicators.shape_found_records(texts, "reply").collect()
+
+
+def test_records_with_harmonised_or_missing_names(spark):
+    def shaped(reply):
+        return indicators.shape_found_records(spark.createDataFrame([(reply,)], "reply STRING"), "reply")
+
+    with pytest.raises(DataFormattingError, match="harmonised names: .'year'"):
+        shaped('{"economy": "KEN", "time": 2020, "year": 1, "series": "S", "value": 1}')
+    with pytest.raises(DataValidationError, match="Missing columns: .'value'"):
+        shaped('{"economy": "KEN", "time": 2020, "series": "S"}')
+
+
 def test_flat_records_with_both_kinds_of_names(spark):
     flat = spark.createDataFrame(
         [(1, "2020", "USA", "United States", False, "SP.POP", "Population", "WLD", "World", 123.0)],

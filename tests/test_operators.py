@@ -18,6 +18,7 @@ from devdata_spark.operators import (
     filters,
     joins,
     latest,
+    records,
     reshape,
     resolve,
     types,
@@ -56,6 +57,51 @@ def test_flatten_joins_paths_at_any_depth(spark):
     assert tuple(flat.first()) == ("i", "x", 1, [1])
 
 
+def test_records_of_undeclared_shape(spark, rows):
+    texts = [
+        '{"a": 1, "b": {"c": "x", "d e": null}}', '{"a": 2.5, "b": {"c": 3}, "n": [1, {"q": true}]}',
+        '{"a": null, "o": {}, "t`q": 1, "p.x": 4, "OBJECT<": "VOID"}', None, " ", '{"a": 7}',
+    ]
+    df = records.parse(spark.createDataFrame(list(enumerate(texts)), "id INT, reply STRING"), "reply")
+    wide = records.widen(df)
+    assert dict(wide.dtypes) == {
+        "id": "int", "OBJECT<": "string", "a": "decimal(21,1)", "b_c": "string", "b_d e": "string",
+        "n": "array<string>", "o": "string", "p.x": "bigint", "t`q": "bigint",
+    }
+    found = wide.select("id", F.col("a").cast("double"), "b_c", "n", "o", "`p.x`", "`t``q`", "`OBJECT<`")
+    assert rows(found) == [
+        (0, 1.0, "x", None, None, None, None, None),
+        (1, 2.5, "3", ["1", '{"q":true}'], None, None, None, None),
+        (2, None, None, None, "{}", 4, 1, "VOID"),
+        (5, 7.0, None, None, None, None, None, None),
+    ]
+    report = {r.field: (r.n_records, r.n_values) for r in records.field_report(df).collect()}
+    assert report["a"] == (4, 3) and report["b"] == (2, 2) and report["o"] == (1, 1)
+    assert records.widen(df.limit(0)).columns == ["id"]
+
+
+@pytest.mark.parametrize(
+    ("reply", "problem"),
+    [
+        ("{bad", "not JSON objects"), ("[1]", "not JSON objects"), ("5", "not JSON objects"),
+        ('{"id": 1}', "columns of the table"), ('{"a": 1, "A": 2}', "columns twice"),
+        ('{"a_b": 1, "a": {"b": 2}}', "columns twice"),
+    ],
+)
+def test_records_that_make_no_table(spark, reply, problem):
+    df = records.parse(spark.createDataFrame([(1, reply)], "id INT, reply STRING"), "reply")
+    with pytest.raises(DataFormattingError, match=problem):
+        records.widen(df)
+
+
+def test_too_many_fields_of_records(spark, monkeypatch):
+    monkeypatch.setattr(records, "MAX_FIELDS", 2)
+    df = records.parse(spark.createDataFrame([('{"a": 1, "b": 2, "c": 3}',)], "reply STRING"), "reply")
+    with pytest.raises(DataFormattingError, match="3 fields"):
+        records.widen(df)
+    assert records.field_report(df).count() == 3
+
+
 def test_marker_is_a_whole_cell(spark, rows):
     df = spark.createDataFrame([("-", "b-", 1), ("a", "-", 2)], "x STRING, y STRING, n INT")
     assert rows(columns.marker_to_null(df, "-")) == [("a", None, 2), (None, "b-", 1)]

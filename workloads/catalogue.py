@@ -20,6 +20,7 @@ from devdata_spark.operators import (
     filters,
     joins,
     latest,
+    records,
     reshape,
     resolve,
     types,
@@ -714,6 +715,34 @@ def record_json(spark, sf):
     return indicators.shape_records(_parsed(replies, indicators.RAW_LABELLED_RECORDS))
 
 
+@query("""
+select cast(year(ts) as int) as year, cast(user_id as varchar) as entity_code,
+  case when event_type <> 'view' then 'User ' || user_id end as entity_name,
+  event_type as indicator_code, value, cast(event_id as bigint) as event_id,
+  cast(json_extract(props, '$.k') as bigint) as props_k,
+  case when event_type = 'error' then 'E' end as status,
+  cast(case when event_id % 2 = 0 then 1 else 0.5 end as double) as unit_scale,
+  case event_type when 'signup' then 'new' when 'purchase' then cast(user_id as varchar) end as note
+from events
+""")
+def record_variant(spark, sf):
+    """Records whose fields differ from one kind of event to the next."""
+    found = indicators.shape_found_records(_undeclared_replies(spark, sf), "reply")
+    return found.withColumn("unit_scale", F.col("unit_scale").cast("double"))
+
+
+@query("""
+select 'event_id' as field, 'BIGINT' as type, count(*) as n_records, count(*) as n_values from events
+union all select 'note', 'VARIANT', count(*), count(*) from events where event_type in ('signup', 'purchase')
+union all select 'status', 'STRING', count(*), count(*) from events where event_type = 'error'
+union all select 'series', 'STRING', count(*), count(event_type) from events
+union all select 'unit', 'OBJECT<scale: DECIMAL(21,1)>', count(*), count(*) from events
+""")
+def record_fields(spark, sf):
+    report = records.field_report(records.parse(_undeclared_replies(spark, sf), "reply"))
+    return report.where(F.col("field").isin("event_id", "note", "status", "series", "unit"))
+
+
 @query("""
 select cast(c_custkey as varchar) as entity_code, c_name as entity_name, false as is_aggregate,
   null::varchar as longitude, c_nationkey || '.5' as latitude, n_name as capital_city,
@@ -1155,6 +1184,36 @@ def _parsed(replies: DataFrame, schema: str, *keep: str) -> DataFrame:
     return replies.select(*keep, F.from_json("reply", schema).alias("_r")).select(*keep, "_r.*")
 
 
+def _undeclared_replies(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as JSON: some fields in some records only, or of several kinds."""
+    kind, user = F.col("event_type"), F.col("user_id").cast("string")
+    known = F.struct(
+        F.struct(F.year("ts").alias("value")).alias("time"),
+        F.struct(
+            user.alias("id"),
+            F.when(kind != "view", F.concat(F.lit("User "), user)).alias("value"),
+        ).alias("economy"),
+        kind.alias("series"),
+        "value",
+        "event_id",
+        F.when(kind == "error", "E").alias("status"),
+        F.when(kind == "signup", "new").alias("note"),
+    )
+    # what the other kinds of event write there is a number, as text has no kinds
+    scale = F.when(F.col("event_id") % 2 == 0, "1").otherwise("0.5")
+    note = F.when(kind == "purchase", F.concat(F.lit('"note":'), user))
+    added = F.concat_ws(
+        ",",
+        F.concat(F.lit('"unit":{"scale":'), scale, F.lit("}")),
+        F.concat(F.lit('"props":'), "props"),
+        note,
+    )
+    written = F.regexp_replace(F.to_json(known), r"\}$", "")
+    return table(spark, sf, "events").select(
+        F.concat(written, F.lit(","), added, F.lit("}")).alias("reply")
+    )
+
+
 def _customers_with_legacy_code(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "customer").select(
         F.col("c_name").alias(fields.ENTITY_NAME),
