@@ -18,12 +18,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from devdata_spark.errors import DataValidationError
+from devdata_spark.scratch import materialise
 
 # Largest lookup table that is sent to every executor, by measured content.
 BROADCAST_MAX_BYTES = 32 * 1024 * 1024
@@ -77,11 +77,11 @@ def attach(
     unless `validate` is off, in which case a repeated key repeats the row.
     Pass `measured` to reuse a profile of the same lookup table and key. `derived`
     says that the lookup is an aggregate of a large table by the key, so unique: it is
-    kept once worked out, and measured and joined from there.
+    written to the shared folder, and measured and joined from there.
     """
     keys = list(on)
     if derived:
-        lookup, validate = lookup.persist(StorageLevel.MEMORY_AND_DISK), False
+        lookup, validate = materialise(lookup, "lookup"), False
     if how != "left":
         lookup = lookup.select(*keys).distinct()
     facts = measured or profile(lookup, keys)

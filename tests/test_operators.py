@@ -14,6 +14,7 @@ from devdata_spark.operators import (
     analysis,
     columns,
     combine,
+    coverage,
     date_forms,
     filters,
     joins,
@@ -24,6 +25,50 @@ from devdata_spark.operators import (
     types,
 )
 
+# --- coverage ----------------------------------------------------------------
+
+
+def test_coverage_of_series(spark, rows):
+    years = {"a": [1960, 1961, 2030], "b": [2024], None: [1960, 1960], "c": [1900, None, 2101]}
+    df = spark.createDataFrame(
+        [(s, y, None if y == 2030 else 1.0) for s, found in years.items() for y in found],
+        "s STRING, year INT, value DOUBLE",
+    )
+    covered = coverage.bitmaps(df, ["s"], "year", 1960, 2100)
+    assert rows(coverage.report(covered, ["s"], 1960, 2100)) == [
+        ("a", 3, 1960, 2030, 68), ("b", 1, 2024, 2024, 0), ("c", 0, None, None, 0), (None, 1, 1960, 1960, 0),
+    ]
+    asked = spark.createDataFrame([("a",), ("new",), (None,), ("a",)], "s STRING")
+    found = coverage.gaps(covered, ["s"], "year", 1960, 2100, series=asked)
+    expected = [
+        (s, y) for s in ["a", "new", None] for y in range(1960, 2101) if y not in years.get(s, [])
+    ]
+    assert sorted(map(str, rows(found))) == sorted(map(str, expected))
+    valued = coverage.bitmaps(df, ["s"], "year", 1960, 2100, value="value")
+    assert rows(coverage.report(valued, ["s"], 1960, 2100))[0] == ("a", 2, 1960, 1961, 0)
+    assert coverage.gaps(covered.limit(0), ["s"], "year", 1960, 2100).count() == 0
+
+
+def test_coverage_is_merged_and_equals_the_missing_rows(spark, rows):
+    df = spark.range(400).selectExpr("id % 7 AS s", "CAST(1950 + id * id % 90 AS INT) AS year")
+    span = (1950, 2039)
+    whole = coverage.bitmaps(df, ["s"], "year", *span)
+    parts = [coverage.bitmaps(df.where(f"year % 3 = {i}"), ["s"], "year", *span) for i in range(3)]
+    merged = coverage.merge(combine.stack(parts), ["s"], *span)
+    assert rows(merged.select("s", F.col("covered").cast("string"))) == rows(
+        whole.select("s", F.col("covered").cast("string"))
+    )
+    asked = df.select("s").distinct().selectExpr("s", "explode(sequence(1950, 2039)) AS year")
+    missing = quality.missing_series(asked, df, ["s", "year"])
+    assert rows(coverage.gaps(whole, ["s"], "year", *span)) == rows(missing)
+
+
+def test_coverage_moves_no_row_of_the_table(spark):
+    df = spark.range(1000).selectExpr("id % 3 AS s", "CAST(2000 + id % 20 AS INT) AS year")
+    plan = coverage.bitmaps(df, ["s"], "year", 2000, 2030)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_bit_or" in plan and "SortAggregate" not in plan and plan.count("Exchange") == 1
+
+
 # --- projections -------------------------------------------------------------
 
 
@@ -450,6 +495,31 @@ def test_median_is_exact_for_groups_of_any_size(spark, rows):
     assert rows(analysis.group_median(df, ["g"])) == rows(expected)
 
 
+@pytest.mark.parametrize("type_", ["double", "bigint", "decimal(20,2)"])
+def test_median_of_wide_groups_is_found_between_sketched_bounds(spark, rows, monkeypatch, type_):
+    monkeypatch.setattr(analysis, "_RANKED_AT_ONCE", 40)
+    monkeypatch.setattr(analysis, "_MARGIN", 0.002)  # so narrow that bounds can miss
+    n = F.col("id")
+    wide = spark.range(6000).select(
+        F.when(n % 5 < 2, "two").when(n % 5 == 2, "far").when(n % 5 == 3, "step").alias("g"),
+        F.when(n % 5 == 2, F.pow(F.lit(1.004), n) * F.when(n % 2 == 0, -1).otherwise(1))
+        .when(n % 5 == 3, F.when(n < 3000, 1.0).otherwise(2.0))
+        .otherwise(n * 7919 % 6007 - 3000).cast(type_).alias("value"),
+    )
+    small = spark.createDataFrame([("s", 1), ("s", 2), ("n", None)], "g STRING, value INT")
+    df = wide.union(small.select("g", F.col("value").cast(type_)))
+    expected = df.where("value IS NOT NULL").groupBy("g").agg(F.percentile("value", 0.5).alias("m"))
+    found = analysis.group_median(df, ["g"]).withColumn("median", F.col("median").cast("double"))
+    assert [(g, pytest.approx(m)) for g, m in rows(found)] == rows(expected)
+
+
+def test_median_keeps_no_table_in_memory(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 4.0)], "g STRING, value DOUBLE")
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    assert analysis.add_median(df, ["g"]).count() == 2
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
 def test_median_as_column_and_as_rows(spark, rows):
     df = spark.createDataFrame([("a", 1.0, "n"), ("a", 4.0, "n"), ("b", 7.0, "n")], "g STRING, value DOUBLE, what STRING")
     assert rows(analysis.add_median(df, ["g"]), "g", "value", "median") == [("a", 1.0, 2.5), ("a", 4.0, 2.5), ("b", 7.0, 7.0)]

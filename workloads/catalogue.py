@@ -16,6 +16,7 @@ from devdata_spark.operators import (
     analysis,
     columns,
     combine,
+    coverage,
     date_forms,
     filters,
     joins,
@@ -250,11 +251,24 @@ where not exists (select 1 from ({sql.OBSERVATIONS}) o
   where o.counterpart_code = r.counterpart_code and o.year = r.year)
 """)
 def missing_series_report(spark, sf):
-    present = shapes.observations(spark, sf)
-    years = F.explode(F.sequence(F.lit(1995), F.lit(2001))).alias("year")
-    keys = ["entity_code", "counterpart_code", "year"]
-    requested = present.select(*keys[:2]).distinct().select(*keys[:2], years)
-    return quality.missing_series(requested, present, keys)
+    keys = ["entity_code", "counterpart_code"]
+    covered = coverage.bitmaps(shapes.observations(spark, sf), keys, "year", 1995, 2001)
+    return coverage.gaps(covered, keys, "year", 1995, 2001)
+
+
+@query(f"""
+select entity_code, indicator_code, cast(count(distinct y) as int) as n_periods,
+  min(y) as first_period, max(y) as last_period,
+  coalesce(cast(max(y) - min(y) + 1 - count(distinct y) as int), 0) as n_gaps
+from (select *, case when value is not null and year >= 1995 then year end as y from ({sql.OBSERVATIONS}))
+group by all
+""")
+def series_coverage(spark, sf):
+    """Coverage of the series of countries, merged from that of each customer."""
+    keys, years = ["entity_code", "indicator_code"], (1995, 2060)
+    observed = shapes.observations(spark, sf)
+    parts = coverage.bitmaps(observed, [*keys, "counterpart_code"], "year", *years, value="value")
+    return coverage.report(coverage.merge(parts, keys, *years), keys, *years)
 
 
 @query("select distinct c_name as entity_name from customer where c_nationkey = 0")
