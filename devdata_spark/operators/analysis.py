@@ -1,6 +1,6 @@
 """Small analysis helpers on tidy tables.
 
-Groups may be of any size, so none of these uses a window over a whole group:
+Groups may be of any size, so none of these uses a window over a whole large group:
 group results are aggregated (combined before the shuffle) and joined back.
 """
 

@@ -29,22 +29,21 @@ _AS_DECLARED = {"OBJECT<": "STRUCT<", "OBJECT<>": "STRING", "VARIANT": "STRING",
 
 
 def parse(df: DataFrame, text: str, into: str = "record") -> DataFrame:
-    """Replace a column of JSON texts by a VARIANT column; NULL where it is not JSON."""
-    present = df.where(F.trim(text) != "")
-    parsed = present.withColumn("_record", F.try_parse_json(F.col(text)))
+    """Replace a column of JSON texts by a VARIANT column; NULL where it is no object."""
+    present = df.where(F.col(text).rlike(r"\S"))
+    is_object = F.col(text).rlike(r"^\s*\{")
+    parsed = present.withColumn("_record", F.when(is_object, F.try_parse_json(F.col(text))))
     return parsed.drop(text).withColumnRenamed("_record", into)
 
 
 def merged_schema(df: DataFrame, column: str = "record") -> T.StructType:
     """The fields that any record has, from one pass over the table."""
-    record = F.col(column)
-    is_object = F.coalesce(F.schema_of_variant(record).startswith("OBJECT<"), F.lit(False))
     found = df.agg(
-        F.schema_of_variant_agg(F.when(is_object, record)).alias("schema"),
-        F.count_if(~is_object).alias("n_others"),
+        F.schema_of_variant_agg(F.col(column)).alias("schema"),
+        F.count_if(F.col(column).isNull()).alias("n_others"),
     ).first()
-    if found.n_others:
-        raise DataFormattingError(f"{found.n_others} record(s) are not JSON objects")
+    if found.n_others or not found.schema.startswith(("OBJECT<", "VOID")):
+        raise DataFormattingError(f"Records are not JSON objects ({found.n_others} no records)")
     declared = declared_type(found.schema)
     if declared == "STRING":
         return T.StructType()

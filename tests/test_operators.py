@@ -105,7 +105,7 @@ def test_flatten_joins_paths_at_any_depth(spark):
 def test_records_of_undeclared_shape(spark, rows):
     texts = [
         '{"a": 1, "b": {"c": "x", "d e": null}}', '{"a": 2.5, "b": {"c": 3}, "n": [1, {"q": true}]}',
-        '{"a": null, "o": {}, "t`q": 1, "p.x": 4, "OBJECT<": "VOID"}', None, " ", '{"a": 7}',
+        '{"a": null, "o": {}, "t`q": 1, "p.x": 4, "OBJECT<": "VOID"}', None, " \t", ' {"a": 7}',
     ]
     df = records.parse(spark.createDataFrame(list(enumerate(texts)), "id INT, reply STRING"), "reply")
     wide = records.widen(df)
