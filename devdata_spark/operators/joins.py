@@ -102,19 +102,32 @@ def attach(
     return joined.select(*[F.col(f"`{c}`") for c in order])
 
 
+def sent_if_small(lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The lookup table marked for a broadcast if its measured size allows one, else for a
+    shuffled join."""
+    return F.broadcast(lookup) if profile(lookup, keys).fits_broadcast else _shuffled(lookup)
+
+
+def _shuffled(lookup: DataFrame) -> DataFrame:
+    """Without this mark Spark goes by the size of compressed files, and would gather a
+    table of millions of short rows in the driver to broadcast it."""
+    return lookup.hint("merge")
+
+
 def _attach_large(
     df: DataFrame, lookup: DataFrame, keys: list[str], how: str, nulls: bool
 ) -> DataFrame:
+    large = _shuffled(lookup)
     full = overfull_keys(df, keys)
     if full is None:
-        return _join(df, lookup, keys, how, nulls)
+        return _join(df, large, keys, how, nulls)
     full_lookup = _join(lookup, F.broadcast(full), keys, "left_semi", True)
     if not profile(full_lookup, keys).fits_broadcast:
-        return _join(df, lookup, keys, how, nulls)
+        return _join(df, large, keys, how, nulls)
     in_place = _join(df, F.broadcast(full), keys, "left_semi", True)
     moved = _join(df, F.broadcast(full), keys, "left_anti", True)
     return _join(in_place, F.broadcast(full_lookup), keys, how, nulls).unionByName(
-        _join(moved, lookup, keys, how, nulls)
+        _join(moved, large, keys, how, nulls)
     )
 
 

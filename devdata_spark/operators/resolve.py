@@ -4,9 +4,10 @@ The country table is an input: `iso3_code`, `iso2_code`, `name_short` and
 `regex`, a pattern that recognises the country in a longer name. A name is first
 looked up as a code or short name, by an ordinary equality join. Names that this
 leaves over meet patterns through an inverted index: every match of a pattern contains
-one of a few literals, each literal is known by its rarest three letters, and a name
-meets the patterns that are known by three of its own letters. Only these pairs are
-matched. Patterns without such a literal are tried on every name left over.
+one of a few literals, each literal is known by its rarest stretch of letters, as long as a
+literal of its length allows, and a name meets the patterns that are known by one of its
+own stretches. Only these pairs are matched. Patterns without such a literal are tried on
+every name left over.
 """
 
 import logging
@@ -31,6 +32,10 @@ NAME_SHORT = "name_short"
 PATTERNS_AT_ONCE = 500
 MOST_UNINDEXED = 5_000
 
+# Lengths of the stretches that literals are known by: many patterns, such as those with
+# numbers of their own, share three letters, but few share eight.
+STRETCHES = (literals.SHORTEST, 4, 6, 8, 12, 16, 24)
+
 # Executors get the code with the job and need no package.
 register_pickle_by_value(literals)
 
@@ -80,11 +85,11 @@ def codes_by_pattern(names: DataFrame, patterns: DataFrame) -> DataFrame:
 
 
 def index(patterns: DataFrame) -> DataFrame:
-    """`_code`, `regex`, `gram`: three letters of which a match contains at least one row's.
+    """`_code`, `regex`, `gram`: letters of which a match contains at least one row's.
 
     A pattern has a row for each of its alternatives: of the literal that the alternative
-    must contain, the three letters that occur in the fewest patterns. One without such a
-    literal has a single row of NULL `gram`.
+    must contain, the stretch that occurs in the fewest patterns, of the greatest length
+    in `STRETCHES` that fits. One without such a literal has a single row of NULL `gram`.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,11 +100,19 @@ def index(patterns: DataFrame) -> DataFrame:
                 names=["_code", "regex", "literals"],
             )
 
-    stated = patterns.where("regex IS NOT NULL").select(F.col("_code").cast("string"), "regex").distinct()
-    read_ = stated.mapInArrow(read, "_code STRING, regex STRING, literals ARRAY<STRING>")
+    stated = patterns.where("regex IS NOT NULL").select(F.col("_code").cast("string"), "regex")
+    # short rows, each of which takes long to read: Spark would deal them to too few tasks
+    partitions = int(patterns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = stated.repartition(partitions, "_code", "regex").distinct()
+    read_ = scratch.materialise(
+        dealt.mapInArrow(read, "_code STRING, regex STRING, literals ARRAY<STRING>"), "literals"
+    )
+    size = F.lit(None).cast("int")
+    for n in STRETCHES:
+        size = F.when(F.length("literal") >= n, n).otherwise(size)
     grams = read_.select(
         "_code", "regex", F.explode_outer("literals").alias("literal")
-    ).withColumn("gram", F.explode_outer(_grams(F.col("literal"))))
+    ).withColumn("gram", F.explode_outer(_grams(F.col("literal"), size)))
     sharing = grams.where("gram IS NOT NULL").groupBy("gram").agg(F.count("*").alias("_n"))
     counted = joins.attach(grams, sharing, ["gram"], derived=True)
     return counted.groupBy("_code", "regex", "literal").agg(
@@ -108,9 +121,23 @@ def index(patterns: DataFrame) -> DataFrame:
 
 
 def candidates(names: DataFrame, known: DataFrame) -> DataFrame:
-    """`_name`, `_code`, `regex`: the names that hold the letters a pattern is known by."""
-    letters = names.select("_name", F.explode(_grams(_lower(F.col("_name")))).alias("gram"))
-    return letters.join(known, "gram").select("_name", "_code", "regex").distinct()
+    """`_name`, `_code`, `regex`: the names that hold the letters a pattern is known by.
+
+    Stretches and names meet as 64-bit hashes; what only a hash brings together is in the
+    result too, and does not match.
+    """
+    sizes = sorted(r[0] for r in known.select(F.length("gram")).distinct().collect())
+    lower, none = _lower(F.col("_name")), F.array().cast("array<string>")
+    grams = F.flatten(F.array(*[F.coalesce(_grams(lower, F.lit(n)), none) for n in sizes or STRETCHES[:1]]))
+    keys = F.array_distinct(F.transform(grams, lambda gram: F.xxhash64(gram)))
+    letters = names.select(F.xxhash64("_name").alias("_id"), F.explode(keys).alias("_key"))
+    patterns = known.select(F.xxhash64("gram").alias("_key"), "_code", "regex")
+    met = letters.join(joins.sent_if_small(patterns, ["_key"]), "_key")
+    pairs = met.select("_id", "_code", "regex").distinct()
+    return (
+        pairs.join(names.withColumn("_id", F.xxhash64("_name")).hint("merge"), "_id")
+        .select("_name", "_code", "regex")
+    )
 
 
 def _lower(c: Column) -> Column:
@@ -118,11 +145,10 @@ def _lower(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def _grams(c: Column) -> Column:
-    """The distinct stretches of three letters of a text."""
-    size = literals.SHORTEST
+def _grams(c: Column, size: Column) -> Column:
+    """The distinct stretches of `size` letters of a text."""
     starts = F.sequence(F.lit(1), F.length(c) - size + 1)
-    grams = F.transform(starts, lambda at: F.substr(c, at, F.lit(size)))
+    grams = F.transform(starts, lambda at: F.substr(c, at, size))
     return F.when(F.length(c) >= size, F.array_distinct(grams))
 
 

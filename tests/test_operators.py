@@ -658,3 +658,24 @@ def test_many_patterns_meet_few_names(spark):
     assert known.where("gram IS NULL").select("_code").collect() == [("ANY",)]
     pairs = resolve.candidates(names_df, known.where("gram IS NOT NULL")).count()
     assert pairs < 0.02 * len(names) * len(patterns)
+
+
+def test_patterns_of_many_numbers_meet_few_names(spark):
+    numbers = [f"{i * 7:09d}" for i in range(2000)]
+    patterns = [(f"C{n}", rf"\bclient\W*{n}(?!\d)") for n in numbers] + [("S", "abcd"), ("T", "client xyz")]
+    names = [f"for CLIENT {n}, thanks" for n in numbers[::10]] + ["ABCd", "abc", "to client xyz", ""]
+    names_df = spark.createDataFrame([(n,) for n in names], "_name STRING")
+    patterns_df = spark.createDataFrame(patterns, "_code STRING, regex STRING")
+    found = {r._name: r._code for r in resolve.codes_by_pattern(names_df, patterns_df).collect()}
+    expected = {n: f"C{n[11:20]}" for n in names if n.startswith("for")}
+    assert found == expected | {"ABCd": "S", "to client xyz": "T"}
+    known = resolve.index(patterns_df).where("gram IS NOT NULL")
+    assert resolve.candidates(names_df, known).count() < 3 * len(names)
+
+
+def test_large_lookups_are_not_gathered_in_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 10)
+    lookup = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    found = joins.attach(spark.range(100).select(F.col("id").alias("k")), lookup, ["k"], derived=True)
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.v for r in found.collect() if r.v is not None) == list(range(0, 100, 2))
