@@ -55,10 +55,10 @@ def linked(
     In a few rounds each key's nodes are compared with the one of them that shares most
     keys, first of all its nodes, then of those outside its largest component; a copied
     text's nodes mostly meet in these. What is still apart in a key is compared in full,
-    where sizes and sketches allow a link: pairs are made of keys of up to `large` nodes;
-    nodes of a larger key are dealt out by size, and blocks of them are compared in tasks
-    of their own. So each pair of a key is inside one component, ruled out by its sketches
-    or verified.
+    by sizes and sketches, inside tasks: only pairs that these allow to link become rows.
+    Keys of up to `large` nodes are compared whole; nodes of a larger key are dealt out by
+    size, and blocks of them are compared in tasks of their own. So each pair of a key is
+    inside one component, ruled out by its sketches or verified.
     """
     spark = entries.sparkSession
     items = items.select("node", "n", *SKETCH)
@@ -134,15 +134,56 @@ def _open(placed: DataFrame) -> DataFrame:
 
 
 def _pairs(rest: DataFrame, items: DataFrame, percent: int) -> DataFrame:
-    """a, b: nodes of one key in two components whose sizes and sketches allow a link."""
-    met = (
-        rest.filter("root <> top").alias("x")
-        .join(rest.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.root") != F.col("y.root")))
-        .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
-        .distinct()
-    )
-    x, y = items.withColumnRenamed("node", "a").alias("x"), items.withColumnRenamed("node", "b").alias("y")
-    return met.join(x, "a").join(y, "b").filter(may_link(percent, "x", "y")).select("a", "b")
+    """a, b: nodes of one key in two components whose sizes and sketches allow a link.
+
+    The nodes of a key stand together in a task, which makes rows only of what passes; a
+    pair is there once for each key.
+    """
+    rows = rest.join(items, "node").repartition("key").sortWithinPartitions("key")
+    return rows.mapInArrow(_key_scorer(percent), "a LONG, b LONG")
+
+
+def _key_scorer(percent: int):
+    def run(batches):
+        held = None
+        for batch in batches:
+            here = pa.Table.from_batches([batch])
+            held = here if held is None else pa.concat_tables([held, here])
+            keys = held["key"].to_numpy()
+            # the last key may go on in the next batch
+            ended = int(np.searchsorted(keys == keys[-1], True)) if len(keys) else 0
+            yield _met_in_keys(held.slice(0, ended), percent)
+            held = held.slice(ended)
+        if held is not None:
+            yield _met_in_keys(held, percent)
+
+    return run
+
+
+def _met_in_keys(rows: pa.Table, percent: int) -> pa.RecordBatch:
+    """The pairs of rows of whole keys, which stand in their order."""
+    keys, node, root, top, n = (rows[c].to_numpy() for c in ("key", "node", "root", "top", "n"))
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
+    ends = np.repeat(np.r_[starts[1:], len(keys)][: len(starts)], np.diff(np.r_[starts, len(keys)]))
+    after = ends - np.arange(len(keys)) - 1
+    i = np.repeat(np.arange(len(keys)), after)
+    j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(after) - after, after)
+    least, both = np.minimum(n[i], n[j]), n[i] + n[j]
+    alive = (100 * least >= percent * (both - least)) & (root[i] != root[j])
+    alive &= (root[i] != top[i]) | (root[j] != top[j])
+    i, j = i[alive], j[alive]
+    fits = _near(rows, rows, "", i, j, n[i] + n[j], percent)
+    i, j = node[i[fits]], node[j[fits]]
+    return pa.record_batch({"a": pa.array(np.minimum(i, j)), "b": pa.array(np.maximum(i, j))})
+
+
+def _near(x: pa.Table, y: pa.Table, prefix: str, i: np.ndarray, j: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the sketches of rows i of x and j of y allow a link; n: their sizes' sum."""
+    apart = np.zeros(len(i), np.int64)
+    for name in SKETCH:
+        bits = x[name].to_numpy()[i] ^ y[prefix + name].to_numpy()[j]
+        apart += np.bitwise_count(bits.view(np.uint64))
+    return apart * (100 + percent) <= n * (100 - percent)
 
 
 def _block_pairs(rest: DataFrame, items: DataFrame, percent: int, block: int = 512) -> DataFrame:
@@ -197,11 +238,7 @@ def _block_scorer(percent: int):
             alive &= a["root"][:, None] != b["root"][None, :]
             open_ = (a["root"] != a["top"])[:, None] | (b["root"] != b["top"])[None, :]
             i, j = np.nonzero(alive & open_)
-            apart = np.zeros(len(i), np.int64)
-            for name in SKETCH:
-                bits = x[name].to_numpy()[i] ^ y[f"y_{name}"].to_numpy()[j]
-                apart += np.bitwise_count(bits.view(np.uint64))
-            fits = apart * (100 + percent) <= n[i, j] * (100 - percent)
+            fits = _near(x, y, "y_", i, j, n[i, j], percent)
             i, j = a["node"][i[fits]], b["node"][j[fits]]
             found.append(np.stack([np.minimum(i, j), np.maximum(i, j)]))
         a, b = np.unique(np.concatenate(found, axis=1), axis=1)

@@ -3,11 +3,12 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from devdata_spark.llm import bwt, contamination, line_dedup, ngram_join, suffix_dedup
+from devdata_spark.llm import bwt, contamination, line_dedup, linking, ngram_join, suffix_dedup
 
 
 @settings(max_examples=150, deadline=None)
@@ -163,3 +164,21 @@ def test_shingles_follow_the_word_rule():
     assert len(ngram_join.shingles("a b c d")) == 2
     assert len(ngram_join.shingles("a b")) == 1
     assert len(ngram_join.shingles(" \n")) == len(ngram_join.shingles(None)) == 0
+
+
+def test_pairs_of_crowded_keys_are_ruled_out_before_they_are_rows():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 2**63, 100).astype(np.uint64)) for _ in range(90)]
+    sets += [np.unique(np.r_[s[:96], rng.integers(0, 2**63, 4).astype(np.uint64)]) for s in sets[:5]]
+    sketches = np.array([linking.sketch(s) for s in sets])
+    keys = np.repeat([1, 2, 3], [30, 45, len(sets)])
+    node = np.r_[np.arange(30), np.arange(30, 75), np.arange(len(sets))]
+    columns = {"key": keys, "node": node, "root": node, "top": np.full(len(node), -1)}
+    columns["n"] = np.array([len(s) for s in sets])[node]
+    columns |= {name: sketches[node, i] for i, name in enumerate(linking.SKETCH)}
+    batches = pa.table(columns).to_batches(max_chunksize=17)
+    found = [p for b in linking._key_scorer(90)(iter(batches)) for p in zip(*b.to_pydict().values())]
+    assert sorted(found) == [(i, 90 + i) for i in range(5)]
+    columns["root"] = node % 90
+    inside = linking._key_scorer(90)(iter(pa.table(columns).to_batches()))
+    assert sum(b.num_rows for b in inside) == 0
