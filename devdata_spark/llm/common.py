@@ -91,11 +91,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Spark's setting by which an execution deletes its shuffle files when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
-    """As `written`; `release` deletes the table when another has taken its place."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    table_ = df.sparkSession.read.schema(df.schema).parquet(path)
+    """As `written`; `release` deletes the table when another has taken its place.
+
+    The shuffle files of the write go as soon as it has ended.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    table_ = spark.read.schema(df.schema).parquet(path)
     table_.kept_at = path
     return table_
 

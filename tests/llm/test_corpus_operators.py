@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from devdata_spark.llm import (
     chat,
+    common,
     contamination,
     licenses,
     line_dedup,
@@ -597,3 +599,17 @@ def test_lines_of_any_white_space_stay(spark):
     rows = [(i, f"own line {i}\n\t\n   \n\r\nshared by all of them") for i in range(3)]
     found = {r.doc_id: r.text for r in line_dedup.dedup(table(spark, rows)).collect()}
     assert found == {0: rows[0][1], **{i: f"own line {i}\n\t\n   \n\r\n".removesuffix("\n") for i in (1, 2)}}
+
+
+def test_kept_tables_leave_no_shuffle_files(spark):
+    folders = spark._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+
+    def files():
+        return {p for f in folders for p in Path(f).rglob("shuffle_*.data")}
+
+    before, setting = files(), spark.conf.get(common.CLEANUP)
+    rows = spark.range(5000).groupBy((F.col("id") * 7 % 1000).alias("key")).agg(F.max("id").alias("most"))
+    table = common.kept(rows.join(rows.select("key"), ["key"]), "table")
+    assert files() <= before
+    assert table.count() == 1000 and spark.conf.get(common.CLEANUP) == setting
+    common.release(table)
