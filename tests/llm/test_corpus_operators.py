@@ -607,9 +607,15 @@ def test_kept_tables_leave_no_shuffle_files(spark):
     def files():
         return {p for f in folders for p in Path(f).rglob("shuffle_*.data")}
 
-    before, setting = files(), spark.conf.get(common.CLEANUP)
+    setting = spark.conf.get(common.CLEANUP)
     rows = spark.range(5000).groupBy((F.col("id") * 7 % 1000).alias("key")).agg(F.max("id").alias("most"))
-    table = common.kept(rows.join(rows.select("key"), ["key"]), "table")
-    assert files() <= before
+    joined = rows.join(rows.select("key"), ["key"])
+    before = files()
+    plain = common.written(joined, "plain")
+    between = files()
+    assert between - before and plain.count() == 1000
+    between = files()
+    table = common.kept(joined, "table")
+    assert files() <= between
     assert table.count() == 1000 and spark.conf.get(common.CLEANUP) == setting
     common.release(table)
