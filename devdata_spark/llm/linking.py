@@ -5,6 +5,7 @@ from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,16 +20,38 @@ SKETCH = [f"sketch_{i}" for i in range(BITS // 64)]
 SKETCH_SCHEMA = ", ".join(f"{name} BIGINT" for name in SKETCH)
 
 
-def sketch(sets: np.ndarray) -> np.ndarray:
-    """Parities of a set's hashes in `BITS` classes, as 64-bit integers.
+def sketch(sets: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """Parities of a set's hashes in `bits` classes, a power of two, as 64-bit integers.
 
     Each element in which two sets differ changes one parity, so sets differ in at least
     as many elements as sketches do in bits.
     """
-    parity = np.bincount((sets >> np.uint64(8)).astype(np.int64) & (BITS - 1), minlength=BITS) & 1
+    parity = np.bincount((sets >> np.uint64(8)).astype(np.int64) & (bits - 1), minlength=bits) & 1
     return np.packbits(parity.astype(np.uint8)).view(np.int64)
 
 
+def wide_sketch(sets: np.ndarray) -> np.ndarray:
+    """As `sketch`, with at least as many classes as elements; empty where `BITS` are that.
+
+    Any two sets of many more elements than classes differ in half of the parities, which
+    is less than large sets may differ in.
+    """
+    bits = 1 << (len(sets) - 1).bit_length()
+    return sketch(sets, bits) if bits > BITS else np.empty(0, np.int64)
+
+
+def wide_apart(x: np.ndarray, y: np.ndarray) -> int:
+    """The bits in which two wide sketches differ, the wider one folded; 0 if one is empty.
+
+    Classes are residues, so a fold by exclusive or is the sketch of fewer classes.
+    """
+    width = min(len(x), len(y))
+    if not width:
+        return 0
+    x, y = (np.bitwise_xor.reduce(s.reshape(-1, width)) for s in (x, y))
+    return int(np.bitwise_count((x ^ y).view(np.uint64)).sum())
+
+
 def may_link(percent: int, x: str, y: str) -> Column:
     """Whether sizes and sketches allow a Jaccard similarity of `percent`.
 
@@ -42,6 +65,17 @@ def may_link(percent: int, x: str, y: str) -> Column:
     return sizes & (apart * (100 + percent) <= (n_x + n_y) * (100 - percent))
 
 
+def may_link_wide(percent: int, x: str, y: str) -> Column:
+    """As `may_link`, by the wide sketches that `wide` holds."""
+
+    @F.pandas_udf("boolean")
+    def fits(x: pd.Series, y: pd.Series, n: pd.Series) -> pd.Series:
+        apart = pd.Series(map(wide_apart, x, y), n.index, "int64")
+        return apart * (100 + percent) <= n * (100 - percent)
+
+    return fits(F.col(f"{x}.wide"), F.col(f"{y}.wide"), F.col(f"{x}.n") + F.col(f"{y}.n"))
+
+
 def linked(
     entries: DataFrame, items: DataFrame, percent: int, verify: Callable[[DataFrame], DataFrame],
     large: int = 256,

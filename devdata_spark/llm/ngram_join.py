@@ -9,6 +9,7 @@ two and makes the other segments larger. Pairs that meet are verified on the set
 
 import hashlib
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from devdata_spark.llm.common import (
+    SENT_ROWS,
     claim,
     free_shuffles,
     join_kept,
@@ -26,7 +28,15 @@ from devdata_spark.llm.common import (
     ship,
     trim,
 )
-from devdata_spark.llm.linking import SKETCH, SKETCH_SCHEMA, linked, may_link, sketch
+from devdata_spark.llm.linking import (
+    SKETCH,
+    SKETCH_SCHEMA,
+    linked,
+    may_link,
+    may_link_wide,
+    sketch,
+    wide_sketch,
+)
 from devdata_spark.llm.packed import mix, pack, shared
 
 # What op9 asks for; other callers name their own.
@@ -38,6 +48,8 @@ MEMO_WORDS = 150_000
 ENTRY_BYTES, BUCKET_BYTES = 12, 8 << 20
 # What verifying a pair that met by chance costs, in index entries.
 PAIR_COST = 50
+# Pairs whose sets are moved at a time: their nodes are few enough to be sent to every task.
+WAVE_PAIRS = SENT_ROWS // 2
 
 
 class _Words(dict):
@@ -288,24 +300,51 @@ def _items(docs: DataFrame, groups: DataFrame, entries: DataFrame, n: int) -> Da
                 "node": batch.column("node"),
                 "n": pa.array([len(s) for s in sets], pa.int64()),
                 "s": pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                "wide": pa.array(map(wide_sketch, sets), pa.list_(pa.int64())),
             }
             columns |= {name: sketches[:, i] for i, name in enumerate(SKETCH)}
             yield pa.record_batch(columns)
 
     texts = join_small(docs, needed, "doc_id").select("node", "text")
-    made = texts.mapInArrow(run, f"node BIGINT, n BIGINT, s ARRAY<BIGINT>, {SKETCH_SCHEMA}")
-    return made.dropDuplicates(["node"])
+    schema = f"node BIGINT, n BIGINT, s ARRAY<BIGINT>, wide ARRAY<BIGINT>, {SKETCH_SCHEMA}"
+    return texts.mapInArrow(run, schema).dropDuplicates(["node"])
 
 
-def _verified(items: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets are similar enough."""
-    own = items.select("node", "n", *SKETCH)
+def _fitting(items: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """a, b, n_a, n_b: the pairs of nodes whose sizes and sketches allow a link."""
+    own = items.select("node", "n", "wide", *SKETCH)
     x, y = own.withColumnRenamed("node", "a").alias("x"), own.withColumnRenamed("node", "b").alias("y")
-    fitting = (
+    return (
         pairs.join(x, "a").join(y, "b").filter(may_link(percent, "x", "y"))
+        .filter(may_link_wide(percent, "x", "y"))
         .select("a", "b", F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b"))
     )
-    sets = items.select("node", "s")
+
+
+def _verified(items: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets are similar enough, as kept tables.
+
+    Sets are moved only for pairs whose sketches allow a link, and in waves, each of which
+    ends before the next: a wave moves a set for each of its pairs, in all not much more
+    than the sets of all items, whatever the number of pairs.
+    """
+    fitting = kept(_fitting(items, pairs, percent), "fitting")
+    count, moved = fitting.agg(F.count("*"), F.sum(F.col("n_a") + F.col("n_b"))).first()
+    held = items.agg(F.sum("n")).first()[0]
+    waves = max(1, -(-count // WAVE_PAIRS), -(-(moved or 0) // (held or 1)))
+    links = []
+    for wave in range(waves):
+        some = fitting.filter(F.pmod(F.xxhash64("a", "b"), F.lit(waves)) == wave)
+        needed = kept(some.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "needed")
+        sets = join_kept(items.select("node", "s"), needed, "node", "left_semi")
+        links.append(kept(_similar(some, sets, percent), "links"))
+        release(needed)
+    release(fitting)
+    return reduce(DataFrame.union, links)
+
+
+def _similar(fitting: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets are similar enough."""
     both = fitting.join(sets.toDF("a", "s_a"), "a").join(sets.toDF("b", "s_b"), "b")
     common = F.size(F.array_intersect("s_a", "s_b"))
     return both.filter(100 * common >= percent * (F.col("n_a") + F.col("n_b") - common)).select(

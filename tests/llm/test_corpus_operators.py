@@ -107,6 +107,80 @@ def test_sketches_differ_in_no_more_bits_than_sets_in_elements(some, change):
     assert bits <= len(change) and len(linking.sketch(a)) == len(linking.SKETCH)
 
 
+@settings(max_examples=50, deadline=None)
+@given(st.integers(900, 5000), st.integers(0, 400), st.integers(0, 400), st.integers(0, 2**32))
+def test_wide_sketches_differ_in_no_more_bits_than_sets_in_elements(size, less, more, seed):
+    made = np.random.default_rng(seed).integers(0, 2**64, size + more, np.uint64)
+    a, b = np.unique(made[:size]), np.unique(made[less:])
+    x, y = linking.wide_sketch(a), linking.wide_sketch(b)
+    assert linking.wide_apart(x, y) <= len(np.setxor1d(a, b))
+    assert (len(x) * 64 >= len(a)) == (len(a) > linking.BITS)
+    if min(len(x), len(y)):
+        assert linking.wide_apart(x, linking.sketch(a, linking.BITS)) == 0
+
+
+def large_sets():
+    """Sets of 1,500 to 4,000 elements; each even one and the next differ little."""
+    rng = np.random.default_rng(12)
+    sets = {n: np.unique(rng.integers(0, 2**64, 1500 + 100 * n, np.uint64)) for n in range(0, 26, 2)}
+    for n in list(sets):
+        other = rng.integers(0, 2**64, len(sets[n]) // 16 + 3 * n, np.uint64)
+        sets[n + 1] = np.unique(np.r_[sets[n][len(other) :], other])
+    return sets
+
+
+def items_of(spark, sets):
+    rows = [
+        (n, len(s), s.view(np.int64).tolist(), linking.wide_sketch(s).tolist(), *linking.sketch(s).tolist())
+        for n, s in sets.items()
+    ]
+    schema = f"node LONG, n LONG, s ARRAY<LONG>, wide ARRAY<LONG>, {linking.SKETCH_SCHEMA}"
+    return spark.createDataFrame(rows, schema)
+
+
+def test_large_sets_are_moved_only_for_pairs_that_may_link(spark, monkeypatch):
+    sets = large_sets()
+    pairs = [(a, b) for a in sets for b in sets if a < b]
+    moved, similar = [], ngram_join._similar
+
+    def spied(fitting, own, percent):
+        moved.extend((r.a, r.b) for r in fitting.collect())
+        assert {r.node for r in own.collect()} == {n for pair in moved for n in pair}
+        return similar(fitting, own, percent)
+
+    monkeypatch.setattr(ngram_join, "_similar", spied, raising=False)
+    found = ngram_join._verified(items_of(spark, sets), spark.createDataFrame(pairs, "a LONG, b LONG"), 80)
+    expected = {
+        (a, b) for a, b in pairs
+        if 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))
+    }
+    assert {(r.a, r.b) for r in found.collect()} == expected
+    assert expected and expected <= set(moved) <= {(n, n + 1) for n in sets if n % 2 == 0}
+
+
+@pytest.mark.parametrize("most", [3, 1000])
+def test_pairs_are_verified_in_waves(spark, monkeypatch, most):
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 2**64, 200, np.uint64)
+    sets = {n: np.unique(np.r_[base[n:], rng.integers(0, 2**64, n // 2, np.uint64)]) for n in range(24)}
+    pairs = [(a, b) for a in sets for b in sets if a < b]
+    waves, similar = [], ngram_join._similar
+
+    def spied(fitting, own, percent):
+        waves.append(fitting.select(F.sum(F.col("n_a") + F.col("n_b"))).first()[0] or 0)
+        return similar(fitting, own, percent)
+
+    monkeypatch.setattr(ngram_join, "_similar", spied)
+    monkeypatch.setattr(ngram_join, "WAVE_PAIRS", most)
+    found = ngram_join._verified(items_of(spark, sets), spark.createDataFrame(pairs, "a LONG, b LONG"), 90)
+    expected = {
+        (a, b) for a, b in pairs
+        if 100 * len(np.intersect1d(sets[a], sets[b])) >= 90 * len(np.union1d(sets[a], sets[b]))
+    }
+    assert sorted((r.a, r.b) for r in found.collect()) == sorted(expected)
+    assert len(waves) > 5 and max(waves) < sum(waves) / 2
+
+
 def test_shared_keys(spark):
     rng = random.Random(8)
     rows = [(rng.randrange(60), rng.randrange(1, 9)) for _ in range(150)]
