@@ -24,12 +24,12 @@ from pyspark.sql import functions as F
 
 from devdata_spark.llm.common import claim, memo, ship, trim
 
-# Entries of each memo before it starts anew: some 110, 65 and 90 MB in a worker, which
-# keeps them from task to task, until another operator's function starts there or nothing
-# has been encoded for some seconds.
-MEMO_PIECES = 500_000
-MEMO_SEAMS = 500_000
-MEMO_PREFIXES = 500_000
+# Entries of each of the three memos (pieces, seams, prefixes) before they become old ones.
+# Old ones that are asked for become new again, the others go when the next take their
+# place, so a memo holds twice as many, all three together some 265 MB in a worker. It keeps
+# them from task to task, until another operator's function starts there or nothing has been
+# encoded for some seconds.
+MEMO = 250_000
 IDLE_SECONDS = 1.0
 # Longer pieces are seldom met again and are not remembered.
 MEMO_PIECE_BYTES = 48
@@ -48,8 +48,8 @@ BEYOND_LATIN = re.compile("[^\\x00-\u024f]")
 class Encoder:
     """Ranks of a byte-level vocabulary, and the pattern that splits a text into pieces."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], pattern: str, entries: int = MEMO):
+        self.ranks, self.entries = ranks, entries
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks), default=0)
         # \s of this module also takes four separators that are not Unicode white space
@@ -66,15 +66,17 @@ class Encoder:
         self.split_latin = None if r"\p" in latin or r"\P" in latin else re.compile(latin)
         self._tokens = [self.bytes_of.get(i) for i in range(max(self.bytes_of, default=-1) + 1)]
         self._last: dict[bytes, int] = {}
+        self._old_last: dict[bytes, int] = {}
         self._fits: dict[int, bool] = {}  # by left token << 32 | right token
+        self._old_fits: dict[int, bool] = {}
         self._halves: dict[int, tuple[int, int] | None] = {}
         self.packed = _Pieces(self)
 
     @classmethod
-    def parse(cls, content: bytes, pattern: str) -> Encoder:
+    def parse(cls, content: bytes, pattern: str, entries: int = MEMO) -> Encoder:
         """From lines of a base64 token and its rank."""
         lines = (line.split() for line in content.splitlines() if line.strip())
-        return cls({base64.b64decode(token): int(rank) for token, rank in lines}, pattern)
+        return cls({base64.b64decode(token): int(rank) for token, rank in lines}, pattern, entries)
 
     def merged(self, content: bytes, stop: int = 1) -> list[bytes]:
         """Plain byte-pair merging down to `stop` parts: lowest rank first, then leftmost."""
@@ -120,9 +122,14 @@ class Encoder:
         key = left << 32 | right
         known = self._fits.get(key)
         if known is None:
-            if len(self._fits) >= MEMO_SEAMS:
+            known = self._old_fits.pop(key, None)
+            if known is None:
+                known = self._seam_holds(left, right)
+            if len(self._fits) >= self.entries:
+                # the dict itself stays, since a table in progress holds its method
+                self._old_fits = dict(self._fits)
                 self._fits.clear()
-            known = self._fits[key] = self._seam_holds(left, right)
+            self._fits[key] = known
         return known
 
     def _seam_holds(self, left: int, right: int) -> bool:
@@ -204,8 +211,8 @@ class Encoder:
             return [self.ranks[content]]
         if len(content) > MEMO_PIECE_BYTES:
             return self.tokens(content, self.table(content))
-        if len(self._last) >= MEMO_PREFIXES:
-            self._last.clear()
+        if len(self._last) >= self.entries:
+            self._old_last, self._last = self._last, {}
         found = []
         while content:
             token = self._last.get(content) or self._last_token(content)
@@ -216,6 +223,10 @@ class Encoder:
     def _last_token(self, prefix: bytes) -> int:
         """The last token of a prefix; those of the shorter prefixes it needs are kept."""
         rank_of, last, halves = self.ranks.get, self._last, self._halves.get
+        known = self._old_last.pop(prefix, None)
+        if known is not None:
+            last[prefix] = known
+            return known
         for start in range(max(0, len(prefix) - self.longest), len(prefix)):
             token = rank_of(prefix[start:])
             if token is None or (halves(token) or self.halves(token)) is None:
@@ -249,14 +260,19 @@ class _Pieces(dict):
 
     def __init__(self, encoder: Encoder):
         self.encoder = encoder
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        content = piece.encode("utf-8", "replace")
-        packed = array("I", self.encoder.piece(content)).tobytes()
-        if len(content) <= MEMO_PIECE_BYTES:
-            if len(self) >= MEMO_PIECES:
-                self.clear()
-            self[piece] = packed
+        packed = self.old.pop(piece, None)
+        if packed is None:
+            content = piece.encode("utf-8", "replace")
+            packed = array("I", self.encoder.piece(content)).tobytes()
+            if len(content) > MEMO_PIECE_BYTES:
+                return packed
+        if len(self) >= self.encoder.entries:
+            self.old = dict(self)
+            self.clear()
+        self[piece] = packed
         return packed
 
 
@@ -300,8 +316,9 @@ class EditableText:
 
 
 @lru_cache(maxsize=2)
-def _encoder(content: bytes, pattern: str) -> Encoder:
-    return Encoder.parse(content, pattern)
+def _encoder(content: bytes, pattern: str, entries: int) -> Encoder:
+    trim()  # what others held in this worker and Spark has let go since
+    return Encoder.parse(content, pattern, entries)
 
 
 def _forget() -> bool:
@@ -344,10 +361,32 @@ def _each(content: bytes, pattern: str, what: str, values: pd.Series) -> pd.Seri
     """Values encoded or decoded, by what this worker remembers."""
     claim("bpe")
     with _use:
-        one = getattr(_encoder(content, pattern), what)
+        one = getattr(_encoder(content, pattern, MEMO), what)
         return pd.Series([None if v is None else one(v) for v in values], dtype=object)
 
 
+def _both(
+    content: bytes, pattern: str, entries: int, text: str | None
+) -> tuple[bytes | None, bytes | None]:
+    """A text encoded, and that decoded, by what this worker remembers."""
+    if text is None:
+        return None, None
+    claim("bpe")
+    with _use:
+        encoder = _encoder(content, pattern, entries)
+        ids = encoder.encode(text)
+        return ids, encoder.decode(ids)
+
+
+def _sent(spark: SparkSession, path: str):
+    """The content of a vocabulary file as a broadcast variable."""
+    content = Path(path).read_bytes()
+    if len(content) > 10_000_000:
+        raise ValueError(f"{path} is too large for a vocabulary")
+    ship(spark)
+    return spark.sparkContext.broadcast(content)
+
+
 def codec(spark: SparkSession, path: str, pattern: str):
     """Two column functions, encode and decode, for the vocabulary file at `path`.
 
@@ -356,11 +395,7 @@ def codec(spark: SparkSession, path: str, pattern: str):
     no tokens. The whole text is encoded, however long. The file is read on the driver
     and its content (under 10 MB, whatever the corpus) is sent to each executor once.
     """
-    content = Path(path).read_bytes()
-    if len(content) > 10_000_000:
-        raise ValueError(f"{path} is too large for a vocabulary")
-    ship(spark)
-    sent = spark.sparkContext.broadcast(content)
+    sent = _sent(spark, path)
 
     def encode(texts: pd.Series) -> pd.Series:
         return _each(sent.value, pattern, "encode", texts)
@@ -371,6 +406,22 @@ def codec(spark: SparkSession, path: str, pattern: str):
     return F.pandas_udf(encode, "binary"), F.pandas_udf(decode, "binary")
 
 
+def round_trip(spark: SparkSession, path: str, pattern: str, entries: int = MEMO):
+    """A column function from a text to `ids`, its tokens, and `decoded`, the bytes of these.
+
+    Both are as the functions of `codec` give them. A text is encoded once, where decode of
+    encode has Spark encode it again, and a worker holds the texts, tokens and bytes of the
+    100 rows that Spark pickles at a time, not of an Arrow batch of 10,000. Fewer `entries`
+    of memos take less memory and more time; the results are the same.
+    """
+    sent = _sent(spark, path)
+
+    def both(text: str | None) -> tuple[bytes | None, bytes | None]:
+        return _both(sent.value, pattern, entries, text)
+
+    return F.udf(both, "ids binary, decoded binary", useArrow=False)
+
+
 def n_tokens(ids: Column) -> Column:
     """The number of tokens in an encoded column."""
     return (F.octet_length(ids) / 4).cast("long")

@@ -113,3 +113,42 @@ def test_an_idle_worker_forgets(monkeypatch):
         assert not forgotten  # not while there is work
     time.sleep(0.3)
     assert forgotten
+
+
+def test_small_memos_keep_what_is_used_and_give_the_same(encoder, library):
+    rng = random.Random(9)
+    small = bpe.Encoder(encoder.ranks, public_tokenizers.PATTERN, entries=50)
+    words = ["".join(rng.choices("theandrs", k=rng.randrange(3, 12))) for _ in range(2000)]
+    for at in range(0, len(words), 20):
+        text = " often asked " + " ".join(words[at : at + 20])
+        assert ids(small.encode(text)) == library.encode_ordinary(text)
+        assert " asked" in small.packed or " asked" in small.packed.old
+    for memo in (small.packed, small.packed.old, small._fits, small._old_fits):
+        assert len(memo) <= 50
+    assert max(len(small._last), len(small._old_last)) <= 50 + bpe.MEMO_PIECE_BYTES
+
+
+def test_round_trip_encodes_each_text_once(spark, encoder):
+    both = bpe.round_trip(spark, PATH, public_tokenizers.PATTERN, entries=50)
+    rows = [(1, "Hello  world"), (1, "Hello  world"), (2, None), (None, ""), (3, "ab " * 20_000)]
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    out = df.select("doc_id", "text", both("text").alias("made")).select("text", "made.*")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("both(") == 1 and "ArrowEvalPython" not in plan
+    for row in out.collect():
+        if row.text is None:
+            assert row.ids is None and row.decoded is None
+        else:
+            assert bytes(row.ids) == encoder.encode(row.text)
+            assert bytes(row.decoded).decode() == row.text
+
+
+def test_the_pipeline_encodes_once_and_in_small_batches(spark):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(1, "Hello  world"), (2, None)], "doc_id BIGINT, text STRING")
+    out = corpus_pipeline.encode(spark, docs, "")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+    found = {r.doc_id: (bytes(r.tokens), r.n_tokens, r.round_trip) for r in out.collect()}
+    assert found[2] == (b"", 0, True) and found[1][1:] == (len(found[1][0]) // 4, True)
