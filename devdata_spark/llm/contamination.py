@@ -193,12 +193,17 @@ def banded_distance(probe: np.ndarray, place: np.ndarray, edits: int) -> tuple[i
     return int(row[best]), len(probe) + best - edits
 
 
-def finder(benchmark: DataFrame, item: str = "item_id", text: str = "text"):
+def finder(
+    benchmark: DataFrame, item: str = "item_id", text: str = "text", batched: bool = True
+):
     """A column function from a text to its matches: `FOUND`, empty if there are none.
 
     Items are indexed in shards of `INDEX_CHARS` characters, so what a task holds does not
     grow with the benchmark. Items of NULL id or of under `SHORTEST` characters are left
-    out; repeated items are found once. NULL and empty texts match nothing.
+    out; repeated items are found once. NULL and empty texts match nothing. Texts not
+    `batched` come in Spark's pickled batches of 100 rows, which hold less memory than its
+    Arrow batches of 10,000; the same probes are found, some at another place of theirs
+    (bands begin where a batch does).
     """
     ship(benchmark.sparkSession)
     items = benchmark.select(
@@ -209,7 +214,7 @@ def finder(benchmark: DataFrame, item: str = "item_id", text: str = "text"):
     functions = []
     for shard in range(shards):
         own = items.filter(F.pmod(F.xxhash64("id"), F.lit(shards)) == shard).orderBy("id", "t")
-        functions.append(_searcher(benchmark.sparkSession, [tuple(r) for r in own.collect()]))
+        functions.append(_searcher(benchmark.sparkSession, [tuple(r) for r in own.collect()], batched))
 
     def find(column: Column) -> Column:
         return F.flatten(F.array(*[function(column) for function in functions]))
@@ -217,9 +222,16 @@ def finder(benchmark: DataFrame, item: str = "item_id", text: str = "text"):
     return find
 
 
-def _searcher(spark, items: list[tuple[int, str]]):
+def _searcher(spark, items: list[tuple[int, str]], batched: bool):
     index = spark.sparkContext.broadcast(Index(items))
 
+    def search_one(text: str | None) -> list[tuple[int, int, int, int]]:
+        claim("contamination")
+        return index.value.search([text])[0]
+
+    if not batched:
+        return F.udf(search_one, FOUND, useArrow=False)
+
     def search(texts: pd.Series) -> pd.Series:
         claim("contamination")
         return pd.Series(

@@ -8,6 +8,7 @@ import pytest
 import tiktoken
 
 import corpus_pipeline
+from devdata_spark.llm import contamination
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
@@ -105,3 +106,18 @@ def test_tokens_are_those_of_the_library(results):
 def test_run_gives_the_last_stage(spark, results):
     found = corpus_pipeline.run(spark, SF_DIR)
     assert sorted(r.doc_id for r in found.collect()) == sorted(r.doc_id for r in results[5].collect())
+
+
+def test_decontamination_takes_small_batches_and_finds_the_same(spark):
+    benchmark = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
+    items = [r.text for r in benchmark.limit(3).collect()]
+    rows = [(i, f"before {t} and behind") for i, t in enumerate(items)] + [(8, None), (9, "else")]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    left = corpus_pipeline.drop_contaminated(spark, docs, SF_DIR)
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+    one, many = (contamination.finder(benchmark, batched=b)("text") for b in (False, True))
+    found = docs.select("doc_id", one.alias("one"), many.alias("many")).collect()
+    for r in found:
+        assert {m[:2] for m in r.one} == {m[:2] for m in r.many}
+    assert sorted(r.doc_id for r in left.collect()) == [r.doc_id for r in found if not r.many]
